@@ -75,3 +75,70 @@ class Models:
     @cached_property
     def mart_channel_performance(self) -> DataFrame:
         return analytics.mart_channel_performance(self.dim_users, self.fct_order_items)
+
+
+class ExperimentModels:
+    """The experiment chain on top of the shop models."""
+
+    def __init__(self, models: Models, cfg=None):
+        from cartwright.operators.experiment import DEFAULT
+        self.m = models
+        self.cfg = cfg or DEFAULT
+
+    @cached_property
+    def fct_experiment_results(self) -> DataFrame:
+        from cartwright.operators.experiment import fct_experiment_results
+        return fct_experiment_results(self.m.stg_experiment_assignments, self.m.stg_orders,
+                                      self.m.stg_order_items, self.cfg)
+
+    @cached_property
+    def moments(self) -> DataFrame:
+        from cartwright.operators.experiment import variant_moments
+        return variant_moments(self.fct_experiment_results, self.cfg)
+
+    @cached_property
+    def baseline_order_value(self) -> DataFrame:
+        from cartwright.operators.experiment import baseline_order_value
+        return baseline_order_value(self.m.stg_order_items)
+
+    @cached_property
+    def baseline_return_rate(self) -> DataFrame:
+        from cartwright.operators.experiment import baseline_return_rate
+        return baseline_return_rate(self.m.stg_orders)
+
+    @cached_property
+    def baseline_daily_orders(self) -> DataFrame:
+        from cartwright.operators.experiment import baseline_daily_orders
+        return baseline_daily_orders(self.m.stg_orders)
+
+    @cached_property
+    def sample_size_and_duration(self) -> DataFrame:
+        from cartwright.operators.experiment import sample_size_and_duration
+        return sample_size_and_duration(self.baseline_order_value, self.baseline_daily_orders,
+                                        self.cfg)
+
+    @cached_property
+    def conversion_ztest(self) -> DataFrame:
+        from cartwright.operators.statistics import conversion_ztest
+        return conversion_ztest(self.moments, self.cfg)
+
+    @cached_property
+    def aov_welch(self) -> DataFrame:
+        from cartwright.operators.statistics import aov_welch
+        return aov_welch(self.moments, self.cfg)
+
+    @cached_property
+    def return_guardrail(self) -> DataFrame:
+        from cartwright.operators.statistics import return_guardrail
+        return return_guardrail(self.moments, self.cfg)
+
+    @cached_property
+    def experiment_decision(self) -> DataFrame:
+        from cartwright.operators.statistics import experiment_decision
+        return experiment_decision(self.aov_welch, self.return_guardrail,
+                                   self.sample_size_and_duration, self.cfg)
+
+    @cached_property
+    def interval_chart(self) -> DataFrame:
+        from cartwright.operators.statistics import interval_chart
+        return interval_chart(self.moments, self.conversion_ztest, self.aov_welch, self.cfg)

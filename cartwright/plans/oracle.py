@@ -225,3 +225,321 @@ ORACLE: dict[str, str] = {
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+
+# -- experiment models --------------------------------------------------------
+from cartwright.functions.distributions import (  # noqa: E402
+    NEWTON_STEPS, NORMAL_SPAN, STEPS, T_SPAN, normal_quantile)
+from cartwright.operators.experiment import DEFAULT as _CFG  # noqa: E402
+
+
+def dbl(x: float) -> str:
+    return f"CAST({float(x)!r} AS DOUBLE)"
+
+
+def simpson_sql(f, a: str, b: str) -> str:
+    """Composite Simpson over [a, b] with the engine's step count."""
+    h = f"((({b}) - ({a})) / {dbl(STEPS)})"
+    w = f"(CASE WHEN k = 0 OR k = {STEPS} THEN 1.0 WHEN k % 2 = 1 THEN 4.0 ELSE 2.0 END)"
+    return (f"(list_sum(list_transform(range(0, {STEPS + 1}), "
+            f"lambda k: {w} * {f(f'(({a}) + k * {h})')})) * {h} / 3.0)")
+
+
+def t_p_sql(t: str, nu: str) -> str:
+    up = f"least(pi() / 2, {dbl(T_SPAN)} / sqrt({nu}))"
+    lo = f"least(atan(abs({t}) / sqrt({nu})), {up})"
+    f = lambda x: f"pow(cos({x}), {nu} - 1.0)"
+    return (f"(CASE WHEN {t} IS NOT NULL AND {nu} >= 1 THEN "
+            f"{simpson_sql(f, lo, up)} / {simpson_sql(f, '0.0', up)} END)")
+
+
+def t_quantile_sql(alpha: float, nu: str) -> str:
+    up = f"least(pi() / 2, {dbl(T_SPAN)} / sqrt({nu}))"
+    f = lambda x: f"pow(cos({x}), {nu} - 1.0)"
+    target = f"({dbl(1.0 - alpha)} * {simpson_sql(f, '0.0', up)})"
+    step = f"th - ({simpson_sql(f, '0.0', 'th')} - {target}) / {f('th')}"
+    theta = f"list_reduce(range(1, {NEWTON_STEPS + 1}), lambda th, i: {step}, 0.0::DOUBLE)"
+    return f"(CASE WHEN {nu} >= 1 THEN sqrt({nu}) * tan({theta}) END)"
+
+
+def normal_p_sql(z: str) -> str:
+    a = f"abs({z})"
+    f = lambda x: f"exp(-({x} * {x}) / 2.0)"
+    return (f"(CASE WHEN {z} IS NOT NULL THEN {dbl((2.0 / 3.141592653589793) ** 0.5)} * "
+            f"{simpson_sql(f, a, f'{a} + {dbl(NORMAL_SPAN)}')} END)")
+
+
+def _experiment_ctes(cfg=_CFG) -> str:
+    statuses = ", ".join(f"'{s}'" for s in cfg.statuses)
+    vc, vt = cfg.variants
+
+    def m(tag, v):
+        return f"""
+           count(*) FILTER (WHERE variant = '{v}') AS n_{tag},
+           CAST(sum(is_completed) FILTER (WHERE variant = '{v}') AS BIGINT) AS conv_{tag},
+           CAST(sum(is_returned) FILTER (WHERE variant = '{v}') AS BIGINT) AS ret_{tag},
+           avg(order_value) FILTER (WHERE variant = '{v}') AS mean_{tag},
+           var_samp(order_value) FILTER (WHERE variant = '{v}') AS var_{tag}"""
+    return f"""
+fct_experiment_results AS (
+    WITH assignments AS (SELECT user_id, variant FROM stg_experiment_assignments),
+    o AS (
+        SELECT order_id, user_id, status AS order_status, created_at AS order_created_at
+        FROM stg_orders
+        WHERE CAST(created_at AS DATE) BETWEEN DATE '{cfg.start}' AND DATE '{cfg.end}'
+          AND status IN ({statuses})
+    ),
+    order_values AS (
+        SELECT order_id, sum(sale_price) AS order_value, count(*) AS item_count
+        FROM stg_order_items GROUP BY order_id
+    )
+    SELECT o.order_id, o.user_id, a.variant, o.order_status, o.order_created_at,
+           ov.order_value, ov.item_count,
+           CASE WHEN o.order_status = 'Complete' THEN 1 ELSE 0 END AS is_completed,
+           CASE WHEN o.order_status = 'Returned' THEN 1 ELSE 0 END AS is_returned
+    FROM o INNER JOIN assignments a ON o.user_id = a.user_id
+           INNER JOIN order_values ov ON o.order_id = ov.order_id
+),
+moments AS (
+    SELECT {m('c', vc)},
+           {m('t', vt)}
+    FROM fct_experiment_results
+),
+baseline_order_value AS (
+    SELECT round(avg(order_value), 2) AS baseline_aov,
+           round(stddev_samp(order_value), 2) AS aov_stddev,
+           count(*) AS order_count
+    FROM (SELECT order_id, sum(sale_price) AS order_value
+          FROM stg_order_items WHERE status = 'Complete' GROUP BY order_id)
+),
+baseline_return_rate AS (
+    SELECT round(count_if(status = 'Returned') / nullif(count(*), 0), 4) AS baseline_return_rate,
+           count(*) AS total_orders
+    FROM stg_orders WHERE status IN ('Complete', 'Returned')
+),
+baseline_daily_orders AS (
+    SELECT avg(daily_orders) AS avg_daily_orders
+    FROM (SELECT CAST(created_at AS DATE) AS order_date, count(DISTINCT order_id) AS daily_orders
+          FROM stg_orders WHERE status = 'Complete' GROUP BY 1)
+),
+sample_size_and_duration AS (
+    WITH b AS (
+        SELECT *, baseline_aov * {dbl(cfg.mde_relative)} AS mde
+        FROM baseline_order_value CROSS JOIN baseline_daily_orders
+    ), n AS (
+        SELECT *, {dbl(2.0)} * aov_stddev * aov_stddev
+                  * {dbl((normal_quantile(1 - cfg.alpha / 2) + normal_quantile(cfg.power)) ** 2)}
+                  / (mde * mde) AS n_exact
+        FROM b
+    ), d AS (
+        SELECT *, CAST(ceil(n_exact) AS BIGINT) AS n_per_variant,
+               CAST(ceil(n_exact) AS BIGINT) / nullif(avg_daily_orders * {dbl(cfg.traffic_share)}, 0) AS days
+        FROM n
+    )
+    SELECT baseline_aov, aov_stddev, round(mde, 6) AS mde_absolute,
+           round(mde / nullif(aov_stddev, 0), 6) AS effect_size,
+           {dbl(round(normal_quantile(1 - cfg.alpha / 2), 12))} AS z_alpha,
+           {dbl(round(normal_quantile(cfg.power), 12))} AS z_beta,
+           round(n_exact, 4) AS n_exact, n_per_variant, n_per_variant * 2 AS n_total,
+           round(avg_daily_orders, 6) AS avg_daily_orders,
+           round(days, 4) AS duration_days, CAST(ceil(days) AS BIGINT) AS duration_days_ceil
+    FROM d
+)"""
+
+
+def _ztest_body(cfg=_CFG) -> str:
+    crit = normal_quantile(1 - cfg.alpha / 2)
+    c2 = dbl(crit * crit)
+
+    def wilson(succ, n):
+        q = f"(CAST({succ} AS DOUBLE) / nullif({n}, 0))"
+        denom = f"(1.0 + {c2} / nullif({n}, 0))"
+        center = f"(({q} + {c2} / nullif(2.0 * {n}, 0)) / {denom})"
+        dist = (f"({dbl(crit)} * sqrt({q} * (1.0 - {q}) / {n} + {c2} / nullif(4.0 * {n} * {n}, 0))"
+                f" / {denom})")
+        return f"{center} - {dist}", f"{center} + {dist}"
+    lo_c, hi_c = wilson("conv_c", "n_c")
+    lo_t, hi_t = wilson("conv_t", "n_t")
+    return f"""
+ztest AS (
+    WITH s AS (
+        SELECT n_c, n_t, conv_c, conv_t,
+               CAST(conv_c AS DOUBLE) / nullif(n_c, 0) AS p_c,
+               CAST(conv_t AS DOUBLE) / nullif(n_t, 0) AS p_t,
+               CAST(conv_c + conv_t AS DOUBLE) / nullif(n_c + n_t, 0) AS pooled,
+               {lo_c} AS lo_c, {hi_c} AS hi_c, {lo_t} AS lo_t, {hi_t} AS hi_t
+        FROM moments
+    ), z AS (
+        SELECT *, (p_c - p_t) / nullif(sqrt(pooled * (1.0 - pooled)
+                   * (1.0 / nullif(n_c, 0) + 1.0 / nullif(n_t, 0))), 0) AS z_stat
+        FROM s
+    )
+    SELECT n_c AS n_control, n_t AS n_treatment, conv_c AS completed_control,
+           conv_t AS completed_treatment,
+           round(p_c, 6) AS rate_control, round(p_t, 6) AS rate_treatment,
+           round(lo_c, 6) AS ci_low_control, round(hi_c, 6) AS ci_high_control,
+           round(lo_t, 6) AS ci_low_treatment, round(hi_t, 6) AS ci_high_treatment,
+           round(p_t - p_c, 6) AS absolute_lift, round(z_stat, 6) AS z_stat,
+           round(least(1.0, {normal_p_sql('z_stat')}), 6) AS p_value,
+           least(1.0, {normal_p_sql('z_stat')}) < {dbl(cfg.alpha)} AS significant
+    FROM z
+)"""
+
+
+def _welch_body(cfg=_CFG) -> str:
+    return f"""
+welch AS (
+    WITH s AS (
+        SELECT n_c, n_t, mean_c, mean_t, var_c, var_t,
+               var_c / nullif(n_c, 0) AS vn_c, var_t / nullif(n_t, 0) AS vn_t
+        FROM moments
+    ), w AS (
+        SELECT *, vn_c + vn_t AS se2,
+               (vn_c + vn_t) * (vn_c + vn_t)
+                 / nullif(vn_c * vn_c / nullif(n_c - 1, 0) + vn_t * vn_t / nullif(n_t - 1, 0), 0) AS df_welch
+        FROM s
+    ), t AS (
+        SELECT *, (mean_c - mean_t) / nullif(sqrt(se2), 0) AS t_stat, sqrt(se2) AS se_diff,
+               mean_t - mean_c AS mean_diff
+        FROM w
+    ), p AS (
+        SELECT *, least(1.0, {t_p_sql('t_stat', 'df_welch')}) AS p_value,
+               {t_quantile_sql(cfg.alpha, 'df_welch')} AS t_crit
+        FROM t
+    )
+    SELECT n_c AS n_control, n_t AS n_treatment,
+           round(mean_c, 4) AS mean_control, round(mean_t, 4) AS mean_treatment,
+           round(sqrt(var_c), 4) AS sd_control, round(sqrt(var_t), 4) AS sd_treatment,
+           round(mean_diff, 4) AS mean_diff, round(se_diff, 4) AS se_diff,
+           round(mean_diff - t_crit * se_diff, 4) AS ci_low,
+           round(mean_diff + t_crit * se_diff, 4) AS ci_high,
+           round(t_stat, 6) AS t_stat, round(p_value, 6) AS p_value, round(t_crit, 6) AS t_crit,
+           round((mean_t - mean_c) / nullif(mean_c, 0), 6) AS relative_lift,
+           round(df_welch, 4) AS df_welch,
+           p_value < {dbl(cfg.alpha)} AS significant
+    FROM p
+)"""
+
+
+def _guardrail_body(cfg=_CFG) -> str:
+    return f"""
+guardrail AS (
+    WITH r AS (
+        SELECT ret_c, ret_t, CAST(ret_c AS DOUBLE) / nullif(n_c, 0) AS r_c,
+               CAST(ret_t AS DOUBLE) / nullif(n_t, 0) AS r_t
+        FROM moments
+    )
+    SELECT ret_c AS returned_control, ret_t AS returned_treatment,
+           round(r_c, 6) AS return_rate_control, round(r_t, 6) AS return_rate_treatment,
+           round(r_t - r_c, 6) AS return_rate_diff, {dbl(cfg.guardrail)} AS threshold,
+           (r_t - r_c) > {dbl(cfg.guardrail)} AS breached
+    FROM r
+)"""
+
+
+def _decision_body(cfg=_CFG) -> str:
+    from cartwright.operators.statistics import DECISIONS
+    rec = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in DECISIONS.items())
+    a = dbl(cfg.alpha)
+    return f"""
+decision AS (
+    WITH j AS (
+        SELECT w.*, g.return_rate_diff, g.breached, s.n_per_variant, s.n_total
+        FROM welch w CROSS JOIN guardrail g CROSS JOIN sample_size_and_duration s
+    ), d AS (
+        SELECT *, CASE WHEN breached THEN 'guardrail_breach'
+                       WHEN p_value < {a} AND mean_diff < 0 THEN 'loss'
+                       WHEN p_value < {a} AND mean_diff > 0 AND relative_lift >= {dbl(cfg.mde_relative)} THEN 'win'
+                       WHEN p_value < {a} THEN 'significant_below_mde'
+                       ELSE 'inconclusive' END AS decision
+        FROM j
+    )
+    SELECT decision, p_value, mean_diff, relative_lift, return_rate_diff, breached,
+           n_control + n_treatment AS captured_orders, n_total AS required_orders,
+           round(CAST(n_control + n_treatment AS DOUBLE) / nullif(n_total, 0), 6) AS share_of_required,
+           n_control >= n_per_variant AND n_treatment >= n_per_variant AS sample_sufficient,
+           CASE decision {rec} END AS recommendation
+    FROM d
+)"""
+
+
+def _interval_body(cfg=_CFG) -> str:
+    return f"""
+interval_chart AS (
+    WITH m AS (
+        SELECT mean_c, mean_t,
+               {t_quantile_sql(cfg.alpha, 'CAST(n_c - 1 AS DOUBLE)')} * sqrt(var_c / nullif(n_c, 0)) AS half_c,
+               {t_quantile_sql(cfg.alpha, 'CAST(n_t - 1 AS DOUBLE)')} * sqrt(var_t / nullif(n_t, 0)) AS half_t
+        FROM moments
+    ), z AS (SELECT * FROM ztest), w AS (SELECT p_value AS p_aov FROM welch),
+    r AS (
+        SELECT 'conversion_rate' AS metric, '{cfg.variants[0]}' AS variant, rate_control AS value,
+               ci_low_control AS ci_low, ci_high_control AS ci_high, z.p_value FROM z
+        UNION ALL
+        SELECT 'conversion_rate', '{cfg.variants[1]}', rate_treatment, ci_low_treatment,
+               ci_high_treatment, z.p_value FROM z
+        UNION ALL
+        SELECT 'average_order_value', '{cfg.variants[0]}', mean_c, mean_c - half_c, mean_c + half_c, p_aov
+        FROM m CROSS JOIN w
+        UNION ALL
+        SELECT 'average_order_value', '{cfg.variants[1]}', mean_t, mean_t - half_t, mean_t + half_t, p_aov
+        FROM m CROSS JOIN w
+    )
+    SELECT metric, variant, round(value, 6) AS value, round(ci_low, 6) AS ci_low,
+           round(ci_high, 6) AS ci_high, round(abs(ci_high - ci_low) / 2, 6) AS error,
+           round(p_value, 6) AS p_value, p_value < {dbl(cfg.alpha)} AS significant
+    FROM r
+)"""
+
+
+_BLOCKS.append(_experiment_ctes())
+_BLOCKS.append(_ztest_body())
+_BLOCKS.append(_welch_body())
+_BLOCKS.append(_guardrail_body())
+_BLOCKS.append(_decision_body())
+_BLOCKS.append(_interval_body())
+
+_NULL_PROFILE_COLS = [
+    # (column, Spark type name) of fct_experiment_results
+    ("order_id", "bigint"), ("user_id", "bigint"), ("variant", "string"),
+    ("order_status", "string"), ("order_created_at", "timestamp_ntz"),
+    ("order_value", "double"), ("item_count", "bigint"), ("is_completed", "int"),
+    ("is_returned", "int"),
+]
+
+
+def _null_profile_sql() -> str:
+    parts = [f"SELECT {i} AS column_position, '{c}' AS column_name, '{t}' AS data_type, "
+             f"count_if({c} IS NULL) AS null_count, count(*) AS row_count, "
+             f"CAST({len(_NULL_PROFILE_COLS)} AS BIGINT) AS column_count FROM fct_experiment_results"
+             for i, (c, t) in enumerate(_NULL_PROFILE_COLS)]
+    return with_models("\nUNION ALL\n".join(parts))
+
+
+ORACLE.update({
+    "fct_experiment_results": _select_all("fct_experiment_results"),
+    "baseline_order_value": _select_all("baseline_order_value"),
+    "baseline_return_rate": _select_all("baseline_return_rate"),
+    "baseline_daily_orders": _select_all("baseline_daily_orders"),
+    "sample_size_and_duration": _select_all("sample_size_and_duration"),
+    "conversion_ztest": _select_all("ztest"),
+    "aov_welch": _select_all("welch"),
+    "return_guardrail": _select_all("guardrail"),
+    "experiment_decision": _select_all("decision"),
+    "interval_chart": _select_all("interval_chart"),
+    "variant_balance": with_models("""
+SELECT variant, orders, users, round_even(orders / total * 100, 1) AS pct_orders,
+       orders / total AS share_orders
+FROM (SELECT variant, count(order_id) AS orders, count(DISTINCT user_id) AS users,
+             sum(count(order_id)) OVER () AS total
+      FROM fct_experiment_results WHERE variant IS NOT NULL GROUP BY variant)"""),
+    "variant_summary": with_models("""
+SELECT variant, count(order_id) AS orders,
+       round(avg(order_value), 4) AS avg_order_value,
+       round(median(order_value), 4) AS median_order_value,
+       round(stddev_samp(order_value), 4) AS std_order_value,
+       round(avg(is_completed), 6) AS conversion_rate,
+       round(avg(is_returned), 6) AS return_rate
+FROM fct_experiment_results WHERE variant IS NOT NULL GROUP BY variant"""),
+    "null_profile": _null_profile_sql(),
+})

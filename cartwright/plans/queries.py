@@ -11,28 +11,38 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwright.plans.models import Models
+from cartwright.plans.models import ExperimentModels, Models
 
-_MODELS_CACHE: dict[tuple[int, str], Models] = {}
+_CACHE: dict[tuple[int, str], tuple[Models, ExperimentModels]] = {}
 
 
-def models_for(spark: SparkSession, sf_dir: str) -> Models:
-    """Models over ``sf_dir``; DataFrames are re-used within one session."""
+def models_for(spark: SparkSession, sf_dir: str) -> tuple[Models, ExperimentModels]:
+    """Model graphs over ``sf_dir``; plans are shared within one session."""
     key = (id(spark), sf_dir)
-    m = _MODELS_CACHE.get(key)
-    if m is None:
+    hit = _CACHE.get(key)
+    if hit is None:
         m = Models.from_tpch_dir(spark, sf_dir)
-        _MODELS_CACHE[key] = m
-    return m
+        hit = (m, ExperimentModels(m))
+        _CACHE[key] = hit
+    return hit
 
 
-def _model(name: str) -> Callable[[SparkSession, str], DataFrame]:
+def _exp(fn: Callable[[ExperimentModels], DataFrame]):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(models_for(spark, sf_dir), name)
-    run.__name__ = name
+        return fn(models_for(spark, sf_dir)[1])
     return run
 
 
+def _shop(fn: Callable[[Models], DataFrame]):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(models_for(spark, sf_dir)[0])
+    return run
+
+
+def _attr(name: str):
+    return lambda m: getattr(m, name)
+
+
 MODEL_QUERIES = [
     "stg_users", "stg_orders", "stg_order_items", "stg_products",
     "stg_experiment_assignments",
@@ -40,9 +50,29 @@ MODEL_QUERIES = [
     "mart_category_performance", "mart_customer_retention", "mart_channel_performance",
 ]
 
+EXPERIMENT_QUERIES = [
+    "fct_experiment_results",
+    "baseline_order_value", "baseline_return_rate", "baseline_daily_orders",
+    "sample_size_and_duration",
+    "conversion_ztest", "aov_welch", "return_guardrail", "experiment_decision",
+    "interval_chart",
+]
+
+
+def _extra() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from cartwright.operators import experiment as X
+    return {
+        "variant_balance": _exp(lambda e: X.variant_balance(e.fct_experiment_results)),
+        "variant_summary": _exp(lambda e: X.variant_summary(e.fct_experiment_results, e.cfg)),
+        "null_profile": _exp(lambda e: X.null_profile(e.fct_experiment_results)),
+    }
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for name in MODEL_QUERIES:
-        reg[name] = _model(name)
+        reg[name] = _shop(_attr(name))
+    for name in EXPERIMENT_QUERIES:
+        reg[name] = _exp(_attr(name))
+    reg.update(_extra())
     return reg
