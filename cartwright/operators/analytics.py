@@ -135,3 +135,17 @@ def mart_channel_performance(dim_users: DataFrame, fct_order_items: DataFrame,
         F.round(safe_divide(F.col("total_orders"), F.col("customers")), 2).alias("orders_per_customer"),
         F.round(safe_divide(F.col("_repeat"), F.col("customers")), 4).alias("repeat_purchase_rate"))
     return out.orderBy(F.col("total_revenue").desc()) if sort else out
+
+
+# reference ORDER BY of each mart, applied when the mart is read for display
+SORT_ORDER = {
+    "mart_category_performance": [("gross_margin", "desc")],
+    "mart_customer_retention": [("cohort_month", "asc")],
+    "mart_channel_performance": [("total_revenue", "desc")],
+}
+
+
+def sorted_mart(name: str, df: DataFrame) -> DataFrame:
+    if name not in SORT_ORDER:
+        return df
+    return df.orderBy(*[getattr(F.col(c), d)() for c, d in SORT_ORDER[name]])

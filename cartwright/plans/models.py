@@ -1,5 +1,9 @@
 """The model graph: sources -> staging -> star schema -> marts.
 
+Marts are stored unsorted; a read that wants the reference's order sorts
+(``analytics.SORT_ORDER``), so downstream jobs never pay for a sort whose
+order they discard.
+
 ``Models`` wires the operator functions together the way the reference's
 model references do; every attribute is a lazy DataFrame built on first use,
 so a query only plans the models it reads and Catalyst optimizes the whole
@@ -17,64 +21,82 @@ from cartwright.sources.tables import TableSource
 from cartwright.sources.thelook import RetailSources, from_tpch
 
 
+def checkpointing(names: set[str]):
+    """A ``keep`` hook that materializes the named models with ``checkpoint()``.
+
+    The checkpoint goes to the session's ``spark.checkpoint.dir`` (shared
+    storage on a cluster): the model is computed once, later jobs read it
+    back instead of re-running its joins, and a lost executor costs a
+    re-read rather than a recomputation from the raw sources.
+    """
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        return df.checkpoint(eager=True) if name in names else df
+    return keep
+
+
+def _identity(name: str, df: DataFrame) -> DataFrame:
+    return df
+
+
 class Models:
-    def __init__(self, sources: RetailSources):
+    def __init__(self, sources: RetailSources, keep=None):
         self.sources = sources
+        self._k = keep or _identity
 
     @classmethod
-    def from_tpch_dir(cls, spark: SparkSession, sf_dir: str) -> "Models":
-        return cls(from_tpch(TableSource(spark, sf_dir)))
+    def from_tpch_dir(cls, spark: SparkSession, sf_dir: str, keep=None) -> "Models":
+        return cls(from_tpch(TableSource(spark, sf_dir)), keep)
 
     # staging (views)
     @cached_property
     def stg_users(self) -> DataFrame:
-        return staging.stg_users(self.sources.users)
+        return self._k("stg_users", staging.stg_users(self.sources.users))
 
     @cached_property
     def stg_orders(self) -> DataFrame:
-        return staging.stg_orders(self.sources.orders)
+        return self._k("stg_orders", staging.stg_orders(self.sources.orders))
 
     @cached_property
     def stg_order_items(self) -> DataFrame:
-        return staging.stg_order_items(self.sources.order_items)
+        return self._k("stg_order_items", staging.stg_order_items(self.sources.order_items))
 
     @cached_property
     def stg_products(self) -> DataFrame:
-        return staging.stg_products(self.sources.products)
+        return self._k("stg_products", staging.stg_products(self.sources.products))
 
     @cached_property
     def stg_experiment_assignments(self) -> DataFrame:
-        return staging.stg_experiment_assignments(self.sources.users)
+        return self._k("stg_experiment_assignments", staging.stg_experiment_assignments(self.sources.users))
 
     # star schema (tables)
     @cached_property
     def dim_users(self) -> DataFrame:
-        return marts.dim_users(self.stg_users)
+        return self._k("dim_users", marts.dim_users(self.stg_users))
 
     @cached_property
     def dim_orders(self) -> DataFrame:
-        return marts.dim_orders(self.stg_orders)
+        return self._k("dim_orders", marts.dim_orders(self.stg_orders))
 
     @cached_property
     def dim_products(self) -> DataFrame:
-        return marts.dim_products(self.stg_products)
+        return self._k("dim_products", marts.dim_products(self.stg_products))
 
     @cached_property
     def fct_order_items(self) -> DataFrame:
-        return marts.fct_order_items(self.stg_order_items, self.stg_orders)
+        return self._k("fct_order_items", marts.fct_order_items(self.stg_order_items, self.stg_orders))
 
     # analytics marts (tables)
     @cached_property
     def mart_category_performance(self) -> DataFrame:
-        return analytics.mart_category_performance(self.fct_order_items, self.dim_products)
+        return self._k("mart_category_performance", analytics.mart_category_performance(self.fct_order_items, self.dim_products, sort=False))
 
     @cached_property
     def mart_customer_retention(self) -> DataFrame:
-        return analytics.mart_customer_retention(self.dim_orders)
+        return self._k("mart_customer_retention", analytics.mart_customer_retention(self.dim_orders, sort=False))
 
     @cached_property
     def mart_channel_performance(self) -> DataFrame:
-        return analytics.mart_channel_performance(self.dim_users, self.fct_order_items)
+        return self._k("mart_channel_performance", analytics.mart_channel_performance(self.dim_users, self.fct_order_items, sort=False))
 
 
 class ExperimentModels:
@@ -84,12 +106,13 @@ class ExperimentModels:
         from cartwright.operators.experiment import DEFAULT
         self.m = models
         self.cfg = cfg or DEFAULT
+        self._k = models._k
 
     @cached_property
     def fct_experiment_results(self) -> DataFrame:
         from cartwright.operators.experiment import fct_experiment_results
-        return fct_experiment_results(self.m.stg_experiment_assignments, self.m.stg_orders,
-                                      self.m.stg_order_items, self.cfg)
+        return self._k("fct_experiment_results", fct_experiment_results(
+            self.m.stg_experiment_assignments, self.m.stg_orders, self.m.stg_order_items, self.cfg))
 
     @cached_property
     def moments(self) -> DataFrame:

@@ -543,3 +543,166 @@ SELECT variant, count(order_id) AS orders,
 FROM fct_experiment_results WHERE variant IS NOT NULL GROUP BY variant"""),
     "null_profile": _null_profile_sql(),
 })
+
+
+# -- charts, headlines, calendar, dashboard, data quality --------------------
+_CHART_CTES = """
+cat_rollup AS (
+    SELECT category, sum(gross_revenue) AS gross_revenue, sum(gross_margin) AS gross_margin,
+           sum(cost_of_goods) AS cost_of_goods, avg(return_rate) AS return_rate_mean,
+           sum(gross_margin) / nullif(sum(gross_revenue), 0) AS gross_margin_pct
+    FROM mart_category_performance WHERE category IS NOT NULL GROUP BY category
+),
+cat_top AS (
+    SELECT * FROM cat_rollup ORDER BY gross_margin DESC NULLS LAST, category ASC LIMIT 10
+),
+fct_known AS (
+    SELECT * FROM fct_experiment_results WHERE variant IS NOT NULL AND order_value IS NOT NULL
+),
+box_q AS (
+    SELECT variant, quantile_cont(order_value, 0.25) AS q1, quantile_cont(order_value, 0.5) AS median,
+           quantile_cont(order_value, 0.75) AS q3
+    FROM fct_known GROUP BY variant
+),
+box_f AS (
+    SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS fence_low, q3 + 1.5 * (q3 - q1) AS fence_high
+    FROM box_q
+),
+rate_bounds AS (
+    SELECT 'category return_rate' AS failing_metric, category AS grain, return_rate AS value
+    FROM mart_category_performance WHERE return_rate < 0 OR return_rate > 1
+    UNION ALL
+    SELECT 'category gross_margin_pct', category, gross_margin_pct
+    FROM mart_category_performance WHERE gross_margin_pct < -1 OR gross_margin_pct > 1
+    UNION ALL
+    SELECT 'cohort repeat_purchase_rate', CAST(cohort_month AS VARCHAR), repeat_purchase_rate
+    FROM mart_customer_retention WHERE repeat_purchase_rate < 0 OR repeat_purchase_rate > 1
+    UNION ALL
+    SELECT 'channel repeat_purchase_rate', traffic_source, repeat_purchase_rate
+    FROM mart_channel_performance WHERE repeat_purchase_rate < 0 OR repeat_purchase_rate > 1
+)"""
+_BLOCKS.append(_CHART_CTES)
+
+_PARTS = """year(d) AS year, month(d) AS month_no, monthname(d) AS month,
+           CAST(floor((month(d) + 2) / 3) AS INTEGER) AS quarter_no,
+           'Qtr ' || CAST(CAST(floor((month(d) + 2) / 3) AS INTEGER) AS VARCHAR) AS quarter,
+           day(d) AS day"""
+_PARTS_TYPED = """CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month_no,
+           monthname(d) AS month,
+           CAST(floor((month(d) + 2) / 3) AS INTEGER) AS quarter_no,
+           'Qtr ' || CAST(CAST(floor((month(d) + 2) / 3) AS INTEGER) AS VARCHAR) AS quarter,
+           CAST(day(d) AS INTEGER) AS day"""
+
+
+def _dq_sql() -> str:
+    from cartwright.operators.quality import ALL_CHECKS
+    parts = []
+    for i, ch in enumerate(ALL_CHECKS):
+        head = f"SELECT {i} AS o, '{ch.test}' AS test_name, '{ch.model}' AS model, '{ch.column}' AS column_name, "
+        c, m = ch.column, ch.model
+        if ch.test == "not_null":
+            parts.append(head + f"count_if({c} IS NULL) AS failures FROM {m}")
+        elif ch.test == "unique":
+            parts.append(head + f"(SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL "
+                                f"GROUP BY {c} HAVING count(*) > 1)) AS failures")
+        elif ch.test == "accepted_values":
+            vals = ", ".join(f"'{v}'" for v in ch.values)
+            parts.append(head + f"(SELECT count(*) FROM (SELECT {c} FROM {m} GROUP BY {c}) "
+                                f"WHERE {c} NOT IN ({vals})) AS failures")
+        elif ch.test == "relationships":
+            parts.append(head + f"(SELECT count(*) FROM {m} ch WHERE ch.{c} IS NOT NULL AND NOT EXISTS "
+                                f"(SELECT 1 FROM {ch.parent} p WHERE p.{ch.parent_column} = ch.{c})) AS failures")
+    parts.append(f"SELECT {len(ALL_CHECKS)} AS o, 'assert_rates_within_bounds', 'analytics', '', "
+                 f"count(*) FROM rate_bounds")
+    body = "\nUNION ALL\n".join(parts)
+    return with_models(f"SELECT test_name, model, column_name, failures, failures = 0 AS passed "
+                       f"FROM ({body}) ORDER BY o")
+
+
+def _cards_sql(cfg=_CFG) -> str:
+    cols = []
+    for v in cfg.variants:
+        cols += [f"count_if(variant = '{v}') AS {v}_orders",
+                 f"round(avg(order_value) FILTER (WHERE variant = '{v}'), 4) AS {v}_aov",
+                 f"round(avg(is_completed) FILTER (WHERE variant = '{v}'), 6) AS {v}_conv_rate"]
+    return with_models("SELECT " + ",\n       ".join(cols) + "\nFROM fct_experiment_results")
+
+
+ORACLE.update({
+    "category_top10": with_models("""
+SELECT *, CAST(row_number() OVER (ORDER BY gross_margin DESC NULLS LAST, category ASC) AS INTEGER) AS rank
+FROM (SELECT category, round(gross_revenue, 2) AS gross_revenue,
+             round(cost_of_goods, 2) AS cost_of_goods, round(gross_margin, 2) AS gross_margin,
+             round(gross_margin_pct, 6) AS gross_margin_pct,
+             round(return_rate_mean, 6) AS return_rate_mean
+      FROM cat_top)"""),
+    "headline_figures": with_models("""
+SELECT
+  (SELECT round(sum(repeat_customers) / nullif(sum(new_customers), 0), 6)
+     FROM mart_customer_retention) AS overall_repeat_rate,
+  b.best_channel, b.best_channel_revenue_per_customer, b.best_channel_repeat_rate,
+  (SELECT category FROM cat_top ORDER BY gross_margin_pct DESC NULLS LAST, category LIMIT 1) AS best_margin_category,
+  (SELECT round(gross_margin_pct, 6) FROM cat_top ORDER BY gross_margin_pct DESC NULLS LAST, category LIMIT 1) AS best_margin_pct,
+  (SELECT category FROM cat_top ORDER BY gross_margin_pct ASC NULLS LAST, category LIMIT 1) AS worst_margin_category,
+  (SELECT round(gross_margin_pct, 6) FROM cat_top ORDER BY gross_margin_pct ASC NULLS LAST, category LIMIT 1) AS worst_margin_pct,
+  (SELECT category FROM cat_top ORDER BY return_rate_mean DESC NULLS LAST, category LIMIT 1) AS worst_returns_category,
+  (SELECT round(return_rate_mean, 6) FROM cat_top ORDER BY return_rate_mean DESC NULLS LAST, category LIMIT 1) AS worst_returns_rate
+FROM (SELECT traffic_source AS best_channel, revenue_per_customer AS best_channel_revenue_per_customer,
+             repeat_purchase_rate AS best_channel_repeat_rate
+      FROM mart_channel_performance WHERE traffic_source IS NOT NULL
+      ORDER BY revenue_per_customer DESC NULLS LAST, traffic_source LIMIT 1) b"""),
+    "retention_line": with_models(
+        "SELECT cohort_month, new_customers, repeat_purchase_rate FROM mart_customer_retention "
+        "ORDER BY cohort_month"),
+    "channel_bars": with_models(
+        "SELECT traffic_source, revenue_per_customer, repeat_purchase_rate FROM mart_channel_performance "
+        "ORDER BY revenue_per_customer, traffic_source"),
+    "order_value_histogram": with_models("""
+SELECT g.variant, g.bin, round(g.lo + g.bin * ((g.hi - g.lo) / 30), 6) AS bin_low,
+       round(g.lo + (g.bin + 1) * ((g.hi - g.lo) / 30), 6) AS bin_high,
+       coalesce(c.orders, 0) AS orders
+FROM (SELECT r.*, CAST(b.range AS INTEGER) AS bin FROM rng r CROSS JOIN range(30) b) g
+LEFT JOIN (SELECT f.variant,
+                  CAST(least(floor((f.order_value - r.lo) * 30 / (r.hi - r.lo)), 29) AS INTEGER) AS bin,
+                  count(*) AS orders
+           FROM fct_known f JOIN rng r ON f.variant = r.variant GROUP BY 1, 2) c
+  ON g.variant = c.variant AND g.bin = c.bin""", extra_ctes="""
+rng AS (
+    SELECT variant,
+           CASE WHEN min(order_value) = max(order_value) THEN min(order_value) - 0.5 ELSE min(order_value) END AS lo,
+           CASE WHEN min(order_value) = max(order_value) THEN max(order_value) + 0.5 ELSE max(order_value) END AS hi
+    FROM fct_known GROUP BY variant
+)"""),
+    "order_value_boxplot": with_models("""
+SELECT q.variant, s.orders, round(q.q1, 4) AS q1, round(q.median, 4) AS median, round(q.q3, 4) AS q3,
+       round(q.iqr, 4) AS iqr, round(s.whisker_low, 4) AS whisker_low,
+       round(s.whisker_high, 4) AS whisker_high, s.outliers
+FROM box_f q JOIN (
+    SELECT f.variant, count(*) AS orders,
+           min(CASE WHEN f.order_value >= b.fence_low AND f.order_value <= b.fence_high THEN f.order_value END) AS whisker_low,
+           max(CASE WHEN f.order_value >= b.fence_low AND f.order_value <= b.fence_high THEN f.order_value END) AS whisker_high,
+           count_if(NOT (f.order_value >= b.fence_low AND f.order_value <= b.fence_high)) AS outliers
+    FROM fct_known f JOIN box_f b ON f.variant = b.variant GROUP BY f.variant) s
+  ON q.variant = s.variant"""),
+    "order_value_outliers": with_models("""
+SELECT f.variant, f.order_id, f.order_value
+FROM fct_known f JOIN box_f b ON f.variant = b.variant
+WHERE f.order_value < b.q1 - 1.5 * (b.q3 - b.q1) OR f.order_value > b.q3 + 1.5 * (b.q3 - b.q1)"""),
+    "date_dimension": with_models(f"""
+SELECT d AS date, {_PARTS_TYPED}
+FROM (SELECT CAST(unnest(generate_series(make_date(y1, 1, 1), make_date(y2, 12, 31), INTERVAL 1 DAY)) AS DATE) AS d
+      FROM (SELECT year(min(order_created_at)) AS y1, year(max(order_created_at)) AS y2
+            FROM fct_experiment_results))"""),
+    "orders_by_calendar": with_models(f"""
+SELECT d AS date, {_PARTS_TYPED}, count(*) AS orders, round(avg(order_value), 4) AS aov,
+       round(avg(is_completed), 6) AS conversion_rate
+FROM (SELECT CAST(order_created_at AS DATE) AS d, order_value, is_completed FROM fct_experiment_results)
+GROUP BY ALL"""),
+    "dashboard_cards": _cards_sql(),
+    "dashboard_by_variant": with_models("""
+SELECT variant, count(*) AS orders, round(avg(order_value), 4) AS aov,
+       round(avg(is_completed), 6) AS conversion_rate
+FROM fct_experiment_results GROUP BY variant"""),
+    "dq_rate_bounds": with_models("SELECT * FROM rate_bounds"),
+    "dq_results": _dq_sql(),
+})

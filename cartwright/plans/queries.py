@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from cartwright.operators.analytics import sorted_mart
 
 from cartwright.plans.models import ExperimentModels, Models
 
@@ -59,19 +61,74 @@ EXPERIMENT_QUERIES = [
 ]
 
 
+DQ_CHECKPOINTED = {
+    # models with joins or aggregations, computed once for the whole suite
+    "stg_users", "stg_orders", "stg_order_items", "stg_experiment_assignments",
+    "fct_order_items", "mart_category_performance", "mart_customer_retention",
+    "mart_channel_performance", "fct_experiment_results",
+}
+
+
+def dq_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Every model the checks read, heavy ones materialized once."""
+    from cartwright.operators.quality import ALL_CHECKS
+    from cartwright.plans.models import checkpointing
+    m = Models.from_tpch_dir(spark, sf_dir, keep=checkpointing(DQ_CHECKPOINTED))
+    e = ExperimentModels(m)
+    names = sorted({c.model for c in ALL_CHECKS} | {c.parent for c in ALL_CHECKS if c.parent}
+                   | {"mart_category_performance", "mart_customer_retention",
+                      "mart_channel_performance"})
+    return {n: getattr(m, n) if hasattr(m, n) else getattr(e, n) for n in names}
+
+
+def _variant_summary_display(e: ExperimentModels) -> DataFrame:
+    from cartwright.functions.formatting import money, percent
+    from cartwright.operators.experiment import variant_summary
+    s = variant_summary(e.fct_experiment_results, e.cfg)
+    return s.select("variant", "orders",
+                    money(F.col("avg_order_value")).alias("avg_order_value"),
+                    money(F.col("median_order_value")).alias("median_order_value"),
+                    money(F.col("std_order_value")).alias("std_order_value"),
+                    percent(F.col("conversion_rate")).alias("conversion_rate"),
+                    percent(F.col("return_rate")).alias("return_rate"))
+
+
 def _extra() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from cartwright.operators import calendar as K
+    from cartwright.operators import charts as C
+    from cartwright.operators import dashboard as D
     from cartwright.operators import experiment as X
+    from cartwright.operators import quality as Q
+
+    def fct(e):
+        return e.fct_experiment_results
     return {
-        "variant_balance": _exp(lambda e: X.variant_balance(e.fct_experiment_results)),
-        "variant_summary": _exp(lambda e: X.variant_summary(e.fct_experiment_results, e.cfg)),
-        "null_profile": _exp(lambda e: X.null_profile(e.fct_experiment_results)),
+        "variant_balance": _exp(lambda e: X.variant_balance(fct(e))),
+        "variant_summary": _exp(lambda e: X.variant_summary(fct(e), e.cfg)),
+        "null_profile": _exp(lambda e: X.null_profile(fct(e))),
+        "category_top10": _shop(lambda m: C.category_top10(m.mart_category_performance)),
+        "headline_figures": _shop(lambda m: C.headline_figures(
+            m.mart_category_performance, m.mart_customer_retention, m.mart_channel_performance)),
+        "retention_line": _shop(lambda m: C.retention_line(m.mart_customer_retention)),
+        "channel_bars": _shop(lambda m: C.channel_bars(m.mart_channel_performance)),
+        "order_value_histogram": _exp(lambda e: C.order_value_histogram(fct(e))),
+        "order_value_boxplot": _exp(lambda e: C.order_value_boxplot(fct(e), e.cfg.quantiles)),
+        "order_value_outliers": _exp(lambda e: C.order_value_outliers(fct(e), e.cfg.quantiles)),
+        "date_dimension": _exp(lambda e: K.date_dimension(fct(e))),
+        "orders_by_calendar": _exp(lambda e: K.orders_by_calendar(fct(e))),
+        "dashboard_cards": _exp(lambda e: D.dashboard_cards(fct(e))),
+        "dashboard_by_variant": _exp(lambda e: D.dashboard_by_variant(fct(e))),
+        "variant_summary_display": _exp(_variant_summary_display),
+        "dq_rate_bounds": _shop(lambda m: Q.rate_bounds(
+            m.mart_category_performance, m.mart_customer_retention, m.mart_channel_performance)),
+        "dq_results": lambda spark, sf_dir: Q.suite_with_bounds(dq_models(spark, sf_dir)),
     }
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for name in MODEL_QUERIES:
-        reg[name] = _shop(_attr(name))
+        reg[name] = _shop(lambda m, n=name: sorted_mart(n, getattr(m, n)))
     for name in EXPERIMENT_QUERIES:
         reg[name] = _exp(_attr(name))
     reg.update(_extra())
