@@ -13,8 +13,13 @@ from __future__ import annotations
 # -- fixture adapter: TPC-H -> shop source tables ---------------------------
 ADAPTER = """
 src_order_headers AS (
-    SELECT o_orderkey, max(o_custkey) AS o_custkey, max(o_orderstatus) AS o_orderstatus,
-           max(o_orderpriority) AS o_orderpriority, max(o_orderdate) AS o_orderdate
+    SELECT o_orderkey, max(o_custkey) AS o_custkey,
+           max(CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 1
+                    WHEN o_orderstatus = 'F' THEN 2
+                    WHEN o_orderstatus = 'O' AND o_orderpriority = '5-LOW' THEN 3
+                    WHEN o_orderstatus = 'O' THEN 4
+                    ELSE 5 END) AS status_code,
+           max(o_orderdate) AS o_orderdate
     FROM orders GROUP BY o_orderkey
 ),
 src_users AS (
@@ -32,11 +37,8 @@ src_users AS (
 src_orders_1 AS (
     SELECT h.o_orderkey AS order_id,
            h.o_custkey * 10 + h.o_orderkey % 10 AS user_id,
-           CASE WHEN h.o_orderstatus = 'F' AND h.o_orderpriority = '1-URGENT' THEN 'Returned'
-                WHEN h.o_orderstatus = 'F' THEN 'Complete'
-                WHEN h.o_orderstatus = 'O' AND h.o_orderpriority = '5-LOW' THEN 'Cancelled'
-                WHEN h.o_orderstatus = 'O' THEN 'Shipped'
-                ELSE 'Processing' END AS status,
+           CASE h.status_code WHEN 1 THEN 'Returned' WHEN 2 THEN 'Complete'
+                WHEN 3 THEN 'Cancelled' WHEN 4 THEN 'Shipped' WHEN 5 THEN 'Processing' END AS status,
            h.o_orderdate AS created_at,
            coalesce(c.n_items, 0) AS num_of_item
     FROM src_order_headers h

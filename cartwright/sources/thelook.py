@@ -70,13 +70,25 @@ def _days(ts: Column, n: int) -> Column:
     return ts + F.expr(f"INTERVAL {n} DAY")
 
 
-def _order_status() -> Column:
+# fixed values: order status codes used inside the per-key header aggregate
+ORDER_STATUS_CODES = {1: "Returned", 2: "Complete", 3: "Cancelled", 4: "Shipped", 5: "Processing"}
+
+
+def _order_status_code() -> Column:
+    """Status of a TPC-H order row as a small int (fixed-width aggregate buffer)."""
     st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
-    return (F.when((st == "F") & (pr == "1-URGENT"), "Returned")
-            .when(st == "F", "Complete")
-            .when((st == "O") & (pr == "5-LOW"), "Cancelled")
-            .when(st == "O", "Shipped")
-            .otherwise("Processing"))
+    return (F.when((st == "F") & (pr == "1-URGENT"), 1)
+            .when(st == "F", 2)
+            .when((st == "O") & (pr == "5-LOW"), 3)
+            .when(st == "O", 4)
+            .otherwise(5))
+
+
+def _status_name(code: Column) -> Column:
+    out = None
+    for k, v in ORDER_STATUS_CODES.items():
+        out = F.when(code == k, v) if out is None else out.when(code == k, v)
+    return out
 
 
 def _item_status() -> Column:
@@ -88,12 +100,15 @@ def _item_status() -> Column:
 
 
 def order_headers(tables: TableSource) -> DataFrame:
-    """One row per order key: the attributes items and orders take over."""
+    """One row per order key: the attributes items and orders take over.
+
+    Every aggregate buffer is fixed-width (ids, a status code, a
+    timestamp), so this plans as a hash aggregate, not a sort aggregate.
+    """
     o = tables["orders"]
     return (o.groupBy("o_orderkey")
              .agg(F.max("o_custkey").alias("o_custkey"),
-                  F.max("o_orderstatus").alias("o_orderstatus"),
-                  F.max("o_orderpriority").alias("o_orderpriority"),
+                  F.max(_order_status_code()).alias("status_code"),
                   F.max("o_orderdate").alias("o_orderdate")))
 
 
@@ -120,7 +135,7 @@ def orders_from_tpch(tables: TableSource) -> DataFrame:
     hdr = order_headers(tables)
     counts = (tables["lineitem"].groupBy("l_orderkey")
               .agg(F.count(F.lit(1)).alias("n_items")))
-    status = _order_status()
+    status = _status_name(F.col("status_code"))
     uid = F.col("o_custkey") * USERS_PER_CUSTOMER + F.col("o_orderkey") % USERS_PER_CUSTOMER
     created = F.col("o_orderdate")
     j = hdr.join(counts, hdr.o_orderkey == counts.l_orderkey, "left")
