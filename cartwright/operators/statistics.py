@@ -49,7 +49,7 @@ def conversion_ztest(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> Dat
         lo_c.alias("ci_low_control"), hi_c.alias("ci_high_control"),
         lo_t.alias("ci_low_treatment"), hi_t.alias("ci_high_treatment"),
         (p_t - p_c).alias("absolute_lift"), z.alias("z_stat"))
-    s = s.withColumn("p_value", F.least(F.lit(1.0), normal_two_sided_p(c("z_stat"))))
+    s = s.withColumn("p_value", normal_two_sided_p(c("z_stat")))
     rounded = [F.round(c(n), 6).alias(n) for n in (
         "rate_control", "rate_treatment", "ci_low_control", "ci_high_control",
         "ci_low_treatment", "ci_high_treatment", "absolute_lift", "z_stat", "p_value")]
@@ -78,7 +78,7 @@ def aov_welch(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
     cols = _welch_columns(cfg)
     s = moments.select(c("n_c").alias("n_control"), c("n_t").alias("n_treatment"),
                        *[v.alias(k) for k, v in cols.items()])
-    s = (s.withColumn("p_value", F.least(F.lit(1.0), t_two_sided_p(c("t_stat"), c("df_welch"))))
+    s = (s.withColumn("p_value", t_two_sided_p(c("t_stat"), c("df_welch")))
           .withColumn("t_crit", t_quantile_two_sided(cfg.alpha, c("df_welch"))))
     s = (s.withColumn("ci_low", c("mean_diff") - c("t_crit") * c("se_diff"))
           .withColumn("ci_high", c("mean_diff") + c("t_crit") * c("se_diff")))

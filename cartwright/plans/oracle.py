@@ -252,7 +252,7 @@ def t_p_sql(t: str, nu: str) -> str:
     lo = f"least(atan(abs({t}) / sqrt({nu})), {up})"
     f = lambda x: f"pow(cos({x}), {nu} - 1.0)"
     return (f"(CASE WHEN {t} IS NOT NULL AND {nu} >= 1 THEN "
-            f"{simpson_sql(f, lo, up)} / {simpson_sql(f, '0.0', up)} END)")
+            f"least(1.0, {simpson_sql(f, lo, up)} / {simpson_sql(f, '0.0', up)}) END)")
 
 
 def t_quantile_sql(alpha: float, nu: str) -> str:
@@ -267,8 +267,8 @@ def t_quantile_sql(alpha: float, nu: str) -> str:
 def normal_p_sql(z: str) -> str:
     a = f"abs({z})"
     f = lambda x: f"exp(-({x} * {x}) / 2.0)"
-    return (f"(CASE WHEN {z} IS NOT NULL THEN {dbl((2.0 / 3.141592653589793) ** 0.5)} * "
-            f"{simpson_sql(f, a, f'{a} + {dbl(NORMAL_SPAN)}')} END)")
+    return (f"(CASE WHEN {z} IS NOT NULL THEN least(1.0, {dbl((2.0 / 3.141592653589793) ** 0.5)} * "
+            f"{simpson_sql(f, a, f'{a} + {dbl(NORMAL_SPAN)}')}) END)")
 
 
 def _experiment_ctes(cfg=_CFG) -> str:
@@ -382,8 +382,8 @@ ztest AS (
            round(lo_c, 6) AS ci_low_control, round(hi_c, 6) AS ci_high_control,
            round(lo_t, 6) AS ci_low_treatment, round(hi_t, 6) AS ci_high_treatment,
            round(p_t - p_c, 6) AS absolute_lift, round(z_stat, 6) AS z_stat,
-           round(least(1.0, {normal_p_sql('z_stat')}), 6) AS p_value,
-           least(1.0, {normal_p_sql('z_stat')}) < {dbl(cfg.alpha)} AS significant
+           round({normal_p_sql('z_stat')}, 6) AS p_value,
+           {normal_p_sql('z_stat')} < {dbl(cfg.alpha)} AS significant
     FROM z
 )"""
 
@@ -405,7 +405,7 @@ welch AS (
                mean_t - mean_c AS mean_diff
         FROM w
     ), p AS (
-        SELECT *, least(1.0, {t_p_sql('t_stat', 'df_welch')}) AS p_value,
+        SELECT *, {t_p_sql('t_stat', 'df_welch')} AS p_value,
                {t_quantile_sql(cfg.alpha, 'df_welch')} AS t_crit
         FROM t
     )
