@@ -34,6 +34,20 @@ def checkpointing(names: set[str]):
     return keep
 
 
+def writing(names: set[str], root: str):
+    """A ``keep`` hook that writes the named models as Parquet under ``root``
+    (a folder in the shared checkpoint location) and reads them back.
+
+    Like ``checkpointing`` it computes each model once and cuts the lineage,
+    but later reads are columnar: a check on one column reads one column.
+    """
+    from cartwright.sources.sinks import write_table
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        return write_table(df, f"{root}/{name}") if name in names else df
+    return keep
+
+
 def _identity(name: str, df: DataFrame) -> DataFrame:
     return df
 
