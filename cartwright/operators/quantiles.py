@@ -21,6 +21,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from cartwright.session import checkpoint_root
+
 
 def _ranks(counts: DataFrame, probs: list[float]) -> DataFrame:
     """(groups..., q_idx, p, rank, frac) for the lower and upper order statistic."""
@@ -43,6 +45,7 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     NULL row is wanted.
     """
     spark = df.sparkSession
+    checkpoint_root(spark)        # the session's shared checkpoint folder
     names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
     g = list(group_cols)
     slices = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
