@@ -13,9 +13,11 @@ proportional to cos(theta)^(nu - 1) and the gamma constants cancel, so
 
 with ``up = min(pi/2, 12/sqrt(nu))`` (beyond it the integrand is below
 e^-72 of its peak). The two-sided quantile solves S(0, theta) =
-(1 - alpha) S(0, up) by Newton steps from theta = 0; S is concave in theta,
-so the iterates rise monotonically to the root (16 steps reach 1e-11 for
-nu >= 1 and alpha >= 0.001).
+(1 - alpha) S(0, up) by Newton steps from the normal quantile,
+theta0 = atan(z / sqrt(nu)); the t quantile is never below the normal one,
+so theta0 is left of the root and, S being concave in theta, the iterates
+rise monotonically to it (12 steps: below 1e-9 relative for nu >= 1 and
+alpha >= 1e-4).
 
 Normal: P(|Z| > z) = sqrt(2/pi) * integral_|z|^(|z|+10) exp(-x^2/2) dx.
 
@@ -35,7 +37,7 @@ from pyspark.sql import Column, functions as F
 
 # Fixed numerical parameters (shared with the oracle SQL).
 STEPS = 2000
-NEWTON_STEPS = 16
+NEWTON_STEPS = 12
 T_SPAN = 12.0
 NORMAL_SPAN = 10.0
 
@@ -75,8 +77,9 @@ def t_quantile_two_sided(alpha: float, nu: Column) -> Column:
     up = _t_upper(nu)
     f = _cos_pow(nu)
     target = F.lit(1.0 - alpha) * _simpson(f, F.lit(0.0), up)
+    start = F.atan(F.lit(normal_quantile(1.0 - alpha / 2)) / F.sqrt(nu))
     theta = F.aggregate(
-        F.sequence(F.lit(1), F.lit(NEWTON_STEPS)), F.lit(0.0),
+        F.sequence(F.lit(1), F.lit(NEWTON_STEPS)), start,
         lambda th, _i: th - (_simpson(f, F.lit(0.0), th) - target) / f(th))
     return F.when(nu.isNotNull() & (nu >= 1), F.sqrt(nu) * F.tan(theta))
 

@@ -260,7 +260,8 @@ def t_quantile_sql(alpha: float, nu: str) -> str:
     f = lambda x: f"pow(cos({x}), {nu} - 1.0)"
     target = f"({dbl(1.0 - alpha)} * {simpson_sql(f, '0.0', up)})"
     step = f"th - ({simpson_sql(f, '0.0', 'th')} - {target}) / {f('th')}"
-    theta = f"list_reduce(range(1, {NEWTON_STEPS + 1}), lambda th, i: {step}, 0.0::DOUBLE)"
+    start = f"atan({dbl(normal_quantile(1.0 - alpha / 2))} / sqrt({nu}))"
+    theta = f"list_reduce(range(1, {NEWTON_STEPS + 1}), lambda th, i: {step}, {start})"
     return f"(CASE WHEN {nu} >= 1 THEN sqrt({nu}) * tan({theta}) END)"
 
 
