@@ -57,12 +57,15 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
               .checkpoint(eager=True)
               .withColumn("_slice", F.spark_partition_id()))
 
+    # at most slices + groups rows; cached because several branches read it
+    # (a lost block is recomputed from the checkpointed slices, deterministically)
     per_slice = ranged.groupBy(*g, "_slice").agg(F.sum("_w").alias("_sw"))
     w_slices = Window.partitionBy(*g).orderBy("_slice")
     per_slice = (per_slice
                  .withColumn("_end", F.sum("_sw").over(w_slices.rowsBetween(Window.unboundedPreceding, 0)))
                  .withColumn("_start", F.col("_end") - F.col("_sw"))
-                 .withColumn("_n", F.sum("_sw").over(Window.partitionBy(*g))))
+                 .withColumn("_n", F.sum("_sw").over(Window.partitionBy(*g)))
+                 .cache())
     counts = per_slice.select(*g, "_n").distinct()
     ranks = _ranks(counts, probs)
 
@@ -81,7 +84,8 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     stats = (located.select(*g, "_rank", "_slice")
              .join(rows.select(*g, "_slice", "_x", "_cum_start", "_cum_end"), on=[*g, "_slice"])
              .where((F.col("_rank") >= F.col("_cum_start")) & (F.col("_rank") < F.col("_cum_end")))
-             .select(*g, "_rank", "_x"))
+             .select(*g, "_rank", "_x")
+             .cache())          # 2 x len(probs) rows per group, read twice below
 
     lo_v = stats.select(*g, F.col("_rank").alias("_lo"), F.col("_x").alias("_xlo"))
     hi_v = stats.select(*g, F.col("_rank").alias("_hi"), F.col("_x").alias("_xhi"))
