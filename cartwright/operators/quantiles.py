@@ -9,7 +9,8 @@ work per task:
 1. collapse equal values: ``groupBy(g, x).count()`` (map-side combine, so a
    single hot value costs one row per task, never a hot partition);
 2. range-partition the distinct (g, x) rows into balanced, ordered slices
-   and checkpoint them (stable slice ids; lineage cut, re-reads survive lost
+   and write them, slice id included, to the shared checkpoint folder
+   (stable slice ids, lineage cut, columnar re-reads that survive lost
    executors);
 3. count the weight of each (g, slice) - a table of at most
    slices + groups rows - and turn it into running offsets;
@@ -19,9 +20,11 @@ work per task:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cartwright.session import checkpoint_root
+from cartwright.session import warehouse_path
 
 
 def _ranks(counts: DataFrame, probs: list[float]) -> DataFrame:
@@ -45,7 +48,6 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     NULL row is wanted.
     """
     spark = df.sparkSession
-    checkpoint_root(spark)        # the session's shared checkpoint folder
     names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
     g = list(group_cols)
     slices = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -53,19 +55,20 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     distinct = (df.select(*g, F.col(value_col).cast("double").alias("_x"))
                   .where(F.col("_x").isNotNull())
                   .groupBy(*g, "_x").agg(F.count(F.lit(1)).alias("_w")))
-    ranged = (distinct.repartitionByRange(slices, *[F.col(c) for c in g], F.col("_x"))
-              .checkpoint(eager=True)
-              .withColumn("_slice", F.spark_partition_id()))
+    # the slice id is taken in the same stage that writes the slices, so the
+    # written table carries it: later reads may be split any way
+    path = warehouse_path(spark, "quantiles", uuid.uuid4().hex[:12])
+    (distinct.repartitionByRange(slices, *[F.col(c) for c in g], F.col("_x"))
+     .withColumn("_slice", F.spark_partition_id())
+     .write.parquet(path))
+    ranged = spark.read.parquet(path)
 
-    # at most slices + groups rows; cached because several branches read it
-    # (a lost block is recomputed from the checkpointed slices, deterministically)
     per_slice = ranged.groupBy(*g, "_slice").agg(F.sum("_w").alias("_sw"))
     w_slices = Window.partitionBy(*g).orderBy("_slice")
     per_slice = (per_slice
                  .withColumn("_end", F.sum("_sw").over(w_slices.rowsBetween(Window.unboundedPreceding, 0)))
                  .withColumn("_start", F.col("_end") - F.col("_sw"))
-                 .withColumn("_n", F.sum("_sw").over(Window.partitionBy(*g)))
-                 .cache())
+                 .withColumn("_n", F.sum("_sw").over(Window.partitionBy(*g))))
     counts = per_slice.select(*g, "_n").distinct()
     ranks = _ranks(counts, probs)
 
@@ -84,8 +87,7 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     stats = (located.select(*g, "_rank", "_slice")
              .join(rows.select(*g, "_slice", "_x", "_cum_start", "_cum_end"), on=[*g, "_slice"])
              .where((F.col("_rank") >= F.col("_cum_start")) & (F.col("_rank") < F.col("_cum_end")))
-             .select(*g, "_rank", "_x")
-             .cache())          # 2 x len(probs) rows per group, read twice below
+             .select(*g, "_rank", "_x"))
 
     lo_v = stats.select(*g, F.col("_rank").alias("_lo"), F.col("_x").alias("_xlo"))
     hi_v = stats.select(*g, F.col("_rank").alias("_hi"), F.col("_x").alias("_xhi"))
