@@ -163,3 +163,25 @@ def order_value_outliers(fct: DataFrame, method: str = "exact") -> DataFrame:
     return (f.join(F.broadcast(q), "variant")
             .where((F.col("order_value") < F.col("lo")) | (F.col("order_value") > F.col("hi")))
             .select("variant", "order_id", "order_value"))
+
+
+def headline_display(headlines: DataFrame) -> DataFrame:
+    """The headline block as labelled text lines (SK3), one row per line."""
+    from cartwright.functions.formatting import money, percent
+    c = F.col
+
+    def line(i, label, *parts):
+        return F.struct(F.lit(i).alias("line"), F.lit(label).alias("label"),
+                        F.concat(*parts).alias("value"))
+    lines = F.array(
+        line(1, "Overall repeat purchase rate", percent(c("overall_repeat_rate"))),
+        line(2, "Highest margin category (top 10)", c("best_margin_category"), F.lit(" ("),
+             percent(c("best_margin_pct"), 0), F.lit(" margin)")),
+        line(3, "Lowest margin category (top 10)", c("worst_margin_category"), F.lit(" ("),
+             percent(c("worst_margin_pct"), 0), F.lit(" margin)")),
+        line(4, "Highest return rate (top 10)", c("worst_returns_category"), F.lit(" ("),
+             percent(c("worst_returns_rate"), 0), F.lit(" of items returned)")),
+        line(5, "Best channel by rev/customer", c("best_channel"), F.lit(" ("),
+             money(c("best_channel_revenue_per_customer"), 0), F.lit(", "),
+             percent(c("best_channel_repeat_rate"), 0), F.lit(" repeat)")))
+    return headlines.select(F.explode(lines).alias("l")).select("l.line", "l.label", "l.value")

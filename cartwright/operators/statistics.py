@@ -179,3 +179,50 @@ def interval_chart(moments: DataFrame, ztest: DataFrame, welch: DataFrame,
                     F.round(err, 6).alias("error"),
                     F.round("p_value", 6).alias("p_value"),
                     (c("p_value") < cfg.alpha).alias("significant"))
+
+
+def experiment_report_display(balance: DataFrame, ztest: DataFrame, welch: DataFrame,
+                              guardrail: DataFrame) -> DataFrame:
+    """The printed read-out of the analysis notebooks as text lines (FN14).
+
+    Counts with thousands separators, rates as percents, money in pounds,
+    differences with an explicit sign. One row per line; the numbers come
+    from the (one-row or per-variant) statistics frames.
+    """
+    from cartwright.functions.formatting import money, percent, signed, thousands
+    total = balance.agg(F.sum("orders").alias("rows_loaded"))
+    j = (ztest.crossJoin(F.broadcast(welch.select(
+            "mean_control", "mean_treatment", "sd_control", "sd_treatment", "mean_diff",
+            "ci_low", "ci_high", F.col("t_stat").alias("t"), F.col("p_value").alias("p_aov"),
+            F.col("significant").alias("sig_aov"))))
+         .crossJoin(F.broadcast(guardrail.select("return_rate_control", "return_rate_treatment",
+                                                 "return_rate_diff", "breached")))
+         .crossJoin(F.broadcast(total)))
+
+    def line(i, label, value):
+        return F.struct(F.lit(i).alias("line"), F.lit(label).alias("label"), value.alias("value"))
+
+    pct_signed = lambda x: F.concat(F.when(x >= 0, F.lit("+")).otherwise(F.lit("")),
+                                    percent(x))
+    lines = F.array(
+        line(1, "Rows loaded", thousands(c("rows_loaded"))),
+        line(2, "Conversion control", F.concat(percent(c("rate_control")), F.lit(" (95% CI: "),
+             percent(c("ci_low_control")), F.lit(" to "), percent(c("ci_high_control")), F.lit(")"))),
+        line(3, "Conversion treatment", F.concat(percent(c("rate_treatment")), F.lit(" (95% CI: "),
+             percent(c("ci_low_treatment")), F.lit(" to "), percent(c("ci_high_treatment")), F.lit(")"))),
+        line(4, "Absolute lift", pct_signed(c("absolute_lift"))),
+        line(5, "Z-statistic", F.format_string("%.4f", c("z_stat"))),
+        line(6, "P-value (conversion)", F.format_string("%.4f", c("p_value"))),
+        line(7, "Control mean", F.concat(money(c("mean_control")), F.lit(" (SD: "),
+             money(c("sd_control")), F.lit(")"))),
+        line(8, "Treatment mean", F.concat(money(c("mean_treatment")), F.lit(" (SD: "),
+             money(c("sd_treatment")), F.lit(")"))),
+        line(9, "Absolute difference", F.concat(F.lit("£"), signed(c("mean_diff")))),
+        line(10, "95% CI on difference", F.concat(money(c("ci_low")), F.lit(" to "), money(c("ci_high")))),
+        line(11, "T-statistic", F.format_string("%.4f", c("t"))),
+        line(12, "P-value (AOV)", F.format_string("%.4f", c("p_aov"))),
+        line(13, "Return rate control", percent(c("return_rate_control"))),
+        line(14, "Return rate treatment", percent(c("return_rate_treatment"))),
+        line(15, "Return rate difference", pct_signed(c("return_rate_diff"))),
+        line(16, "Guardrail breached", c("breached").cast("string")))
+    return j.select(F.explode(lines).alias("l")).select("l.line", "l.label", "l.value")

@@ -102,6 +102,7 @@ def _extra() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from cartwright.operators import dashboard as D
     from cartwright.operators import experiment as X
     from cartwright.operators import quality as Q
+    from cartwright.operators import statistics as S
 
     def fct(e):
         return e.fct_experiment_results
@@ -122,6 +123,10 @@ def _extra() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dashboard_cards": _exp(lambda e: D.dashboard_cards(fct(e))),
         "dashboard_by_variant": _exp(lambda e: D.dashboard_by_variant(fct(e))),
         "variant_summary_display": _exp(_variant_summary_display),
+        "experiment_report_display": _exp(lambda e: S.experiment_report_display(
+            X.variant_balance(fct(e)), e.conversion_ztest, e.aov_welch, e.return_guardrail)),
+        "headline_display": _shop(lambda m: C.headline_display(C.headline_figures(
+            m.mart_category_performance, m.mart_customer_retention, m.mart_channel_performance))),
         "dq_rate_bounds": _shop(lambda m: Q.rate_bounds(
             m.mart_category_performance, m.mart_customer_retention, m.mart_channel_performance)),
         "dq_results": lambda spark, sf_dir: Q.suite_with_bounds(dq_models(spark, sf_dir)),
