@@ -175,8 +175,9 @@ def sample_size_and_duration(baseline_value: DataFrame, daily: DataFrame,
     z_b = normal_quantile(cfg.power)
     b = baseline_value.crossJoin(F.broadcast(daily))
     mde = F.col("baseline_aov") * F.lit(cfg.mde_relative)
-    n = (F.lit(2.0) * F.col("aov_stddev") * F.col("aov_stddev") * F.lit((z_a + z_b) ** 2)
-         / (mde * mde))
+    # NULL (not an ANSI error) when the baseline AOV is 0 or missing
+    n = safe_divide(F.lit(2.0) * F.col("aov_stddev") * F.col("aov_stddev") * F.lit((z_a + z_b) ** 2),
+                    mde * mde)
     n_per = F.ceil(n).cast("bigint")
     days = safe_divide(n_per.cast("double"), F.col("avg_daily_orders") * F.lit(cfg.traffic_share))
     return b.select(

@@ -93,6 +93,35 @@ def warehouse_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root.rstrip("/"), "cartwright", *parts])
 
 
+def recommended_conf(input_bytes: int, cores: int, target_bytes: int = 128 << 20) -> dict:
+    """Partition sizing for an input of ``input_bytes`` on ``cores`` task slots.
+
+    Scan splits: the input over two waves of tasks, between 1 MB and
+    ``target_bytes`` (128 MB on a cluster). Shuffle partitions: one per
+    512 MB of input (shuffles carry projected, partially aggregated columns,
+    a fraction of the input), at least 2 per core and at most 32,768 so the
+    map x reduce block count stays manageable; AQE coalesces small ones and
+    splits skewed ones. E.g. 100 TB on 8,000 cores: 128 MB splits and 32,768
+    shuffle partitions; sf0.1 on 8 cores: ~2.3 MB splits, 16 partitions.
+    """
+    split = int(min(target_bytes, max(1 << 20, input_bytes // max(1, 2 * cores))))
+    shuffle = int(min(32768, max(2 * cores, -(-input_bytes // (512 << 20)))))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.files.openCostInBytes": str(min(split, 4 << 20)),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(target_bytes, max(1 << 20, split))),
+    }
+
+
+def input_size(path: str) -> int:
+    """Bytes below a local folder (for sizing; use the catalog's stats elsewhere)."""
+    total = 0
+    for dirpath, _, files in os.walk(path):
+        total += sum(os.path.getsize(os.path.join(dirpath, f)) for f in files)
+    return total
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))
