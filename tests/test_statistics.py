@@ -103,3 +103,20 @@ def test_sample_size_matches_design_figures(spark):
     assert r.n_per_variant == 7494 and r.n_total == 14988
     assert r.duration_days_ceil == 1210
     assert r.mde_absolute == pytest.approx(4.3015, abs=1e-6)
+
+
+def test_ztest_equals_ml_chisquare_on_driver_data(spark):
+    """pyspark.ml ChiSquareTest on variant x completed: chi2 = z^2, same p-value."""
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.stat import ChiSquareTest
+
+    import __spark_entry__ as E
+    from tests.conftest import SF01
+    fct = E.queries()["fct_experiment_results"](spark, SF01)
+    z = E.queries()["conversion_ztest"](spark, SF01).first()
+    idx = StringIndexer(inputCol="variant", outputCol="v_idx").fit(fct).transform(fct)
+    vec = VectorAssembler(inputCols=["v_idx"], outputCol="features").transform(
+        idx.withColumn("label", F.col("is_completed").cast("double")))
+    r = ChiSquareTest.test(vec, "features", "label").first()
+    assert r.statistics[0] == pytest.approx(z.z_stat ** 2, rel=1e-5)
+    assert r.pValues[0] == pytest.approx(z.p_value, abs=2e-6)
