@@ -1,6 +1,6 @@
 """Data-quality checks as Spark jobs (DQ1-DQ7, AG27, JN6, ST1).
 
-Each generic check is a query for failing rows, counted, as dbt's generic
+Each generic check is a query for failing rows, counted, as generic column
 tests do:
 
 * ``not_null``        rows where the column is NULL;

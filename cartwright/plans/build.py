@@ -20,7 +20,7 @@ from cartwright.plans.models import ExperimentModels, Models
 from cartwright.session import warehouse_path
 from cartwright.sources.sinks import as_view, write_table
 from cartwright.sources.tables import TableSource
-from cartwright.sources.thelook import RetailSources, from_tables, from_tpch
+from cartwright.sources.shop import RetailSources, from_tables, from_tpch
 
 VIEWS = ["stg_users", "stg_orders", "stg_order_items", "stg_products",
          "stg_experiment_assignments"]

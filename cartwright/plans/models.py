@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cartwright.operators import analytics, marts, staging
 from cartwright.sources.tables import TableSource
-from cartwright.sources.thelook import RetailSources, from_tpch
+from cartwright.sources.shop import RetailSources, from_tpch
 
 
 def checkpointing(names: set[str]):

@@ -1,5 +1,5 @@
 from cartwright.sources.tables import TableSource, read_tables
-from cartwright.sources.thelook import RetailSources, from_tpch, from_tables
+from cartwright.sources.shop import RetailSources, from_tpch, from_tables
 from cartwright.sources.sinks import as_view, write_table, save_as_table, read_table
 
 __all__ = ["TableSource", "read_tables", "RetailSources", "from_tpch", "from_tables",

@@ -40,7 +40,7 @@ def test_streaming_moments_equal_batch(spark, tmp_path):
 def test_shop_schema_tables_on_disk_give_same_results(spark, tmp_path):
     from cartwright.plans.models import ExperimentModels, Models
     from cartwright.sources.tables import TableSource
-    from cartwright.sources.thelook import from_tables, from_tpch
+    from cartwright.sources.shop import from_tables, from_tpch
     src = from_tpch(TableSource(spark, SF001))
     for name in ("users", "orders", "order_items", "products"):
         getattr(src, name).write.parquet(str(tmp_path / name))
