@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cartwright.functions.numeric import safe_divide
+from cartwright.functions.scalars import with_scalars
 from cartwright.operators.quantiles import quantile_columns
 
 HIST_BINS = 30          # fixed value: bins per variant in the order-value histogram
@@ -87,7 +88,7 @@ def headline_figures(category_mart: DataFrame, retention_mart: DataFrame,
         F.round(F.min_by("gross_margin_pct", lo), 6).alias("worst_margin_pct"),
         F.min_by("category", ret).alias("worst_returns_category"),
         F.round(F.min_by("return_rate_mean", ret), 6).alias("worst_returns_rate"))
-    return (overall.crossJoin(F.broadcast(best)).crossJoin(F.broadcast(cats)))
+    return with_scalars(with_scalars(overall, best), cats)
 
 
 def retention_line(retention_mart: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cartwright.functions.distributions import normal_quantile
 from cartwright.functions.hashing import CONTROL, TREATMENT
 from cartwright.functions.numeric import flag, safe_divide
+from cartwright.functions.scalars import with_scalars
 from cartwright.operators.quantiles import quantile_columns
 
 
@@ -86,8 +87,7 @@ def variant_balance(fct: DataFrame) -> DataFrame:
            .agg(F.count("order_id").alias("orders"),
                 F.countDistinct("user_id").alias("users")))
     total = per.agg(F.sum("orders").alias("_total"))
-    # one-row frame: the cross join is a broadcast of a single row
-    j = per.crossJoin(F.broadcast(total))
+    j = with_scalars(per, total)
     share = F.col("orders") / F.col("_total")
     return j.select("variant", "orders", "users",
                     F.bround(share * 100, 1).alias("pct_orders"),
@@ -173,7 +173,7 @@ def sample_size_and_duration(baseline_value: DataFrame, daily: DataFrame,
     """
     z_a = normal_quantile(1 - cfg.alpha / 2)
     z_b = normal_quantile(cfg.power)
-    b = baseline_value.crossJoin(F.broadcast(daily))
+    b = with_scalars(baseline_value, daily)
     mde = F.col("baseline_aov") * F.lit(cfg.mde_relative)
     # NULL (not an ANSI error) when the baseline AOV is 0 or missing
     n = safe_divide(F.lit(2.0) * F.col("aov_stddev") * F.col("aov_stddev") * F.lit((z_a + z_b) ** 2),

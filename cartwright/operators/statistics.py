@@ -17,6 +17,7 @@ from cartwright.functions.distributions import (
     normal_quantile, normal_two_sided_p, t_quantile_two_sided, t_two_sided_p)
 from cartwright.functions.hashing import CONTROL, TREATMENT
 from cartwright.functions.numeric import safe_divide
+from cartwright.functions.scalars import with_scalars
 from cartwright.operators.experiment import DEFAULT, ExperimentConfig
 
 c = F.col
@@ -123,8 +124,8 @@ def experiment_decision(welch: DataFrame, guardrail: DataFrame, sizing: DataFram
     Also reports captured vs required orders; ``share_of_required`` is the
     share of the required sample that was captured (not a power).
     """
-    j = (welch.crossJoin(F.broadcast(guardrail.select("return_rate_diff", "breached")))
-              .crossJoin(F.broadcast(sizing.select("n_per_variant", "n_total"))))
+    j = with_scalars(with_scalars(welch, guardrail, ["return_rate_diff", "breached"]),
+                     sizing, ["n_per_variant", "n_total"])
     sig = c("p_value") < cfg.alpha
     decision = (F.when(c("breached"), "guardrail_breach")
                 .when(sig & (c("mean_diff") < 0), "loss")
@@ -159,7 +160,7 @@ def interval_chart(moments: DataFrame, ztest: DataFrame, welch: DataFrame,
     z = ztest.select("rate_control", "rate_treatment", "ci_low_control", "ci_high_control",
                      "ci_low_treatment", "ci_high_treatment", c("p_value").alias("p_conv"))
     w = welch.select(c("p_value").alias("p_aov"))
-    j = m.crossJoin(F.broadcast(z)).crossJoin(F.broadcast(w))
+    j = with_scalars(with_scalars(m, z), w)
 
     def row(metric, variant, value, lo, hi, p):
         return F.struct(F.lit(metric).alias("metric"), F.lit(variant).alias("variant"),
@@ -191,13 +192,10 @@ def experiment_report_display(balance: DataFrame, ztest: DataFrame, welch: DataF
     """
     from cartwright.functions.formatting import money, percent, signed, thousands
     total = balance.agg(F.sum("orders").alias("rows_loaded"))
-    j = (ztest.crossJoin(F.broadcast(welch.select(
-            "mean_control", "mean_treatment", "sd_control", "sd_treatment", "mean_diff",
-            "ci_low", "ci_high", F.col("t_stat").alias("t"), F.col("p_value").alias("p_aov"),
-            F.col("significant").alias("sig_aov"))))
-         .crossJoin(F.broadcast(guardrail.select("return_rate_control", "return_rate_treatment",
-                                                 "return_rate_diff", "breached")))
-         .crossJoin(F.broadcast(total)))
+    w = welch.select("mean_control", "mean_treatment", "sd_control", "sd_treatment", "mean_diff",
+                     "ci_low", "ci_high", F.col("t_stat").alias("t"), F.col("p_value").alias("p_aov"))
+    g = guardrail.select("return_rate_control", "return_rate_treatment", "return_rate_diff", "breached")
+    j = with_scalars(with_scalars(with_scalars(ztest, w), g), total)
 
     def line(i, label, value):
         return F.struct(F.lit(i).alias("line"), F.lit(label).alias("label"), value.alias("value"))
