@@ -63,3 +63,11 @@ def test_date_window_filters_before_basket_aggregate(spark):
     # basket aggregate, so no item outside the window is aggregated
     p = optimized(spark, "fct_experiment_results")
     assert "LeftSemi" in p and "1998-01-01" in p
+
+
+@pytest.mark.parametrize("name", ["variant_balance", "sample_size_and_duration", "experiment_decision",
+                                  "interval_chart", "headline_figures", "experiment_report_display"])
+def test_one_row_aggregates_are_scalar_subqueries(spark, name):
+    p = plan(spark, name)
+    assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
+    assert "Subquery" in p
