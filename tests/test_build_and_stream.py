@@ -51,3 +51,30 @@ def test_shop_schema_tables_on_disk_give_same_results(spark, tmp_path):
     a = ExperimentModels(disk).aov_welch.first()
     b = ExperimentModels(direct).aov_welch.first()
     assert a == b
+
+
+def test_catalog_tables_by_qualified_name(spark, tmp_path):
+    """SC3/SK2: shop tables saved to the catalog and scanned by db.table name."""
+    from cartwright.plans.models import Models
+    from cartwright.sources.sinks import save_as_table
+    from cartwright.sources.tables import TableSource
+    from cartwright.sources.shop import from_tables, from_tpch
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS shop_test LOCATION '{tmp_path}/wh'")
+    src = from_tpch(TableSource(spark, SF001))
+    names = {}
+    for name in ("users", "orders", "order_items", "products"):
+        save_as_table(getattr(src, name), f"shop_test.{name}")
+        names[name] = f"shop_test.{name}"
+    cat = Models(from_tables(TableSource(spark), names))
+    direct = Models(src)
+    assert sorted(cat.mart_channel_performance.collect()) == sorted(direct.mart_channel_performance.collect())
+
+
+def test_dashboard_variant_filter(spark):
+    from cartwright.operators.dashboard import dashboard_by_variant, dashboard_cards
+    fct = E.queries()["fct_experiment_results"](spark, SF001)
+    all_cards = dashboard_cards(fct).first()
+    ctl = dashboard_cards(fct, variants=["control"]).first()
+    assert ctl.control_orders == all_cards.control_orders and ctl.treatment_orders == 0
+    assert ctl.treatment_aov is None
+    assert [r.variant for r in dashboard_by_variant(fct, variants=["treatment"]).collect()] == ["treatment"]
