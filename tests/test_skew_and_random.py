@@ -115,3 +115,52 @@ def test_hot_keys_are_combined_before_the_shuffle(spark):
         fct, spark.createDataFrame(products, PRODUCTS_SCHEMA))._jdf.queryExecution().executedPlan().toString()
     # the per-product aggregate has a map-side partial step below its exchange
     assert "partial_count" in plan and "partial_sum" in plan
+
+
+def test_hot_user_join_is_split_by_aqe(spark):
+    """A user with a third of the orders: AQE splits the skewed sort-merge join
+    partition; the result equals the default (broadcast) plan's."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from cartwright.operators.experiment import ExperimentConfig, fct_experiment_results, variant_moments
+    from cartwright.operators.staging import stg_experiment_assignments
+    n = 30000
+    orders = spark.range(n).select(
+        F.col("id").alias("order_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("user_id"),
+        F.lit("Complete").alias("status"),
+        F.lit(dt.datetime(2024, 1, 5)).cast("timestamp_ntz").alias("created_at"))
+    items = spark.range(n * 2).select((F.col("id") % n).alias("order_id"), F.lit(10.0).alias("sale_price"))
+    users = spark.range(5000).select(F.col("id"), F.lit(None).cast("timestamp_ntz").alias("created_at"),
+                                     F.lit("x").alias("country"), F.lit(1).cast("bigint").alias("age"),
+                                     F.lit("F").alias("gender"))
+    cfg = ExperimentConfig(start=dt.date(2024, 1, 1), end=dt.date(2024, 1, 28))
+
+    def run():
+        fct = fct_experiment_results(stg_experiment_assignments(users), orders, items, cfg)
+        return fct, variant_moments(fct, cfg).first()
+
+    _, want = run()
+    forced = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+              "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+              "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+              "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+              "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in forced}
+    try:
+        for k, v in forced.items():
+            spark.conf.set(k, v)
+        fct, got = run()
+        fct.collect()
+        plan = fct._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert got == want and got.n_c + got.n_t == n
