@@ -20,9 +20,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-RESULT_COLUMNS = ["test_name", "model", "column_name", "failures", "passed"]
-
-
 @dataclass(frozen=True)
 class Check:
     test: str                     # not_null | unique | accepted_values | relationships

@@ -120,10 +120,3 @@ def input_size(path: str) -> int:
     for dirpath, _, files in os.walk(path):
         total += sum(os.path.getsize(os.path.join(dirpath, f)) for f in files)
     return total
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
