@@ -22,9 +22,11 @@ alpha >= 1e-4).
 Normal: P(|Z| > z) = sqrt(2/pi) * integral_|z|^(|z|+10) exp(-x^2/2) dx.
 
 All integrals use composite Simpson with ``STEPS`` intervals. For nu >= 2 the
-integrand is smooth and results agree with commons-math3 to ~1e-10; for
-1 < nu < 2 (Welch df that small needs <= 3 orders in a variant) the
-integrand's derivative is unbounded at pi/2 and accuracy drops to ~1e-4. The same
+integrand is smooth. For 1 <= nu < 2 (Welch df that small needs <= 3 orders
+in a variant) cos^(nu-1) has an unbounded derivative at pi/2, so the tail
+integral is taken in phi = pi/2 - theta = u^(2/nu), where it becomes
+(2/nu) u sinc(phi)^(nu-1): smooth again, and both regimes agree with
+commons-math3 to ~1e-10. The same
 arithmetic is written in the DuckDB oracle (``plans/oracle.py``).
 """
 
@@ -40,6 +42,7 @@ STEPS = 2000
 NEWTON_STEPS = 12
 T_SPAN = 12.0
 NORMAL_SPAN = 10.0
+LOW_DF = 2.0
 
 
 def _simpson(f, a: Column, b: Column, steps: int = STEPS) -> Column:
@@ -62,12 +65,25 @@ def _cos_pow(nu: Column):
     return lambda th: F.pow(F.cos(th), nu - F.lit(1.0))
 
 
+def _tail_low_df(nu: Column, lo: Column) -> Column:
+    """integral_lo^(pi/2) cos(theta)^(nu-1) d theta for 1 <= nu < 2, smooth form."""
+    top = F.pow(F.lit(math.pi / 2) - lo, nu / F.lit(2.0))
+
+    def g(u):
+        phi = F.pow(u, F.lit(2.0) / nu)
+        sinc = F.when(phi == 0, F.lit(1.0)).otherwise(F.sin(phi) / phi)
+        return F.lit(2.0) / nu * u * F.pow(sinc, nu - F.lit(1.0))
+    return _simpson(g, F.lit(0.0), top)
+
+
 def t_two_sided_p(t: Column, nu: Column) -> Column:
     """P(|T| > |t|) for Student t with ``nu`` (real, >= 1) degrees of freedom."""
     up = _t_upper(nu)
     lo = F.least(F.atan(F.abs(t) / F.sqrt(nu)), up)
     f = _cos_pow(nu)
-    p = _simpson(f, lo, up) / _simpson(f, F.lit(0.0), up)
+    p = F.when(nu < LOW_DF,
+               _tail_low_df(nu, lo) / _tail_low_df(nu, F.lit(0.0))
+               ).otherwise(_simpson(f, lo, up) / _simpson(f, F.lit(0.0), up))
     # clamp inside the guard: least() skips NULLs, so it must not see one
     return F.when(t.isNotNull() & nu.isNotNull() & (nu >= 1), F.least(F.lit(1.0), p))
 
@@ -81,6 +97,13 @@ def t_quantile_two_sided(alpha: float, nu: Column) -> Column:
     theta = F.aggregate(
         F.sequence(F.lit(1), F.lit(NEWTON_STEPS)), start,
         lambda th, _i: th - (_simpson(f, F.lit(0.0), th) - target) / f(th))
+    # low df: solve tail(theta) = alpha * tail(0) in the smooth form (the
+    # tail is convex and decreasing, so the same left start converges)
+    tail0 = F.lit(alpha) * _tail_low_df(nu, F.lit(0.0))
+    theta_low = F.aggregate(
+        F.sequence(F.lit(1), F.lit(NEWTON_STEPS)), start,
+        lambda th, _i: th + (_tail_low_df(nu, th) - tail0) / f(th))
+    theta = F.when(nu < LOW_DF, theta_low).otherwise(theta)
     return F.when(nu.isNotNull() & (nu >= 1), F.sqrt(nu) * F.tan(theta))
 
 
