@@ -114,6 +114,14 @@ def variant_summary(fct: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFram
                     F.round("return_rate", 6).alias("return_rate"))
 
 
+def preview(fct: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` orders by id (the notebook's head(); the limit is the feature).
+
+    Planned as a top-k (TakeOrderedAndProject): each task keeps n rows.
+    """
+    return fct.orderBy("order_id").limit(n)
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """Per column: NULL count, Spark type, and the frame's row/column counts.
 

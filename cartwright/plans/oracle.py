@@ -564,6 +564,7 @@ SELECT variant, count(order_id) AS orders,
        round(avg(is_returned), 6) AS return_rate
 FROM fct_experiment_results WHERE variant IS NOT NULL GROUP BY variant"""),
     "null_profile": _null_profile_sql(),
+    "experiment_preview": with_models("SELECT * FROM fct_experiment_results ORDER BY order_id LIMIT 5"),
 })
 
 

@@ -110,6 +110,7 @@ def _extra() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "variant_balance": _exp(lambda e: X.variant_balance(fct(e))),
         "variant_summary": _exp(lambda e: X.variant_summary(fct(e), e.cfg)),
         "null_profile": _exp(lambda e: X.null_profile(fct(e))),
+        "experiment_preview": _exp(lambda e: X.preview(fct(e))),
         "category_top10": _shop(lambda m: C.category_top10(m.mart_category_performance)),
         "headline_figures": _shop(lambda m: C.headline_figures(
             m.mart_category_performance, m.mart_customer_retention, m.mart_channel_performance)),
