@@ -15,18 +15,24 @@ from cartwright.operators.analytics import sorted_mart
 
 from cartwright.plans.models import ExperimentModels, Models
 
-_CACHE: dict[tuple[int, str], tuple[Models, ExperimentModels]] = {}
+_CACHE: dict[tuple[int, str], tuple] = {}
 
 
 def models_for(spark: SparkSession, sf_dir: str) -> tuple[Models, ExperimentModels]:
-    """Model graphs over ``sf_dir``; plans are shared within one session."""
+    """Model graphs over ``sf_dir``; plans are shared within one live session.
+
+    The entry remembers the session object and its application id, so a
+    stopped session (or a new one that happens to reuse the object id) never
+    gets DataFrames bound to another SparkContext.
+    """
     key = (id(spark), sf_dir)
+    app = spark.sparkContext.applicationId
     hit = _CACHE.get(key)
-    if hit is None:
+    if hit is None or hit[0] is not spark or hit[1] != app:
         m = Models.from_tpch_dir(spark, sf_dir)
-        hit = (m, ExperimentModels(m))
+        hit = (spark, app, m, ExperimentModels(m))
         _CACHE[key] = hit
-    return hit
+    return hit[2], hit[3]
 
 
 def _exp(fn: Callable[[ExperimentModels], DataFrame]):
