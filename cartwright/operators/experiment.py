@@ -88,7 +88,7 @@ def variant_balance(fct: DataFrame) -> DataFrame:
                 F.countDistinct("user_id").alias("users")))
     total = per.agg(F.sum("orders").alias("_total"))
     j = with_scalars(per, total)
-    share = F.col("orders") / F.col("_total")
+    share = safe_divide(F.col("orders"), F.col("_total"))
     return j.select("variant", "orders", "users",
                     F.bround(share * 100, 1).alias("pct_orders"),
                     share.alias("share_orders"))
