@@ -50,7 +50,6 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     spark = df.sparkSession
     names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
     g = list(group_cols)
-    slices = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     distinct = (df.select(*g, F.col(value_col).cast("double").alias("_x"))
                   .where(F.col("_x").isNotNull())
@@ -58,9 +57,13 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     # the slice id is taken in the same stage that writes the slices, so the
     # written table carries it: later reads may be split any way
     path = warehouse_path(spark, "quantiles", uuid.uuid4().hex[:12])
-    (distinct.repartitionByRange(slices, *[F.col(c) for c in g], F.col("_x"))
-     .withColumn("_slice", F.spark_partition_id())
-     .write.parquet(path))
+    keys = [*[F.col(c) for c in g], F.col("_x")]
+    # without an explicit count AQE sizes the slices (it merges adjacent range
+    # partitions, which stay contiguous ranges); the id is read in the stage
+    # that writes the slices, so it always matches the written rows
+    ranged_w = (distinct.repartitionByRange(num_slices, *keys) if num_slices
+                else distinct.repartitionByRange(*keys))
+    ranged_w.withColumn("_slice", F.spark_partition_id()).write.parquet(path)
     ranged = spark.read.parquet(path)
 
     per_slice = ranged.groupBy(*g, "_slice").agg(F.sum("_w").alias("_sw"))

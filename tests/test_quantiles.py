@@ -20,11 +20,12 @@ def _check(spark, groups: dict, slices=5):
         assert have == pytest.approx(list(want), rel=1e-12, abs=1e-12)
 
 
-def test_hot_value_third_of_rows(spark):
+@pytest.mark.parametrize("slices", [8, None])      # None: AQE sizes the slices
+def test_hot_value_third_of_rows(spark, slices):
     rng = np.random.default_rng(1)
     a = list(rng.normal(100, 30, 3000).round(2)) + [42.0] * 1500   # one value holds a third
     b = list(rng.exponential(50, 2000).round(2))
-    _check(spark, {"control": a, "treatment": b}, slices=8)
+    _check(spark, {"control": a, "treatment": b}, slices=slices)
 
 
 def test_single_values_and_pairs(spark):
