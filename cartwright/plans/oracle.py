@@ -233,7 +233,7 @@ def oracle_sql() -> dict[str, str]:
 
 # -- experiment models --------------------------------------------------------
 from cartwright.functions.distributions import (  # noqa: E402
-    LOW_DF, NEWTON_STEPS, NORMAL_SPAN, STEPS, T_SPAN, normal_quantile)
+    NEWTON_STEPS, NORMAL_SPAN, STEPS, T_SPAN, normal_quantile)
 from cartwright.operators.experiment import DEFAULT as _CFG  # noqa: E402
 
 
@@ -249,39 +249,32 @@ def simpson_sql(f, a: str, b: str) -> str:
             f"lambda k: {w} * {f(f'(({a}) + k * {h})')})) * {h} / 3.0)")
 
 
-def tail_low_df_sql(nu: str, lo: str) -> str:
-    """integral_lo^(pi/2) cos^(nu-1) for 1 <= nu < 2 via phi = u^(2/nu)."""
-    top = f"pow(pi() / 2 - ({lo}), {nu} / 2.0)"
-
-    def g(u):
-        phi = f"pow({u}, 2.0 / {nu})"
-        sinc = f"(CASE WHEN {phi} = 0 THEN 1.0 ELSE sin({phi}) / {phi} END)"
-        return f"(2.0 / {nu} * {u} * pow({sinc}, {nu} - 1.0))"
-    return simpson_sql(g, "0.0", top)
+def simpson_end_sql(f, a: str, b: str) -> str:
+    """Simpson in s with theta = b - (b - a)(1 - s)^3 (nodes cluster at b)."""
+    w = f"(CASE WHEN k = 0 OR k = {STEPS} THEN 1.0 WHEN k % 2 = 1 THEN 4.0 ELSE 2.0 END)"
+    rest = f"(1.0 - k / {dbl(STEPS)})"
+    theta = f"(({b}) - (({b}) - ({a})) * {rest} * {rest} * {rest})"
+    jac = f"(3.0 * (({b}) - ({a})) * {rest} * {rest})"
+    return (f"(list_sum(list_transform(range(0, {STEPS + 1}), "
+            f"lambda k: {w} * {f(theta)} * {jac})) / {dbl(3.0 * STEPS)})")
 
 
 def t_p_sql(t: str, nu: str) -> str:
     up = f"least(pi() / 2, {dbl(T_SPAN)} / sqrt({nu}))"
     lo = f"least(atan(abs({t}) / sqrt({nu})), {up})"
     f = lambda x: f"pow(cos({x}), {nu} - 1.0)"
-    low = f"{tail_low_df_sql(nu, lo)} / {tail_low_df_sql(nu, '0.0')}"
-    high = f"{simpson_sql(f, lo, up)} / {simpson_sql(f, '0.0', up)}"
     return (f"(CASE WHEN {t} IS NOT NULL AND {nu} >= 1 THEN "
-            f"least(1.0, CASE WHEN {nu} < {dbl(LOW_DF)} THEN {low} ELSE {high} END) END)")
+            f"least(1.0, {simpson_end_sql(f, lo, up)} / {simpson_end_sql(f, '0.0', up)}) END)")
 
 
 def t_quantile_sql(alpha: float, nu: str) -> str:
     up = f"least(pi() / 2, {dbl(T_SPAN)} / sqrt({nu}))"
     f = lambda x: f"pow(cos({x}), {nu} - 1.0)"
-    target = f"({dbl(1.0 - alpha)} * {simpson_sql(f, '0.0', up)})"
-    step = f"th - ({simpson_sql(f, '0.0', 'th')} - {target}) / {f('th')}"
+    target = f"({dbl(1.0 - alpha)} * {simpson_end_sql(f, '0.0', up)})"
+    step = f"th - ({simpson_end_sql(f, '0.0', 'th')} - {target}) / {f('th')}"
     start = f"atan({dbl(normal_quantile(1.0 - alpha / 2))} / sqrt({nu}))"
     theta = f"list_reduce(range(1, {NEWTON_STEPS + 1}), lambda th, i: {step}, {start})"
-    tail0 = f"({dbl(alpha)} * {tail_low_df_sql(nu, '0.0')})"
-    step_low = f"th + ({tail_low_df_sql(nu, 'th')} - {tail0}) / {f('th')}"
-    theta_low = f"list_reduce(range(1, {NEWTON_STEPS + 1}), lambda th, i: {step_low}, {start})"
-    return (f"(CASE WHEN {nu} >= 1 THEN sqrt({nu}) * tan(CASE WHEN {nu} < {dbl(LOW_DF)} "
-            f"THEN {theta_low} ELSE {theta} END) END)")
+    return f"(CASE WHEN {nu} >= 1 THEN sqrt({nu}) * tan({theta}) END)"
 
 
 def normal_p_sql(z: str) -> str:

@@ -15,7 +15,7 @@ def _math3(spark):
     return spark._jvm.org.apache.commons.math3.distribution
 
 
-@pytest.mark.parametrize("nu", [1.0, 1.2, 1.5, 1.9, 2.0, 3.0, 7.3, 30.0, 673.42017, 5000.0, 100000.0])
+@pytest.mark.parametrize("nu", [1.0, 1.2, 1.5, 1.9, 2.0, 2.5, 3.0, 7.3, 30.0, 673.42017, 5000.0, 100000.0])
 def test_t_tail_and_quantile(spark, nu):
     ts = [0.0, 0.3963184, 1.0, 2.5, 6.0]
     df = spark.createDataFrame([(t, nu) for t in ts], "t double, nu double")
