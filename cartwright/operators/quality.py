@@ -38,6 +38,7 @@ def _uq(model, *cols):
     return [Check("unique", model, c) for c in cols]
 
 
+# fixed values: the accepted order statuses
 ORDER_STATUSES = ("Processing", "Shipped", "Complete", "Returned", "Cancelled")
 
 # The reference's 36 generic tests (staging 12, marts 15, analytics 9) ...
