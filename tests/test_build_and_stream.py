@@ -78,3 +78,10 @@ def test_dashboard_variant_filter(spark):
     assert ctl.control_orders == all_cards.control_orders and ctl.treatment_orders == 0
     assert ctl.treatment_aov is None
     assert [r.variant for r in dashboard_by_variant(fct, variants=["treatment"]).collect()] == ["treatment"]
+
+
+def test_command_line_query_and_unknown(spark, capsys):
+    from cartwright.__main__ import main
+    assert main(["query", "experiment_preview", "--sf-dir", SF001, "--rows", "5"]) == 0
+    assert "order_id" in capsys.readouterr().out
+    assert main(["query", "no_such_query", "--sf-dir", SF001]) == 2
