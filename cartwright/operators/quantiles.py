@@ -44,15 +44,19 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
                     num_slices: int | None = None) -> DataFrame:
     """One row per group: ``names[i]`` = exact ``probs[i]`` quantile of ``value_col``.
 
-    Groups with only NULL values are absent; join to the group list when a
-    NULL row is wanted.
+    Groups with only NULL values are absent (join to the group list when a
+    NULL row is wanted), and rows with a NULL group key are ignored, as
+    pandas groupby does.
     """
     spark = df.sparkSession
     names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
     g = list(group_cols)
 
+    keep = F.col("_x").isNotNull()
+    for c in g:
+        keep = keep & F.col(c).isNotNull()
     distinct = (df.select(*g, F.col(value_col).cast("double").alias("_x"))
-                  .where(F.col("_x").isNotNull())
+                  .where(keep)
                   .groupBy(*g, "_x").agg(F.count(F.lit(1)).alias("_w")))
     # the slice id is taken in the same stage that writes the slices, so the
     # written table carries it: later reads may be split any way
