@@ -21,25 +21,13 @@ from cartwright.sources.tables import TableSource
 from cartwright.sources.shop import RetailSources, from_tpch
 
 
-def checkpointing(names: set[str]):
-    """A ``keep`` hook that materializes the named models with ``checkpoint()``.
-
-    The checkpoint goes to the session's ``spark.checkpoint.dir`` (shared
-    storage on a cluster): the model is computed once, later jobs read it
-    back instead of re-running its joins, and a lost executor costs a
-    re-read rather than a recomputation from the raw sources.
-    """
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        return df.checkpoint(eager=True) if name in names else df
-    return keep
-
-
 def writing(names: set[str], root: str):
     """A ``keep`` hook that writes the named models as Parquet under ``root``
     (a folder in the shared checkpoint location) and reads them back.
 
-    Like ``checkpointing`` it computes each model once and cuts the lineage,
-    but later reads are columnar: a check on one column reads one column.
+    Each model is computed once and the lineage is cut (a lost executor
+    costs a re-read, not a recomputation from the raw sources); later reads
+    are columnar, so a check on one column reads one column.
     """
     from cartwright.sources.sinks import write_table
 
