@@ -71,3 +71,16 @@ def test_one_row_aggregates_are_scalar_subqueries(spark, name):
     p = plan(spark, name)
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
     assert "Subquery" in p
+
+
+def test_window_filter_reaches_scan_on_shop_tables(spark, tmp_path):
+    """With shop-schema tables on disk the date window is a Parquet range filter."""
+    from cartwright.plans.models import ExperimentModels, Models
+    from cartwright.sources.shop import from_tables, from_tpch
+    from cartwright.sources.tables import TableSource
+    src = from_tpch(TableSource(spark, SF001))
+    for n in ("users", "orders", "order_items", "products"):
+        getattr(src, n).write.parquet(str(tmp_path / n))
+    e = ExperimentModels(Models(from_tables(TableSource(spark, str(tmp_path)))))
+    p = e.fct_experiment_results._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(created_at,1998-01-01T00:00)" in p
