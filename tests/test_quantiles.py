@@ -45,3 +45,16 @@ def test_approx_is_close(spark):
     df = spark.createDataFrame([("g", float(v)) for v in vals], "g string, x double")
     r = approx_quantiles(df, ["g"], "x", [0.5], names=["m"]).collect()[0]
     assert abs(r.m - np.median(vals)) < 0.01
+
+
+def test_config_switches_summary_to_sketch(spark):
+    import __spark_entry__ as E
+    from cartwright.operators.experiment import ExperimentConfig, variant_summary
+    from tests.conftest import SF01
+    fct = E.queries()["fct_experiment_results"](spark, SF01)
+    exact = {r.variant: r.median_order_value for r in variant_summary(fct).collect()}
+    approx = {r.variant: r.median_order_value
+              for r in variant_summary(fct, ExperimentConfig(quantiles="approx")).collect()}
+    assert set(exact) == set(approx)
+    for v in exact:   # the sketch returns a data value within its rank error
+        assert abs(approx[v] - exact[v]) / exact[v] < 0.05
