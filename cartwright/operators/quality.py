@@ -4,9 +4,11 @@ Each generic check is a query for failing rows, counted, as generic column
 tests do:
 
 * ``not_null``        rows where the column is NULL;
-* ``unique``          distinct non-NULL values that occur more than once;
+* ``unique``          distinct non-NULL values that occur more than once
+                      (wide keys: duplicated hashes first, then exact values);
 * ``accepted_values`` distinct values outside the list (NULL passes);
-* ``relationships``   child rows with a non-NULL key missing in the parent.
+* ``relationships``   child rows with a non-NULL key missing in the parent
+                      (counted per key before the anti join).
 
 All not-null checks of one model share a single aggregation pass; unique and
 accepted-value checks are ``groupBy`` aggregations (partial aggregation
@@ -79,6 +81,39 @@ EXPERIMENT_CHECKS: list[Check] = [
 ALL_CHECKS = SHOP_CHECKS + EXPERIMENT_CHECKS
 
 
+def duplicated_values(df: DataFrame, column: str) -> DataFrame:
+    """Distinct non-NULL values of ``column`` that occur more than once.
+
+    For a wide (string) key the shuffle first moves only a 64-bit hash:
+    hashes seen more than once are found, then only the rows carrying such a
+    hash are grouped on the exact value, which also discards hash
+    collisions. Fixed-width keys are grouped directly. Partial aggregation
+    collapses a hot value map-side in both passes.
+    """
+    col = F.col(column)
+    rows = df.select(col).where(col.isNotNull())
+    if dict(df.dtypes)[column] in ("string", "binary"):
+        h = F.xxhash64(col)
+        dup_hashes = (rows.groupBy(h.alias("_h")).count().where(F.col("count") > 1)
+                          .select("_h"))
+        rows = rows.withColumn("_h", h).join(dup_hashes, "_h", "left_semi").drop("_h")
+    return rows.groupBy(column).count().where(F.col("count") > 1)
+
+
+def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """One row: the number of child rows whose non-NULL key has no parent.
+
+    Child rows are counted per key first, so the anti join moves one row per
+    distinct key (not one per item) and a hot key is one row; the failure
+    count is the sum of the orphaned keys' row counts.
+    """
+    per_key = (child.where(F.col(column).isNotNull())
+                    .groupBy(F.col(column).alias("_k")).agg(F.count(F.lit(1)).alias("_n")))
+    keys = parent.select(F.col(parent_column).alias("_k"))
+    orphans = per_key.join(keys, "_k", "left_anti")
+    return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("failures"))
+
+
 def _row(check: Check, failures_df: DataFrame, order: int) -> DataFrame:
     return failures_df.select(
         F.lit(order).alias("test_order"),
@@ -106,18 +141,14 @@ def run_checks(models: dict[str, DataFrame], checks: list[Check] = ALL_CHECKS) -
     for i, ch in enumerate(checks):
         df = models.get(ch.model)
         if ch.test == "unique":
-            dup = (df.where(F.col(ch.column).isNotNull()).groupBy(ch.column).count()
-                     .where(F.col("count") > 1))
-            parts.append(_row(ch, dup.agg(F.count(F.lit(1)).alias("failures")), i))
+            parts.append(_row(ch, duplicated_values(df, ch.column)
+                              .agg(F.count(F.lit(1)).alias("failures")), i))
         elif ch.test == "accepted_values":
             bad = (df.groupBy(ch.column).count()
                      .where(~F.col(ch.column).isin(*ch.values)))
             parts.append(_row(ch, bad.agg(F.count(F.lit(1)).alias("failures")), i))
         elif ch.test == "relationships":
-            parent = models[ch.parent].select(F.col(ch.parent_column).alias("_pk"))
-            orphans = (df.where(F.col(ch.column).isNotNull())
-                         .join(parent, F.col(ch.column) == F.col("_pk"), "left_anti"))
-            parts.append(_row(ch, orphans.agg(F.count(F.lit(1)).alias("failures")), i))
+            parts.append(_row(ch, orphan_rows(df, ch.column, models[ch.parent], ch.parent_column), i))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

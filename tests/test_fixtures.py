@@ -228,3 +228,16 @@ def test_small_groups(spark, n):
     fct = _fct(spark, [(i, i, v, float(i), 1, 0) for i in range(n) for v in ("control", "treatment")])
     s = experiment.variant_summary(fct).collect()
     assert len(s) == 2
+
+
+def test_unique_on_wide_keys_matches_counter(spark):
+    import collections
+
+    rnd = __import__("random").Random(4)
+    vals = [f"k{rnd.randint(0, 3000)}|{rnd.randint(0, 9)}" for _ in range(4000)] + ["hot"] * 1500 + [None]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(vals)], "s string, n bigint")
+    want = sorted(k for k, c in collections.Counter(v for v in vals if v is not None).items() if c > 1)
+    got = sorted(r.s for r in quality.duplicated_values(df, "s").collect())
+    assert got == want
+    # fixed-width keys take the direct path
+    assert quality.duplicated_values(df, "n").count() == 0
