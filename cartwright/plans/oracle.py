@@ -525,7 +525,7 @@ _NULL_PROFILE_COLS = [
 
 def _null_profile_sql() -> str:
     parts = [f"SELECT {i} AS column_position, '{c}' AS column_name, '{t}' AS data_type, "
-             f"count_if({c} IS NULL) AS null_count, count(*) AS row_count, "
+             f"CAST(count_if({c} IS NULL) AS BIGINT) AS null_count, count(*) AS row_count, "
              f"CAST({len(_NULL_PROFILE_COLS)} AS BIGINT) AS column_count FROM fct_experiment_results"
              for i, (c, t) in enumerate(_NULL_PROFILE_COLS)]
     return with_models("\nUNION ALL\n".join(parts))
@@ -617,7 +617,7 @@ def _dq_sql() -> str:
         head = f"SELECT {i} AS o, '{ch.test}' AS test_name, '{ch.model}' AS model, '{ch.column}' AS column_name, "
         c, m = ch.column, ch.model
         if ch.test == "not_null":
-            parts.append(head + f"count_if({c} IS NULL) AS failures FROM {m}")
+            parts.append(head + f"CAST(count_if({c} IS NULL) AS BIGINT) AS failures FROM {m}")
         elif ch.test == "unique":
             parts.append(head + f"(SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL "
                                 f"GROUP BY {c} HAVING count(*) > 1)) AS failures")
@@ -638,7 +638,7 @@ def _dq_sql() -> str:
 def _cards_sql(cfg=_CFG) -> str:
     cols = []
     for v in cfg.variants:
-        cols += [f"count_if(variant = '{v}') AS {v}_orders",
+        cols += [f"CAST(count_if(variant = '{v}') AS BIGINT) AS {v}_orders",
                  f"round(avg(order_value) FILTER (WHERE variant = '{v}'), 4) AS {v}_aov",
                  f"round(avg(is_completed) FILTER (WHERE variant = '{v}'), 6) AS {v}_conv_rate"]
     return with_models("SELECT " + ",\n       ".join(cols) + "\nFROM fct_experiment_results")
@@ -697,7 +697,7 @@ FROM box_f q JOIN (
     SELECT f.variant, count(*) AS orders,
            min(CASE WHEN f.order_value >= b.fence_low AND f.order_value <= b.fence_high THEN f.order_value END) AS whisker_low,
            max(CASE WHEN f.order_value >= b.fence_low AND f.order_value <= b.fence_high THEN f.order_value END) AS whisker_high,
-           count_if(NOT (f.order_value >= b.fence_low AND f.order_value <= b.fence_high)) AS outliers
+           CAST(count_if(NOT (f.order_value >= b.fence_low AND f.order_value <= b.fence_high)) AS BIGINT) AS outliers
     FROM fct_known f JOIN box_f b ON f.variant = b.variant GROUP BY f.variant) s
   ON q.variant = s.variant"""),
     "order_value_outliers": with_models("""

@@ -54,3 +54,18 @@ def test_display_query_rows(spark):
     rows = QUERIES["variant_summary_display"](spark, SF001).collect()
     assert {r.variant for r in rows} <= {"control", "treatment"}
     assert all(r.avg_order_value.startswith("£") and r.conversion_rate.endswith("%") for r in rows)
+
+
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                   "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+def test_column_types_match_oracle(spark, con001):
+    """Column types agree exactly (e.g. counts are BIGINT on both sides, never HUGEINT)."""
+    bad = []
+    for name, sql in ORACLE.items():
+        spark_types = dict(QUERIES[name](spark, SF001).dtypes)
+        duck_types = {r[0]: r[1] for r in con001.execute("DESCRIBE " + sql).fetchall()}
+        bad += [(name, c, t, duck_types.get(c)) for c, t in spark_types.items()
+                if SPARK_TO_DUCKDB.get(t, t) != duck_types.get(c)]
+    assert not bad, bad
