@@ -164,3 +164,52 @@ def test_hot_user_join_is_split_by_aqe(spark):
                 spark.conf.set(k, v)
     assert "SortMergeJoin(skew=true)" in plan
     assert got == want and got.n_c + got.n_t == n
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_quality_checks_on_dirty_data_match_sql(spark, seed):
+    """Relationship / unique / not-null / accepted-value failure counts on data
+    with orphans, duplicated ids and headers, NULL keys and a hot duplicate."""
+    from cartwright.operators import quality
+    items, orders, products, users = make_data(seed)
+    rnd = random.Random(seed)
+    # duplicated item ids (one of them hot), NULL keys, an unknown status
+    items = [(("dup-hot" if rnd.random() < 0.3 else it[0]),) + it[1:] for it in items]
+    items += [(None, 1, None, None, "Complete", dt.datetime(2020, 1, 1), None, None, None, 1.0)]
+    orders += [(999, 3, "Lost", "F", dt.datetime(2020, 1, 1), None, None, None, 1)]
+    s_items = spark.createDataFrame(items, ITEMS_SCHEMA)
+    s_orders = spark.createDataFrame(orders, ORDERS_SCHEMA)
+    models = {"fct_order_items": marts.fct_order_items(s_items, s_orders),
+              "dim_orders": marts.dim_orders(s_orders),
+              "dim_users": spark.createDataFrame(users, USERS_SCHEMA),
+              "dim_products": spark.createDataFrame(products, PRODUCTS_SCHEMA)}
+    checks = [c for c in quality.SHOP_CHECKS if c.model in models]
+    got = {(r.test_name, r.column_name, r.model): r.failures
+           for r in quality.run_checks(models, checks).collect()}
+
+    con = duckdb.connect()
+    cols = lambda schema: [c.strip().split(" ")[0] for c in schema.split(",")]
+    it = pd.DataFrame(items, columns=cols(ITEMS_SCHEMA))
+    for c in ("order_id", "user_id", "product_id"):
+        it[c] = it[c].astype("Int64")
+    con.register("items", it)
+    con.register("orders", pd.DataFrame(orders, columns=cols(ORDERS_SCHEMA)))
+    con.register("dim_users", pd.DataFrame(users, columns=cols(USERS_SCHEMA)))
+    con.register("dim_products", pd.DataFrame(products, columns=cols(PRODUCTS_SCHEMA)))
+    con.execute("""CREATE VIEW fct_order_items AS SELECT i.*, o.num_of_item FROM items i
+                   LEFT JOIN orders o ON i.order_id = o.order_id""")
+    con.execute("""CREATE VIEW dim_orders AS SELECT order_id, user_id, status FROM orders""")
+    for ch in checks:
+        c, m = ch.column, ch.model
+        if ch.test == "not_null":
+            sql = f"SELECT count(*) FROM {m} WHERE {c} IS NULL"
+        elif ch.test == "unique":
+            sql = (f"SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL "
+                   f"GROUP BY {c} HAVING count(*) > 1)")
+        elif ch.test == "accepted_values":
+            vals = ", ".join(f"'{v}'" for v in ch.values)
+            sql = f"SELECT count(*) FROM (SELECT {c} FROM {m} GROUP BY {c}) WHERE {c} NOT IN ({vals})"
+        else:
+            sql = (f"SELECT count(*) FROM {m} ch LEFT JOIN {ch.parent} p "
+                   f"ON ch.{c} = p.{ch.parent_column} WHERE ch.{c} IS NOT NULL AND p.{ch.parent_column} IS NULL")
+        assert got[(ch.test, c, m)] == con.execute(sql).fetchone()[0], (seed, ch)
