@@ -136,64 +136,47 @@ fct_order_items AS (
 # -- analytics marts ---------------------------------------------------------
 MARTS = """
 mart_category_performance AS (
-    WITH joined AS (
-        SELECT p.category, p.department, oi.order_item_id, oi.sale_price, p.cost,
-               CASE WHEN oi.status = 'Cancelled' THEN 1 ELSE 0 END AS is_cancelled,
-               CASE WHEN oi.returned_at IS NOT NULL THEN 1 ELSE 0 END AS is_returned
-        FROM fct_order_items oi INNER JOIN dim_products p ON oi.product_id = p.product_id
-    )
-    SELECT category, department,
+    SELECT pr.category, pr.department,
            count(*) AS items_ordered,
-           CAST(sum(CASE WHEN is_cancelled = 0 THEN 1 ELSE 0 END) AS BIGINT) AS items_sold,
-           CAST(sum(is_returned) AS BIGINT) AS items_returned,
-           round(sum(CASE WHEN is_cancelled = 0 THEN sale_price ELSE 0 END), 2) AS gross_revenue,
-           round(sum(CASE WHEN is_cancelled = 0 THEN cost ELSE 0 END), 2) AS cost_of_goods,
-           round(sum(CASE WHEN is_cancelled = 0 THEN sale_price - cost ELSE 0 END), 2) AS gross_margin,
-           round(sum(CASE WHEN is_cancelled = 0 THEN sale_price - cost ELSE 0 END)
-                 / nullif(sum(CASE WHEN is_cancelled = 0 THEN sale_price ELSE 0 END), 0), 4) AS gross_margin_pct,
-           round(sum(is_returned) / nullif(sum(CASE WHEN is_cancelled = 0 THEN 1 ELSE 0 END), 0), 4) AS return_rate
-    FROM joined
-    GROUP BY category, department
+           CAST(sum(CASE WHEN it.status = 'Cancelled' THEN 0 ELSE 1 END) AS BIGINT) AS items_sold,
+           CAST(sum(CASE WHEN it.returned_at IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS items_returned,
+           round(sum(CASE WHEN it.status = 'Cancelled' THEN 0 ELSE it.sale_price END), 2) AS gross_revenue,
+           round(sum(CASE WHEN it.status = 'Cancelled' THEN 0 ELSE pr.cost END), 2) AS cost_of_goods,
+           round(sum(CASE WHEN it.status = 'Cancelled' THEN 0 ELSE it.sale_price - pr.cost END), 2) AS gross_margin,
+           round(sum(CASE WHEN it.status = 'Cancelled' THEN 0 ELSE it.sale_price - pr.cost END)
+                 / nullif(sum(CASE WHEN it.status = 'Cancelled' THEN 0 ELSE it.sale_price END), 0), 4)
+               AS gross_margin_pct,
+           round(sum(CASE WHEN it.returned_at IS NULL THEN 0 ELSE 1 END)
+                 / nullif(sum(CASE WHEN it.status = 'Cancelled' THEN 0 ELSE 1 END), 0), 4) AS return_rate
+    FROM fct_order_items it JOIN dim_products pr ON pr.product_id = it.product_id
+    GROUP BY pr.category, pr.department
+),
+buyer_lifetimes AS (
+    SELECT user_id, count(DISTINCT order_id) AS n_orders, min(order_created_at) AS first_at
+    FROM dim_orders WHERE status <> 'Cancelled' GROUP BY user_id
 ),
 mart_customer_retention AS (
-    WITH o AS (
-        SELECT user_id, order_id, order_created_at FROM dim_orders WHERE status != 'Cancelled'
-    ), customer_orders AS (
-        SELECT user_id, count(DISTINCT order_id) AS lifetime_orders,
-               min(order_created_at) AS first_order_at
-        FROM o GROUP BY user_id
-    ), cohorts AS (
-        SELECT CAST(date_trunc('month', CAST(first_order_at AS DATE)) AS DATE) AS cohort_month,
-               user_id,
-               CASE WHEN lifetime_orders >= 2 THEN 1 ELSE 0 END AS is_repeat_customer
-        FROM customer_orders
-    )
-    SELECT cohort_month, count(*) AS new_customers,
-           CAST(sum(is_repeat_customer) AS BIGINT) AS repeat_customers,
-           round(sum(is_repeat_customer) / nullif(count(*), 0), 4) AS repeat_purchase_rate
-    FROM cohorts GROUP BY cohort_month
+    SELECT CAST(date_trunc('month', CAST(first_at AS DATE)) AS DATE) AS cohort_month,
+           count(*) AS new_customers,
+           CAST(count(*) FILTER (WHERE n_orders >= 2) AS BIGINT) AS repeat_customers,
+           round(count(*) FILTER (WHERE n_orders >= 2) / nullif(count(*), 0), 4) AS repeat_purchase_rate
+    FROM buyer_lifetimes
+    GROUP BY 1
+),
+user_spend AS (
+    SELECT user_id, count(DISTINCT order_id) AS n_orders, sum(sale_price) AS spend
+    FROM fct_order_items WHERE status <> 'Cancelled' GROUP BY user_id
 ),
 mart_channel_performance AS (
-    WITH u AS (SELECT user_id, traffic_source FROM dim_users),
-    oi AS (SELECT user_id, order_id, sale_price FROM fct_order_items WHERE status != 'Cancelled'),
-    per_user AS (
-        SELECT user_id, count(DISTINCT order_id) AS lifetime_orders,
-               sum(sale_price) AS lifetime_revenue
-        FROM oi GROUP BY user_id
-    ), user_level AS (
-        SELECT u.user_id, u.traffic_source,
-               coalesce(p.lifetime_orders, 0) AS lifetime_orders,
-               coalesce(p.lifetime_revenue, 0) AS lifetime_revenue,
-               CASE WHEN p.lifetime_orders >= 2 THEN 1 ELSE 0 END AS is_repeat_customer
-        FROM u LEFT JOIN per_user p ON u.user_id = p.user_id
-    )
-    SELECT traffic_source, count(*) AS customers,
-           CAST(sum(lifetime_orders) AS BIGINT) AS total_orders,
-           round(sum(lifetime_revenue), 2) AS total_revenue,
-           round(sum(lifetime_revenue) / nullif(count(*), 0), 2) AS revenue_per_customer,
-           round(sum(lifetime_orders) / nullif(count(*), 0), 2) AS orders_per_customer,
-           round(sum(is_repeat_customer) / nullif(count(*), 0), 4) AS repeat_purchase_rate
-    FROM user_level GROUP BY traffic_source
+    SELECT du.traffic_source,
+           count(*) AS customers,
+           CAST(sum(coalesce(us.n_orders, 0)) AS BIGINT) AS total_orders,
+           round(sum(coalesce(us.spend, 0)), 2) AS total_revenue,
+           round(sum(coalesce(us.spend, 0)) / nullif(count(*), 0), 2) AS revenue_per_customer,
+           round(sum(coalesce(us.n_orders, 0)) / nullif(count(*), 0), 2) AS orders_per_customer,
+           round(count(*) FILTER (WHERE us.n_orders >= 2) / nullif(count(*), 0), 4) AS repeat_purchase_rate
+    FROM dim_users du LEFT JOIN user_spend us ON us.user_id = du.user_id
+    GROUP BY du.traffic_source
 )"""
 
 _BLOCKS = [ADAPTER, MODELS, MARTS]
@@ -297,23 +280,16 @@ def _experiment_ctes(cfg=_CFG) -> str:
            var_samp(order_value) FILTER (WHERE variant = '{v}') AS var_{tag}"""
     return f"""
 fct_experiment_results AS (
-    WITH assignments AS (SELECT user_id, variant FROM stg_experiment_assignments),
-    o AS (
-        SELECT order_id, user_id, status AS order_status, created_at AS order_created_at
-        FROM stg_orders
-        WHERE CAST(created_at AS DATE) BETWEEN DATE '{cfg.start}' AND DATE '{cfg.end}'
-          AND status IN ({statuses})
-    ),
-    order_values AS (
-        SELECT order_id, sum(sale_price) AS order_value, count(*) AS item_count
-        FROM stg_order_items GROUP BY order_id
-    )
-    SELECT o.order_id, o.user_id, a.variant, o.order_status, o.order_created_at,
-           ov.order_value, ov.item_count,
-           CASE WHEN o.order_status = 'Complete' THEN 1 ELSE 0 END AS is_completed,
-           CASE WHEN o.order_status = 'Returned' THEN 1 ELSE 0 END AS is_returned
-    FROM o INNER JOIN assignments a ON o.user_id = a.user_id
-           INNER JOIN order_values ov ON o.order_id = ov.order_id
+    SELECT w.order_id, w.user_id, asg.variant, w.status AS order_status,
+           w.created_at AS order_created_at, b.order_value, b.item_count,
+           CASE WHEN w.status = 'Complete' THEN 1 ELSE 0 END AS is_completed,
+           CASE WHEN w.status = 'Returned' THEN 1 ELSE 0 END AS is_returned
+    FROM stg_orders w
+    JOIN stg_experiment_assignments asg ON asg.user_id = w.user_id
+    JOIN (SELECT order_id, sum(sale_price) AS order_value, count(*) AS item_count
+          FROM stg_order_items GROUP BY order_id) b ON b.order_id = w.order_id
+    WHERE CAST(w.created_at AS DATE) BETWEEN DATE '{cfg.start}' AND DATE '{cfg.end}'
+      AND w.status IN ({statuses})
 ),
 moments AS (
     SELECT {m('c', vc)},
