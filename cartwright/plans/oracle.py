@@ -296,22 +296,27 @@ moments AS (
            {m('t', vt)}
     FROM fct_experiment_results
 ),
+completed_baskets AS (
+    SELECT it.order_id, sum(it.sale_price) AS basket
+    FROM stg_order_items it WHERE it.status = 'Complete' GROUP BY it.order_id
+),
 baseline_order_value AS (
-    SELECT round(avg(order_value), 2) AS baseline_aov,
-           round(stddev_samp(order_value), 2) AS aov_stddev,
+    SELECT round(avg(basket), 2) AS baseline_aov, round(stddev_samp(basket), 2) AS aov_stddev,
            count(*) AS order_count
-    FROM (SELECT order_id, sum(sale_price) AS order_value
-          FROM stg_order_items WHERE status = 'Complete' GROUP BY order_id)
+    FROM completed_baskets
 ),
 baseline_return_rate AS (
-    SELECT round(count_if(status = 'Returned') / nullif(count(*), 0), 4) AS baseline_return_rate,
+    SELECT round(CAST(sum(CASE WHEN od.status = 'Returned' THEN 1 ELSE 0 END) AS DOUBLE)
+                 / nullif(count(*), 0), 4) AS baseline_return_rate,
            count(*) AS total_orders
-    FROM stg_orders WHERE status IN ('Complete', 'Returned')
+    FROM stg_orders od WHERE od.status = 'Complete' OR od.status = 'Returned'
+),
+completed_per_day AS (
+    SELECT CAST(od.created_at AS DATE) AS day, count(DISTINCT od.order_id) AS n
+    FROM stg_orders od WHERE od.status = 'Complete' GROUP BY CAST(od.created_at AS DATE)
 ),
 baseline_daily_orders AS (
-    SELECT avg(daily_orders) AS avg_daily_orders
-    FROM (SELECT CAST(created_at AS DATE) AS order_date, count(DISTINCT order_id) AS daily_orders
-          FROM stg_orders WHERE status = 'Complete' GROUP BY 1)
+    SELECT avg(n) AS avg_daily_orders FROM completed_per_day
 ),
 sample_size_and_duration AS (
     WITH b AS (
