@@ -58,7 +58,7 @@ def conversion_ztest(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> Dat
                     *rounded, (c("p_value") < cfg.alpha).alias("significant"))
 
 
-def _welch_columns(cfg: ExperimentConfig) -> dict[str, Column]:
+def _welch_columns() -> dict[str, Column]:
     vn_c = safe_divide(c("var_c"), c("n_c"))
     vn_t = safe_divide(c("var_t"), c("n_t"))
     se2 = vn_c + vn_t
@@ -76,7 +76,7 @@ def _welch_columns(cfg: ExperimentConfig) -> dict[str, Column]:
 
 def aov_welch(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
     """Welch t-test on order value with a CI on the mean difference."""
-    cols = _welch_columns(cfg)
+    cols = _welch_columns()
     s = moments.select(c("n_c").alias("n_control"), c("n_t").alias("n_treatment"),
                        *[v.alias(k) for k, v in cols.items()])
     s = (s.withColumn("p_value", t_two_sided_p(c("t_stat"), c("df_welch")))
