@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwright.llm import bpe, licenses, quality, sharding, token_counts
+from cartwright.llm import bpe, licenses, minhash, quality, sharding, token_counts
 from cartwright.llm.common import read_table
 
 
@@ -27,6 +27,10 @@ def op5_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op7_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_documents(read_table(spark, sf_dir, "documents"))
 
@@ -37,5 +41,5 @@ def op10_jump_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_bpe_round_trip, op4_prefix_token_counts, op5_quality_votes, op9_license_scan,
-        op10_jump_hash_shards)}
+        op1_bpe_round_trip, op4_prefix_token_counts, op5_quality_votes,
+        op7_minhash_near_duplicates, op9_license_scan, op10_jump_hash_shards)}
