@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwright.llm import bpe, licenses, minhash, quality, sharding, token_counts
+from cartwright.llm import (bpe, decontaminate, licenses, minhash, quality, sharding, token_counts,
+                            unit_dedup)
 from cartwright.llm.common import read_table
 
 
@@ -27,10 +28,19 @@ def op5_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op6_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unit_dedup.removed_from_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op7_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op8_benchmark_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated_documents(read_table(spark, sf_dir, "documents"),
+                                                read_table(spark, sf_dir, "benchmark"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_documents(read_table(spark, sf_dir, "documents"))
 
@@ -41,5 +51,6 @@ def op10_jump_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_bpe_round_trip, op4_prefix_token_counts, op5_quality_votes,
-        op7_minhash_near_duplicates, op9_license_scan, op10_jump_hash_shards)}
+        op1_bpe_round_trip, op4_prefix_token_counts, op5_quality_votes, op6_unit_dedup,
+        op7_minhash_near_duplicates, op8_benchmark_tiling, op9_license_scan,
+        op10_jump_hash_shards)}
