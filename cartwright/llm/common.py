@@ -43,3 +43,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 def whole_text(name: str = "text") -> Column:
     """The text with null as empty."""
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def replaced(text: Column, spans: Column) -> Column:
+    """The text with disjoint, ascending spans (start, end, label) replaced by their labels."""
+    upto = lambda i: F.when(i > 0, F.get(spans, i - 1)["end"]).otherwise(0)
+    parts = F.transform(spans, lambda s, i: F.concat(
+        F.substring(text, upto(i) + 1, s["start"] - upto(i)), s["label"]))
+    rest = F.substring(text, F.element_at(spans, -1)["end"] + 1, F.length(text))
+    return F.when(F.size(spans) > 0, F.concat(F.array_join(parts, ""), rest)).otherwise(text)

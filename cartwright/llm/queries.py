@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwright.llm import (bpe, decontaminate, licenses, minhash, quality, sharding, token_counts,
-                            unit_dedup)
+from cartwright.llm import (bpe, decontaminate, licenses, minhash, pii, quality, sharding,
+                            token_counts, unit_dedup)
 from cartwright.llm.common import read_table
 
 
@@ -18,6 +18,10 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.PATTERN)
 
 
+def op2_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op4_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_documents(read_table(spark, sf_dir, "documents"),
                                         public_tokenizers.path("byte_bpe_50k.json"),
@@ -51,6 +55,7 @@ def op10_jump_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_bpe_round_trip, op4_prefix_token_counts, op5_quality_votes, op6_unit_dedup,
-        op7_minhash_near_duplicates, op8_benchmark_tiling, op9_license_scan,
+        op1_bpe_round_trip, op2_pii_votes, op4_prefix_token_counts, op5_quality_votes,
+        op6_unit_dedup, op7_minhash_near_duplicates, op8_benchmark_tiling,
+        op9_license_scan,
         op10_jump_hash_shards)}

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.llm.bpe import blocks
-from cartwright.llm.common import staged
+from cartwright.llm.common import replaced, staged
 
 MIN_WORDS = 8
 #: patterns of units; every character belongs to exactly one unit
@@ -100,20 +100,16 @@ def deduplicated(df: DataFrame, kind: str = "sentence",
     rows = staged(df, "documents").withColumn("__row", F.monotonically_increasing_id())
     cut = staged(units(rows.drop("__row"), kind, min_words), "units")
     spans = (repeats(cut).groupBy("row")
-             .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed")))
+             .agg(F.sort_array(F.collect_list(F.struct("start", "end", F.lit("").alias("label"))))
+                  .alias("__spans")))
     joined = rows.join(spans.withColumnRenamed("row", "__row"), "__row", "left")
-    kept = F.aggregate(
-        "removed", F.struct(F.lit("").alias("text"), F.lit(0).cast("long").alias("upto")),
-        lambda state, span: F.struct(
-            F.concat(state["text"], F.substring(F.col("text"), state["upto"] + 1,
-                                                span["start"] - state["upto"])).alias("text"),
-            span["end"].alias("upto")),
-        lambda state: F.concat(state["text"], F.substring(
-            F.col("text"), state["upto"] + 1, F.length("text"))))
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept)
+    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(
+        replaced(F.col("text"), F.col("__spans")))
     columns = [text.alias("text") if c == "text" else F.col(c) for c in df.columns]
+    offsets = F.transform("__spans", lambda x: F.struct(x["start"].alias("start"),
+                                                        x["end"].alias("end")))
     return joined.select(*columns, F.coalesce(
-        "removed", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("removed"))
+        offsets, F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("removed"))
 
 
 def removed_from_documents(df: DataFrame) -> DataFrame:
