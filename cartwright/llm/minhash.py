@@ -191,3 +191,22 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     component = F.coalesce("class_component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+
+
+def one_of_each(df: DataFrame) -> DataFrame:
+    """The rows of one document of each group of near duplicates.
+
+    The smallest doc_id of a group stays; of repeated rows one. Rows without a
+    doc_id pass. The rows to leave out are joined, not those to keep, as they are
+    fewer.
+    """
+    found = staged(near_duplicates(df), "groups")
+    out = df.join(found.filter("not kept and doc_id is not null").select("doc_id").distinct(),
+                  "doc_id", "left_anti").select(*df.columns)
+    again = (found.filter("doc_id is not null").groupBy("doc_id")
+             .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"))
+    if again.isEmpty():
+        return out
+    return (out.join(again, "doc_id", "left_anti").select(*df.columns)
+            .union(out.join(again, "doc_id", "left_semi").select(*df.columns)
+                   .dropDuplicates(["doc_id"])))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwright.llm import (bpe, decontaminate, licenses, minhash, pii, quality, sharding,
-                            token_counts, unit_dedup)
+                            token_counts, toxicity, unit_dedup)
 from cartwright.llm.common import read_table
 
 
@@ -22,6 +22,11 @@ def op2_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read_table(spark, sf_dir, "documents"),
+                                    read_table(spark, sf_dir, "labels"))
+
+
 def op4_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_documents(read_table(spark, sf_dir, "documents"),
                                         public_tokenizers.path("byte_bpe_50k.json"),
@@ -55,7 +60,6 @@ def op10_jump_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_bpe_round_trip, op2_pii_votes, op4_prefix_token_counts, op5_quality_votes,
-        op6_unit_dedup, op7_minhash_near_duplicates, op8_benchmark_tiling,
-        op9_license_scan,
-        op10_jump_hash_shards)}
+        op1_bpe_round_trip, op2_pii_votes, op3_toxicity_neighbours, op4_prefix_token_counts,
+        op5_quality_votes, op6_unit_dedup, op7_minhash_near_duplicates, op8_benchmark_tiling,
+        op9_license_scan, op10_jump_hash_shards)}
