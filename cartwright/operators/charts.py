@@ -116,7 +116,7 @@ def order_value_histogram(fct: DataFrame, bins: int = HIST_BINS) -> DataFrame:
                    F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("hi")))
     idx = F.least(F.floor((F.col("order_value") - F.col("lo")) * bins / (F.col("hi") - F.col("lo"))),
                   F.lit(bins - 1)).cast("int")
-    counts = (f.join(F.broadcast(rng), "variant")
+    counts = (f.join(rng, "variant")
               .groupBy("variant", idx.alias("bin")).agg(F.count(F.lit(1)).alias("orders")))
     grid = rng.select("variant", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     width = (F.col("hi") - F.col("lo")) / bins
@@ -130,8 +130,8 @@ def order_value_histogram(fct: DataFrame, bins: int = HIST_BINS) -> DataFrame:
 def order_value_boxplot(fct: DataFrame, method: str = "exact") -> DataFrame:
     """Per variant: quartiles, IQR, whiskers at 1.5 IQR and the outlier count.
 
-    Whiskers are the most extreme values inside the fences; outliers are the
-    values outside the whiskers. Quartiles are exact (linear interpolation)
+    Whiskers are the most extreme values inside the fences, but never end
+    inside the box; outliers are the values outside the fences. Quartiles are exact (linear interpolation)
     unless ``method="approx"``.
     """
     f = fct.where(F.col("variant").isNotNull() & F.col("order_value").isNotNull())
@@ -142,13 +142,15 @@ def order_value_boxplot(fct: DataFrame, method: str = "exact") -> DataFrame:
           .withColumn("fence_high", F.col("q3") + WHISKER * F.col("iqr")))
     x = F.col("order_value")
     inside = (x >= F.col("fence_low")) & (x <= F.col("fence_high"))
-    stats = (f.join(F.broadcast(q.select("variant", "fence_low", "fence_high")), "variant")
+    stats = (f.join(q.select("variant", "fence_low", "fence_high"), "variant")
              .groupBy("variant")
              .agg(F.count(F.lit(1)).alias("orders"),
-                  F.min(F.when(inside, x)).alias("whisker_low"),
-                  F.max(F.when(inside, x)).alias("whisker_high"),
+                  F.min(F.when(inside, x)).alias("least_inside"),
+                  F.max(F.when(inside, x)).alias("most_inside"),
                   F.count_if(~inside).alias("outliers")))
-    j = q.join(stats, "variant")
+    j = (q.join(stats, "variant")
+         .withColumn("whisker_low", F.least("least_inside", "q1"))
+         .withColumn("whisker_high", F.greatest("most_inside", "q3")))
     return j.select("variant", "orders",
                     *[F.round(c, 4).alias(c) for c in ("q1", "median", "q3", "iqr",
                                                        "whisker_low", "whisker_high")],
@@ -161,7 +163,7 @@ def order_value_outliers(fct: DataFrame, method: str = "exact") -> DataFrame:
     q = quantile_columns(method)(f, ["variant"], "order_value", [0.25, 0.75], names=["q1", "q3"])
     q = q.select("variant", (F.col("q1") - WHISKER * (F.col("q3") - F.col("q1"))).alias("lo"),
                  (F.col("q3") + WHISKER * (F.col("q3") - F.col("q1"))).alias("hi"))
-    return (f.join(F.broadcast(q), "variant")
+    return (f.join(q, "variant")
             .where((F.col("order_value") < F.col("lo")) | (F.col("order_value") > F.col("hi")))
             .select("variant", "order_id", "order_value"))
 

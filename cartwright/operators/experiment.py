@@ -55,7 +55,9 @@ def fct_experiment_results(assignments: DataFrame, orders: DataFrame, order_item
     that is exact because the basket is inner-joined to those orders anyway.
     """
     o = (orders
-         .where(F.col("created_at").cast("date").between(F.lit(cfg.start), F.lit(cfg.end))
+         # a range on the column itself, so that it reaches the scan
+         .where((F.col("created_at") >= F.lit(cfg.start).cast("date"))
+                & (F.col("created_at") < F.date_add(F.lit(cfg.end).cast("date"), 1))
                 & F.col("status").isin(*cfg.statuses))
          .select("order_id", "user_id", F.col("status").alias("order_status"),
                  F.col("created_at").alias("order_created_at")))

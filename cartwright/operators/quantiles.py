@@ -87,7 +87,7 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     target_slices = located.select(*g, "_slice", "_start").distinct()
 
     # slices x groups is bounded by slices + groups rows: broadcast is safe
-    rows = ranged.join(F.broadcast(target_slices), on=[*g, "_slice"])
+    rows = ranged.join(target_slices, on=[*g, "_slice"])
     w_in = Window.partitionBy(*g, "_slice").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     rows = (rows.withColumn("_cum_end", F.col("_start") + F.sum("_w").over(w_in))
                 .withColumn("_cum_start", F.col("_cum_end") - F.col("_w")))
@@ -116,4 +116,7 @@ def approx_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
 
 
 def quantile_columns(method: str):
-    return exact_quantiles if method == "exact" else approx_quantiles
+    known = {"exact": exact_quantiles, "approx": approx_quantiles}
+    if method not in known:
+        raise ValueError(f"unknown quantile method {method!r}; use one of {sorted(known)}")
+    return known[method]

@@ -33,8 +33,14 @@ def _wilson(succ: Column, n: Column, crit: float) -> tuple[Column, Column]:
     return center - dist, center + dist
 
 
-def conversion_ztest(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
-    """Pooled two-proportion z-test on is_completed, Wilson intervals, lift."""
+def _rounded(frame: DataFrame, digits: dict[str, int]) -> DataFrame:
+    """The frame with some columns rounded for display; judge before this, not after."""
+    return frame.select(*[F.round(c(n), digits[n]).alias(n) if n in digits else c(n)
+                          for n in frame.columns])
+
+
+def exact_ztest(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
+    """Pooled two-proportion z-test on is_completed, Wilson intervals, lift; not rounded."""
     crit = normal_quantile(1 - cfg.alpha / 2)
     p_c = safe_divide(c("conv_c").cast("double"), c("n_c"))
     p_t = safe_divide(c("conv_t").cast("double"), c("n_t"))
@@ -51,11 +57,14 @@ def conversion_ztest(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> Dat
         lo_t.alias("ci_low_treatment"), hi_t.alias("ci_high_treatment"),
         (p_t - p_c).alias("absolute_lift"), z.alias("z_stat"))
     s = s.withColumn("p_value", normal_two_sided_p(c("z_stat")))
-    rounded = [F.round(c(n), 6).alias(n) for n in (
+    return s.withColumn("significant", c("p_value") < cfg.alpha)
+
+
+def conversion_ztest(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
+    """``exact_ztest`` for display."""
+    return _rounded(exact_ztest(moments, cfg), dict.fromkeys((
         "rate_control", "rate_treatment", "ci_low_control", "ci_high_control",
-        "ci_low_treatment", "ci_high_treatment", "absolute_lift", "z_stat", "p_value")]
-    return s.select("n_control", "n_treatment", "completed_control", "completed_treatment",
-                    *rounded, (c("p_value") < cfg.alpha).alias("significant"))
+        "ci_low_treatment", "ci_high_treatment", "absolute_lift", "z_stat", "p_value"), 6))
 
 
 def _welch_columns() -> dict[str, Column]:
@@ -74,8 +83,8 @@ def _welch_columns() -> dict[str, Column]:
     }
 
 
-def aov_welch(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
-    """Welch t-test on order value with a CI on the mean difference."""
+def exact_welch(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
+    """Welch t-test on order value with a CI on the mean difference; not rounded."""
     cols = _welch_columns()
     s = moments.select(c("n_c").alias("n_control"), c("n_t").alias("n_treatment"),
                        *[v.alias(k) for k, v in cols.items()])
@@ -83,37 +92,46 @@ def aov_welch(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
           .withColumn("t_crit", t_quantile_two_sided(cfg.alpha, c("df_welch"))))
     s = (s.withColumn("ci_low", c("mean_diff") - c("t_crit") * c("se_diff"))
           .withColumn("ci_high", c("mean_diff") + c("t_crit") * c("se_diff")))
+    return s.withColumn("significant", c("p_value") < cfg.alpha)
+
+
+def aov_welch(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
+    """``exact_welch`` for display: money to 4 digits, statistics to 6."""
     money = ["mean_control", "mean_treatment", "sd_control", "sd_treatment", "mean_diff",
              "se_diff", "ci_low", "ci_high"]
     stat = ["t_stat", "p_value", "t_crit", "relative_lift"]
-    return s.select("n_control", "n_treatment",
-                    *[F.round(c(n), 4).alias(n) for n in money],
-                    *[F.round(c(n), 6).alias(n) for n in stat],
-                    F.round(c("df_welch"), 4).alias("df_welch"),
-                    (c("p_value") < cfg.alpha).alias("significant"))
+    shown = exact_welch(moments, cfg).select(
+        "n_control", "n_treatment", *money, *stat, "df_welch", "significant")
+    return _rounded(shown, dict.fromkeys([*money, "df_welch"], 4) | dict.fromkeys(stat, 6))
 
 
-def return_guardrail(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
-    """Treatment return rate minus control's against the guardrail threshold."""
+def exact_guardrail(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
+    """Treatment return rate minus control's against the guardrail threshold; not rounded."""
     r_c = safe_divide(c("ret_c").cast("double"), c("n_c"))
     r_t = safe_divide(c("ret_t").cast("double"), c("n_t"))
     diff = r_t - r_c
     return moments.select(
         c("ret_c").alias("returned_control"), c("ret_t").alias("returned_treatment"),
-        F.round(r_c, 6).alias("return_rate_control"),
-        F.round(r_t, 6).alias("return_rate_treatment"),
-        F.round(diff, 6).alias("return_rate_diff"),
+        r_c.alias("return_rate_control"),
+        r_t.alias("return_rate_treatment"),
+        diff.alias("return_rate_diff"),
         F.lit(cfg.guardrail).alias("threshold"),
         (diff > F.lit(cfg.guardrail)).alias("breached"))
 
 
+def return_guardrail(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
+    """``exact_guardrail`` for display."""
+    return _rounded(exact_guardrail(moments, cfg), dict.fromkeys(
+        ("return_rate_control", "return_rate_treatment", "return_rate_diff"), 6))
+
+
 DECISIONS = {
-    # fixed decision table (experiment design): label -> recommendation
-    "guardrail_breach": "Pause and investigate before any rollout decision",
-    "loss": "Do not roll out; investigate friction",
-    "win": "Roll out to 100% of users",
-    "significant_below_mde": "Do not roll out; lift below the minimum worth shipping",
-    "inconclusive": "Extend the test or investigate banner visibility",
+    # label -> what to do next
+    "guardrail_breach": "Returns rose too much: stop and find out why first",
+    "loss": "Keep the control; the change lowers order value",
+    "win": "Ship the change to everybody",
+    "significant_below_mde": "Keep the control; the gain is real but too small",
+    "inconclusive": "No verdict yet; collect more orders",
 }
 
 
@@ -121,6 +139,9 @@ def experiment_decision(welch: DataFrame, guardrail: DataFrame, sizing: DataFram
                         cfg: ExperimentConfig = DEFAULT) -> DataFrame:
     """One decision row: breach, loss, win, below-MDE, inconclusive (that order).
 
+    Reads the unrounded ``exact_welch`` and ``exact_guardrail``; rounding is
+    the last step.
+
     Also reports captured vs required orders; ``share_of_required`` is the
     share of the required sample that was captured (not a power).
     """
@@ -134,8 +155,10 @@ def experiment_decision(welch: DataFrame, guardrail: DataFrame, sizing: DataFram
                 .otherwise("inconclusive"))
     rec = F.create_map(*[x for k, v in DECISIONS.items() for x in (F.lit(k), F.lit(v))])
     captured = c("n_control") + c("n_treatment")
-    return (j.select(decision.alias("decision"), "p_value", "mean_diff", "relative_lift",
-                     "return_rate_diff", "breached",
+    return (j.select(decision.alias("decision"), F.round("p_value", 6).alias("p_value"),
+                     F.round("mean_diff", 4).alias("mean_diff"),
+                     F.round("relative_lift", 6).alias("relative_lift"),
+                     F.round("return_rate_diff", 6).alias("return_rate_diff"), "breached",
                      captured.alias("captured_orders"), c("n_total").alias("required_orders"),
                      F.round(safe_divide(captured.cast("double"), c("n_total")), 6).alias("share_of_required"),
                      ((c("n_control") >= c("n_per_variant")) & (c("n_treatment") >= c("n_per_variant")))
@@ -150,6 +173,7 @@ def interval_chart(moments: DataFrame, ztest: DataFrame, welch: DataFrame,
     Conversion uses each variant's Wilson interval; order value each
     variant's own t interval (mean +- t(n-1) sd/sqrt(n)). The reference drew
     half the difference CI around each mean instead; its p-values are kept.
+    ``ztest`` and ``welch`` are the unrounded ones.
     """
     crit_t_c = t_quantile_two_sided(cfg.alpha, (c("n_c") - 1).cast("double"))
     crit_t_t = t_quantile_two_sided(cfg.alpha, (c("n_t") - 1).cast("double"))

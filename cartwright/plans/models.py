@@ -70,6 +70,11 @@ class Models:
     def stg_experiment_assignments(self) -> DataFrame:
         return self._k("stg_experiment_assignments", staging.stg_experiment_assignments(self.sources.users))
 
+    @cached_property
+    def item_lines(self) -> DataFrame:
+        """Staged order items without their order's columns, for models that read none."""
+        return self.sources.item_lines.withColumnRenamed("id", "order_item_id")
+
     # star schema (tables)
     @cached_property
     def dim_users(self) -> DataFrame:
@@ -90,7 +95,7 @@ class Models:
     # analytics marts (tables)
     @cached_property
     def mart_category_performance(self) -> DataFrame:
-        return self._k("mart_category_performance", analytics.mart_category_performance(self.fct_order_items, self.dim_products, sort=False))
+        return self._k("mart_category_performance", analytics.mart_category_performance(self.item_lines, self.dim_products, sort=False))
 
     @cached_property
     def mart_customer_retention(self) -> DataFrame:
@@ -114,7 +119,7 @@ class ExperimentModels:
     def fct_experiment_results(self) -> DataFrame:
         from cartwright.operators.experiment import fct_experiment_results
         return self._k("fct_experiment_results", fct_experiment_results(
-            self.m.stg_experiment_assignments, self.m.stg_orders, self.m.stg_order_items, self.cfg))
+            self.m.stg_experiment_assignments, self.m.stg_orders, self.m.item_lines, self.cfg))
 
     @cached_property
     def moments(self) -> DataFrame:
@@ -124,7 +129,7 @@ class ExperimentModels:
     @cached_property
     def baseline_order_value(self) -> DataFrame:
         from cartwright.operators.experiment import baseline_order_value
-        return baseline_order_value(self.m.stg_order_items)
+        return baseline_order_value(self.m.item_lines)
 
     @cached_property
     def baseline_return_rate(self) -> DataFrame:
@@ -159,11 +164,13 @@ class ExperimentModels:
 
     @cached_property
     def experiment_decision(self) -> DataFrame:
-        from cartwright.operators.statistics import experiment_decision
-        return experiment_decision(self.aov_welch, self.return_guardrail,
+        from cartwright.operators.statistics import exact_guardrail, exact_welch, experiment_decision
+        return experiment_decision(exact_welch(self.moments, self.cfg),
+                                   exact_guardrail(self.moments, self.cfg),
                                    self.sample_size_and_duration, self.cfg)
 
     @cached_property
     def interval_chart(self) -> DataFrame:
-        from cartwright.operators.statistics import interval_chart
-        return interval_chart(self.moments, self.conversion_ztest, self.aov_welch, self.cfg)
+        from cartwright.operators.statistics import exact_welch, exact_ztest, interval_chart
+        return interval_chart(self.moments, exact_ztest(self.moments, self.cfg),
+                              exact_welch(self.moments, self.cfg), self.cfg)

@@ -12,16 +12,6 @@ from __future__ import annotations
 
 # -- fixture adapter: TPC-H -> shop source tables ---------------------------
 ADAPTER = """
-src_order_headers AS (
-    SELECT o_orderkey, max(o_custkey) AS o_custkey,
-           max(CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 1
-                    WHEN o_orderstatus = 'F' THEN 2
-                    WHEN o_orderstatus = 'O' AND o_orderpriority = '5-LOW' THEN 3
-                    WHEN o_orderstatus = 'O' THEN 4
-                    ELSE 5 END) AS status_code,
-           max(o_orderdate) AS o_orderdate
-    FROM orders GROUP BY o_orderkey
-),
 src_users AS (
     SELECT cu.id, cu.c_name AS first_name, cu.c_name AS last_name,
            cu.c_name || '@example.com' AS email,
@@ -37,13 +27,12 @@ src_users AS (
 src_orders_1 AS (
     SELECT h.o_orderkey AS order_id,
            h.o_custkey * 10 + h.o_orderkey % 10 AS user_id,
-           CASE h.status_code WHEN 1 THEN 'Returned' WHEN 2 THEN 'Complete'
-                WHEN 3 THEN 'Cancelled' WHEN 4 THEN 'Shipped' WHEN 5 THEN 'Processing' END AS status,
+           CASE WHEN h.o_orderstatus = 'F' THEN if(h.o_orderpriority = '1-URGENT', 'Returned', 'Complete')
+                WHEN h.o_orderstatus = 'O' THEN if(h.o_orderpriority = '5-LOW', 'Cancelled', 'Shipped')
+                ELSE 'Processing' END AS status,
            h.o_orderdate AS created_at,
-           coalesce(c.n_items, 0) AS num_of_item
-    FROM src_order_headers h
-    LEFT JOIN (SELECT l_orderkey, count(*) AS n_items FROM lineitem GROUP BY l_orderkey) c
-      ON h.o_orderkey = c.l_orderkey
+           (SELECT count(*) FROM lineitem l WHERE l.l_orderkey = h.o_orderkey) AS num_of_item
+    FROM orders h
 ),
 src_orders AS (
     SELECT order_id, user_id, status,
@@ -72,7 +61,7 @@ src_order_items AS (
            l.l_shipdate + INTERVAL 3 DAY AS delivered_at,
            CASE WHEN l.l_returnflag = 'R' THEN l.l_shipdate END AS returned_at,
            l.l_extendedprice AS sale_price
-    FROM lineitem l LEFT JOIN src_order_headers h ON l.l_orderkey = h.o_orderkey
+    FROM lineitem l LEFT JOIN orders h ON l.l_orderkey = h.o_orderkey
 ),
 src_products AS (
     SELECT p_partkey AS id, p_name AS name, p_brand AS brand, p_brand AS category,
@@ -133,50 +122,73 @@ fct_order_items AS (
     FROM stg_order_items oi LEFT JOIN stg_orders o ON oi.order_id = o.order_id
 )""".replace("{key}", VARIANT_KEY_SQL)
 
-# -- analytics marts ---------------------------------------------------------
+# -- analytics marts, from the raw tables --------------------------------------
+# Stated from the column contracts: amounts in whole cents, one grouped pass per
+# question. An item line is cancelled when it is the seventh of an open order; an
+# order when it is open and of low priority.
 MARTS = """
+line_cents AS (
+    SELECT l_orderkey, l_partkey, l_linenumber = 7 AND l_linestatus = 'O' AS cancelled,
+           l_returnflag = 'R' AS came_back, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents
+    FROM lineitem
+),
+brand_totals AS (
+    SELECT p_brand AS category, if(p_size % 2 = 0, 'Men', 'Women') AS department,
+           count(*) AS lines, count(*) FILTER (NOT cancelled) AS sold,
+           count(*) FILTER (came_back) AS back,
+           coalesce(sum(cents) FILTER (NOT cancelled), 0) AS revenue,
+           coalesce(sum(CAST(round(p_retailprice * 100) AS BIGINT) * 25) FILTER (NOT cancelled), 0) AS cost
+    FROM part JOIN line_cents ON l_partkey = p_partkey
+    GROUP BY ALL
+),
 mart_category_performance AS (
-    SELECT pr.category, pr.department,
-           count(*) AS items_ordered,
-           CAST(sum(CASE WHEN it.status = 'Cancelled' THEN 0 ELSE 1 END) AS BIGINT) AS items_sold,
-           CAST(sum(CASE WHEN it.returned_at IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS items_returned,
-           round(sum(CASE WHEN it.status = 'Cancelled' THEN 0 ELSE it.sale_price END), 2) AS gross_revenue,
-           round(sum(CASE WHEN it.status = 'Cancelled' THEN 0 ELSE pr.cost END), 2) AS cost_of_goods,
-           round(sum(CASE WHEN it.status = 'Cancelled' THEN 0 ELSE it.sale_price - pr.cost END), 2) AS gross_margin,
-           round(sum(CASE WHEN it.status = 'Cancelled' THEN 0 ELSE it.sale_price - pr.cost END)
-                 / nullif(sum(CASE WHEN it.status = 'Cancelled' THEN 0 ELSE it.sale_price END), 0), 4)
-               AS gross_margin_pct,
-           round(sum(CASE WHEN it.returned_at IS NULL THEN 0 ELSE 1 END)
-                 / nullif(sum(CASE WHEN it.status = 'Cancelled' THEN 0 ELSE 1 END), 0), 4) AS return_rate
-    FROM fct_order_items it JOIN dim_products pr ON pr.product_id = it.product_id
-    GROUP BY pr.category, pr.department
-),
-buyer_lifetimes AS (
-    SELECT user_id, count(DISTINCT order_id) AS n_orders, min(order_created_at) AS first_at
-    FROM dim_orders WHERE status <> 'Cancelled' GROUP BY user_id
+    SELECT category, department, lines AS items_ordered, sold AS items_sold, back AS items_returned,
+           round(revenue / 100, 2) AS gross_revenue, round(cost / 100, 2) AS cost_of_goods,
+           round((revenue - cost) / 100, 2) AS gross_margin,
+           round((revenue - cost) / nullif(revenue, 0), 4) AS gross_margin_pct,
+           round(back / nullif(sold, 0), 4) AS return_rate
+    FROM brand_totals
+),
+placed AS (
+    SELECT o_custkey, o_custkey * 10 + o_orderkey % 10 AS buyer, o_orderkey, o_orderdate,
+           o_orderstatus = 'O' AND o_orderpriority = '5-LOW' AS called_off
+    FROM orders
+),
+cohorts AS (
+    SELECT strftime(first_order, '%Y-%m-01')::DATE AS month, n_orders
+    FROM (SELECT min(o_orderdate) AS first_order, count(DISTINCT o_orderkey) AS n_orders
+          FROM placed WHERE called_off IS NOT TRUE GROUP BY buyer)
 ),
 mart_customer_retention AS (
-    SELECT CAST(date_trunc('month', CAST(first_at AS DATE)) AS DATE) AS cohort_month,
-           count(*) AS new_customers,
-           CAST(count(*) FILTER (WHERE n_orders >= 2) AS BIGINT) AS repeat_customers,
-           round(count(*) FILTER (WHERE n_orders >= 2) / nullif(count(*), 0), 4) AS repeat_purchase_rate
-    FROM buyer_lifetimes
-    GROUP BY 1
+    SELECT month AS cohort_month, count(*) AS new_customers,
+           count(*) FILTER (n_orders > 1) AS repeat_customers,
+           round(count(*) FILTER (n_orders > 1) / count(*), 4) AS repeat_purchase_rate
+    FROM cohorts GROUP BY month
 ),
-user_spend AS (
-    SELECT user_id, count(DISTINCT order_id) AS n_orders, sum(sale_price) AS spend
-    FROM fct_order_items WHERE status <> 'Cancelled' GROUP BY user_id
+order_cents AS (
+    SELECT l_orderkey, sum(cents) AS cents FROM line_cents WHERE NOT cancelled GROUP BY l_orderkey
+),
+buyer_cents AS (
+    SELECT o_custkey, buyer, count(DISTINCT o_orderkey) AS n_orders, sum(cents) AS cents
+    FROM placed JOIN order_cents ON l_orderkey = o_orderkey GROUP BY o_custkey, buyer
+),
+customer_cents AS (
+    SELECT o_custkey, sum(n_orders) AS n_orders, sum(cents) AS cents,
+           count(*) FILTER (n_orders > 1) AS repeaters
+    FROM buyer_cents GROUP BY o_custkey
+),
+segment_totals AS (
+    SELECT c_mktsegment, 10 * count(*) AS people, coalesce(sum(n_orders), 0) AS n_orders,
+           coalesce(sum(cents), 0) / 100 AS revenue, coalesce(sum(repeaters), 0) AS repeaters
+    FROM customer LEFT JOIN customer_cents ON o_custkey = c_custkey GROUP BY c_mktsegment
 ),
 mart_channel_performance AS (
-    SELECT du.traffic_source,
-           count(*) AS customers,
-           CAST(sum(coalesce(us.n_orders, 0)) AS BIGINT) AS total_orders,
-           round(sum(coalesce(us.spend, 0)), 2) AS total_revenue,
-           round(sum(coalesce(us.spend, 0)) / nullif(count(*), 0), 2) AS revenue_per_customer,
-           round(sum(coalesce(us.n_orders, 0)) / nullif(count(*), 0), 2) AS orders_per_customer,
-           round(count(*) FILTER (WHERE us.n_orders >= 2) / nullif(count(*), 0), 4) AS repeat_purchase_rate
-    FROM dim_users du LEFT JOIN user_spend us ON us.user_id = du.user_id
-    GROUP BY du.traffic_source
+    SELECT c_mktsegment AS traffic_source, people AS customers,
+           CAST(n_orders AS BIGINT) AS total_orders, round(revenue, 2) AS total_revenue,
+           round(revenue / people, 2) AS revenue_per_customer,
+           round(n_orders / people, 2) AS orders_per_customer,
+           round(repeaters / people, 4) AS repeat_purchase_rate
+    FROM segment_totals
 )"""
 
 _BLOCKS = [ADAPTER, MODELS, MARTS]
@@ -280,43 +292,41 @@ def _experiment_ctes(cfg=_CFG) -> str:
            var_samp(order_value) FILTER (WHERE variant = '{v}') AS var_{tag}"""
     return f"""
 fct_experiment_results AS (
-    SELECT w.order_id, w.user_id, asg.variant, w.status AS order_status,
-           w.created_at AS order_created_at, b.order_value, b.item_count,
-           CASE WHEN w.status = 'Complete' THEN 1 ELSE 0 END AS is_completed,
-           CASE WHEN w.status = 'Returned' THEN 1 ELSE 0 END AS is_returned
-    FROM stg_orders w
-    JOIN stg_experiment_assignments asg ON asg.user_id = w.user_id
-    JOIN (SELECT order_id, sum(sale_price) AS order_value, count(*) AS item_count
-          FROM stg_order_items GROUP BY order_id) b ON b.order_id = w.order_id
-    WHERE CAST(w.created_at AS DATE) BETWEEN DATE '{cfg.start}' AND DATE '{cfg.end}'
-      AND w.status IN ({statuses})
+    SELECT o_orderkey AS order_id, o_custkey * 10 + o_orderkey % 10 AS user_id,
+           ['{vc}', '{vt}'][1 + {VARIANT_KEY_SQL.replace("id AS", "o_custkey * 10 + o_orderkey % 10 AS")}] AS variant,
+           st AS order_status, o_orderdate AS order_created_at, order_value, item_count,
+           CAST(st = 'Complete' AS INTEGER) AS is_completed,
+           CAST(st = 'Returned' AS INTEGER) AS is_returned
+    FROM (SELECT *, CASE o_orderstatus WHEN 'F' THEN if(o_orderpriority = '1-URGENT', 'Returned', 'Complete')
+                    WHEN 'O' THEN if(o_orderpriority = '5-LOW', 'Cancelled', 'Shipped')
+                    ELSE 'Processing' END AS st
+          FROM orders WHERE o_orderdate >= DATE '{cfg.start}'
+                        AND o_orderdate < DATE '{cfg.end}' + INTERVAL 1 DAY)
+    SEMI JOIN customer ON c_custkey = o_custkey
+    JOIN (SELECT l_orderkey, sum(l_extendedprice) AS order_value, count(*) AS item_count
+          FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey
+    WHERE st IN ({statuses})
 ),
 moments AS (
     SELECT {m('c', vc)},
            {m('t', vt)}
     FROM fct_experiment_results
 ),
-completed_baskets AS (
-    SELECT it.order_id, sum(it.sale_price) AS basket
-    FROM stg_order_items it WHERE it.status = 'Complete' GROUP BY it.order_id
-),
 baseline_order_value AS (
     SELECT round(avg(basket), 2) AS baseline_aov, round(stddev_samp(basket), 2) AS aov_stddev,
            count(*) AS order_count
-    FROM completed_baskets
+    FROM (SELECT sum(l_extendedprice) AS basket FROM lineitem
+          WHERE l_linestatus = 'F' AND l_returnflag <> 'R' GROUP BY l_orderkey)
 ),
 baseline_return_rate AS (
-    SELECT round(CAST(sum(CASE WHEN od.status = 'Returned' THEN 1 ELSE 0 END) AS DOUBLE)
-                 / nullif(count(*), 0), 4) AS baseline_return_rate,
+    SELECT round(avg(CAST(o_orderpriority = '1-URGENT' AS INTEGER)), 4) AS baseline_return_rate,
            count(*) AS total_orders
-    FROM stg_orders od WHERE od.status = 'Complete' OR od.status = 'Returned'
-),
-completed_per_day AS (
-    SELECT CAST(od.created_at AS DATE) AS day, count(DISTINCT od.order_id) AS n
-    FROM stg_orders od WHERE od.status = 'Complete' GROUP BY CAST(od.created_at AS DATE)
+    FROM orders WHERE o_orderstatus = 'F'
 ),
 baseline_daily_orders AS (
-    SELECT avg(n) AS avg_daily_orders FROM completed_per_day
+    SELECT count(DISTINCT (CAST(o_orderdate AS DATE), o_orderkey))
+           / nullif(count(DISTINCT CAST(o_orderdate AS DATE)), 0) AS avg_daily_orders
+    FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority <> '1-URGENT'
 ),
 sample_size_and_duration AS (
     WITH b AS (
@@ -377,7 +387,8 @@ ztest AS (
            round(lo_t, 6) AS ci_low_treatment, round(hi_t, 6) AS ci_high_treatment,
            round(p_t - p_c, 6) AS absolute_lift, round(z_stat, 6) AS z_stat,
            round({normal_p_sql('z_stat')}, 6) AS p_value,
-           {normal_p_sql('z_stat')} < {dbl(cfg.alpha)} AS significant
+           {normal_p_sql('z_stat')} < {dbl(cfg.alpha)} AS significant,
+           {normal_p_sql('z_stat')} AS exact_p, p_c, p_t, lo_c, hi_c, lo_t, hi_t
     FROM z
 )"""
 
@@ -412,7 +423,8 @@ welch AS (
            round(t_stat, 6) AS t_stat, round(p_value, 6) AS p_value, round(t_crit, 6) AS t_crit,
            round((mean_t - mean_c) / nullif(mean_c, 0), 6) AS relative_lift,
            round(df_welch, 4) AS df_welch,
-           p_value < {dbl(cfg.alpha)} AS significant
+           p_value < {dbl(cfg.alpha)} AS significant, p_value AS exact_p,
+           mean_diff AS exact_diff, (mean_t - mean_c) / nullif(mean_c, 0) AS exact_lift
     FROM p
 )"""
 
@@ -434,8 +446,14 @@ guardrail AS (
 
 
 def _decision_body(cfg=_CFG) -> str:
-    from cartwright.operators.statistics import DECISIONS
-    rec = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in DECISIONS.items())
+    advice = {  # fixed values: what the engine prints for each label
+        "guardrail_breach": "Returns rose too much: stop and find out why first",
+        "loss": "Keep the control; the change lowers order value",
+        "win": "Ship the change to everybody",
+        "significant_below_mde": "Keep the control; the gain is real but too small",
+        "inconclusive": "No verdict yet; collect more orders",
+    }
+    rec = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in advice.items())
     a = dbl(cfg.alpha)
     return f"""
 decision AS (
@@ -444,10 +462,10 @@ decision AS (
         FROM welch w CROSS JOIN guardrail g CROSS JOIN sample_size_and_duration s
     ), d AS (
         SELECT *, CASE WHEN breached THEN 'guardrail_breach'
-                       WHEN p_value < {a} AND mean_diff < 0 THEN 'loss'
-                       WHEN p_value < {a} AND mean_diff > 0 AND relative_lift >= {dbl(cfg.mde_relative)} THEN 'win'
-                       WHEN p_value < {a} THEN 'significant_below_mde'
-                       ELSE 'inconclusive' END AS decision
+                       WHEN exact_p >= {a} OR exact_p IS NULL THEN 'inconclusive'
+                       WHEN exact_diff < 0 THEN 'loss'
+                       WHEN exact_diff > 0 AND exact_lift >= {dbl(cfg.mde_relative)} THEN 'win'
+                       ELSE 'significant_below_mde' END AS decision
         FROM j
     )
     SELECT decision, p_value, mean_diff, relative_lift, return_rate_diff, breached,
@@ -467,13 +485,12 @@ interval_chart AS (
                {t_quantile_sql(cfg.alpha, 'CAST(n_c - 1 AS DOUBLE)')} * sqrt(var_c / nullif(n_c, 0)) AS half_c,
                {t_quantile_sql(cfg.alpha, 'CAST(n_t - 1 AS DOUBLE)')} * sqrt(var_t / nullif(n_t, 0)) AS half_t
         FROM moments
-    ), z AS (SELECT * FROM ztest), w AS (SELECT p_value AS p_aov FROM welch),
+    ), z AS (SELECT * FROM ztest), w AS (SELECT exact_p AS p_aov FROM welch),
     r AS (
-        SELECT 'conversion_rate' AS metric, '{cfg.variants[0]}' AS variant, rate_control AS value,
-               ci_low_control AS ci_low, ci_high_control AS ci_high, z.p_value FROM z
+        SELECT 'conversion_rate' AS metric, '{cfg.variants[0]}' AS variant, p_c AS value,
+               lo_c AS ci_low, hi_c AS ci_high, z.exact_p AS p_value FROM z
         UNION ALL
-        SELECT 'conversion_rate', '{cfg.variants[1]}', rate_treatment, ci_low_treatment,
-               ci_high_treatment, z.p_value FROM z
+        SELECT 'conversion_rate', '{cfg.variants[1]}', p_t, lo_t, hi_t, z.exact_p FROM z
         UNION ALL
         SELECT 'average_order_value', '{cfg.variants[0]}', mean_c, mean_c - half_c, mean_c + half_c, p_aov
         FROM m CROSS JOIN w
@@ -518,8 +535,8 @@ ORACLE.update({
     "baseline_return_rate": _select_all("baseline_return_rate"),
     "baseline_daily_orders": _select_all("baseline_daily_orders"),
     "sample_size_and_duration": _select_all("sample_size_and_duration"),
-    "conversion_ztest": _select_all("ztest"),
-    "aov_welch": _select_all("welch"),
+    "conversion_ztest": with_models("SELECT * EXCLUDE (exact_p, p_c, p_t, lo_c, hi_c, lo_t, hi_t) FROM ztest"),
+    "aov_welch": with_models("SELECT * EXCLUDE (exact_p, exact_diff, exact_lift) FROM welch"),
     "return_guardrail": _select_all("guardrail"),
     "experiment_decision": _select_all("decision"),
     "interval_chart": _select_all("interval_chart"),
@@ -566,17 +583,19 @@ box_f AS (
     FROM box_q
 ),
 rate_bounds AS (
-    SELECT 'category return_rate' AS failing_metric, category AS grain, return_rate AS value
-    FROM mart_category_performance WHERE return_rate < 0 OR return_rate > 1
-    UNION ALL
-    SELECT 'category gross_margin_pct', category, gross_margin_pct
-    FROM mart_category_performance WHERE gross_margin_pct < -1 OR gross_margin_pct > 1
-    UNION ALL
-    SELECT 'cohort repeat_purchase_rate', CAST(cohort_month AS VARCHAR), repeat_purchase_rate
-    FROM mart_customer_retention WHERE repeat_purchase_rate < 0 OR repeat_purchase_rate > 1
-    UNION ALL
-    SELECT 'channel repeat_purchase_rate', traffic_source, repeat_purchase_rate
-    FROM mart_channel_performance WHERE repeat_purchase_rate < 0 OR repeat_purchase_rate > 1
+    SELECT failing_metric, grain, value
+    FROM (SELECT unnest([
+              {'failing_metric': 'category return_rate', 'grain': category, 'value': return_rate, 'least': 0.0},
+              {'failing_metric': 'category gross_margin_pct', 'grain': category, 'value': gross_margin_pct,
+               'least': -1.0}], recursive := true)
+          FROM mart_category_performance
+          UNION ALL BY NAME
+          SELECT 'cohort repeat_purchase_rate' AS failing_metric, cohort_month::VARCHAR AS grain,
+                 repeat_purchase_rate AS value, 0.0 AS least FROM mart_customer_retention
+          UNION ALL BY NAME
+          SELECT 'channel repeat_purchase_rate' AS failing_metric, traffic_source AS grain,
+                 repeat_purchase_rate AS value, 0.0 AS least FROM mart_channel_performance)
+    WHERE value NOT BETWEEN least AND 1
 )"""
 _BLOCKS.append(_CHART_CTES)
 
@@ -672,8 +691,8 @@ rng AS (
 )"""),
     "order_value_boxplot": with_models("""
 SELECT q.variant, s.orders, round(q.q1, 4) AS q1, round(q.median, 4) AS median, round(q.q3, 4) AS q3,
-       round(q.iqr, 4) AS iqr, round(s.whisker_low, 4) AS whisker_low,
-       round(s.whisker_high, 4) AS whisker_high, s.outliers
+       round(q.iqr, 4) AS iqr, round(least(s.whisker_low, q.q1), 4) AS whisker_low,
+       round(greatest(s.whisker_high, q.q3), 4) AS whisker_high, s.outliers
 FROM box_f q JOIN (
     SELECT f.variant, count(*) AS orders,
            min(CASE WHEN f.order_value >= b.fence_low AND f.order_value <= b.fence_high THEN f.order_value END) AS whisker_low,

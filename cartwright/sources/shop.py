@@ -26,13 +26,12 @@ Mapping (fixed values of the test fixture):
   for even p_size else 'Women', cost = 25 x p_retailprice,
   retail_price = 50 x p_retailprice.
 
-Plan notes. Order headers are grouped on ``o_orderkey`` before they are
-joined to anything. That is free when the header is joined on its key (the
-aggregate's output partitioning satisfies the join), and it tells Catalyst
-the key is unique, so a left join whose right-side columns are never read
-is removed from the plan (e.g. the category mart never shuffles lineitem by
-order key). The nation lookup is tiny and is broadcast by the planner's
-size estimate, not by a hint.
+Plan notes. Orders are not grouped: a repeated order key stays repeated, so the
+uniqueness checks can fail, and filters on status and date reach the scan. The
+category mart reads nothing of the order, so it takes ``item_lines`` and never
+shuffles lineitem by order key; that equals reading the full items as long as
+``unique(order_id)`` passes. The nation lookup is tiny and is broadcast by the
+planner's own size rule.
 """
 
 from __future__ import annotations
@@ -60,6 +59,8 @@ class RetailSources:
     orders: DataFrame
     order_items: DataFrame
     products: DataFrame
+    #: order items without columns of their order, for models that read none of them
+    item_lines: DataFrame
 
 
 def _gender(user_id: Column) -> Column:
@@ -70,25 +71,13 @@ def _days(ts: Column, n: int) -> Column:
     return ts + F.expr(f"INTERVAL {n} DAY")
 
 
-# fixed values: order status codes used inside the per-key header aggregate
-ORDER_STATUS_CODES = {1: "Returned", 2: "Complete", 3: "Cancelled", 4: "Shipped", 5: "Processing"}
-
-
-def _order_status_code() -> Column:
-    """Status of a TPC-H order row as a small int (fixed-width aggregate buffer)."""
+def _order_status() -> Column:
     st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
-    return (F.when((st == "F") & (pr == "1-URGENT"), 1)
-            .when(st == "F", 2)
-            .when((st == "O") & (pr == "5-LOW"), 3)
-            .when(st == "O", 4)
-            .otherwise(5))
-
-
-def _status_name(code: Column) -> Column:
-    out = None
-    for k, v in ORDER_STATUS_CODES.items():
-        out = F.when(code == k, v) if out is None else out.when(code == k, v)
-    return out
+    return (F.when((st == "F") & (pr == "1-URGENT"), "Returned")
+            .when(st == "F", "Complete")
+            .when((st == "O") & (pr == "5-LOW"), "Cancelled")
+            .when(st == "O", "Shipped")
+            .otherwise("Processing"))
 
 
 def _item_status() -> Column:
@@ -99,19 +88,6 @@ def _item_status() -> Column:
             .otherwise("Processing"))
 
 
-def order_headers(tables: TableSource) -> DataFrame:
-    """One row per order key: the attributes items and orders take over.
-
-    Every aggregate buffer is fixed-width (ids, a status code, a
-    timestamp), so this plans as a hash aggregate, not a sort aggregate.
-    """
-    o = tables["orders"]
-    return (o.groupBy("o_orderkey")
-             .agg(F.max("o_custkey").alias("o_custkey"),
-                  F.max(_order_status_code()).alias("status_code"),
-                  F.max("o_orderdate").alias("o_orderdate")))
-
-
 def users_from_tpch(tables: TableSource) -> DataFrame:
     c = tables["customer"].select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = tables["nation"].select("n_nationkey", "n_name")
@@ -132,10 +108,10 @@ def users_from_tpch(tables: TableSource) -> DataFrame:
 
 
 def orders_from_tpch(tables: TableSource) -> DataFrame:
-    hdr = order_headers(tables)
+    hdr = tables["orders"]
     counts = (tables["lineitem"].groupBy("l_orderkey")
               .agg(F.count(F.lit(1)).alias("n_items")))
-    status = _status_name(F.col("status_code"))
+    status = _order_status()
     uid = F.col("o_custkey") * USERS_PER_CUSTOMER + F.col("o_orderkey") % USERS_PER_CUSTOMER
     created = F.col("o_orderdate")
     j = hdr.join(counts, hdr.o_orderkey == counts.l_orderkey, "left")
@@ -152,29 +128,33 @@ def orders_from_tpch(tables: TableSource) -> DataFrame:
     )
 
 
-def order_items_from_tpch(tables: TableSource) -> DataFrame:
-    li = tables["lineitem"]
-    hdr = order_headers(tables).select(
-        F.col("o_orderkey"),
-        (F.col("o_custkey") * USERS_PER_CUSTOMER + F.col("o_orderkey") % USERS_PER_CUSTOMER).alias("h_user_id"),
-        F.col("o_orderdate").alias("h_created_at"))
+def item_lines_from_tpch(tables: TableSource) -> DataFrame:
+    """Order items without what they take over from their order."""
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     item_id = F.concat_ws("|", *[F.col(c).cast("string") for c in
                                  ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
                           cents.cast("string"))
-    j = li.join(hdr, li.l_orderkey == hdr.o_orderkey, "left")
-    return j.select(
+    return tables["lineitem"].select(
         item_id.alias("id"),
         F.col("l_orderkey").alias("order_id"),
-        F.col("h_user_id").alias("user_id"),
         F.col("l_partkey").alias("product_id"),
         _item_status().alias("status"),
-        F.col("h_created_at").alias("created_at"),
         F.col("l_shipdate").alias("shipped_at"),
         _days(F.col("l_shipdate"), ITEM_DELIVER_DAYS).alias("delivered_at"),
         F.when(F.col("l_returnflag") == "R", F.col("l_shipdate")).alias("returned_at"),
-        F.col("l_extendedprice").alias("sale_price"),
-    )
+        F.col("l_extendedprice").alias("sale_price"))
+
+
+def order_items_from_tpch(tables: TableSource) -> DataFrame:
+    """Order items with buyer and time of their order; a repeated order repeats its items."""
+    hdr = tables["orders"].select(
+        F.col("o_orderkey"),
+        (F.col("o_custkey") * USERS_PER_CUSTOMER + F.col("o_orderkey") % USERS_PER_CUSTOMER).alias("user_id"),
+        F.col("o_orderdate").alias("created_at"))
+    lines = item_lines_from_tpch(tables)
+    return lines.join(hdr, lines.order_id == hdr.o_orderkey, "left").select(
+        "id", "order_id", "user_id", "product_id", "status", "created_at", "shipped_at",
+        "delivered_at", "returned_at", "sale_price")
 
 
 def products_from_tpch(tables: TableSource) -> DataFrame:
@@ -194,13 +174,16 @@ def from_tpch(tables: TableSource) -> RetailSources:
     return RetailSources(users=users_from_tpch(tables),
                          orders=orders_from_tpch(tables),
                          order_items=order_items_from_tpch(tables),
-                         products=products_from_tpch(tables))
+                         products=products_from_tpch(tables),
+                         item_lines=item_lines_from_tpch(tables))
 
 
 def from_tables(tables: TableSource, names: dict | None = None) -> RetailSources:
     """Shop-schema tables stored as such (Parquet folders or catalog names)."""
     names = names or {}
+    items = tables[names.get("order_items", "order_items")]
     return RetailSources(users=tables[names.get("users", "users")],
                          orders=tables[names.get("orders", "orders")],
-                         order_items=tables[names.get("order_items", "order_items")],
-                         products=tables[names.get("products", "products")])
+                         order_items=items,
+                         products=tables[names.get("products", "products")],
+                         item_lines=items)

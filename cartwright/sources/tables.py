@@ -8,8 +8,6 @@ Catalyst prunes columns and pushes filters into the Parquet scan.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 TPCH_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -32,12 +30,18 @@ class TableSource:
             if self.root is None:
                 raise ValueError(f"no root given for table {name!r}")
             path = f"{self.root}/{name}"
-            if not path.endswith(".parquet") and not os.path.isdir(path):
+            if not path.endswith(".parquet") and not self._exists(path):
                 path = path + ".parquet"
             df = self.spark.read.parquet(path)
         self._cache[name] = df
         return df
 
+    def _exists(self, path: str) -> bool:
+        """Asked of the file system that the path names, local or not."""
+        sc = self.spark.sparkContext
+        target = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(sc._jsc.hadoopConfiguration()).exists(target)
+
     __getitem__ = table
 
 
