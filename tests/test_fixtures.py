@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from cartwright.operators import analytics, experiment, marts, quality, staging, statistics
+from cartwright.operators import analytics, charts, experiment, marts, quality, staging, statistics
 from cartwright.operators.experiment import ExperimentConfig
 
 TS = dt.datetime
@@ -241,3 +241,60 @@ def test_unique_on_wide_keys_matches_counter(spark):
     assert got == want
     # fixed-width keys take the direct path
     assert quality.duplicated_values(df, "n").count() == 0
+
+
+def test_whisker_never_ends_inside_the_box(spark):
+    fct = _fct(spark, [(i, i, "control", v, 1, 0) for i, v in enumerate([0.0, 0.0, 0.0, 100.0])])
+    r = charts.order_value_boxplot(fct).first()
+    assert (r.q1, r.q3, r.whisker_low, r.whisker_high, r.outliers) == (0.0, 25.0, 0.0, 25.0, 1)
+
+
+def test_decision_and_interval_use_unrounded_statistics(spark):
+    """A p-value just below alpha that rounds to it is significant everywhere."""
+    n, se = 10 ** 9, (2 * 1e12 / 10 ** 9) ** 0.5
+    for t, significant in ((1.959965, True), (1.959963, False)):
+        moments = spark.createDataFrame(
+            [(n, n, n // 2, n // 2, 0, 0, 1000.0, 1000.0 + t * se, 1e12, 1e12)],
+            "n_c long, n_t long, conv_c long, conv_t long, ret_c long, ret_t long, "
+            "mean_c double, mean_t double, var_c double, var_t double")
+        sizing = spark.createDataFrame([(50, 100)], "n_per_variant bigint, n_total bigint")
+        welch = statistics.exact_welch(moments)
+        assert statistics.aov_welch(moments).first().p_value == 0.05
+        assert statistics.aov_welch(moments).first().significant == significant
+        decision = statistics.experiment_decision(
+            welch, statistics.exact_guardrail(moments), sizing).first()
+        assert decision.p_value == 0.05
+        assert decision.decision == ("win" if significant else "inconclusive")
+        chart = statistics.interval_chart(moments, statistics.exact_ztest(moments), welch)
+        aov = chart.where("metric = 'average_order_value'").collect()
+        assert all(r.significant == significant for r in aov)
+
+
+def test_repeated_orders_fail_the_uniqueness_check(spark, tmp_path):
+    import shutil
+
+    from cartwright.plans.models import Models
+    for name in ("customer", "nation", "lineitem", "part"):
+        shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", tmp_path)
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    again = orders.orderBy("o_orderkey").limit(100)
+    orders.union(again).write.parquet(f"{tmp_path}/orders.parquet")
+    models = Models.from_tpch_dir(spark, str(tmp_path))
+    assert models.stg_orders.count() == orders.count() + 100
+    assert quality.duplicated_values(models.stg_orders, "order_id").count() == 100
+
+
+def test_unknown_quantile_method_raises():
+    from cartwright.operators.quantiles import quantile_columns
+    with pytest.raises(ValueError, match="unknown quantile method"):
+        quantile_columns("exakt")
+
+
+def test_window_and_status_filters_reach_the_scan(spark):
+    from cartwright.plans.queries import queries
+    plan = queries()["baseline_return_rate"](spark, "/root/testdata/sf0.001")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and "hashpartitioning" not in text
+    fact = queries()["fct_experiment_results"](spark, "/root/testdata/sf0.001")
+    text = fact._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in text
