@@ -76,6 +76,12 @@ EXPERIMENT_CHECKS: list[Check] = [
     Check("accepted_values", "stg_experiment_assignments", "variant", ("control", "treatment")),
     *_nn("fct_experiment_results", "order_id"), *_uq("fct_experiment_results", "order_id"),
     Check("accepted_values", "fct_experiment_results", "variant", ("control", "treatment")),
+    *_nn("stg_experiment_assignments", "variant_key"),
+    Check("accepted_values", "stg_experiment_assignments", "variant_key", (0, 1)),
+    *_nn("fct_experiment_results", "variant", "user_id", "order_value", "order_status"),
+    Check("accepted_values", "fct_experiment_results", "order_status", ("Complete", "Returned")),
+    Check("relationships", "fct_experiment_results", "user_id",
+          parent="stg_experiment_assignments", parent_column="user_id"),
 ]
 
 ALL_CHECKS = SHOP_CHECKS + EXPERIMENT_CHECKS

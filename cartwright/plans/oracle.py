@@ -622,7 +622,7 @@ def _dq_sql() -> str:
             parts.append(head + f"(SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL "
                                 f"GROUP BY {c} HAVING count(*) > 1)) AS failures")
         elif ch.test == "accepted_values":
-            vals = ", ".join(f"'{v}'" for v in ch.values)
+            vals = ", ".join(map(repr, ch.values))
             parts.append(head + f"(SELECT count(*) FROM (SELECT {c} FROM {m} GROUP BY {c}) "
                                 f"WHERE {c} NOT IN ({vals})) AS failures")
         elif ch.test == "relationships":
@@ -710,10 +710,13 @@ FROM (SELECT CAST(unnest(generate_series(make_date(y1, 1, 1), make_date(y2, 12,
       FROM (SELECT year(min(order_created_at)) AS y1, year(max(order_created_at)) AS y2
             FROM fct_experiment_results))"""),
     "orders_by_calendar": with_models(f"""
-SELECT d AS date, {_PARTS_TYPED}, count(*) AS orders, round(avg(order_value), 4) AS aov,
+SELECT d AS date, {_PARTS_TYPED}, count(order_id) AS orders, round(avg(order_value), 4) AS aov,
        round(avg(is_completed), 6) AS conversion_rate
-FROM (SELECT CAST(order_created_at AS DATE) AS d, order_value, is_completed FROM fct_experiment_results)
-GROUP BY ALL"""),
+FROM (SELECT unnest(generate_series(date_trunc('year', min(order_created_at)),
+                                    date_trunc('year', max(order_created_at)) + INTERVAL 1 YEAR - INTERVAL 1 DAY,
+                                    INTERVAL 1 DAY))::DATE AS d FROM fct_experiment_results)
+LEFT JOIN fct_experiment_results ON order_created_at::DATE = d
+GROUP BY d"""),
     "dashboard_cards": _cards_sql(),
     "dashboard_by_variant": with_models("""
 SELECT variant, count(*) AS orders, round(avg(order_value), 4) AS aov,

@@ -93,19 +93,24 @@ def warehouse_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root.rstrip("/"), "cartwright", *parts])
 
 
-def recommended_conf(input_bytes: int, cores: int, target_bytes: int = 128 << 20) -> dict:
+def recommended_conf(input_bytes: int, cores: int, target_bytes: int = 128 << 20,
+                     most_shuffle: int | None = None) -> dict:
     """Partition sizing for an input of ``input_bytes`` on ``cores`` task slots.
 
     Scan splits: the input over two waves of tasks, between 1 MB and
     ``target_bytes`` (128 MB on a cluster). Shuffle partitions: one per
     512 MB of input (shuffles carry projected, partially aggregated columns,
-    a fraction of the input), at least 2 per core and at most 32,768 so the
-    map x reduce block count stays manageable; AQE coalesces small ones and
-    splits skewed ones. E.g. 100 TB on 8,000 cores: 128 MB splits and 32,768
-    shuffle partitions; sf0.1 on 8 cores: ~2.3 MB splits, 16 partitions.
+    a fraction of the input), at least 2 per core; AQE coalesces small ones
+    and splits skewed ones. The count follows the input without an upper limit
+    unless ``most_shuffle`` sets one (where map x reduce blocks become too
+    many). E.g. 100 TB on 8,000 cores: 128 MB splits and some 195,000 shuffle
+    partitions; sf0.1 on 8 cores: ~2.3 MB splits, 16 partitions.
     """
+    if input_bytes <= 0:
+        raise ValueError("the size of the input must be known")
     split = int(min(target_bytes, max(1 << 20, input_bytes // max(1, 2 * cores))))
-    shuffle = int(min(32768, max(2 * cores, -(-input_bytes // (512 << 20)))))
+    shuffle = int(max(2 * cores, -(-input_bytes // (512 << 20))))
+    shuffle = min(shuffle, most_shuffle) if most_shuffle else shuffle
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.files.openCostInBytes": str(min(split, 4 << 20)),
@@ -114,9 +119,22 @@ def recommended_conf(input_bytes: int, cores: int, target_bytes: int = 128 << 20
     }
 
 
-def input_size(path: str) -> int:
-    """Bytes below a local folder (for sizing; use the catalog's stats elsewhere)."""
-    total = 0
-    for dirpath, _, files in os.walk(path):
-        total += sum(os.path.getsize(os.path.join(dirpath, f)) for f in files)
+def input_size(path: str, spark: SparkSession | None = None) -> int:
+    """Bytes below a folder; of any file system with a session, of a local one without.
+
+    Raises FileNotFoundError if there is nothing to measure, so that no job is
+    sized for an input that it cannot see.
+    """
+    if spark is not None:
+        sc = spark.sparkContext
+        target = sc._jvm.org.apache.hadoop.fs.Path(path)
+        fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
+        total = fs.getContentSummary(target).getLength() if fs.exists(target) else 0
+    elif "://" in path:
+        raise ValueError("pass a session to measure a folder of another file system")
+    else:
+        total = sum(os.path.getsize(os.path.join(folder, f))
+                    for folder, _, files in os.walk(path) for f in files)
+    if not total:
+        raise FileNotFoundError(f"nothing to measure at {path}")
     return total
