@@ -1,9 +1,8 @@
 """Display formatting (FN14): currency, percent, thousands, signed values.
 
 These produce text columns for display next to (never instead of) the
-numeric columns. Java's formatter rounds half-up, Python's half-even on the
-binary value, so a display string can differ in the last digit on exact
-ties; the numeric columns are the values to compare.
+numeric columns. Numbers are rounded (half up) to the digits shown before they
+are formatted, so that every formatter prints the same text.
 """
 
 from __future__ import annotations
@@ -14,11 +13,11 @@ CURRENCY = "£"   # fixed value: the reference reports money in pounds
 
 
 def money(c: Column, digits: int = 2) -> Column:
-    return F.format_string(f"{CURRENCY}%.{digits}f", c)
+    return F.format_string(f"{CURRENCY}%.{digits}f", F.round(c, digits))
 
 
 def percent(c: Column, digits: int = 1) -> Column:
-    return F.format_string(f"%.{digits}f%%", c * 100)
+    return F.format_string(f"%.{digits}f%%", F.round(c * 100, digits))
 
 
 def thousands(c: Column) -> Column:
@@ -26,4 +25,4 @@ def thousands(c: Column) -> Column:
 
 
 def signed(c: Column, digits: int = 2) -> Column:
-    return F.format_string(f"%+.{digits}f", c)
+    return F.format_string(f"%+.{digits}f", F.round(c, digits))

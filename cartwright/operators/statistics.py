@@ -233,16 +233,16 @@ def experiment_report_display(balance: DataFrame, ztest: DataFrame, welch: DataF
         line(3, "Conversion treatment", F.concat(percent(c("rate_treatment")), F.lit(" (95% CI: "),
              percent(c("ci_low_treatment")), F.lit(" to "), percent(c("ci_high_treatment")), F.lit(")"))),
         line(4, "Absolute lift", pct_signed(c("absolute_lift"))),
-        line(5, "Z-statistic", F.format_string("%.4f", c("z_stat"))),
-        line(6, "P-value (conversion)", F.format_string("%.4f", c("p_value"))),
+        line(5, "Z-statistic", F.format_string("%.4f", F.round("z_stat", 4))),
+        line(6, "P-value (conversion)", F.format_string("%.4f", F.round("p_value", 4))),
         line(7, "Control mean", F.concat(money(c("mean_control")), F.lit(" (SD: "),
              money(c("sd_control")), F.lit(")"))),
         line(8, "Treatment mean", F.concat(money(c("mean_treatment")), F.lit(" (SD: "),
              money(c("sd_treatment")), F.lit(")"))),
         line(9, "Absolute difference", F.concat(F.lit("£"), signed(c("mean_diff")))),
         line(10, "95% CI on difference", F.concat(money(c("ci_low")), F.lit(" to "), money(c("ci_high")))),
-        line(11, "T-statistic", F.format_string("%.4f", c("t"))),
-        line(12, "P-value (AOV)", F.format_string("%.4f", c("p_aov"))),
+        line(11, "T-statistic", F.format_string("%.4f", F.round("t", 4))),
+        line(12, "P-value (AOV)", F.format_string("%.4f", F.round("p_aov", 4))),
         line(13, "Return rate control", percent(c("return_rate_control"))),
         line(14, "Return rate treatment", percent(c("return_rate_treatment"))),
         line(15, "Return rate difference", pct_signed(c("return_rate_diff"))),

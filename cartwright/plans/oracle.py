@@ -725,3 +725,75 @@ FROM fct_experiment_results GROUP BY variant"""),
     "dq_rate_bounds": with_models("SELECT * FROM rate_bounds"),
     "dq_results": _dq_sql(),
 })
+
+
+# -- display text: round first, then print ------------------------------------
+def _money(x: str, digits: int = 2) -> str:
+    return f"'£' || format('{{:.{digits}f}}', round({x}, {digits}))"
+
+
+def _percent(x: str, digits: int = 1, sign: str = "") -> str:
+    return f"format('{{:{sign}.{digits}f}}%', round({x} * 100, {digits}))"
+
+
+def _lines(items: list[tuple[str, str]], frame: str) -> str:
+    rows = ", ".join(f"{{'line': {i}, 'label': '{label}', 'value': {value}}}"
+                     for i, (label, value) in enumerate(items, 1))
+    return f"SELECT CAST(line AS INTEGER) AS line, label, value FROM (SELECT unnest([{rows}], recursive := true) FROM {frame})"
+
+
+def _share(name: str) -> str:
+    return f"{name}_category || ' (' || {_percent(f'{name}_pct', 0)} || ' margin)'"
+
+
+_HEADLINES = [
+    ("Overall repeat purchase rate", _percent("overall_repeat_rate")),
+    ("Highest margin category (top 10)", _share("best_margin")),
+    ("Lowest margin category (top 10)", _share("worst_margin")),
+    ("Highest return rate (top 10)", f"worst_returns_category || ' (' || "
+     f"{_percent('worst_returns_rate', 0)} || ' of items returned)'"),
+    ("Best channel by rev/customer",
+     f"best_channel || ' (' || {_money('best_channel_revenue_per_customer', 0)} || ', ' || "
+     f"{_percent('best_channel_repeat_rate', 0)} || ' repeat)'"),
+]
+
+
+def _four(x: str) -> str:
+    return f"format('{{:.4f}}', round({x}, 4))"
+
+
+def _rate_line(v: str) -> tuple[str, str]:
+    return (f"Conversion {v}", f"{_percent(f'z.rate_{v}')} || ' (95% CI: ' || {_percent(f'z.ci_low_{v}')} "
+            f"|| ' to ' || {_percent(f'z.ci_high_{v}')} || ')'")
+
+
+def _mean_line(v: str) -> tuple[str, str]:
+    return (f"{v.title()} mean", f"{_money(f'w.mean_{v}')} || ' (SD: ' || {_money(f'w.sd_{v}')} || ')'")
+
+
+_REPORT = [
+    ("Rows loaded", "format('{:,}', n.n)"), _rate_line("control"), _rate_line("treatment"),
+    ("Absolute lift", _percent("z.absolute_lift", sign="+")),
+    ("Z-statistic", _four("z.z_stat")), ("P-value (conversion)", _four("z.p_value")),
+    _mean_line("control"), _mean_line("treatment"),
+    ("Absolute difference", "'£' || format('{:+.2f}', round(w.mean_diff, 2))"),
+    ("95% CI on difference", f"{_money('w.ci_low')} || ' to ' || {_money('w.ci_high')}"),
+    ("T-statistic", _four("w.t_stat")), ("P-value (AOV)", _four("w.p_value")),
+    ("Return rate control", _percent("g.return_rate_control")),
+    ("Return rate treatment", _percent("g.return_rate_treatment")),
+    ("Return rate difference", _percent("g.return_rate_diff", sign="+")),
+    ("Guardrail breached", "CAST(g.breached AS VARCHAR)"),
+]
+
+ORACLE.update({
+    "headline_display": _lines(_HEADLINES, f"({ORACLE['headline_figures']})"),
+    "variant_summary_display": f"""
+SELECT variant, orders, {_money('avg_order_value')} AS avg_order_value,
+       {_money('median_order_value')} AS median_order_value,
+       {_money('std_order_value')} AS std_order_value,
+       {_percent('conversion_rate')} AS conversion_rate, {_percent('return_rate')} AS return_rate
+FROM ({ORACLE['variant_summary']})""",
+    "experiment_report_display": with_models(_lines(
+        _REPORT, "ztest z, welch w, guardrail g, (SELECT count(*) AS n FROM fct_experiment_results "
+                 "WHERE variant IS NOT NULL) n")),
+})
