@@ -14,16 +14,18 @@ bounded memory, without a shuffle, and a lost task only repeats its block.
 
 Defined cases: null and empty texts give no ids; decoding null or no ids gives
 empty bytes; an id outside the vocabulary raises ValueError. Long texts are
-encoded whole. Columns other than the text are passed through untouched, and
-output names that clash with them raise ValueError.
+encoded whole. Other columns pass through untouched, except those with a name
+that the operator adds: they are replaced.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +34,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwright.llm.common import without
 from cartwright.llm.pieces import ChunkTable
 
-#: texts that are encoded together have up to so many bytes and rows (or are one
-#: long text); bounds what a worker holds besides its chunk table
-BLOCK_BYTES = 16 << 20
-BLOCK_ROWS = 8000
+#: texts that are worked on together have up to so many bytes and rows (or are one
+#: long text); bounds what a worker holds besides its tables
+BLOCK_BYTES = 8 << 20
+BLOCK_ROWS = 4000
+#: the same for texts that are encoded together: every merge visits a block once
+REPLAY_BYTES, REPLAY_ROWS = 32 << 20, 16_000
+#: pieces that a worker keeps from block to block
+KEPT_WORDS = 300_000
 #: rows that are decoded together
 DECODE_ROWS = 250
 
@@ -70,9 +77,15 @@ class MergeReplay:
                  for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
         self.keys = np.array(sorted(pairs), np.int64)
         self.merged = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
+        # tokens that can merge again into a token of a lower rank than their own
+        self.falls = np.zeros(self.size, bool)
+        for side in (self.keys // self.size, self.keys % self.size):
+            self.falls[side[self.merged <= side]] = True
 
     def merge_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the token that each pair makes, -1 where it makes none."""
+        if not len(self.keys):
+            return np.full(len(left), -1)
         key = left * self.size + right
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.merged[at], -1)
@@ -118,7 +131,7 @@ class MergeReplay:
             at = at[allowed[at] == rank]
             if not len(at):
                 continue
-            right = after[at]
+            allowed_at, right = at, after[at]
             # of overlapping pairs (aaa) the first, third, ... are merged
             first = np.append(True, right[:-1] != at[1:])
             if not first.all():
@@ -126,19 +139,20 @@ class MergeReplay:
                 at = at[(spot - np.maximum.accumulate(np.where(first, spot, 0))) % 2 == 0]
                 right = after[at]
             nxt, prv = after[right], before[at]
-            # a merge that comes up with a lower or equal rank goes before the rest of its word
-            left = symbol[prv]
-            left[np.append(False, prv[1:] == right[:-1]) & (prv >= 0)] = rank
-            lower = np.maximum(self._soon(left, np.full(len(at), rank), rank),
-                               self._soon(np.full(len(at), rank), symbol[nxt], rank))
-            if lower.any():
+            later: list[int] = []
+            if self.falls[rank]:
+                # a merge that comes up with a lower rank goes before the rest of its word
+                left = symbol[prv]
+                left[np.append(False, prv[1:] == right[:-1]) & (prv >= 0)] = rank
+                whole = np.full(len(at), rank)
+                lower = np.maximum(self._soon(left, whole, rank),
+                                   self._soon(whole, symbol[nxt], rank))
                 word = np.searchsorted(ends, at, side="right")
-                stop = np.isin(word, word[lower > 0])
-                go = ~stop | np.append(True, word[1:] != word[:-1])
-                later = at[~go].tolist()
-                at, right, nxt, prv = at[go], right[go], nxt[go], prv[go]
-            else:
-                later = []
+                stopped = word[lower > 0]
+                go = ~np.isin(word, stopped) | np.append(True, word[1:] != word[:-1])
+                later = allowed_at[np.isin(np.searchsorted(ends, allowed_at, side="right"),
+                                           stopped)].tolist()
+                at, right, nxt = at[go], right[go], nxt[go]
             symbol[at], symbol[right] = rank, -1
             allowed[right] = -1
             after[at] = nxt
@@ -171,15 +185,26 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         ranks, self.tokens = load_ranks(path)
         self.replay = MergeReplay(ranks, self.tokens)
+        self.words: dict[str, bytes] = {}  # ids of pieces that several chunks share
         self.table = ChunkTable(pattern, self._fill)
 
     def _fill(self, chunks: list[list[str]]) -> list[bytes]:
-        words = {piece: None for pieces in chunks for piece in pieces}
-        packed = dict(zip(words, self.replay.encode_words([w.encode() for w in words])))
-        return [b"".join(map(packed.__getitem__, pieces)) for pieces in chunks]
+        seen = Counter(chain.from_iterable(chunks))
+        new = list(seen.keys() - self.words.keys())
+        packed = self.words
+        packed.update(zip(new, self.replay.encode_words([w.encode() for w in new])))
+        filled = [packed[pieces[0]] if len(pieces) == 1 else
+                  b"".join(map(packed.__getitem__, pieces)) for pieces in chunks]
+        for w in new:
+            if seen[w] == 1:
+                del packed[w]
+        if len(packed) > KEPT_WORDS:
+            last = {w: packed[w] for w, n in seen.items() if n > 1}
+            self.words = last if len(last) <= KEPT_WORDS else {}
+        return filled
 
     def encode(self, texts: list[str]) -> pa.ListArray:
-        rows = [b"".join(x) for x in self.table.values(texts)]
+        rows = self.table.values(texts, b"".join)
         ends = np.cumsum([0, *map(len, rows)], dtype=np.int64) // 4
         return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)),
                                         pa.array(np.frombuffer(b"".join(rows), np.int32)))
@@ -204,13 +229,14 @@ def with_columns(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
                                       names=[*batch.schema.names, *columns])
 
 
-def blocks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """Batches cut to BLOCK_ROWS and BLOCK_BYTES."""
+def blocks(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = BLOCK_BYTES,
+           most_rows: int = BLOCK_ROWS) -> Iterator[pa.RecordBatch]:
+    """Batches cut to a number of bytes and rows."""
     for batch in batches:
         start = size = 0
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
         for i, more in enumerate(sizes):
-            if i > start and (size + more > BLOCK_BYTES or i - start >= BLOCK_ROWS):
+            if i > start and (size + more > most_bytes or i - start >= most_rows):
                 yield batch.slice(start, i - start)
                 start, size = i, 0
             size += more
@@ -218,12 +244,11 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBa
             yield batch.slice(start)
 
 
-def widened(df: DataFrame, **columns: T.DataType) -> T.StructType:
-    clash = {c.lower() for c in df.columns} & {c.lower() for c in columns}
-    if clash:
-        raise ValueError(f"the table already has columns {sorted(clash)}")
-    return T.StructType([*df.schema.fields,
-                         *(T.StructField(c, kind) for c, kind in columns.items())])
+def widened(df: DataFrame, **columns: T.DataType) -> tuple[DataFrame, T.StructType]:
+    """The table without columns of these names, and its schema with them added."""
+    rest = without(df, *columns)
+    return rest, T.StructType([*rest.schema.fields,
+                               *(T.StructField(c, kind) for c, kind in columns.items())])
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids",
@@ -233,7 +258,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for block in blocks(batches, text):
+        for block in blocks(batches, text, REPLAY_BYTES, REPLAY_ROWS):
             found = own.encode([x or "" for x in block.column(text).to_pylist()])
             for at in range(0, block.num_rows, DECODE_ROWS):
                 part = found.slice(at, DECODE_ROWS)
@@ -242,7 +267,8 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
                     new[decoded] = pa.array(own.decode(part.to_pylist()), pa.binary())
                 yield with_columns(block.slice(at, DECODE_ROWS), **new)
 
-    return df.mapInArrow(run, widened(df, **add))
+    rest, schema = widened(df, **add)
+    return rest.mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -255,7 +281,8 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
                 rows = [x or [] for x in block.column(ids).to_pylist()]
                 yield with_columns(block, **{decoded: pa.array(own.decode(rows), pa.binary())})
 
-    return df.mapInArrow(run, widened(df, **{decoded: T.BinaryType()}))
+    rest, schema = widened(df, **{decoded: T.BinaryType()})
+    return rest.mapInArrow(run, schema)
 
 
 def encode_documents(df: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -40,6 +40,23 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """The table without columns of these names (in any case), which an operator adds anew."""
+    taken = {n.lower() for n in names}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """The text beside the whole row as ``__doc``: no name of the row can clash then."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__doc"), "text")
+
+
+def unpacked(df: DataFrame, columns: list[str], text: Column | None = None) -> DataFrame:
+    """The rows of a packed table again, with another text if one is given."""
+    return df.select(*[text.alias(c) if text is not None and c == "text" else
+                       F.col("__doc").getField(c).alias(c) for c in columns])
+
+
 def whole_text(name: str = "text") -> Column:
     """The text with null as empty."""
     return F.coalesce(F.col(name), F.lit(""))

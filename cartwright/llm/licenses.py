@@ -12,8 +12,8 @@ of its expressions, 0 without any.
 Defined cases: null and empty texts have no words, no labels and score 0; a
 malformed expression counts as all its identifiers joined by "and"; identifiers
 that are not known count like all rights reserved if in a tag; repeated rows are
-scanned each by itself; texts are scanned whole. Other columns pass through;
-clashing output names raise ValueError.
+scanned each by itself; texts are scanned whole. Other columns pass through,
+except those with a name that the operator adds: they are replaced.
 """
 
 from __future__ import annotations
@@ -190,9 +190,9 @@ def scan_licenses(df: DataFrame, text: str = "text") -> DataFrame:
                           T.StructField("n_words", T.LongType()),
                           T.StructField("phrase", T.StringType()),
                           T.StructField("base_label", T.StringType())])
-    schema = widened(df, n_words=T.LongType(), places=T.ArrayType(place),
-                     expressions=T.ArrayType(T.StringType()), labels=T.ArrayType(T.StringType()),
-                     score=T.DoubleType())
+    rest, schema = widened(df, n_words=T.LongType(), places=T.ArrayType(place),
+                           expressions=T.ArrayType(T.StringType()), labels=T.ArrayType(T.StringType()),
+                           score=T.DoubleType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("first_word", pa.int64()), ("n_words", pa.int64()),
@@ -209,7 +209,7 @@ def scan_licenses(df: DataFrame, text: str = "text") -> DataFrame:
                 labels=pa.array([sorted(r[4]) for r in rows], pa.list_(pa.string())),
                 score=pa.array([r[5] for r in rows], pa.float64()))
 
-    return df.mapInArrow(run, schema)
+    return rest.mapInArrow(run, schema)
 
 
 def scan_documents(df: DataFrame) -> DataFrame:

@@ -1,7 +1,88 @@
-"""DuckDB SQL for the operators that SQL can express."""
+"""DuckDB SQL for the operators that SQL can express on whole tables.
+
+The others (merge replay, prefix programs, expectation-maximisation, exact
+neighbours, MinHash links, tiling, licence expressions) are tested against
+brute force in tests/llm.
+"""
 
 from __future__ import annotations
 
+UNIT_DEDUP = r"""
+WITH cut AS (
+  SELECT doc_id, regexp_extract_all(text, '[^.!?\n]+[.!?\n]*|[.!?\n]+') AS parts
+  FROM documents),
+placed AS (
+  SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) - 1 AS unit FROM cut),
+spans AS (
+  SELECT doc_id, unit, part,
+         sum(length(part)) OVER (PARTITION BY doc_id ORDER BY unit) AS upto
+  FROM placed),
+plain AS (
+  SELECT doc_id, unit, upto, length(part) AS size,
+         trim(regexp_replace(lower(part), '[^\p{L}\p{N}]+', ' ', 'g')) AS words
+  FROM spans),
+hashed AS (
+  SELECT doc_id, unit, upto, size, upper(md5(words)) AS digest,
+         length(words) - length(replace(words, ' ', '')) + 1 AS n_words
+  FROM plain),
+ranked AS (
+  SELECT *, first_value(doc_id) OVER w AS first_doc_id, first_value(unit) OVER w AS first_unit,
+         row_number() OVER w AS place
+  FROM hashed WHERE n_words >= 8
+  WINDOW w AS (PARTITION BY digest ORDER BY doc_id, unit))
+SELECT doc_id, CAST(unit AS BIGINT) AS unit, CAST(upto - size AS BIGINT) AS "start",
+       CAST(upto AS BIGINT) AS "end", CAST(n_words AS BIGINT) AS n_words, digest, first_doc_id,
+       CAST(first_unit AS BIGINT) AS first_unit
+FROM ranked WHERE place > 1
+"""
+
+# fixed values: the reversed CRC-32 polynomial's table for four bits
+_CRC = [0x00000000, 0x1DB71064, 0x3B6E20C8, 0x26D930AC, 0x76DC4190, 0x6B6B51F4, 0x4DB26158,
+        0x5005713C, 0xEDB88320, 0xF00F9344, 0xD6D6A3E8, 0xCB61B38C, 0x9B64C2B0, 0x86D3D2D4,
+        0xA00AE278, 0xBDBDF21C]
+_ONES = f"CAST({0xFFFFFFFF} AS BIGINT)"
+
+JUMP_SHARDS = f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+halves AS (
+  SELECT doc_id, length(h) // 2 AS n_bytes,
+         list_transform(string_split(h, ''), lambda c:
+           CAST(instr('0123456789ABCDEF', c) - 1 AS BIGINT)) AS d
+  FROM texts),
+turned AS (
+  -- of each byte the lower half first
+  SELECT doc_id, n_bytes, list_prepend({_ONES}, list_transform(range(1, 2 * n_bytes + 1),
+           lambda i: d[i + 1 - 2 * ((i + 1) % 2)])) AS b
+  FROM halves),
+sums AS (
+  SELECT doc_id, n_bytes + 8 AS size,
+         xor(list_reduce(b, lambda s, x: xor(s >> 4, CAST({_CRC}[(xor(s, x) & 15) + 1] AS BIGINT))),
+             {_ONES}) AS text_crc32
+  FROM turned),
+walk AS (
+  SELECT DISTINCT doc_id,
+         CAST(CASE WHEN doc_id < 0 THEN doc_id + 18446744073709551616 ELSE doc_id END
+              AS HUGEINT) AS seed,
+         CAST(-1 AS BIGINT) AS bucket, CAST(0 AS BIGINT) AS jump
+  FROM documents
+  UNION ALL
+  SELECT doc_id, next_seed, jump,
+         CAST(floor((jump + 1) * (CAST(2147483648 AS DOUBLE)
+                                  / CAST(next_seed // 8589934592 + 1 AS DOUBLE))) AS BIGINT)
+  FROM (SELECT doc_id, jump,
+               (seed * 2862933555777941757 + 1) % 18446744073709551616 AS next_seed
+        FROM walk WHERE jump <= 24)),
+shards AS (
+  SELECT doc_id, max(bucket) FILTER (WHERE bucket < 24) AS shard, max(bucket) AS grown
+  FROM walk GROUP BY doc_id)
+SELECT s.doc_id, CAST(s.size AS BIGINT) AS size, CAST(s.text_crc32 AS BIGINT) AS text_crc32,
+       'key' AS law, CAST(h.shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY h.shard ORDER BY s.doc_id, s.text_crc32) - 1 AS slot,
+       CAST(h.grown AS INTEGER) AS grown_shard
+FROM sums s JOIN shards h ON s.doc_id = h.doc_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_unit_dedup": UNIT_DEDUP, "op10_jump_hash_shards": JUMP_SHARDS}

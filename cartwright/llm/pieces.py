@@ -13,18 +13,21 @@ pieces part; other texts are cut as a whole.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import filterfalse
 
 import regex
 
-#: chunks that a Python worker keeps (about 200 bytes each); a larger table
-#: falls back to the chunks of the last batch
+#: chunks that a Python worker keeps from block to block (about 200 bytes each);
+#: chunks that come once in a block are not kept, and a larger table falls back to
+#: what the last block repeats
 KEPT_CHUNKS = 400_000
 
 
 #: spaces that do not stand between two characters other than white space
-ODD_SPACE = re.compile(r" \s|\s |\A | \Z").search
+_SPACE_FIRST, _SPACE_LAST = re.compile(r" \s").search, re.compile(r"[^\S ] ").search
 #: characters that are a piece of their own at the end of a word
 CLOSERS = frozenset(".,;:!?)")
 
@@ -35,40 +38,55 @@ def compiled(pattern: str) -> regex.Pattern:
 
 
 class ChunkTable:
-    """Values of chunks; ``fill(pieces)`` gives the value of each piece list."""
+    """Values of chunks; ``fill(piece lists)`` gives the value of each list of pieces.
+
+    A chunk at the start of a text has no space before it; its key starts with a
+    line break, which no chunk after a space does.
+    """
 
     def __init__(self, pattern: str, fill: Callable[[list[list[str]]], list]):
         self.cut = compiled(pattern).findall
         self.fill = fill
-        self.body: dict[str, object] = {}  # chunks after a space
-        self.head: dict[str, object] = {}  # chunks at the start of a text, and whole odd texts
-
-    def _pieces(self, chunk: str) -> list[str]:
-        """Of a chunk and the space before it."""
-        if chunk.isalpha():
-            return [" " + chunk]
-        if chunk[-1:] in CLOSERS and chunk[:-1].isalpha():
-            return [" " + chunk[:-1], chunk[-1]]
-        return self.cut(" " + chunk)
-
-    def values(self, texts: list[str]) -> list[list]:
-        """For each text the values of its chunks, in order."""
-        head, body = self.head, self.body
-        split: list[tuple[str, list[str]]] = []
-        missing: set[str] = set()
-        for text in texts:
-            first, *rest = (text,) if ODD_SPACE(text) else text.split(" ")
-            split.append((first, rest))
-            missing.update(rest)
-        missing -= body.keys()
-        new_head = list({first for first, _ in split} - head.keys())
-        new_body = list(missing)
-        filled = self.fill([self.cut(k) for k in new_head] + [*map(self._pieces, new_body)])
-        head.update(zip(new_head, filled))
-        body.update(zip(new_body, filled[len(new_head):]))
-        out = [[head[first], *map(body.__getitem__, rest)] for first, rest in split]
-        if len(body) + len(head) > KEPT_CHUNKS:
-            head.clear()
-            last = {k for _, rest in split for k in rest}
-            self.body = {k: body[k] for k in last} if len(last) <= KEPT_CHUNKS // 2 else {}
+        self.known: dict[str, object] = {}
+
+    def _pieces(self, key: str) -> list[str]:
+        if key[:1] == "\n":
+            return self.cut(key[1:])
+        if key.isalpha():
+            return [" " + key]
+        if key[-1:] in CLOSERS and key[:-1].isalpha():
+            return [" " + key[:-1], key[-1]]
+        return self.cut(" " + key)
+
+    @staticmethod
+    def _whole(text: str) -> bool:
+        """Whether a text has spaces at which pieces need not part."""
+        return (text[:1] == " " or text[-1:] == " " or _SPACE_FIRST(text) is not None
+                or _SPACE_LAST(text) is not None)
+
+    def values(self, texts: list[str], combine: Callable) -> list:
+        """``combine`` of the values of the chunks of each text, in order.
+
+        The texts are split twice, so that only their different chunks are held.
+        """
+        known = self.known
+        seen: Counter[str] = Counter()
+        whole = [*map(self._whole, texts)]
+
+        def keys(at: int) -> list[str]:
+            text = "\n" + texts[at]
+            return [text] if whole[at] else text.split(" ")
+
+        for at in range(len(texts)):
+            seen.update(filterfalse(known.__contains__, keys(at)))
+        new = list(seen)
+        known.update(zip(new, self.fill([*map(self._pieces, new)])))
+        get = known.__getitem__
+        out = [combine(map(get, keys(at))) for at in range(len(texts))]
+        for key, n in seen.items():
+            if n == 1:
+                del known[key]
+        if len(known) > KEPT_CHUNKS:
+            last = {key: known[key] for key, n in seen.items() if n > 1}
+            self.known = last if len(last) <= KEPT_CHUNKS else {}
         return out

@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwright.llm.common import replaced, staged, whole_text
+from cartwright.llm.common import packed, replaced, staged, unpacked, whole_text
 from cartwright.llm.weak import VoteModel, learn
 
 #: base kinds in their order, then the kinds that the method adds
@@ -228,7 +228,7 @@ def redacted(df: DataFrame) -> DataFrame:
     Only rows with candidates are staged and joined, the others pass straight
     through.
     """
-    marked = candidates(df)
+    marked = candidates(packed(df))
     some = F.size("__found") > 0
     hit = staged(marked.filter(some).withColumn("row", F.monotonically_increasing_id()), "hits")
     spans = accepted(staged(located(hit.select("row", "__found")), "located"))
@@ -241,5 +241,4 @@ def redacted(df: DataFrame) -> DataFrame:
     joined = hit.join(cuts, "row", "left")
     text = F.when(F.col("__cuts").isNull(), F.col("text")).otherwise(
         replaced(F.col("text"), F.col("__cuts")))
-    done = joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in df.columns])
-    return marked.filter(~some).select(*df.columns).union(done)
+    return unpacked(marked.filter(~some), df.columns).union(unpacked(joined, df.columns, text))

@@ -14,7 +14,8 @@ windows of a document of n words collide with probability below n^2 / 2^65).
 Defined cases: null and empty texts have no words, zero counts and fail the
 base filter; long texts are measured whole, each within its own row; repeated
 rows are judged alike; an empty table gives an empty result (the starting model
-is never used). Other columns of the input are not read.
+is never used). ``judge`` passes other columns through, except those with a name
+that it adds: they are replaced.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.llm.common import staged, whole_text
+from cartwright.llm.common import staged, whole_text, without
 from cartwright.llm.weak import VoteModel, learn
 
 # fixed values: white space between words, symbols that count, window, base limits
@@ -47,6 +48,12 @@ RULES = {
 }
 
 
+#: columns that ``judge`` adds
+ADDED = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
+         "n_distinct", "n_edge_symbols", "n_capitals", "n_marks", "n_open_lines", *RULES,
+         "quality", "base_failed", "kept"]
+
+
 def _repeat_words(words: Column, n_words: Column) -> Column:
     """Struct array (hash, place) of all windows, sorted."""
     windows = F.transform(F.sequence(F.lit(1), n_words - (WINDOW - 1)),
@@ -141,10 +148,7 @@ def judge(df: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFram
     The measures (not the texts) are staged, so that the texts are measured
     once although the model needs a pass of its own over all rows.
     """
-    clash = {*df.columns} & {*RULES, "quality", "base_failed", "kept", "n_words", "word_chars"}
-    if clash:
-        raise ValueError(f"the table already has columns {sorted(clash)}")
-    voted = votes(staged(measure(df, text), "quality"))
+    voted = votes(staged(measure(without(df, *ADDED), text), "quality"))
     return decide(voted, learn(voted.select(*RULES), start_model()), threshold)
 
 

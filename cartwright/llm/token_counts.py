@@ -14,8 +14,8 @@ special tokens inside a text count as one token each; no tokens are added.
 Defined cases: null and empty texts have 0 bytes and 0 tokens and the prefix
 table [0]; texts of any length are counted whole; a prefix that ends inside a
 special token, a white space run or a contraction gets the count of that prefix
-as a text of its own. Other columns pass through; clashing output names raise
-ValueError.
+as a text of its own. Other columns pass through, except those with a name that
+the operator adds: they are replaced.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwright.llm.bpe import blocks, widened, with_columns
+from cartwright.llm.bpe import REPLAY_BYTES, REPLAY_ROWS, blocks, widened, with_columns
 from cartwright.llm.pieces import ChunkTable
 
 #: pairs whose verdict a worker keeps
@@ -142,7 +142,7 @@ class TextCounter:
 
     def totals(self, texts: list[str]) -> list[int]:
         cut = [self._segments(t) for t in texts]
-        sums = iter([sum(x) for x in self.table.values([s for parts in cut for s in parts])])
+        sums = iter(self.table.values([s for parts in cut for s in parts], sum))
         return [sum(next(sums) for _ in parts) + len(parts) - 1 for parts in cut]
 
     def _plain_prefixes(self, text: str) -> list[int]:
@@ -209,7 +209,7 @@ def token_counts(df: DataFrame, path: str, pattern: str, text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = text_counter(path, pattern)
-        for block in blocks(batches, text):
+        for block in blocks(batches, text, *(() if prefixes else (REPLAY_BYTES, REPLAY_ROWS))):
             texts = [x or "" for x in block.column(text).to_pylist()]
             new = {"n_bytes": pa.array([len(t.encode()) for t in texts], pa.int64()),
                    "n_tokens": pa.array(own.totals(texts), pa.int64())}
@@ -218,7 +218,8 @@ def token_counts(df: DataFrame, path: str, pattern: str, text: str = "text",
                                                 pa.list_(pa.int32()))
             yield with_columns(block, **new)
 
-    return df.mapInArrow(run, widened(df, **add))
+    rest, schema = widened(df, **add)
+    return rest.mapInArrow(run, schema)
 
 
 def tokens_in(prefix_tokens: Column, n_chars: Column | int) -> Column:

@@ -14,7 +14,8 @@ Defined cases: null and empty texts have no units; a text is cut whole, however
 long; repeated rows are later occurrences of the first one and lose all their
 long units; ties in doc_id go by position in the input; rows with a null doc_id
 come first in the order; an empty table gives an empty result. Only doc_id and
-the text are read, other columns of ``deduplicated`` pass through.
+the text are read; other columns of ``deduplicated`` pass through, except one that
+is named ``removed``: it is replaced.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.llm.bpe import blocks
-from cartwright.llm.common import replaced, staged
+from cartwright.llm.common import replaced, staged, without
 
 MIN_WORDS = 8
 #: patterns of units; every character belongs to exactly one unit
@@ -95,8 +96,7 @@ def removed_units(df: DataFrame, kind: str = "sentence",
 def deduplicated(df: DataFrame, kind: str = "sentence",
                  min_words: int = MIN_WORDS) -> DataFrame:
     """The documents without repeated units; ``removed`` holds the offsets cut out."""
-    if "removed" in df.columns:
-        raise ValueError("the table already has a column removed")
+    df = without(df, "removed")
     rows = staged(df, "documents").withColumn("__row", F.monotonically_increasing_id())
     cut = staged(units(rows.drop("__row"), kind, min_words), "units")
     spans = (repeats(cut).groupBy("row")

@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.llm import bpe, decontaminate, minhash, pii, quality
-from cartwright.llm.common import read_table, staged
+from cartwright.llm.common import packed, read_table, staged, unpacked
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.judge(docs).filter("kept").select(*docs.columns)
+    return unpacked(quality.judge(packed(docs)).filter("kept"), docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -128,8 +128,8 @@ def test_quality_measures(spark, odd, none):
     assert got == collections.Counter((d, measures(t or "")[0], measures(t or "")[4])
                                       for d, t in ODD)
     assert quality.judge_documents(none).count() == 0
-    with pytest.raises(ValueError, match="already"):
-        quality.judge(docs.withColumn("kept", F.lit(1)))
+    again = quality.judge(docs.withColumn("kept", F.lit("mine")).withColumn("Quality", F.lit(1)))
+    assert again.filter("kept").count() == sum(r.kept for r in rows)
 
 
 def test_expectation_maximisation_finds_reliabilities():
@@ -173,7 +173,8 @@ def test_unit_dedup(spark, odd, none):
     got = {(r.doc_id, r.unit, r.start, r.end, r.first_doc_id, r.first_unit)
            for r in unit_dedup.removed_from_documents(docs).collect()}
     assert got == want and {d for d, *_ in want} == set(range(3, 30, 3))
-    cleaned = {r.doc_id: r for r in unit_dedup.deduplicated(docs).collect()}
+    named = docs.withColumn("removed", F.lit("mine")).withColumn("row", F.lit("mine"))
+    cleaned = {r.doc_id: r for r in unit_dedup.deduplicated(named).collect()}
     for d, text in enumerate(texts):
         cut = sorted(x[2:4] for x in want if x[0] == d)
         assert [tuple(x) for x in cleaned[d].removed] == cut
