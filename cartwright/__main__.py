@@ -6,39 +6,58 @@
     python -m cartwright experiment --sf-dir DIR   # experiment read-out + decision
     python -m cartwright query NAME --sf-dir DIR   # any registered query
 
-Every command runs Spark jobs and only shows small results (``show``).
+``--tables ROOT`` reads shop tables (users, orders, order_items, products)
+instead of the test data; ``--start``, ``--end``, ``--alpha``, ``--mde`` and
+``--variants`` set the experiment. Every command runs Spark jobs and only shows
+small results (``show``).
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import sys
 
 from cartwright.session import get_session
 
 
 def main(argv: list[str] | None = None) -> int:
-    from cartwright.plans.queries import queries
+    from cartwright.operators.experiment import ExperimentConfig
+    from cartwright.plans.queries import queries, register_models
+    from cartwright.sources.shop import from_tables, from_tpch
+    from cartwright.sources.tables import TableSource
 
     p = argparse.ArgumentParser(prog="cartwright")
     p.add_argument("command", choices=["build", "test", "insights", "experiment", "query"])
     p.add_argument("name", nargs="?", help="query name for the 'query' command")
     p.add_argument("--sf-dir", default="/root/testdata/sf0.01")
     p.add_argument("--master", default=None, help="e.g. local[8]; default: from the environment")
-    p.add_argument("--rows", type=int, default=50)
+    p.add_argument("--tables", help="root of shop tables, instead of --sf-dir")
+    p.add_argument("--start", type=dt.date.fromisoformat, help="first day of the experiment")
+    p.add_argument("--end", type=dt.date.fromisoformat, help="last day of the experiment")
+    p.add_argument("--alpha", type=float)
+    p.add_argument("--mde", type=float, dest="mde_relative", help="relative lift worth shipping")
+    p.add_argument("--variants", type=lambda s: tuple(s.split(",")), help="control,treatment")
+    p.add_argument("--rows", type=int, default=100)
     a = p.parse_args(argv)
+    cfg = ExperimentConfig(**{k: v for k in ("start", "end", "alpha", "mde_relative", "variants")
+                              if (v := getattr(a, k)) is not None})
 
     spark = get_session(a.master)
     spark.sparkContext.setLogLevel("ERROR")
     q = queries()
+    root = a.tables or a.sf_dir
+    tables = TableSource(spark, root)
+    sources = from_tables(tables) if a.tables else from_tpch(tables)
+    register_models(spark, root, sources, cfg)
 
     def show(name: str) -> None:
         print(f"== {name}")
-        q[name](spark, a.sf_dir).show(a.rows, truncate=False)
+        q[name](spark, root).show(a.rows, truncate=False)
 
     if a.command == "build":
-        from cartwright.plans.build import build_from_tpch
-        out = build_from_tpch(spark, a.sf_dir)
+        from cartwright.plans.build import build
+        out = build(spark, sources, cfg=cfg)
         print(f"run {out['run_id']} -> {out['root']}")
         for name, path in out["paths"].items():
             print(f"  {name:30s} {path}")

@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwright.operators import quality
+from cartwright.operators.experiment import ExperimentConfig
 from cartwright.plans.models import ExperimentModels, Models
 from cartwright.session import warehouse_path
 from cartwright.sources.sinks import as_view, write_table
@@ -50,12 +51,12 @@ class _Materialized:
 
 
 def build(spark: SparkSession, sources: RetailSources, run_id: str | None = None,
-          run_checks: bool = True) -> dict:
+          run_checks: bool = True, cfg: ExperimentConfig | None = None) -> dict:
     run_id = run_id or uuid.uuid4().hex[:12]
     root = warehouse_path(spark, "runs", run_id)
     keep = _Materialized(spark, root)
     m = Models(sources, keep=keep)
-    e = ExperimentModels(m)
+    e = ExperimentModels(m, cfg)
     built: dict[str, DataFrame] = {}
     for name in VIEWS + TABLES:
         built[name] = getattr(m, name) if hasattr(m, name) else getattr(e, name)

@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartwright.operators.analytics import sorted_mart
-
+from cartwright.operators.experiment import ExperimentConfig
 from cartwright.plans.models import ExperimentModels, Models
+from cartwright.sources.shop import RetailSources
 
 _CACHE: dict[tuple[int, str], tuple] = {}
 
@@ -35,6 +36,14 @@ def models_for(spark: SparkSession, sf_dir: str) -> tuple[Models, ExperimentMode
     return hit[2], hit[3]
 
 
+def register_models(spark: SparkSession, root: str, sources: RetailSources,
+                    cfg: ExperimentConfig | None = None) -> None:
+    """Let the queries over ``root`` read these sources under this configuration."""
+    m = Models(sources)
+    _CACHE[(id(spark), root)] = (spark, spark.sparkContext.applicationId, m,
+                                 ExperimentModels(m, cfg))
+
+
 def _exp(fn: Callable[[ExperimentModels], DataFrame]):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(models_for(spark, sf_dir)[1])
@@ -82,8 +91,9 @@ def dq_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     from cartwright.plans.models import writing
     from cartwright.session import warehouse_path
     root = warehouse_path(spark, "dq", uuid.uuid4().hex[:12])
-    m = Models.from_tpch_dir(spark, sf_dir, keep=writing(DQ_MATERIALIZED, root))
-    e = ExperimentModels(m)
+    shop, experiment = models_for(spark, sf_dir)
+    m = Models(shop.sources, keep=writing(DQ_MATERIALIZED, root))
+    e = ExperimentModels(m, experiment.cfg)
     names = sorted({c.model for c in ALL_CHECKS} | {c.parent for c in ALL_CHECKS if c.parent}
                    | {"mart_category_performance", "mart_customer_retention",
                       "mart_channel_performance"})

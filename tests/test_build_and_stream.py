@@ -85,3 +85,24 @@ def test_command_line_query_and_unknown(spark, capsys):
     assert main(["query", "experiment_preview", "--sf-dir", SF001, "--rows", "5"]) == 0
     assert "order_id" in capsys.readouterr().out
     assert main(["query", "no_such_query", "--sf-dir", SF001]) == 2
+
+
+def test_command_line_on_shop_tables_with_parameters(spark, tmp_path, capsys):
+    from cartwright.__main__ import main
+    from cartwright.sources.shop import from_tpch
+    from cartwright.sources.tables import TableSource
+    src = from_tpch(TableSource(spark, SF001))
+    for name in ("users", "orders", "order_items", "products"):
+        getattr(src, name).write.parquet(f"{tmp_path}/{name}")
+    where = ["--tables", str(tmp_path), "--start", "1997-01-01", "--end", "1997-03-31",
+             "--alpha", "0.1", "--mde", "0.2"]
+    assert main(["query", "variant_balance", *where]) == 0
+    assert "control" in capsys.readouterr().out
+    assert main(["build", *where]) == 0
+    out = capsys.readouterr().out
+    path = next(line.split()[1] for line in out.splitlines()
+                if line.strip().startswith("fct_experiment_results"))
+    days = spark.read.parquet(path).selectExpr("min(order_created_at) a", "max(order_created_at) b")
+    first, last = days.first()
+    assert str(first) >= "1997-01-01" and str(last) < "1997-04-01"
+    assert "assert_rates_within_bounds" in out
