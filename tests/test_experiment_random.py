@@ -12,6 +12,8 @@ from cartwright.operators.experiment import ExperimentConfig
 from cartwright.plans import oracle
 from cartwright.plans.check import compare
 
+import shop_sql
+
 CFG = ExperimentConfig(start=dt.date(2020, 3, 1), end=dt.date(2020, 12, 31))
 STATUSES = ["Complete", "Returned", "Cancelled", "Shipped", "Processing", None]
 
@@ -73,13 +75,15 @@ def test_experiment_path_matches_sql(spark, seed):
     con.execute(f"""CREATE VIEW stg_experiment_assignments AS
         SELECT id AS user_id, CASE WHEN {oracle.VARIANT_KEY_SQL} = 0 THEN 'control' ELSE 'treatment' END AS variant
         FROM src_users""")
-    ctes = ",\n".join(b.strip("\n") for b in [
-        oracle._experiment_ctes(CFG), oracle._ztest_body(CFG), oracle._welch_body(CFG),
+    stats = oracle._experiment_ctes(CFG)
+    moments = stats[stats.index("moments AS ("):stats.index("baseline_order_value AS (")]
+    ctes = ",\n".join(b.strip().rstrip(",") for b in [
+        shop_sql.experiment_fact(CFG), moments, oracle._ztest_body(CFG), oracle._welch_body(CFG),
         oracle._guardrail_body(CFG)])
     bodies = {
         "fct_experiment_results": "SELECT * FROM fct_experiment_results",
-        "ztest": "SELECT * FROM ztest",
-        "welch": "SELECT * FROM welch",
+        "ztest": "SELECT * EXCLUDE (exact_p, p_c, p_t, lo_c, hi_c, lo_t, hi_t) FROM ztest",
+        "welch": "SELECT * EXCLUDE (exact_p, exact_diff, exact_lift) FROM welch",
         "guardrail": "SELECT * FROM guardrail",
         "balance": """SELECT variant, orders, users, round_even(orders / total * 100, 1) AS pct_orders,
                              orders / total AS share_orders

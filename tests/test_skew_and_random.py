@@ -16,7 +16,7 @@ from hypothesis import given, settings, strategies as st
 
 from cartwright.operators import analytics, marts
 from cartwright.plans.check import compare
-from cartwright.plans.oracle import MARTS
+from shop_sql import MARTS
 
 STATUSES = ["Complete", "Returned", "Cancelled", "Shipped", "Processing", None]
 
