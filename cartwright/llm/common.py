@@ -47,14 +47,16 @@ def without(df: DataFrame, *names: str) -> DataFrame:
 
 
 def packed(df: DataFrame) -> DataFrame:
-    """The text beside the whole row as ``__doc``: no name of the row can clash then."""
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__doc"), "text")
+    """The text beside the rest of the row as ``__doc``: no name of the row can clash then."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c != "text"]
+    return df.select(F.struct(F.lit(0).alias("__none"), *rest).alias("__doc"), "text")
 
 
 def unpacked(df: DataFrame, columns: list[str], text: Column | None = None) -> DataFrame:
     """The rows of a packed table again, with another text if one is given."""
-    return df.select(*[text.alias(c) if text is not None and c == "text" else
-                       F.col("__doc").getField(c).alias(c) for c in columns])
+    own = F.col("text") if text is None else text
+    return df.select(*[own.alias(c) if c == "text" else F.col("__doc").getField(c).alias(c)
+                       for c in columns])
 
 
 def whole_text(name: str = "text") -> Column:
