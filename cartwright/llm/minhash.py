@@ -265,9 +265,11 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     classes = staged(classes, "classes")
     merged = staged(postings(classes), "postings")
     found = components(_first_links(merged, classes, df))
-    more = _other_links(merged, found, df)
-    chains = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
-    final = components(chains.union(more))
+    more = staged(_other_links(merged, found, df), "links")
+    final = found
+    if not more.isEmpty():
+        chains = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        final = components(chains.union(more))
 
     named = classes.join(final, "node", "left").select(
         "set_key", F.coalesce("component", "node").alias("class_component"))
