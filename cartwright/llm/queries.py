@@ -41,6 +41,10 @@ def op6_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unit_dedup.removed_from_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unit_dedup.removed_passages(read_table(spark, sf_dir, "documents"))
+
+
 def op7_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -61,5 +65,5 @@ def op10_jump_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_bpe_round_trip, op2_pii_votes, op3_toxicity_neighbours, op4_prefix_token_counts,
-        op5_quality_votes, op6_unit_dedup, op7_minhash_near_duplicates, op8_benchmark_tiling,
-        op9_license_scan, op10_jump_hash_shards)}
+        op5_quality_votes, op6_unit_dedup, op6_passage_dedup, op7_minhash_near_duplicates,
+        op8_benchmark_tiling, op9_license_scan, op10_jump_hash_shards)}

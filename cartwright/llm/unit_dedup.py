@@ -10,9 +10,19 @@ their offsets (code points, end exclusive) in the original text.
 Sentences are the default: a passage that is pasted into a line shares whole
 sentences with its source but no whole line.
 
+Units that tile leave out every sentence or line of fewer than ``MIN_WORDS``
+words. ``kind="passage"`` hashes all text: its units are windows of consecutive
+sentences, over line ends too. Each sentence opens one and closes one, and both are
+grown sentence by sentence until they have ``MIN_WORDS`` words. A window depends
+on its own sentences alone, so copies of a passage of whole sentences have the same
+windows wherever they stand, and these cover it. Windows overlap: what goes is
+their union. A window that overlaps its first occurrence (text that repeats itself)
+only goes from the end of that on, and is named with the cut start.
+
 Defined cases: null and empty texts have no units; a text is cut whole, however
 long; repeated rows are later occurrences of the first one and lose all their
-long units; ties in doc_id go by position in the input; rows with a null doc_id
+long units, with ``passage`` all text; a text of fewer than ``MIN_WORDS`` words has
+no unit of any kind; ties in doc_id go by position in the input; rows with a null doc_id
 come first in the order; an empty table gives an empty result. Only doc_id and
 the text are read; other columns of ``deduplicated`` pass through, except one that
 is named ``removed``: it is replaced.
@@ -23,9 +33,10 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwright.llm.bpe import blocks
@@ -34,6 +45,7 @@ from cartwright.llm.common import replaced, staged, without
 MIN_WORDS = 8
 #: patterns of units; every character belongs to exactly one unit
 UNITS = {"sentence": r"[^.!?\n]+[.!?\n]*|[.!?\n]+", "line": r"[^\n]+\n*|\n+"}
+UNITS["passage"] = UNITS["sentence"]
 _NOT_WORD = re.compile(r"[\W_]+")
 
 
@@ -46,15 +58,42 @@ def _cut(text: str, pattern: re.Pattern, min_words: int) -> Iterator[tuple]:
             yield i, unit.start(), unit.end(), n, hashlib.md5(words.encode()).digest()
 
 
+def _windows(text: str, pattern: re.Pattern, min_words: int) -> Iterator[tuple]:
+    """The same of the shortest windows of units from each and to each unit."""
+    found = []  # units with words; the others go with the unit before
+    for i, unit in enumerate(pattern.finditer(text)):
+        words = _NOT_WORD.sub(" ", unit.group().lower()).strip()
+        if words:
+            found.append([i, unit.start(), unit.end(), words])
+        elif found:
+            found[-1][2] = unit.end()
+    upto = [0, *accumulate(words.count(" ") + 1 for *_, words in found)]
+    opened, first = -1, 0  # the last unit whose window is out; the last from which one fits
+    for stop in range(1, len(found) + 1):
+        while upto[stop] - upto[first + 1] >= min_words:
+            first += 1
+        if upto[stop] - upto[first] >= min_words:
+            for at in range(min(opened + 1, first), first + 1):
+                yield _window(found, upto, at, stop)
+            opened = first
+
+
+def _window(found: list[list], upto: list[int], at: int, stop: int) -> tuple:
+    words = found[at][3] if stop == at + 1 else " ".join([u[3] for u in found[at:stop]])
+    return (found[at][0], found[at][1], found[stop - 1][2], upto[stop] - upto[at],
+            hashlib.md5(words.encode()).digest())
+
+
 def units(df: DataFrame, kind: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, row, unit, start, end, n_words, digest) of all long units."""
     pattern = re.compile(UNITS[kind])
+    cut = _windows if kind == "passage" else _cut
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
             texts = block.column("text").to_pylist()
             found = [(at, *u) for at, text in enumerate(texts)
-                     for u in _cut(text or "", pattern, min_words)]
+                     for u in cut(text or "", pattern, min_words)]
             at, unit, start, end, n, digest = zip(*found) if found else [()] * 6
             rows = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -78,10 +117,13 @@ def repeats(cut: DataFrame) -> DataFrame:
     """
     place = F.struct("doc_id", "row", "unit")
     again = (cut.groupBy("digest")
-             .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"))
+             .agg(F.min(F.struct("doc_id", "row", "unit", "end")).alias("first"),
+                  F.count(F.lit(1)).alias("copies"))
              .filter("copies > 1"))
-    return (cut.join(again, "digest").filter(place > F.col("first"))
-            .select("doc_id", "row", "unit", "start", "end", "n_words",
+    first = F.struct("first.doc_id", "first.row", "first.unit")
+    start = F.when(F.col("row") == F.col("first.row"), F.greatest("start", "first.end"))
+    return (cut.join(again, "digest").filter(place > first)
+            .select("doc_id", "row", "unit", F.coalesce(start, "start").alias("start"), "end", "n_words",
                     F.hex("digest").alias("digest"),
                     F.col("first.doc_id").alias("first_doc_id"),
                     F.col("first.unit").alias("first_unit")))
@@ -99,7 +141,10 @@ def deduplicated(df: DataFrame, kind: str = "sentence",
     df = without(df, "removed")
     rows = staged(df, "documents").withColumn("__row", F.monotonically_increasing_id())
     cut = staged(units(rows.drop("__row"), kind, min_words), "units")
-    spans = (repeats(cut).groupBy("row")
+    before = F.max("end").over(Window.partitionBy("row").orderBy("start", "end").rowsBetween(
+        Window.unboundedPreceding, -1))
+    spans = (repeats(cut).withColumn("start", F.greatest("start", before)).filter("start < end")
+             .groupBy("row")
              .agg(F.sort_array(F.collect_list(F.struct("start", "end", F.lit("").alias("label"))))
                   .alias("__spans")))
     joined = rows.join(spans.withColumnRenamed("row", "__row"), "__row", "left")
@@ -114,3 +159,7 @@ def deduplicated(df: DataFrame, kind: str = "sentence",
 
 def removed_from_documents(df: DataFrame) -> DataFrame:
     return removed_units(df.select("doc_id", "text"))
+
+
+def removed_passages(df: DataFrame) -> DataFrame:
+    return removed_units(df.select("doc_id", "text"), "passage")

@@ -185,3 +185,46 @@ def test_unit_dedup(spark, odd, none):
     assert unit_dedup.deduplicated(odd).count() == len(ODD)
     # the repeated long row loses its only unit, its earlier copy does not
     assert unit_dedup.removed_from_documents(odd).filter("doc_id = 9").count() == 1
+
+
+def repeated_words(texts: list[str], size: int) -> dict[int, set[int]]:
+    """Words of each text, by place, in a run of ``size`` words that an earlier text has."""
+    seen, out = set(), {}
+    for d, text in enumerate(texts):
+        words = re.sub(r"[\W_]+", " ", text.lower()).split()
+        runs = [" ".join(words[i:i + size]) for i in range(len(words) - size + 1)]
+        out[d] = {i + k for i, run in enumerate(runs) if run in seen for k in range(size)}
+        seen.update(runs)
+    return out
+
+
+def test_passages_of_short_sentences(spark, odd, none):
+    rnd = random.Random(21)
+
+    def short(n: int, most: int) -> str:
+        out = ""
+        while n > 0:
+            size = min(n, rnd.randint(1, most))
+            out += " ".join(prose(rnd, size).lower().replace(".", "").split()) + rnd.choice(
+                [". ", "!! ", "\n"])
+            n -= size
+        return out
+
+    planted = [short(50, 1), short(60, 4), short(55, 7)]
+    texts = [prose(rnd, 40) + ". " + p + prose(rnd, 30) for p in planted]
+    texts += [short(20, 6) + p + short(30, 6) for p in planted for _ in range(2)]
+    texts += [texts[3], planted[0], "again. " * 200]
+    docs = documents(spark, texts)
+    cleaned = {r.doc_id: r for r in unit_dedup.deduplicated(docs, "passage").collect()}
+    found = repeated_words(texts, 50)
+    assert all(len(found[d]) >= 50 for d in range(3, 11)) and not any(found[d] for d in range(3))
+    close = repeated_words(texts, unit_dedup.MIN_WORDS)
+    for d in range(11):
+        places = [m.start() for m in re.finditer(r"[^\W_]+", texts[d])]
+        gone = {i for i, at in enumerate(places)
+                for start, end in cleaned[d].removed if start <= at < end}
+        assert found[d] <= gone <= close[d]
+        assert len(cleaned[d].text) == len(texts[d]) - sum(e - s for s, e in cleaned[d].removed)
+    assert cleaned[11].text.split() == ["again."] * unit_dedup.MIN_WORDS
+    assert unit_dedup.removed_passages(none).count() == 0
+    assert unit_dedup.deduplicated(odd, "passage").count() == len(ODD)
