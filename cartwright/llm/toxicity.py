@@ -2,21 +2,22 @@
 
 1. Examples: at most ``SAMPLE_ROWS`` labelled rows outside the held-out fold,
    drawn by a hash of their doc_id. Terms are words and beginnings of words (four to
-   eight letters), the latter also when they come repeatedly; those whose document counts differ significantly between
-   the two labels (likelihood ratio ``LEAST_RATIO``; at most ``MOST_TERMS``)
-   make the vocabulary.
+   eight letters), the latter also when they come repeatedly. All terms of the
+   examples make the vocabulary; none is left out. A term weighs the more the better
+   it tells the labels apart: its likelihood ratio, shrunken to between 0 and 1
+   (``HALF_RATIO`` gives a half), which multiplies its idf.
 2. One pass turns every document into its term counts; document frequencies for
    the TF-IDF weights are counted over all documents.
 3. The examples are ordered by their strongest term and dealt into blocks. The
-   block-max inverted index holds, for each term and block, the postings and the
-   largest weight. A query bounds its cosine with each block from the maxima,
-   opens blocks from the best bound down and stops at the first block that cannot
+   block-max inverted index holds, for each term and block that has it, the postings
+   and the largest weight. A query bounds its cosine with each block from the maxima,
+   opens blocks from the best bound down (some at a time) and stops where no block can
    reach its k-th best example: the neighbours are exact.
 4. Neighbours vote with their cosine as weight; the vote is smoothed towards the
-   share of toxic examples among those without any vocabulary term.
+   share of toxic examples among those without any term.
 
-The index is bounded by ``SAMPLE_ROWS`` times ``MOST_TERMS`` and is what each
-task receives; all other tables stay distributed.
+The vocabulary and the index are bounded by the terms of ``SAMPLE_ROWS`` examples and
+are what each task receives; all other tables stay distributed.
 
 Defined cases: null and empty texts have no terms and get the share named in 4;
 null labels are no examples; of equally near examples the one with the smaller
@@ -28,7 +29,6 @@ examples.
 
 from __future__ import annotations
 
-import heapq
 import math
 import re
 from collections import Counter
@@ -44,10 +44,12 @@ from cartwright.llm.common import staged
 
 #: labelled rows that the examples are drawn from; the bound of the fitted part
 SAMPLE_ROWS = 20_000
-MOST_TERMS = 1024
-LEAST_RATIO = 30.0
+#: the likelihood ratio at which a term has half the weight that its idf allows
+HALF_RATIO = 30.0
 #: examples in a block of the index
 BLOCK = 64
+#: blocks that a query opens in its first steps; then all that can still reach it
+STEPS = (8, 32)
 NEIGHBOURS = 15
 #: weight of the vote of no neighbour at all
 SMOOTHING = 1.0
@@ -103,41 +105,41 @@ def _term_counts(sample: DataFrame) -> DataFrame:
     return parts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def vocabulary(sample: DataFrame) -> list[str]:
-    """Terms that tell the labels apart, most telling first; at most ``MOST_TERMS``."""
+def vocabulary(sample: DataFrame) -> tuple[list[str], np.ndarray]:
+    """All terms of the examples, most telling first, and how telling they are (0 to 1)."""
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(
         F.count(F.lit(1)).alias("n")).collect()}
     toxic_all, clean_all = sizes.get(1, 0), sizes.get(0, 0)
-    if not toxic_all or not clean_all:
-        return []
+    if not toxic_all + clean_all:
+        return [], np.zeros(0)
     share = toxic_all / (toxic_all + clean_all)
     n = F.col("toxic") + F.col("clean")
 
     def part(seen: Column, expected: Column) -> Column:
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+        return F.when(seen > 0, seen * F.log(F.try_divide(seen, expected))).otherwise(0.0)
 
     without_toxic, without_clean = toxic_all - F.col("toxic"), clean_all - F.col("clean")
     rest = without_toxic + without_clean
     ratio = 2 * (part(F.col("toxic"), n * share) + part(F.col("clean"), n * (1 - share))
                  + part(without_toxic, rest * share) + part(without_clean, rest * (1 - share)))
-    best = (_term_counts(sample).withColumn("ratio", ratio).filter(F.col("ratio") >= LEAST_RATIO)
-            .orderBy(F.desc("ratio"), "term").limit(MOST_TERMS))
-    return [r["term"] for r in best.select("term").collect()]
+    # one is what a term has by chance; rounding may bring a ratio below 0
+    raised = F.greatest(ratio, F.lit(0.0)) + 1
+    found = (_term_counts(sample).select("term", (raised / (raised + HALF_RATIO)).alias("telling"))
+             .orderBy(F.desc("telling"), "term").toArrow())
+    return found.column("term").to_pylist(), found.column("telling").to_numpy()
 
 
 def term_vectors(df: DataFrame, terms: list[str]) -> DataFrame:
     """(doc_id, terms, counts): the vocabulary terms of every whole text."""
-    number = {t: i for i, t in enumerate(terms)}
-    starts = frozenset(t.partition("-")[0][:PREFIXES[0]] for t in terms)
+    shared = df.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = shared.value
         for block in blocks(batches, "text"):
             ids, counts = [], []
             for text in block.column("text").to_pylist():
-                # words that begin like no term cannot make one
-                some = [w for w in _WORD.findall((text or "").lower())
-                        if w[:PREFIXES[0]] in starts]
-                found = {number[t]: n for t, n in terms_of(some).items() if t in number}
+                found = {number[t]: n for t, n in terms_of(
+                    _WORD.findall((text or "").lower())).items() if t in number}
                 order = sorted(found)
                 ids.append(order)
                 counts.append([found[i] for i in order])
@@ -149,58 +151,90 @@ def term_vectors(df: DataFrame, terms: list[str]) -> DataFrame:
         run, "doc_id long, terms array<int>, counts array<int>")
 
 
+def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The numbers from each first up to before each last."""
+    n = last - first
+    return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
 class BlockMaxIndex:
     """Exact nearest examples by cosine, with maxima for each term and block."""
 
-    def __init__(self, n_terms: int, idf: list[float],
-                 examples: list[tuple[int, int, list[int], list[int]]]):
-        """examples: (doc_id, label, terms, counts)."""
-        self.idf = np.array(idf)
-        weighted = [(d, y, t, self.weights(t, c)) for d, y, t, c in examples]
-        empty = [y for _, y, t, _ in weighted if not t]
-        self.no_terms = (sum(empty) + 0.5) / (len(empty) + 1) if examples else 0.0
-        rows = sorted((x for x in weighted if x[2]),
-                      key=lambda x: (x[2][int(np.argmax(x[3]))], x[2], x[0]))
-        self.ids = [x[0] for x in rows]
+    def __init__(self, n_terms: int, idf: list[float] | np.ndarray,
+                 examples: list[tuple[int, int, list[int] | np.ndarray, list[int] | np.ndarray]]):
+        """examples: (doc_id, label, terms, counts); idf may hold any positive weights."""
+        self.idf = np.asarray(idf, float)
+        empty = [y for _, y, t, _ in examples if not len(t)]
+        share = sum(x[1] for x in examples) / len(examples) if examples else 0.0
+        self.no_terms = (sum(empty) + share) / (len(empty) + 1)
+        rows = [(d, y, np.asarray(t, np.int32), np.asarray(c, np.int32))
+                for d, y, t, c in examples if len(t)]
+        rows.sort(key=lambda x: (int(x[2][np.argmax(self.raw(x[2], x[3]))]), x[2].tobytes(), x[0]))
+        self.ids = np.array([x[0] for x in rows], np.int64)
         self.labels = [x[1] for x in rows]
+        self.norms = np.array([math.sqrt(float(r @ r)) for r in (
+            self.raw(t, c) for _, _, t, c in rows)])
         self.n_blocks = -(-len(rows) // BLOCK)
-        self.maxima = np.zeros((n_terms, self.n_blocks), np.float32)
-        self.postings: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for at, (_, _, terms, weights) in enumerate(rows):
-            block = at // BLOCK
-            for term, weight in zip(terms, weights.tolist()):
-                self.postings.setdefault((term, block), []).append((at, weight))
-                # rounded up, so that a bound never falls below a cosine
-                up = np.nextafter(np.float32(weight), np.float32(2))
-                self.maxima[term, block] = max(self.maxima[term, block], up)
-
-    def weights(self, terms: list[int], counts: list[int]) -> np.ndarray:
-        """TF-IDF weights of length one."""
-        raw = (1 + np.log(np.array(counts, float))) * self.idf[terms] if terms else np.zeros(0)
-        return raw / math.sqrt(float(raw @ raw)) if len(raw) else raw
-
-    def nearest(self, terms: list[int], counts: list[int],
+        terms = np.concatenate([x[2] for x in rows]) if rows else np.zeros(0, np.int32)
+        counts = np.concatenate([x[3] for x in rows]) if rows else np.zeros(0, np.int32)
+        row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x[2]) for x in rows])
+        order = np.argsort(terms, kind="stable").astype(np.int32)
+        terms, self.row, self.count = terms[order], row[order], counts[order]
+        # entries: the postings of a term in a block
+        block = self.row // BLOCK
+        new = np.append(True, (terms[1:] != terms[:-1]) | (block[1:] != block[:-1]))[:len(terms)]
+        starts = np.flatnonzero(new)
+        self.post_at = np.append(starts, len(terms)).astype(np.int32)
+        self.block = block[starts].astype(np.int32)
+        weights = (1 + np.log(self.count)) * self.idf[terms] / self.norms[self.row]
+        maxima = np.maximum.reduceat(weights, starts) if len(starts) else np.zeros(0)
+        # rounded up, so that a bound never falls below a cosine
+        self.maxima = np.nextafter(maxima.astype(np.float32), np.float32(2))
+        self.entry_at = np.searchsorted(terms[starts], np.arange(n_terms + 1)).astype(np.int32)
+
+    def raw(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return (1 + np.log(counts)) * self.idf[terms]
+
+    def nearest(self, terms: list[int] | np.ndarray, counts: list[int] | np.ndarray,
                 k: int = NEIGHBOURS) -> list[tuple[float, int, int]]:
         """(cosine, doc_id, label) of the k nearest examples that share a term."""
-        query = self.weights(terms, counts).tolist()
-        if not query or not self.n_blocks:
+        if not len(terms) or not self.n_blocks:
             return []
-        bounds = np.array(query) @ self.maxima[terms] * (1 + 1e-6) + 1e-9
-        best: list[tuple[float, int, int]] = []  # heap of (cosine, -doc_id, place)
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 1e-8 or (len(best) == k and bounds[block] < best[0][0]):
+        terms = np.asarray(terms)
+        query = self.raw(terms, np.asarray(counts))
+        query = query / math.sqrt(float(query @ query))
+        first, last = self.entry_at[terms], self.entry_at[terms + 1]
+        entry = _ranges(first, last)
+        block, weight = self.block[entry], np.repeat(query, last - first)
+        bounds = np.bincount(block, weight * self.maxima[entry], self.n_blocks) * (1 + 1e-6)
+        factor = np.repeat(query * self.idf[terms], last - first)
+        order = np.argsort(-bounds, kind="stable")
+        best, cosines, least, done = np.zeros(0, np.int64), np.zeros(0), 0.0, 0
+        for step in (*STEPS, self.n_blocks):
+            some = order[done:done + step]
+            some = some[(bounds[some] > 0) & (bounds[some] + 1e-9 >= least)]
+            if not len(some):
                 break
-            cosine: dict[int, float] = {}
-            for term, weight in zip(terms, query):
-                for at, other in self.postings.get((term, block), ()):
-                    cosine[at] = cosine.get(at, 0.0) + weight * other
-            for at, c in cosine.items():
-                entry = (round(c, 12), -self.ids[at], at)
-                if len(best) < k:
-                    heapq.heappush(best, entry)
-                elif entry > best[0]:
-                    heapq.heapreplace(best, entry)
-        return [(c, -d, self.labels[at]) for c, d, at in sorted(best, reverse=True)]
+            done += step
+            opened = np.zeros(self.n_blocks, bool)
+            opened[some] = True
+            mine = opened[block]
+            at = entry[mine]
+            start, stop = self.post_at[at], self.post_at[at + 1]
+            post = _ranges(start, stop)
+            cosine = np.bincount(self.row[post], np.repeat(factor[mine], stop - start)
+                                 * (1 + np.log(self.count[post])), len(self.ids))
+            met = np.flatnonzero(cosine)
+            found = np.round(cosine[met] / self.norms[met], 12)
+            if len(met) > k:  # those below the k-th best of this step are out
+                near = found >= np.partition(found, -k)[-k]
+                met, found = met[near], found[near]
+            best, cosines = np.append(best, met), np.append(cosines, found)
+            top = np.lexsort((self.ids[best], -cosines))[:k]
+            best, cosines = best[top], cosines[top]
+            least = cosines[-1] if len(best) == k else 0.0
+        return [(c, d, self.labels[at]) for c, d, at in zip(
+            cosines.tolist(), self.ids[best].tolist(), best.tolist())]
 
     def vote(self, neighbours: list[tuple[float, int, int]]) -> float:
         total = sum(c for c, _, _ in neighbours)
@@ -219,17 +253,33 @@ def examples_of(df: DataFrame, labels: DataFrame) -> DataFrame:
 def fit(df: DataFrame, labels: DataFrame) -> tuple[DataFrame, BlockMaxIndex]:
     """The term vectors of all documents and the index of the examples."""
     sample = staged(examples_of(df, labels), "examples")
-    terms = vocabulary(sample)
+    terms, telling = vocabulary(sample)
     vectors = staged(term_vectors(df, terms), "vectors")
-    seen = {r["term"]: r["n"] for r in vectors.select(F.explode("terms").alias("term"))
-            .groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n = vectors.count()
-    idf = [math.log((n + 1) / (seen.get(i, 0) + 1)) + 1 for i in range(len(terms))]
+    size = len(terms)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(size, np.int64)
+        rows = 0
+        for batch in batches:
+            rows += batch.num_rows
+            seen += np.bincount(batch.column("terms").flatten(), minlength=size)
+        some = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(some, -1)), pa.array(np.append(seen[some], rows))],
+            names=["term", "n"])
+
+    # the number of all documents goes under -1
+    seen = (vectors.select("terms").mapInArrow(counted, "term long, n long").groupBy("term")
+            .agg(F.sum("n").alias("n")).toArrow())
+    by_term = np.zeros(size + 1)
+    by_term[seen.column("term").to_numpy()] = seen.column("n").to_numpy()
+    idf = np.log((by_term[-1] + 1) / (by_term[:-1] + 1)) + 1
     drawn = term_vectors(sample.select("doc_id", "text"), terms).join(
-        sample.select("doc_id", "toxic").distinct(), "doc_id")
-    rows = sorted({(r["doc_id"], r["toxic"], tuple(r["terms"]), tuple(r["counts"]))
-                   for r in drawn.collect()})
-    return vectors, BlockMaxIndex(len(terms), idf, [(d, int(y), [*t], [*c]) for d, y, t, c in rows])
+        sample.select("doc_id", "toxic").distinct(), "doc_id").distinct().toArrow()
+    rows = [(d, int(y), t.values.to_numpy(), c.values.to_numpy()) for d, y, t, c in zip(
+        drawn.column("doc_id").to_pylist(), drawn.column("toxic").to_pylist(),
+        drawn.column("terms"), drawn.column("counts"))]
+    return vectors, BlockMaxIndex(size, idf * telling, rows)
 
 
 def scored(vectors: DataFrame, index: BlockMaxIndex) -> DataFrame:
@@ -239,8 +289,8 @@ def scored(vectors: DataFrame, index: BlockMaxIndex) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            near = [own.nearest(t, c) for t, c in zip(batch.column("terms").to_pylist(),
-                                                      batch.column("counts").to_pylist())]
+            near = [own.nearest(t.values.to_numpy(), c.values.to_numpy())
+                    for t, c in zip(batch.column("terms"), batch.column("counts"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([own.vote(x) for x in near], pa.float64()),
                  pa.array([[{"doc_id": d, "cosine": c, "toxic": y} for c, d, y in x] for x in near],

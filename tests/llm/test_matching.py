@@ -317,3 +317,32 @@ def test_pipeline_equals_its_parts(spark, tmp_path):
         assert out.columns == docs.columns
         assert out.filter("row = 'mine' and kept = 'mine' and ids = 'mine'").count() == out.count()
     assert corpus_pipeline.to_tokens(spark, docs, str(tmp_path)).count() == len(texts)
+
+
+def test_toxicity_neighbours_of_whole_texts(spark):
+    """Every term of the examples is in the cosine, by brute force over the texts."""
+    rnd = random.Random(17)
+    texts = [prose(rnd, rnd.randint(5, 60)) + (" grumpf" if i % 20 == 0 else "")
+             for i in range(160)]
+    known = spark.createDataFrame([(i, 1, int(i % 20 == 0)) for i in range(120)],
+                                  "doc_id long, quality int, toxic int")
+    docs = documents(spark, texts)
+    sample = {r.doc_id: r.toxic for r in toxicity.examples_of(docs, known).collect()}
+    terms, telling = toxicity.vocabulary(toxicity.examples_of(docs, known))
+    bags = [toxicity.terms_of(re.findall(r"[^\W\d_]+", t.lower())) for t in texts]
+    assert set(terms) == set().union(*(bags[d] for d in sample)) and telling.min() > 0
+    weight = {t: w * (1 + math.log((len(texts) + 1) / (1 + sum(t in b for b in bags))))
+              for t, w in zip(terms, telling)}
+
+    def vector(bag):
+        raw = {t: (1 + math.log(n)) * weight[t] for t, n in bag.items() if t in weight}
+        norm = math.sqrt(sum(x * x for x in raw.values()))
+        return {t: x / norm for t, x in raw.items()}
+
+    vectors = [vector(b) for b in bags]
+    for r in toxicity.scored(*toxicity.fit(docs, known)).collect():
+        own = vectors[r.doc_id]
+        want = sorted((sum(w * vectors[d].get(t, 0.0) for t, w in own.items()) for d in sample),
+                      reverse=True)[:toxicity.NEIGHBOURS]
+        assert [e.cosine for e in r.evidence] == pytest.approx([c for c in want if c > 0], abs=1e-9)
+        assert all(e.toxic == sample[e.doc_id] for e in r.evidence) and r.evidence
