@@ -180,13 +180,14 @@ class BlockMaxIndex:
         row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x[2]) for x in rows])
         order = np.argsort(terms, kind="stable").astype(np.int32)
         terms, self.row, self.count = terms[order], row[order], counts[order]
+        self.frequency = 1 + np.log(np.maximum(np.arange(counts.max(initial=0) + 1), 1))
         # entries: the postings of a term in a block
         block = self.row // BLOCK
         new = np.append(True, (terms[1:] != terms[:-1]) | (block[1:] != block[:-1]))[:len(terms)]
         starts = np.flatnonzero(new)
         self.post_at = np.append(starts, len(terms)).astype(np.int32)
         self.block = block[starts].astype(np.int32)
-        weights = (1 + np.log(self.count)) * self.idf[terms] / self.norms[self.row]
+        weights = self.frequency[self.count] * self.idf[terms] / self.norms[self.row]
         maxima = np.maximum.reduceat(weights, starts) if len(starts) else np.zeros(0)
         # rounded up, so that a bound never falls below a cosine
         self.maxima = np.nextafter(maxima.astype(np.float32), np.float32(2))
@@ -223,7 +224,7 @@ class BlockMaxIndex:
             start, stop = self.post_at[at], self.post_at[at + 1]
             post = _ranges(start, stop)
             cosine = np.bincount(self.row[post], np.repeat(factor[mine], stop - start)
-                                 * (1 + np.log(self.count[post])), len(self.ids))
+                                 * self.frequency[self.count[post]], len(self.ids))
             met = np.flatnonzero(cosine)
             found = np.round(cosine[met] / self.norms[met], 12)
             if len(met) > k:  # those below the k-th best of this step are out
