@@ -42,10 +42,10 @@ PATTERNS = {
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9][0-9\x01]++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "secret": r"(?<![A-Za-z0-9])(?:A[KS]IA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{30,40}|"
-              r"xox[abp]-[A-Za-z0-9-]{10,80}|sk-[A-Za-z0-9]{20,64})(?![A-Za-z0-9])",
+    "secret": r"(?<![A-Za-z0-9])(?:A[KS]IA[A-Z0-9]{16,}+|gh[pousr]_[A-Za-z0-9]{30,}+|"
+              r"xox[abp]-[A-Za-z0-9-]{10,}+|sk-[A-Za-z0-9]{20,}+)(?![A-Za-z0-9])",
     "credential": r"(?i)(?<![a-z])(?:password|passwd|pwd|token|secret|api_?key)\x20{0,2}[=:]\x20{0,2}"
-                  r"[\x22']?[A-Za-z0-9_+/.\x2D]{6,128}[\x22']?",
+                  r"[\x22']?[A-Za-z0-9_+/.\x2D]{6,}+[\x22']?",
     "national_id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "local_phone": r"(?<![0-9+(.)\x20-])\x20?\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])",
 }

@@ -346,3 +346,20 @@ def test_toxicity_neighbours_of_whole_texts(spark):
                       reverse=True)[:toxicity.NEIGHBOURS]
         assert [e.cosine for e in r.evidence] == pytest.approx([c for c in want if c > 0], abs=1e-9)
         assert all(e.toxic == sample[e.doc_id] for e in r.evidence) and r.evidence
+
+
+def test_long_secrets_are_found_whole(spark):
+    rnd = random.Random(23)
+
+    def value(n: int) -> str:
+        return "".join(rnd.choice("abcdefghQRSTUVWX") + rnd.choice("0123456789")
+                       for _ in range(n // 2))
+
+    long = [" token=" + value(400), " key sk-" + value(120), " key ghp_" + value(90),
+            " key AKIA" + value(30).upper(), " key xoxb-" + value(140)]
+    texts = [prose(rnd, 30) + long[i % 5] + " " + prose(rnd, 10) for i in range(40)]
+    clean = {r.doc_id: r.text for r in pii.redacted(documents(spark, texts)).collect()}
+    for d, text in enumerate(texts):
+        own = long[d % 5].strip()
+        label = "<CREDENTIAL>" if d % 5 == 0 else "key <SECRET>"
+        assert clean[d] == text.replace(own, label)
