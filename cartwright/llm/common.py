@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartwright.session import checkpoint_root
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -16,13 +17,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the session has none (tests on one machine) a local one is set.
+    Only a session in local mode that has none (tests on one machine) gets a
+    scratch folder; on a cluster a missing setting raises RuntimeError.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="cartwright-llm-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+    return checkpoint_root(spark).rstrip("/")
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -34,12 +32,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    delete_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Files at this path go when the driver ends."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """The table without columns of these names (in any case), which an operator adds anew."""
     taken = {n.lower() for n in names}

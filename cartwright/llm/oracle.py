@@ -83,6 +83,93 @@ SELECT s.doc_id, CAST(s.size AS BIGINT) AS size, CAST(s.text_crc32 AS BIGINT) AS
 FROM sums s JOIN shards h ON s.doc_id = h.doc_id
 """
 
+#: squared distances in the plain domain, one assignment and one mean a round
+_ROUND = """
+far{i} AS MATERIALIZED (
+  SELECT c.row_id, c.part, b.entry, sum((c.x - b.c) * (c.x - b.c)) AS far
+  FROM components c JOIN book{i} b ON c.part = b.part AND c.place = b.place
+  GROUP BY ALL),
+picked{i} AS MATERIALIZED (
+  SELECT row_id, part, arg_min(entry, (far, entry)) AS entry, min(far) AS far
+  FROM far{i} GROUP BY ALL)"""
+_MEAN = """
+sum{i} AS MATERIALIZED (
+  SELECT part, entry, place, sum(x) AS s, count(*) AS n
+  FROM components JOIN picked{i} USING (row_id, part) GROUP BY ALL),
+book{j} AS MATERIALIZED (
+  SELECT part, entry, place,
+         CASE WHEN n IS NULL THEN c ELSE (s - ((s % n) + n) % n) // n END AS c
+  FROM book{i} LEFT JOIN sum{i} USING (part, entry, place))"""
+
+VECTOR_CODES = """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS row_id, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS HUGEINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+components AS MATERIALIZED (
+  SELECT row_id, (pos - 1) // (len(v) // 8) AS part, (pos - 1) % (len(v) // 8) AS place, v[pos] AS x
+  FROM (SELECT row_id, v, unnest(range(1, len(v) + 1)) AS pos FROM kept)),
+book0 AS MATERIALIZED (
+  SELECT part, row_id - 1 AS entry, place, x AS c FROM components WHERE row_id <= 16),
+""" + ",".join(_ROUND.format(i=i) + "," + _MEAN.format(i=i, j=i + 1) for i in range(6)) \
+    + "," + _ROUND.format(i=6) + """,
+coded AS (
+  SELECT k.vec_id, k.label, string_agg(printf('%02x', CAST(entry AS INTEGER)), '' ORDER BY part)
+           AS code,
+         sum(far) AS error
+  FROM picked6 JOIN kept k USING (row_id) GROUP BY row_id, k.vec_id, k.label)
+SELECT vec_id, code, CAST(error AS BIGINT) AS error,
+       CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, place))
+        FROM book6) AS codebooks_sha256
+FROM coded
+"""
+
+DIVERGENCE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         coalesce(text, '') AS text
+  FROM documents),
+words AS MATERIALIZED (
+  SELECT id, lang, source,
+         translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM docs),
+kept AS MATERIALIZED (
+  SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT id) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+groups AS MATERIALIZED (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words GROUP BY ALL),
+filled AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS lang_n
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+totals AS (SELECT lang, source, sum(n) AS total FROM filled GROUP BY ALL),
+shares AS MATERIALIZED (
+  SELECT f.lang, f.source, f.term, f.n,
+         1 + (1000000000::HUGEINT * (f.n + 2)) // (t.total + 2 * l.v) AS p,
+         1 + (1000000000::HUGEINT * (f.lang_n + 2)) // (l.total + 2 * l.v) AS q
+  FROM filled f JOIN totals t USING (lang, source) JOIN langs l USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL),
+listed AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q)
+  FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM listed)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_unit_dedup": UNIT_DEDUP, "op10_jump_hash_shards": JUMP_SHARDS}
+    return {"op6_unit_dedup": UNIT_DEDUP, "op10_jump_hash_shards": JUMP_SHARDS,
+            "op12_walsh_vector_codes": VECTOR_CODES, "op13_source_divergence": DIVERGENCE}

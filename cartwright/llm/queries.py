@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwright.llm import (bpe, decontaminate, licenses, minhash, pii, quality, sharding,
-                            token_counts, toxicity, unit_dedup)
+from cartwright.llm import (bpe, decontaminate, divergence, licenses, minhash, pii, quality,
+                            sharding, token_counts, token_files, toxicity, unit_dedup,
+                            vector_codes)
 from cartwright.llm.common import read_table
 
 
@@ -62,8 +63,22 @@ def op10_jump_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op11_orc_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.write_documents(read_table(spark, sf_dir, "documents"),
+                                       public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op12_walsh_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_bpe_round_trip, op2_pii_votes, op3_toxicity_neighbours, op4_prefix_token_counts,
         op5_quality_votes, op6_unit_dedup, op6_passage_dedup, op7_minhash_near_duplicates,
-        op8_benchmark_tiling, op9_license_scan, op10_jump_hash_shards)}
+        op8_benchmark_tiling, op9_license_scan, op10_jump_hash_shards,
+        op11_orc_token_files, op12_walsh_vector_codes, op13_source_divergence)}
