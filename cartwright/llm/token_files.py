@@ -13,7 +13,7 @@ small row a file.
 Ids are those of the ``tokenizers`` library with its defaults and without added
 special tokens; every document ends with ``end_id``. Words repeat, so a block of
 texts is cut at single spaces (where the byte-level pattern always parts
-pieces), and the library encodes each different chunk once.
+pieces), and each different chunk is encoded once.
 
 Defined cases: null and empty texts have the end id alone; a null doc_id sorts
 first; rows that share a doc_id are all kept, in the order of the input, and
@@ -24,6 +24,7 @@ clash.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
@@ -35,25 +36,25 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from public_tokenizers import PATTERN
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwright.llm.bpe import blocks
 from cartwright.llm.common import delete_at_end, shared_folder
+from cartwright.llm.pieces import CLOSERS, compiled
+from cartwright.llm.token_counts import byte_letters
 
 #: rows of one entry of the row index, and bytes of a stripe
 STRIDE = 1_000
 STRIPE_BYTES = 32 << 20
 #: texts that are encoded together (or one long text)
 BLOCK_BYTES, BLOCK_ROWS = 12 << 20, 16_000
-#: different chunks that the library encodes in one call, and that a worker keeps
+#: chunks that the library encodes in one call
 CALL_CHUNKS = 4_000
-KEPT_CHUNKS = 400_000
-LONGEST_KEPT = 64
-
-#: a space beside white space (U+180E counts as such in some versions of Unicode)
-_BESIDE_SPACE = re.compile("(?: [\\s᠎])|(?:[\\s᠎] )").search
+#: pieces whose ids a worker keeps from block to block (about 200 bytes each)
+KEPT_PIECES = 300_000
 
 
 def places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -63,11 +64,14 @@ def places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class ChunkEncoder:
-    """Encodes blocks of texts; every different chunk goes to the library once.
+    """Encodes blocks of texts; every different chunk of a block is encoded once.
 
     A chunk is what lies between two single spaces, with the space before it.
     The first chunk of a text has none; its key starts with a line break, which
-    no chunk after a space does.
+    no chunk after a space does. A text in which a space stands beside white
+    space or at an end is one chunk. Chunks of plain letters and marks are cut
+    into pieces here and the library's merge model gets the pieces; any other
+    chunk goes through the library as a whole.
     """
 
     def __init__(self, path: str):
@@ -77,47 +81,96 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, keys: list[str]) -> None:
-        for at in range(0, len(keys), CALL_CHUNKS):
-            part = keys[at:at + CALL_CHUNKS]
-            found = self.tokenizer.encode_batch_fast(
-                [k[1:] if k[:1] == "\n" else " " + k for k in part], add_special_tokens=False)
-            self.known.update(zip(part, [array("i", e.ids).tobytes() for e in found]))
-
-    def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, each followed by ``end_id``; number of ids of each)."""
-        marked = ["\n" + t for t in texts]
-        whole = np.array([" " in t and (t[:1] == " " or t[-1:] == " "
-                                        or _BESIDE_SPACE(t) is not None) for t in texts], bool)
-        cut = pc.split_pattern(pa.array([m for m, w in zip(marked, whole) if not w],
-                                        pa.large_string()), " ")
-        flat = cut.flatten()
-        chunks = pa.chunked_array([flat, pa.array(
-            [m for m, w in zip(marked, whole) if w], pa.large_string())]).combine_chunks()
-        coded = chunks.dictionary_encode()
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        cut = spec["pre_tokenizer"] or {}
+        if (spec["normalizer"] or cut.get("type") != "ByteLevel" or cut["add_prefix_space"]
+                or any(t["lstrip"] or t["rstrip"] or re.search(r"\s", t["content"])
+                       for t in spec["added_tokens"])):
+            raise ValueError("the tokenizer needs byte-level pieces that part at single spaces")
+        self.merge = self.tokenizer.model.tokenize
+        self.cut = compiled(PATTERN).findall
+        self.letters = dict(enumerate(byte_letters()))
+        # what is not cut here: letters beyond Latin, and special strings
+        self.other = re.compile("|".join(["[^\x00-\u024f]", *(
+            re.escape(t["content"]) for t in spec["added_tokens"])])).search
+        self.known: dict[str, bytes] = {}  # ids of pieces
+        self.words: dict[str, bytes] = {}  # ids of plain words after a space
+
+    def _ids(self, piece: str) -> bytes:
+        found = self.known.get(piece)
+        if found is None:
+            plain = piece.encode().decode("latin-1").translate(self.letters)
+            found = self.known[piece] = array("i", [t.id for t in self.merge(plain)]).tobytes()
+        return found
+
+    def _packed(self, keys: list[str]) -> list[bytes]:
+        """The ids of each chunk."""
+        words, known, merge, ids = self.words.get, self.words, self.merge, self._ids
+        out: list[bytes] = []
+        rest = []  # what the library has to cut
+        for i, key in enumerate(keys):
+            word, mark = (key, "") if key.isalpha() else (key[:-1], key[-1:])
+            if word.isalpha() and (not mark or mark in CLOSERS) and (
+                    word.isascii() or not self.other(word)):
+                found = words(word)
+                if found is None:
+                    plain = word if word.isascii() else (
+                        word.encode().decode("latin-1").translate(self.letters))
+                    found = known[word] = array(
+                        "i", [t.id for t in merge("\u0120" + plain)]).tobytes()
+                out.append(found + ids(mark) if mark else found)
+            elif self.other(key):
+                out.append(b"")
+                rest.append(i)
+            else:
+                out.append(b"".join(map(ids, self.cut(
+                    key[1:] if key[:1] == "\n" else " " + key))))
+        for at in range(0, len(rest), CALL_CHUNKS):
+            part = rest[at:at + CALL_CHUNKS]
+            texts = [keys[i][1:] if keys[i][:1] == "\n" else " " + keys[i] for i in part]
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            for i, e in zip(part, found):
+                out[i] = array("i", e.ids).tobytes()
+        for kept in (self.words, self.known):
+            if len(kept) > KEPT_PIECES:
+                kept.clear()
+        return out
+
+    def encode(self, texts: list[str], end_id: int) -> pa.ListArray:
+        """The ids of each text, followed by ``end_id``."""
+        marked = pa.array(["\n" + t for t in texts], pa.large_string())
+        cut = pc.split_pattern(marked, " ")
+        coded = cut.flatten().dictionary_encode()
         keys, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        self._learn([k for k in keys if k not in self.known])
-        packed = [self.known[k] for k in keys]
-        for key, n in zip(keys, np.bincount(at, minlength=len(keys)).tolist()):
-            if n == 1 or len(key) > LONGEST_KEPT:
-                del self.known[key]
-        if len(self.known) > KEPT_CHUNKS:
-            self.known.clear()
-
-        # chunks of each text in the order of the texts
-        n_chunks = np.ones(len(texts), np.int64)
-        n_chunks[~whole] = np.diff(cut.offsets.to_numpy())
-        first = np.empty(len(texts), np.int64)
-        first[~whole] = cut.offsets.to_numpy()[:-1]
-        first[whole] = len(flat) + np.arange(int(whole.sum()))
-        order = at[places(first, n_chunks)]
+        n_chunks = np.diff(cut.offsets.to_numpy())
+        # in some texts a space need not part pieces: there a chunk is empty or has white space
+        # at an end (beyond the mark of the first one, which is alone before a space)
+        odd = np.fromiter((len(k.strip()) != len(k) if k[:1] != "\n" else k == "\n"
+                           or len(k.rstrip()) != len(k) for k in keys), bool, len(keys))
+        odd[[i for i, k in enumerate(keys) if not k]] = True
+        row = np.repeat(np.arange(len(texts)), n_chunks)
+        whole = np.zeros(len(texts), bool)
+        whole[row[odd[at]]] = True
+        whole[n_chunks == 1] = False
+
+        n_keys = len(keys)
+        keys += [m for m, w in zip(marked.to_pylist(), whole.tolist()) if w]
+        packed = self._packed(keys) + [array("i", [end_id]).tobytes()]
+        n = np.where(whole, 1, n_chunks) + 1
+        starts = np.cumsum(n) - n
+        order = np.empty(int(n.sum()), np.int64)
+        order[places(starts[~whole], n_chunks[~whole])] = at[~whole[row]]
+        order[starts[whole]] = n_keys + np.arange(int(whole.sum()))
+        order[starts + n - 1] = len(keys)
         sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
-        ids = np.frombuffer(b"".join(packed), np.int32)
-        ids = ids[places((np.cumsum(sizes) - sizes)[order], sizes[order])]
-        upto = np.cumsum(np.append(0, sizes[order]))[np.cumsum(n_chunks)]
-        return np.insert(ids, upto, end_id), np.diff(np.append(0, upto)) + 1
+        table = pa.ListArray.from_arrays(
+            pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)),
+            pa.array(np.frombuffer(b"".join(packed), np.int32)))
+        ends = np.concatenate(([0], np.cumsum(np.add.reduceat(sizes[order], starts)))) if (
+            len(texts)) else np.zeros(1)
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)),
+                                        table.take(pa.array(order)).flatten())
 
 
 @lru_cache(maxsize=1)
@@ -135,12 +188,11 @@ def encoded(df: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
         own, first = encoder(tokenizer), 0
         file = TaskContext.get().partitionId()
         for block in blocks(batches, "text", BLOCK_BYTES, BLOCK_ROWS):
-            ids, sizes = own.encode([x or "" for x in block.column("text").to_pylist()], end_id)
-            upto = np.concatenate(([0], np.cumsum(sizes)))
+            ids = own.encode([x or "" for x in block.column("text").to_pylist()], end_id)
+            upto = ids.offsets.to_numpy().astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), pa.array(np.full(len(sizes), file, np.int32)),
-                 pa.array(first + upto[:-1]), pa.array(sizes),
-                 pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(ids))],
+                [block.column("doc_id"), pa.array(np.full(len(ids), file, np.int32)),
+                 pa.array(first + upto[:-1]), pa.array(np.diff(upto)), ids],
                 names=["doc_id", "file", "first", "n_tokens", "ids"])
             first += int(upto[-1])
 
@@ -163,11 +215,18 @@ def write(df: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> None:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, file, start, n_tokens, ids) of all documents; start: ids of all before it."""
     rows = spark.read.orc(path)
-    ends = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))  # one row a file
+    # one row a file, also for files without documents, as a list by number
+    held = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))
+    every = held.agg(F.max("file").alias("last")).select(
+        F.explode(F.sequence(F.lit(0), "last")).alias("file"), F.lit(0).cast("long").alias("n"))
+    ends = held.union(every).groupBy("file").agg(F.sum("n").alias("n"))
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     bases = ends.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return rows.join(bases, "file").select(
-        "doc_id", "file", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids")
+    listed = bases.agg(F.sort_array(F.collect_list(F.struct("file", "base"))).alias("b"))
+    # as a scalar subquery: joined, the ids would be shuffled by file
+    return rows.withColumn("__bases", listed.select("b.base").scalar()).select(
+        "doc_id", "file", (F.get("__bases", F.col("file")) + F.col("first")).alias("start"),
+        "n_tokens", "ids")
 
 
 def find(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
