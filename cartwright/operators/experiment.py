@@ -10,10 +10,11 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from cartwright.functions.distributions import normal_quantile
 from cartwright.functions.hashing import CONTROL, TREATMENT
+from cartwright.functions.moments import deviation, exact_sum, mean, sums, variance
 from cartwright.functions.numeric import flag, safe_divide
 from cartwright.functions.scalars import with_scalars
 from cartwright.operators.quantiles import quantile_columns
@@ -64,7 +65,7 @@ def fct_experiment_results(assignments: DataFrame, orders: DataFrame, order_item
     items = order_items.select("order_id", "sale_price").join(
         o.select("order_id"), on="order_id", how="left_semi")
     order_values = (items.groupBy("order_id")
-                    .agg(F.sum("sale_price").alias("order_value"),
+                    .agg(exact_sum(F.col("sale_price")).alias("order_value"),
                          F.count(F.lit(1)).alias("item_count")))
     a = assignments.select(F.col("user_id").alias("a_user_id"), "variant")
     j = (o.join(order_values, on="order_id", how="inner")
@@ -84,27 +85,32 @@ def _known_variant(fct: DataFrame) -> DataFrame:
 
 
 def variant_balance(fct: DataFrame) -> DataFrame:
-    """Orders, distinct users and share of orders (percent, 1 digit) per variant."""
-    per = (_known_variant(fct).groupBy("variant")
-           .agg(F.count("order_id").alias("orders"),
-                F.countDistinct("user_id").alias("users")))
-    total = per.agg(F.sum("orders").alias("_total"))
-    j = with_scalars(per, total)
-    share = safe_divide(F.col("orders"), F.col("_total"))
-    return j.select("variant", "orders", "users",
-                    F.bround(share * 100, 1).alias("pct_orders"),
-                    share.alias("share_orders"))
+    """Orders, distinct users and share of orders (percent, 1 digit) per variant.
+
+    One read of the fact: a ROLLUP gives the variants and, as the row with
+    ``grouping_id`` 1, the total. These few rows are put in one list, from which
+    each variant takes the total.
+    """
+    levels = (_known_variant(fct).rollup("variant")
+              .agg(F.count("order_id").alias("orders"), F.countDistinct("user_id").alias("users"),
+                   F.grouping_id().alias("level")))
+    rows = levels.agg(
+        F.max(F.when(F.col("level") == 1, F.col("orders"))).alias("total"),
+        F.collect_list(F.when(F.col("level") == 0, F.struct("variant", "orders", "users"))).alias("v"))
+    share = safe_divide(F.col("orders"), F.col("total"))
+    return rows.select("total", F.explode("v").alias("v")).select("v.*", "total").select(
+        "variant", "orders", "users", F.bround(share * 100, 1).alias("pct_orders"),
+        share.alias("share_orders"))
 
 
 def variant_summary(fct: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
     """Count, mean, median, sample sd, conversion and return rate per variant."""
     f = _known_variant(fct)
     base = (f.groupBy("variant")
-            .agg(F.count("order_id").alias("orders"),
-                 F.avg("order_value").alias("avg_order_value"),
-                 F.stddev_samp("order_value").alias("std_order_value"),
+            .agg(F.count("order_id").alias("orders"), *sums(F.col("order_value"), "v"),
                  F.avg("is_completed").alias("conversion_rate"),
-                 F.avg("is_returned").alias("return_rate")))
+                 F.avg("is_returned").alias("return_rate"))
+            .withColumns({"avg_order_value": mean("v"), "std_order_value": deviation("v")}))
     med = quantile_columns(cfg.quantiles)(f, ["variant"], "order_value", [0.5],
                                            names=["median_order_value"])
     j = base.join(med, on="variant", how="left")
@@ -152,10 +158,10 @@ def null_profile(df: DataFrame) -> DataFrame:
 def baseline_order_value(order_items: DataFrame) -> DataFrame:
     """Mean, sample sd and count of per-order sums over completed items."""
     per_order = (order_items.where(F.col("status") == "Complete")
-                 .groupBy("order_id").agg(F.sum("sale_price").alias("order_value")))
-    return per_order.agg(F.round(F.avg("order_value"), 2).alias("baseline_aov"),
-                         F.round(F.stddev_samp("order_value"), 2).alias("aov_stddev"),
-                         F.count(F.lit(1)).alias("order_count"))
+                 .groupBy("order_id").agg(exact_sum(F.col("sale_price")).alias("order_value")))
+    return (per_order.agg(*sums(F.col("order_value"), "v"), F.count(F.lit(1)).alias("order_count"))
+            .select(F.round(mean("v"), 2).alias("baseline_aov"),
+                    F.round(deviation("v"), 2).alias("aov_stddev"), "order_count"))
 
 
 def baseline_return_rate(orders: DataFrame) -> DataFrame:
@@ -206,24 +212,23 @@ def sample_size_and_duration(baseline_value: DataFrame, daily: DataFrame,
 
 # -- per-variant moments feeding every test --------------------------------
 
-def _by_variant(agg, col: Column, variant: str) -> Column:
-    return agg(F.when(F.col("variant") == variant, col))
-
-
 def variant_moments(fct: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
     """One row: counts, successes, means and variances of control and treatment.
 
     A single global aggregation with conditional aggregates: each task
-    pre-aggregates, the final merge sees one row per task.
+    pre-aggregates, the final merge sees one row per task. Order values enter as
+    exact sums, so the row is the same in every run.
     """
-    out = []
+    out, shown = [], []
     for tag, v in (("c", cfg.variants[0]), ("t", cfg.variants[1])):
         is_v = F.col("variant") == v
         out += [
             F.count_if(is_v).alias(f"n_{tag}"),
             F.sum(F.when(is_v, F.col("is_completed"))).cast("bigint").alias(f"conv_{tag}"),
             F.sum(F.when(is_v, F.col("is_returned"))).cast("bigint").alias(f"ret_{tag}"),
-            _by_variant(F.avg, F.col("order_value"), v).alias(f"mean_{tag}"),
-            _by_variant(F.var_samp, F.col("order_value"), v).alias(f"var_{tag}"),
+            *sums(F.when(is_v, F.col("order_value")), f"value_{tag}"),
         ]
-    return fct.agg(*out)
+        shown += [F.col(f"n_{tag}"), F.col(f"conv_{tag}"), F.col(f"ret_{tag}"),
+                  mean(f"value_{tag}").alias(f"mean_{tag}"),
+                  variance(f"value_{tag}").alias(f"var_{tag}")]
+    return fct.agg(*out).select(*shown)

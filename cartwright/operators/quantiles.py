@@ -1,108 +1,117 @@
-"""Exact quantiles per group without gathering a group into one task.
+"""Exact quantiles per group by narrowing, in one lazy plan.
 
 Spark's ``percentile``/``median`` keep every value of a group in one
 aggregation buffer, and here a group is an experiment variant (about half of
 the fact table). This operator gives the same exact, linearly interpolated
-quantiles (numpy/pandas default, DuckDB ``quantile_cont``) with bounded
-work per task:
-
-1. collapse equal values: ``groupBy(g, x).count()`` (map-side combine, so a
-   single hot value costs one row per task, never a hot partition);
-2. range-partition the distinct (g, x) rows into balanced, ordered slices
-   and write them, slice id included, to the shared checkpoint folder
-   (stable slice ids, lineage cut, columnar re-reads that survive lost
-   executors);
-3. count the weight of each (g, slice) - a table of at most
-   slices + groups rows - and turn it into running offsets;
-4. locate the slice holding each target rank and sort only those slices
-   (each is one bounded partition) to read the values at the ranks.
+quantiles (numpy/pandas default, DuckDB ``quantile_cont``) from a few
+aggregates with bounded state, and writes nothing:
+
+1. equal values are collapsed: ``groupBy(g, x).count()`` (map-side combine, so
+   a hot value is one row a task); every later step reads this one exchange;
+2. per group the number of values and their range give the ranks wanted (for a
+   quantile the order statistics below and above it) and a first interval;
+3. a pass cuts each interval into ``BINS`` bins, counts their values and notes
+   the least and largest one of each, and keeps the bin that holds the rank: its
+   own least and largest value are the next interval. Bins follow the values, so
+   an outlier costs one pass and not the resolution;
+4. after ``PASSES`` passes the values inside the interval (few, as each pass
+   divides them by up to ``BINS``) are summed up in order to the rank.
+
+What a pass hands on is one row (a struct for each group and rank), read by the
+next one as a scalar subquery: no join, no shuffle of the values by group, and
+no job before the result is asked for. The row grows with the number of groups,
+which are meant to be few (the variants of a test). Any number of values, equal
+values or outliers in a group changes only how many values step 4 sees.
 """
 
 from __future__ import annotations
 
-import uuid
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pyspark.sql import DataFrame, Window, functions as F
+#: bins of one pass, and passes
+BINS = 4096
+PASSES = 2
 
-from cartwright.session import warehouse_path
 
+def _packed(state: DataFrame) -> Column:
+    """All rows of a small frame as one array, read as a scalar subquery."""
+    return state.agg(F.collect_list(F.struct(*state.columns)).alias("s")).scalar()
 
-def _ranks(counts: DataFrame, probs: list[float]) -> DataFrame:
-    """(groups..., q_idx, p, rank, frac) for the lower and upper order statistic."""
-    pa = F.array(*[F.struct(F.lit(i).alias("q_idx"), F.lit(float(p)).alias("p"))
-                   for i, p in enumerate(probs)])
-    t = counts.select("*", F.explode(pa).alias("_q")).select("*", "_q.q_idx", "_q.p").drop("_q")
-    pos = F.col("p") * (F.col("_n") - 1)
-    lo = F.floor(pos).cast("long")
-    return (t.withColumn("_lo", lo)
-             .withColumn("_hi", F.least(lo + 1, F.col("_n") - 1))
-             .withColumn("_frac", pos - lo))
+
+def _wanted(distinct: DataFrame, probs: list[float]) -> DataFrame:
+    """(group, rank, lo, hi, below): the order statistics wanted and the whole range."""
+    ranges = distinct.groupBy("g").agg(F.sum("w").alias("n"), F.min("x").alias("lo"),
+                                       F.max("x").alias("hi"))
+    upper = [F.least(F.floor(F.lit(p) * (F.col("n") - 1)) + 1, F.col("n") - 1) for p in probs]
+    ranks = [F.floor(F.lit(p) * (F.col("n") - 1)) for p in probs] + upper
+    return ranges.select("g", "n", "lo", "hi", F.lit(0).cast("long").alias("below"),
+                         F.explode(F.array_distinct(F.array(*ranks))).alias("rank"))
+
+
+def _inside(distinct: DataFrame, state: DataFrame) -> DataFrame:
+    """The values within the interval of each wanted rank: (s, x, w)."""
+    mine = F.filter("state", lambda s: (s["g"] == F.col("g")) & (F.col("x") >= s["lo"])
+                    & (F.col("x") <= s["hi"]))
+    return (distinct.withColumn("state", _packed(state))
+            .select("g", "x", "w", F.explode(mine).alias("s")))
+
+
+def _narrowed(distinct: DataFrame, state: DataFrame, bins: int) -> DataFrame:
+    """The bin that holds the rank is the next interval."""
+    lo, hi, x = F.col("s.lo"), F.col("s.hi"), F.col("x")
+    # without a finite width everything is one bin: still exact
+    spot = F.when(hi > lo, F.least(F.floor((x - lo) / (hi - lo) * bins), F.lit(bins - 1))).otherwise(0)
+    counted = (_inside(distinct, state)
+               .groupBy(F.col("s.g").alias("g"), F.col("s.n").alias("n"),
+                        F.col("s.rank").alias("rank"), F.col("s.below").alias("before"),
+                        spot.alias("bin"))
+               .agg(F.sum("w").alias("w"), F.min("x").alias("lo"), F.max("x").alias("hi")))
+    upto = Window.partitionBy("g", "rank").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counted.withColumn("end", F.col("before") + F.sum("w").over(upto))
+    return (placed.withColumn("below", F.col("end") - F.col("w"))
+            .where((F.col("rank") >= F.col("below")) & (F.col("rank") < F.col("end")))
+            .select("g", "n", "lo", "hi", "below", "rank"))
+
+
+def _selected(distinct: DataFrame, state: DataFrame) -> DataFrame:
+    """(g, n, rank, x): the value at each wanted rank."""
+    rows = _inside(distinct, state).select("s.g", "s.n", "s.rank", "s.below", "x", "w")
+    upto = Window.partitionBy("g", "rank").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    placed = rows.withColumn("end", F.col("below") + F.sum("w").over(upto))
+    return (placed.where((F.col("rank") >= F.col("end") - F.col("w"))
+                         & (F.col("rank") < F.col("end"))).select("g", "n", "rank", "x"))
 
 
 def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
                     probs: list[float], names: list[str] | None = None,
-                    num_slices: int | None = None) -> DataFrame:
+                    bins: int = BINS, passes: int = PASSES) -> DataFrame:
     """One row per group: ``names[i]`` = exact ``probs[i]`` quantile of ``value_col``.
 
     Groups with only NULL values are absent (join to the group list when a
     NULL row is wanted), and rows with a NULL group key are ignored, as
-    pandas groupby does.
+    pandas groupby does; so are NaN values.
     """
-    spark = df.sparkSession
     names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
     g = list(group_cols)
-
-    keep = F.col("_x").isNotNull()
+    x = F.col(value_col).cast("double")
+    keep = x.isNotNull() & ~F.isnan(x)
     for c in g:
         keep = keep & F.col(c).isNotNull()
-    distinct = (df.select(*g, F.col(value_col).cast("double").alias("_x"))
-                  .where(keep)
-                  .groupBy(*g, "_x").agg(F.count(F.lit(1)).alias("_w")))
-    # the slice id is taken in the same stage that writes the slices, so the
-    # written table carries it: later reads may be split any way
-    path = warehouse_path(spark, "quantiles", uuid.uuid4().hex[:12])
-    keys = [*[F.col(c) for c in g], F.col("_x")]
-    # without an explicit count AQE sizes the slices (it merges adjacent range
-    # partitions, which stay contiguous ranges); the id is read in the stage
-    # that writes the slices, so it always matches the written rows
-    ranged_w = (distinct.repartitionByRange(num_slices, *keys) if num_slices
-                else distinct.repartitionByRange(*keys))
-    ranged_w.withColumn("_slice", F.spark_partition_id()).write.parquet(path)
-    ranged = spark.read.parquet(path)
-
-    per_slice = ranged.groupBy(*g, "_slice").agg(F.sum("_w").alias("_sw"))
-    w_slices = Window.partitionBy(*g).orderBy("_slice")
-    per_slice = (per_slice
-                 .withColumn("_end", F.sum("_sw").over(w_slices.rowsBetween(Window.unboundedPreceding, 0)))
-                 .withColumn("_start", F.col("_end") - F.col("_sw"))
-                 .withColumn("_n", F.sum("_sw").over(Window.partitionBy(*g))))
-    counts = per_slice.select(*g, "_n").distinct()
-    ranks = _ranks(counts, probs)
-
-    # the order statistics wanted: (g, rank), each mapped to its slice
-    wanted = (ranks.select(*g, F.col("_lo").alias("_rank"))
-              .unionByName(ranks.select(*g, F.col("_hi").alias("_rank"))).distinct())
-    located = (wanted.join(per_slice.select(*g, "_slice", "_start", "_end"), on=g)
-               .where((F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_end"))))
-    target_slices = located.select(*g, "_slice", "_start").distinct()
-
-    # slices x groups is bounded by slices + groups rows: broadcast is safe
-    rows = ranged.join(target_slices, on=[*g, "_slice"])
-    w_in = Window.partitionBy(*g, "_slice").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    rows = (rows.withColumn("_cum_end", F.col("_start") + F.sum("_w").over(w_in))
-                .withColumn("_cum_start", F.col("_cum_end") - F.col("_w")))
-    stats = (located.select(*g, "_rank", "_slice")
-             .join(rows.select(*g, "_slice", "_x", "_cum_start", "_cum_end"), on=[*g, "_slice"])
-             .where((F.col("_rank") >= F.col("_cum_start")) & (F.col("_rank") < F.col("_cum_end")))
-             .select(*g, "_rank", "_x"))
-
-    lo_v = stats.select(*g, F.col("_rank").alias("_lo"), F.col("_x").alias("_xlo"))
-    hi_v = stats.select(*g, F.col("_rank").alias("_hi"), F.col("_x").alias("_xhi"))
-    q = (ranks.join(lo_v, on=[*g, "_lo"]).join(hi_v, on=[*g, "_hi"])
-              .withColumn("_v", F.col("_xlo") + F.col("_frac") * (F.col("_xhi") - F.col("_xlo"))))
-    out = q.groupBy(*g).agg(*[F.max(F.when(F.col("q_idx") == i, F.col("_v"))).alias(n)
-                              for i, n in enumerate(names)])
-    return out
+    distinct = (df.where(keep).select(F.struct(*g).alias("g"), x.alias("x"))
+                .groupBy("g", "x").agg(F.count(F.lit(1)).alias("w")))
+    state = _wanted(distinct, probs)
+    for _ in range(passes):
+        state = _narrowed(distinct, state, bins)
+    found = _selected(distinct, state).groupBy("g", "n").agg(
+        F.map_from_entries(F.collect_list(F.struct("rank", "x"))).alias("at"))
+
+    def quantile(p: float) -> Column:
+        pos = F.lit(float(p)) * (F.col("n") - 1)
+        lo = F.floor(pos)
+        a, b = F.col("at")[lo], F.col("at")[F.least(lo + 1, F.col("n") - 1)]
+        return F.when(pos == lo, a).otherwise(a + (pos - lo) * (b - a))
+
+    return found.select("g.*", *[quantile(p).alias(n) for n, p in zip(names, probs)])
 
 
 def approx_quantiles(df: DataFrame, group_cols: list[str], value_col: str,

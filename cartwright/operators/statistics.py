@@ -39,8 +39,12 @@ def _rounded(frame: DataFrame, digits: dict[str, int]) -> DataFrame:
                           for n in frame.columns])
 
 
-def exact_ztest(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
-    """Pooled two-proportion z-test on is_completed, Wilson intervals, lift; not rounded."""
+def exact_ztest(moments: DataFrame, cfg: ExperimentConfig = DEFAULT,
+                beside: tuple[str, ...] = ()) -> DataFrame:
+    """Pooled two-proportion z-test on is_completed, Wilson intervals, lift; not rounded.
+
+    ``beside`` names further columns of the row that are carried along.
+    """
     crit = normal_quantile(1 - cfg.alpha / 2)
     p_c = safe_divide(c("conv_c").cast("double"), c("n_c"))
     p_t = safe_divide(c("conv_t").cast("double"), c("n_t"))
@@ -55,7 +59,7 @@ def exact_ztest(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFram
         p_c.alias("rate_control"), p_t.alias("rate_treatment"),
         lo_c.alias("ci_low_control"), hi_c.alias("ci_high_control"),
         lo_t.alias("ci_low_treatment"), hi_t.alias("ci_high_treatment"),
-        (p_t - p_c).alias("absolute_lift"), z.alias("z_stat"))
+        (p_t - p_c).alias("absolute_lift"), z.alias("z_stat"), *beside)
     s = s.withColumn("p_value", normal_two_sided_p(c("z_stat")))
     return s.withColumn("significant", c("p_value") < cfg.alpha)
 
@@ -83,11 +87,12 @@ def _welch_columns() -> dict[str, Column]:
     }
 
 
-def exact_welch(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
+def exact_welch(moments: DataFrame, cfg: ExperimentConfig = DEFAULT,
+                beside: tuple[str, ...] = ()) -> DataFrame:
     """Welch t-test on order value with a CI on the mean difference; not rounded."""
     cols = _welch_columns()
     s = moments.select(c("n_c").alias("n_control"), c("n_t").alias("n_treatment"),
-                       *[v.alias(k) for k, v in cols.items()])
+                       *[v.alias(k) for k, v in cols.items()], *beside)
     s = (s.withColumn("p_value", t_two_sided_p(c("t_stat"), c("df_welch")))
           .withColumn("t_crit", t_quantile_two_sided(cfg.alpha, c("df_welch"))))
     s = (s.withColumn("ci_low", c("mean_diff") - c("t_crit") * c("se_diff"))
@@ -105,7 +110,8 @@ def aov_welch(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
     return _rounded(shown, dict.fromkeys([*money, "df_welch"], 4) | dict.fromkeys(stat, 6))
 
 
-def exact_guardrail(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
+def exact_guardrail(moments: DataFrame, cfg: ExperimentConfig = DEFAULT,
+                    beside: tuple[str, ...] = ()) -> DataFrame:
     """Treatment return rate minus control's against the guardrail threshold; not rounded."""
     r_c = safe_divide(c("ret_c").cast("double"), c("n_c"))
     r_t = safe_divide(c("ret_t").cast("double"), c("n_t"))
@@ -116,7 +122,7 @@ def exact_guardrail(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> Data
         r_t.alias("return_rate_treatment"),
         diff.alias("return_rate_diff"),
         F.lit(cfg.guardrail).alias("threshold"),
-        (diff > F.lit(cfg.guardrail)).alias("breached"))
+        (diff > F.lit(cfg.guardrail)).alias("breached"), *beside)
 
 
 def return_guardrail(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
@@ -125,6 +131,21 @@ def return_guardrail(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> Dat
         ("return_rate_control", "return_rate_treatment", "return_rate_diff"), 6))
 
 
+def all_tests(moments: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
+    """One row with the structs m, z, w and g: moments, z-test, Welch test and guardrail.
+
+    All of it is one projection over the one aggregate, so the fact is read once.
+    """
+    names = [x for x in moments.columns]
+    row = moments.withColumn("m", F.struct(*names))
+    for tag, test in (("z", exact_ztest), ("w", exact_welch), ("g", exact_guardrail)):
+        kept = [x for x in ("m", "z", "w", "g") if x in row.columns]
+        found = test(row, cfg, tuple(kept))
+        own = [x for x in found.columns if x not in kept]
+        row = found.select(*kept, F.struct(*own).alias(tag)).select("*", "m.*")
+    return row.select("m", "z", "w", "g")
+
+
 DECISIONS = {
     # label -> what to do next
     "guardrail_breach": "Returns rose too much: stop and find out why first",
@@ -135,27 +156,40 @@ DECISIONS = {
 }
 
 
+def _joined(**frames: DataFrame) -> DataFrame:
+    """One-row frames as one row of structs, for tests that were computed apart."""
+    packed = [df.select(F.struct("*").alias(tag)) for tag, df in frames.items()]
+    out = packed[0]
+    for df in packed[1:]:
+        out = with_scalars(out, df)
+    return out
+
+
 def experiment_decision(welch: DataFrame, guardrail: DataFrame, sizing: DataFrame,
                         cfg: ExperimentConfig = DEFAULT) -> DataFrame:
+    """``decision`` from an unrounded ``exact_welch`` and ``exact_guardrail``."""
+    return decision(_joined(w=welch, g=guardrail), sizing, cfg)
+
+
+def decision(tests: DataFrame, sizing: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
     """One decision row: breach, loss, win, below-MDE, inconclusive (that order).
 
-    Reads the unrounded ``exact_welch`` and ``exact_guardrail``; rounding is
-    the last step.
+    Reads the unrounded row of ``all_tests``; rounding is the last step.
 
     Also reports captured vs required orders; ``share_of_required`` is the
     share of the required sample that was captured (not a power).
     """
-    j = with_scalars(with_scalars(welch, guardrail, ["return_rate_diff", "breached"]),
+    j = with_scalars(tests.select("w.*", "g.return_rate_diff", "g.breached"),
                      sizing, ["n_per_variant", "n_total"])
     sig = c("p_value") < cfg.alpha
-    decision = (F.when(c("breached"), "guardrail_breach")
-                .when(sig & (c("mean_diff") < 0), "loss")
-                .when(sig & (c("mean_diff") > 0) & (c("relative_lift") >= cfg.mde_relative), "win")
-                .when(sig, "significant_below_mde")
-                .otherwise("inconclusive"))
+    label = (F.when(c("breached"), "guardrail_breach")
+             .when(sig & (c("mean_diff") < 0), "loss")
+             .when(sig & (c("mean_diff") > 0) & (c("relative_lift") >= cfg.mde_relative), "win")
+             .when(sig, "significant_below_mde")
+             .otherwise("inconclusive"))
     rec = F.create_map(*[x for k, v in DECISIONS.items() for x in (F.lit(k), F.lit(v))])
     captured = c("n_control") + c("n_treatment")
-    return (j.select(decision.alias("decision"), F.round("p_value", 6).alias("p_value"),
+    return (j.select(label.alias("decision"), F.round("p_value", 6).alias("p_value"),
                      F.round("mean_diff", 4).alias("mean_diff"),
                      F.round("relative_lift", 6).alias("relative_lift"),
                      F.round("return_rate_diff", 6).alias("return_rate_diff"), "breached",
@@ -168,23 +202,28 @@ def experiment_decision(welch: DataFrame, guardrail: DataFrame, sizing: DataFram
 
 def interval_chart(moments: DataFrame, ztest: DataFrame, welch: DataFrame,
                    cfg: ExperimentConfig = DEFAULT) -> DataFrame:
+    """``intervals`` from moments and the unrounded ``exact_ztest`` and ``exact_welch``."""
+    return intervals(_joined(m=moments, z=ztest, w=welch), cfg)
+
+
+def intervals(tests: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
     """Bar-and-error data: per metric and variant the value and its own 95% CI.
 
     Conversion uses each variant's Wilson interval; order value each
     variant's own t interval (mean +- t(n-1) sd/sqrt(n)). The reference drew
     half the difference CI around each mean instead; its p-values are kept.
-    ``ztest`` and ``welch`` are the unrounded ones.
+    Reads the unrounded row of ``all_tests``.
     """
+    moments = tests.select("m.*", "z", "w")
     crit_t_c = t_quantile_two_sided(cfg.alpha, (c("n_c") - 1).cast("double"))
     crit_t_t = t_quantile_two_sided(cfg.alpha, (c("n_t") - 1).cast("double"))
-    m = moments.select(
+    j = moments.select(
         c("mean_c"), c("mean_t"),
+        *[c("z")[x].alias(x) for x in ("rate_control", "rate_treatment", "ci_low_control",
+                                       "ci_high_control", "ci_low_treatment", "ci_high_treatment")],
+        c("z")["p_value"].alias("p_conv"), c("w")["p_value"].alias("p_aov"),
         (crit_t_c * F.sqrt(safe_divide(c("var_c"), c("n_c")))).alias("half_c"),
         (crit_t_t * F.sqrt(safe_divide(c("var_t"), c("n_t")))).alias("half_t"))
-    z = ztest.select("rate_control", "rate_treatment", "ci_low_control", "ci_high_control",
-                     "ci_low_treatment", "ci_high_treatment", c("p_value").alias("p_conv"))
-    w = welch.select(c("p_value").alias("p_aov"))
-    j = with_scalars(with_scalars(m, z), w)
 
     def row(metric, variant, value, lo, hi, p):
         return F.struct(F.lit(metric).alias("metric"), F.lit(variant).alias("variant"),
@@ -206,20 +245,26 @@ def interval_chart(moments: DataFrame, ztest: DataFrame, welch: DataFrame,
                     (c("p_value") < cfg.alpha).alias("significant"))
 
 
-def experiment_report_display(balance: DataFrame, ztest: DataFrame, welch: DataFrame,
-                              guardrail: DataFrame) -> DataFrame:
+def experiment_report_display(balance: DataFrame, tests: DataFrame) -> DataFrame:
     """The printed read-out of the analysis notebooks as text lines (FN14).
 
     Counts with thousands separators, rates as percents, money in pounds,
     differences with an explicit sign. One row per line; the numbers come
     from the (one-row or per-variant) statistics frames.
     """
-    from cartwright.functions.formatting import money, percent, signed, thousands
+    from cartwright.functions.formatting import money as pounds, percent, signed, thousands
     total = balance.agg(F.sum("orders").alias("rows_loaded"))
-    w = welch.select("mean_control", "mean_treatment", "sd_control", "sd_treatment", "mean_diff",
-                     "ci_low", "ci_high", F.col("t_stat").alias("t"), F.col("p_value").alias("p_aov"))
-    g = guardrail.select("return_rate_control", "return_rate_treatment", "return_rate_diff", "breached")
-    j = with_scalars(with_scalars(with_scalars(ztest, w), g), total)
+    flat = tests.select(
+        "z.*", *[c("w")[x].alias(x) for x in ("mean_control", "mean_treatment", "sd_control",
+                                              "sd_treatment", "mean_diff", "ci_low", "ci_high")],
+        c("w")["t_stat"].alias("t"), c("w")["p_value"].alias("p_aov"),
+        *[c("g")[x].alias(x) for x in ("return_rate_control", "return_rate_treatment",
+                                       "return_rate_diff", "breached")])
+    # the figures as they are shown elsewhere, rounded before they are printed
+    money = ("mean_control", "mean_treatment", "sd_control", "sd_treatment", "mean_diff",
+             "ci_low", "ci_high")
+    six = [n for n in flat.columns if n not in money and flat.schema[n].dataType.typeName() == "double"]
+    j = with_scalars(_rounded(flat, dict.fromkeys(money, 4) | dict.fromkeys(six, 6)), total)
 
     def line(i, label, value):
         return F.struct(F.lit(i).alias("line"), F.lit(label).alias("label"), value.alias("value"))
@@ -235,12 +280,12 @@ def experiment_report_display(balance: DataFrame, ztest: DataFrame, welch: DataF
         line(4, "Absolute lift", pct_signed(c("absolute_lift"))),
         line(5, "Z-statistic", F.format_string("%.4f", F.round("z_stat", 4))),
         line(6, "P-value (conversion)", F.format_string("%.4f", F.round("p_value", 4))),
-        line(7, "Control mean", F.concat(money(c("mean_control")), F.lit(" (SD: "),
-             money(c("sd_control")), F.lit(")"))),
-        line(8, "Treatment mean", F.concat(money(c("mean_treatment")), F.lit(" (SD: "),
-             money(c("sd_treatment")), F.lit(")"))),
+        line(7, "Control mean", F.concat(pounds(c("mean_control")), F.lit(" (SD: "),
+             pounds(c("sd_control")), F.lit(")"))),
+        line(8, "Treatment mean", F.concat(pounds(c("mean_treatment")), F.lit(" (SD: "),
+             pounds(c("sd_treatment")), F.lit(")"))),
         line(9, "Absolute difference", F.concat(F.lit("£"), signed(c("mean_diff")))),
-        line(10, "95% CI on difference", F.concat(money(c("ci_low")), F.lit(" to "), money(c("ci_high")))),
+        line(10, "95% CI on difference", F.concat(pounds(c("ci_low")), F.lit(" to "), pounds(c("ci_high")))),
         line(11, "T-statistic", F.format_string("%.4f", F.round("t", 4))),
         line(12, "P-value (AOV)", F.format_string("%.4f", F.round("p_aov", 4))),
         line(13, "Return rate control", percent(c("return_rate_control"))),

@@ -73,7 +73,7 @@ class Models:
     @cached_property
     def item_lines(self) -> DataFrame:
         """Staged order items without their order's columns, for models that read none."""
-        return self.sources.item_lines.withColumnRenamed("id", "order_item_id")
+        return self._k("item_lines", self.sources.item_lines.withColumnRenamed("id", "order_item_id"))
 
     # star schema (tables)
     @cached_property
@@ -162,15 +162,18 @@ class ExperimentModels:
         from cartwright.operators.statistics import return_guardrail
         return return_guardrail(self.moments, self.cfg)
 
+    @cached_property
+    def tests(self) -> DataFrame:
+        """All test statistics as one row over one aggregate of the fact."""
+        from cartwright.operators.statistics import all_tests
+        return all_tests(self.moments, self.cfg)
+
     @cached_property
     def experiment_decision(self) -> DataFrame:
-        from cartwright.operators.statistics import exact_guardrail, exact_welch, experiment_decision
-        return experiment_decision(exact_welch(self.moments, self.cfg),
-                                   exact_guardrail(self.moments, self.cfg),
-                                   self.sample_size_and_duration, self.cfg)
+        from cartwright.operators.statistics import decision
+        return decision(self.tests, self.sample_size_and_duration, self.cfg)
 
     @cached_property
     def interval_chart(self) -> DataFrame:
-        from cartwright.operators.statistics import exact_welch, exact_ztest, interval_chart
-        return interval_chart(self.moments, exact_ztest(self.moments, self.cfg),
-                              exact_welch(self.moments, self.cfg), self.cfg)
+        from cartwright.operators.statistics import intervals
+        return intervals(self.tests, self.cfg)

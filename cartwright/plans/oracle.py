@@ -279,6 +279,23 @@ def normal_p_sql(z: str) -> str:
             f"{simpson_sql(f, a, f'{a} + {dbl(NORMAL_SPAN)}')}) END)")
 
 
+# -- amounts: whole cents are added, so no result depends on the order of rows
+def cents(x: str) -> str:
+    return f"CAST(round({x} * 100) AS BIGINT)"
+
+
+def exact_avg(x: str, when: str = "") -> str:
+    f = f" FILTER (WHERE {when})" if when else ""
+    return f"(sum({cents(x)}){f} / nullif(100 * count({x}){f}, 0))"
+
+
+def exact_var(x: str, when: str = "") -> str:
+    f = f" FILTER (WHERE {when})" if when else ""
+    n, u = f"count({x}){f}", cents(x)
+    return (f"(({n} * sum({u} * {u}){f} - sum({u}){f} * sum({u}){f}) / nullif({n} * ({n} - 1), 0)"
+            f" / 10000)")
+
+
 def _experiment_ctes(cfg=_CFG) -> str:
     statuses = ", ".join(f"'{s}'" for s in cfg.statuses)
     vc, vt = cfg.variants
@@ -288,8 +305,8 @@ def _experiment_ctes(cfg=_CFG) -> str:
            count(*) FILTER (WHERE variant = '{v}') AS n_{tag},
            CAST(sum(is_completed) FILTER (WHERE variant = '{v}') AS BIGINT) AS conv_{tag},
            CAST(sum(is_returned) FILTER (WHERE variant = '{v}') AS BIGINT) AS ret_{tag},
-           avg(order_value) FILTER (WHERE variant = '{v}') AS mean_{tag},
-           var_samp(order_value) FILTER (WHERE variant = '{v}') AS var_{tag}"""
+           {exact_avg('order_value', f"variant = '{v}'")} AS mean_{tag},
+           {exact_var('order_value', f"variant = '{v}'")} AS var_{tag}"""
     return f"""
 fct_experiment_results AS (
     SELECT o_orderkey AS order_id, o_custkey * 10 + o_orderkey % 10 AS user_id,
@@ -303,7 +320,8 @@ fct_experiment_results AS (
           FROM orders WHERE o_orderdate >= DATE '{cfg.start}'
                         AND o_orderdate < DATE '{cfg.end}' + INTERVAL 1 DAY)
     SEMI JOIN customer ON c_custkey = o_custkey
-    JOIN (SELECT l_orderkey, sum(l_extendedprice) AS order_value, count(*) AS item_count
+    JOIN (SELECT l_orderkey, sum({cents('l_extendedprice')}) / 100 AS order_value,
+                 count(*) AS item_count
           FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey
     WHERE st IN ({statuses})
 ),
@@ -313,9 +331,9 @@ moments AS (
     FROM fct_experiment_results
 ),
 baseline_order_value AS (
-    SELECT round(avg(basket), 2) AS baseline_aov, round(stddev_samp(basket), 2) AS aov_stddev,
-           count(*) AS order_count
-    FROM (SELECT sum(l_extendedprice) AS basket FROM lineitem
+    SELECT round({exact_avg('basket')}, 2) AS baseline_aov,
+           round(sqrt({exact_var('basket')}), 2) AS aov_stddev, count(*) AS order_count
+    FROM (SELECT sum({cents('l_extendedprice')}) / 100 AS basket FROM lineitem
           WHERE l_linestatus = 'F' AND l_returnflag <> 'R' GROUP BY l_orderkey)
 ),
 baseline_return_rate AS (
@@ -546,11 +564,11 @@ SELECT variant, orders, users, round_even(orders / total * 100, 1) AS pct_orders
 FROM (SELECT variant, count(order_id) AS orders, count(DISTINCT user_id) AS users,
              sum(count(order_id)) OVER () AS total
       FROM fct_experiment_results WHERE variant IS NOT NULL GROUP BY variant)"""),
-    "variant_summary": with_models("""
+    "variant_summary": with_models(f"""
 SELECT variant, count(order_id) AS orders,
-       round(avg(order_value), 4) AS avg_order_value,
+       round({exact_avg('order_value')}, 4) AS avg_order_value,
        round(median(order_value), 4) AS median_order_value,
-       round(stddev_samp(order_value), 4) AS std_order_value,
+       round(sqrt({exact_var('order_value')}), 4) AS std_order_value,
        round(avg(is_completed), 6) AS conversion_rate,
        round(avg(is_returned), 6) AS return_rate
 FROM fct_experiment_results WHERE variant IS NOT NULL GROUP BY variant"""),
@@ -582,20 +600,22 @@ box_f AS (
     SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS fence_low, q3 + 1.5 * (q3 - q1) AS fence_high
     FROM box_q
 ),
+rates AS (
+    SELECT 'category return_rate' AS metric, category AS grain, return_rate AS value
+    FROM mart_category_performance
+    UNION ALL SELECT 'category gross_margin_pct', category, gross_margin_pct FROM mart_category_performance
+    UNION ALL SELECT 'cohort repeat_purchase_rate', cohort_month::VARCHAR, repeat_purchase_rate
+    FROM mart_customer_retention
+    UNION ALL SELECT 'channel repeat_purchase_rate', traffic_source, repeat_purchase_rate
+    FROM mart_channel_performance
+),
+rate_rules(metric, least, most) AS (
+    VALUES ('category return_rate', 0, 1), ('category gross_margin_pct', -1, 1),
+           ('cohort repeat_purchase_rate', 0, 1), ('channel repeat_purchase_rate', 0, 1)
+),
 rate_bounds AS (
-    SELECT failing_metric, grain, value
-    FROM (SELECT unnest([
-              {'failing_metric': 'category return_rate', 'grain': category, 'value': return_rate, 'least': 0.0},
-              {'failing_metric': 'category gross_margin_pct', 'grain': category, 'value': gross_margin_pct,
-               'least': -1.0}], recursive := true)
-          FROM mart_category_performance
-          UNION ALL BY NAME
-          SELECT 'cohort repeat_purchase_rate' AS failing_metric, cohort_month::VARCHAR AS grain,
-                 repeat_purchase_rate AS value, 0.0 AS least FROM mart_customer_retention
-          UNION ALL BY NAME
-          SELECT 'channel repeat_purchase_rate' AS failing_metric, traffic_source AS grain,
-                 repeat_purchase_rate AS value, 0.0 AS least FROM mart_channel_performance)
-    WHERE value NOT BETWEEN least AND 1
+    SELECT metric AS failing_metric, grain, value FROM rates JOIN rate_rules USING (metric)
+    WHERE value < least OR value > most
 )"""
 _BLOCKS.append(_CHART_CTES)
 
@@ -610,40 +630,122 @@ _PARTS_TYPED = """CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS
            CAST(day(d) AS INTEGER) AS day"""
 
 
+# the checks that the suite promises, in its order: test, model, column and what it needs
+_CHECKS = """
+not_null stg_order_items order_item_id
+unique stg_order_items order_item_id
+not_null stg_order_items order_id
+not_null stg_order_items user_id
+not_null stg_order_items product_id
+not_null stg_orders order_id
+unique stg_orders order_id
+not_null stg_orders user_id
+not_null stg_users user_id
+unique stg_users user_id
+not_null stg_products product_id
+unique stg_products product_id
+not_null dim_users user_id
+unique dim_users user_id
+not_null dim_products product_id
+unique dim_products product_id
+not_null dim_orders order_id
+unique dim_orders order_id
+accepted_values dim_orders status Processing,Shipped,Complete,Returned,Cancelled
+not_null fct_order_items order_item_id
+unique fct_order_items order_item_id
+not_null fct_order_items order_id
+relationships fct_order_items order_id dim_orders
+not_null fct_order_items user_id
+relationships fct_order_items user_id dim_users
+not_null fct_order_items product_id
+relationships fct_order_items product_id dim_products
+not_null mart_category_performance category
+not_null mart_category_performance gross_revenue
+not_null mart_category_performance gross_margin
+unique mart_category_performance category+department
+not_null mart_customer_retention cohort_month
+unique mart_customer_retention cohort_month
+not_null mart_customer_retention repeat_purchase_rate
+not_null mart_channel_performance traffic_source
+unique mart_channel_performance traffic_source
+not_null mart_channel_performance revenue_per_customer
+not_null stg_experiment_assignments user_id
+unique stg_experiment_assignments user_id
+not_null stg_experiment_assignments variant
+accepted_values stg_experiment_assignments variant control,treatment
+not_null fct_experiment_results order_id
+unique fct_experiment_results order_id
+accepted_values fct_experiment_results variant control,treatment
+not_null stg_experiment_assignments variant_key
+accepted_values stg_experiment_assignments variant_key 0,1
+not_null fct_experiment_results variant
+not_null fct_experiment_results user_id
+not_null fct_experiment_results order_value
+not_null fct_experiment_results order_status
+accepted_values fct_experiment_results order_status Complete,Returned
+relationships fct_experiment_results user_id stg_experiment_assignments
+"""
+_FAILURES = {
+    "not_null": "SELECT count(*) FROM {model} WHERE {first} IS NULL",
+    "unique": "SELECT count(*) FROM (SELECT {columns} FROM {model} WHERE {known} "
+              "GROUP BY {columns} HAVING count(*) > 1)",
+    "accepted_values": "SELECT count(DISTINCT {first}) FROM {model} "
+                       "WHERE CAST({first} AS VARCHAR) NOT IN ({needs})",
+    "relationships": "SELECT count(*) FROM {model} ANTI JOIN {parent} USING ({first}) "
+                     "WHERE {first} IS NOT NULL",
+}
+
+
 def _dq_sql() -> str:
-    from cartwright.operators.quality import ALL_CHECKS
     parts = []
-    for i, ch in enumerate(ALL_CHECKS):
-        head = f"SELECT {i} AS o, '{ch.test}' AS test_name, '{ch.model}' AS model, '{ch.column}' AS column_name, "
-        c, m = ch.column, ch.model
-        if ch.test == "not_null":
-            parts.append(head + f"CAST(count_if({c} IS NULL) AS BIGINT) AS failures FROM {m}")
-        elif ch.test == "unique":
-            parts.append(head + f"(SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL "
-                                f"GROUP BY {c} HAVING count(*) > 1)) AS failures")
-        elif ch.test == "accepted_values":
-            vals = ", ".join(map(repr, ch.values))
-            parts.append(head + f"(SELECT count(*) FROM (SELECT {c} FROM {m} GROUP BY {c}) "
-                                f"WHERE {c} NOT IN ({vals})) AS failures")
-        elif ch.test == "relationships":
-            parts.append(head + f"(SELECT count(*) FROM {m} ch WHERE ch.{c} IS NOT NULL AND NOT EXISTS "
-                                f"(SELECT 1 FROM {ch.parent} p WHERE p.{ch.parent_column} = ch.{c})) AS failures")
-    parts.append(f"SELECT {len(ALL_CHECKS)} AS o, 'assert_rates_within_bounds', 'analytics', '', "
-                 f"count(*) FROM rate_bounds")
-    body = "\nUNION ALL\n".join(parts)
-    return with_models(f"SELECT test_name, model, column_name, failures, failures = 0 AS passed "
-                       f"FROM ({body}) ORDER BY o")
+    for i, line in enumerate(_CHECKS.split("\n")[1:-1]):
+        test, model, column, *needs = line.split(" ")
+        columns = column.split("+")
+        count = _FAILURES[test].format(
+            model=model, first=columns[0], columns=", ".join(columns), parent="".join(needs),
+            known=" AND ".join(f"{c} IS NOT NULL" for c in columns),
+            needs=", ".join(f"'{v}'" for v in "".join(needs).split(",")))
+        parts.append(f"SELECT {i} AS place, '{test}' AS test_name, '{model}' AS model, "
+                     f"'{', '.join(columns)}' AS column_name, ({count}) AS failures")
+    parts.append("SELECT 1000, 'assert_rates_within_bounds', 'analytics', '', "
+                 "(SELECT count(*) FROM rate_bounds)")
+    return with_models("SELECT test_name, model, column_name, failures, failures = 0 AS passed "
+                       "FROM (" + "\nUNION ALL\n".join(parts) + ") ORDER BY place")
 
 
 def _cards_sql(cfg=_CFG) -> str:
     cols = []
     for v in cfg.variants:
         cols += [f"CAST(count_if(variant = '{v}') AS BIGINT) AS {v}_orders",
-                 f"round(avg(order_value) FILTER (WHERE variant = '{v}'), 4) AS {v}_aov",
+                 f"round({exact_avg('order_value', f"variant = '{v}'")}, 4) AS {v}_aov",
                  f"round(avg(is_completed) FILTER (WHERE variant = '{v}'), 6) AS {v}_conv_rate"]
     return with_models("SELECT " + ",\n       ".join(cols) + "\nFROM fct_experiment_results")
 
 
+def _drill(level: int) -> str:
+    """One level of the date hierarchy as a plain grouping."""
+    parts = {"y": "year", "q": "quarter", "m": "month", "d": "day"}
+    shown = ", ".join(f"{f}(order_created_at) AS {a}" if i < level else f"0 AS {a}"
+                      for i, (a, f) in enumerate(parts.items()))
+    groups = ", ".join(f"{f}(order_created_at)" for f in list(parts.values())[:level])
+    return (f"SELECT {level} AS level, {shown}, count(*) AS orders, "
+            f"{exact_avg('order_value')} AS aov, avg(is_completed) AS conversion_rate "
+            f"FROM fct_experiment_results WHERE order_created_at IS NOT NULL"
+            + (f" GROUP BY {groups}" if groups else ""))
+
+
+def _cube_cell(*filtered: int) -> str:
+    """The measures grouped by the axes that have a filter."""
+    axes = ("variant", "order_status", "strftime(order_created_at, '%Y-%m')")
+    names = ("variant", "order_status", "order_month")
+    shown = ", ".join(f"{x if on else repr('all')} AS {n}" for x, n, on in zip(axes, names, filtered))
+    groups = ", ".join(x for x, on in zip(axes, filtered) if on)
+    return (f"SELECT {shown}, count(*) AS orders, round(sum({cents('order_value')}) / 100, 2) AS order_value, "
+            f"round({exact_avg('order_value')}, 4) AS aov, round(avg(is_completed), 6) AS conversion_rate, "
+            f"round(avg(is_returned), 6) AS return_rate FROM fct_experiment_results "
+            f"WHERE variant IS NOT NULL" + (f" GROUP BY {groups}" if groups else ""))
+
+
 ORACLE.update({
     "category_top10": with_models("""
 SELECT *, CAST(row_number() OVER (ORDER BY gross_margin DESC NULLS LAST, category ASC) AS INTEGER) AS rank
@@ -710,18 +812,45 @@ FROM (SELECT CAST(unnest(generate_series(make_date(y1, 1, 1), make_date(y2, 12,
       FROM (SELECT year(min(order_created_at)) AS y1, year(max(order_created_at)) AS y2
             FROM fct_experiment_results))"""),
     "orders_by_calendar": with_models(f"""
-SELECT d AS date, {_PARTS_TYPED}, count(order_id) AS orders, round(avg(order_value), 4) AS aov,
-       round(avg(is_completed), 6) AS conversion_rate
+SELECT d AS date, {_PARTS_TYPED}, count(order_id) AS orders,
+       round({exact_avg('order_value')}, 4) AS aov, round(avg(is_completed), 6) AS conversion_rate
 FROM (SELECT unnest(generate_series(date_trunc('year', min(order_created_at)),
                                     date_trunc('year', max(order_created_at)) + INTERVAL 1 YEAR - INTERVAL 1 DAY,
                                     INTERVAL 1 DAY))::DATE AS d FROM fct_experiment_results)
 LEFT JOIN fct_experiment_results ON order_created_at::DATE = d
 GROUP BY d"""),
     "dashboard_cards": _cards_sql(),
-    "dashboard_by_variant": with_models("""
-SELECT variant, count(*) AS orders, round(avg(order_value), 4) AS aov,
+    "dashboard_by_variant": with_models(f"""
+SELECT variant, count(*) AS orders, round({exact_avg('order_value')}, 4) AS aov,
        round(avg(is_completed), 6) AS conversion_rate
 FROM fct_experiment_results GROUP BY variant"""),
+    "calendar_drilldown": with_models(f"""
+SELECT CAST(level AS INTEGER) AS level, CAST(y AS INTEGER) AS year, CAST(q AS INTEGER) AS quarter_no,
+       CASE WHEN level > 1 THEN 'Qtr ' || CAST(q AS VARCHAR) END AS quarter,
+       CAST(m AS INTEGER) AS month_no,
+       CASE WHEN level > 2 THEN monthname(make_date(2000, CAST(m AS INTEGER), 1)) END AS month,
+       CAST(d AS INTEGER) AS day, orders, round(aov, 4) AS aov,
+       round(conversion_rate, 6) AS conversion_rate
+FROM ({" UNION ALL ".join(_drill(level) for level in range(5))})"""),
+    "dashboard_cube": with_models(f"""
+SELECT * FROM ({" UNION ALL ".join(_cube_cell(v, o, m) for v in (0, 1) for o in (0, 1) for m in (0, 1))})"""),
+    "dashboard_filtered_cards": with_models(" UNION ALL ".join(
+        f"SELECT '{chosen}' AS variant_filter, " + ", ".join(
+            f"CAST(count(*) FILTER ({passes}) AS BIGINT) AS {v}_orders, "
+            f"round({exact_avg('order_value', passes)}, 4) AS {v}_aov, "
+            f"round(avg(is_completed) FILTER ({passes}), 6) AS {v}_conv_rate"
+            for v in _CFG.variants
+            for passes in [f"variant = '{v}' AND '{chosen}' IN ('all', variant)"])
+        + " FROM fct_experiment_results" for chosen in ("all", *_CFG.variants))),
+    "baseline_metrics": with_models("""
+SELECT * FROM baseline_order_value CROSS JOIN baseline_return_rate CROSS JOIN baseline_daily_orders"""),
+    "dq_bounds_tight": with_models("""
+SELECT metric AS failing_metric, grain, value
+FROM rates JOIN (VALUES ('category return_rate', 0.345, 0.37), ('category gross_margin_pct', 0.5, 0.555),
+                        ('cohort repeat_purchase_rate', 0.05, 0.5),
+                        ('channel repeat_purchase_rate', 0.0, 0.25)) AS limits(metric, least, most)
+  USING (metric)
+WHERE NOT (value >= CAST(least AS DOUBLE) AND value <= CAST(most AS DOUBLE))"""),
     "dq_rate_bounds": with_models("SELECT * FROM rate_bounds"),
     "dq_results": _dq_sql(),
 })

@@ -89,8 +89,9 @@ def dq_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     from cartwright.operators.quality import ALL_CHECKS
     from cartwright.plans.models import writing
-    from cartwright.session import warehouse_path
+    from cartwright.session import delete_at_end, warehouse_path
     root = warehouse_path(spark, "dq", uuid.uuid4().hex[:12])
+    delete_at_end(spark, root)
     shop, experiment = models_for(spark, sf_dir)
     m = Models(shop.sources, keep=writing(DQ_MATERIALIZED, root))
     e = ExperimentModels(m, experiment.cfg)
@@ -100,6 +101,23 @@ def dq_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {n: getattr(m, n) if hasattr(m, n) else getattr(e, n) for n in names}
 
 
+def baseline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three baselines in one row, read from the catalog by full table names (SC3)."""
+    import hashlib
+
+    from cartwright.functions.scalars import with_scalars
+    from cartwright.sources.shop import from_tables
+    from cartwright.sources.tables import TableSource, publish
+    shop, experiment = models_for(spark, sf_dir)
+    src = shop.sources
+    namespace = "shop_" + hashlib.md5(sf_dir.encode()).hexdigest()[:12]
+    names = publish({"users": src.users, "orders": src.orders, "order_items": src.item_lines,
+                     "products": src.products}, namespace)
+    e = ExperimentModels(Models(from_tables(TableSource(spark), names)), experiment.cfg)
+    return with_scalars(with_scalars(e.baseline_order_value, e.baseline_return_rate),
+                        e.baseline_daily_orders)
+
+
 def _variant_summary_display(e: ExperimentModels) -> DataFrame:
     from cartwright.functions.formatting import money, percent
     from cartwright.operators.experiment import variant_summary
@@ -138,12 +156,19 @@ def _extra() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "date_dimension": _exp(lambda e: K.date_dimension(fct(e))),
         "orders_by_calendar": _exp(lambda e: K.orders_by_calendar(fct(e))),
         "dashboard_cards": _exp(lambda e: D.dashboard_cards(fct(e))),
+        "calendar_drilldown": _exp(lambda e: K.calendar_drilldown(fct(e))),
+        "dashboard_cube": _exp(lambda e: D.measure_cube(fct(e))),
+        "dashboard_filtered_cards": _exp(lambda e: D.filtered_cards(fct(e))),
         "dashboard_by_variant": _exp(lambda e: D.dashboard_by_variant(fct(e))),
         "variant_summary_display": _exp(_variant_summary_display),
         "experiment_report_display": _exp(lambda e: S.experiment_report_display(
-            X.variant_balance(fct(e)), e.conversion_ztest, e.aov_welch, e.return_guardrail)),
+            X.variant_balance(fct(e)), e.tests)),
         "headline_display": _shop(lambda m: C.headline_display(C.headline_figures(
             m.mart_category_performance, m.mart_customer_retention, m.mart_channel_performance))),
+        "baseline_metrics": baseline_metrics,
+        "dq_bounds_tight": _shop(lambda m: Q.rate_bounds(
+            m.mart_category_performance, m.mart_customer_retention, m.mart_channel_performance,
+            Q.USUAL_BOUNDS)),
         "dq_rate_bounds": _shop(lambda m: Q.rate_bounds(
             m.mart_category_performance, m.mart_customer_retention, m.mart_channel_performance)),
         "dq_results": lambda spark, sf_dir: Q.suite_with_bounds(dq_models(spark, sf_dir)),

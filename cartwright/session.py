@@ -93,6 +93,19 @@ def warehouse_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root.rstrip("/"), "cartwright", *parts])
 
 
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) as Hadoop objects, for any store that Spark reads."""
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(sc._jsc.hadoopConfiguration()), target
+
+
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Files at this path go when the driver ends."""
+    fs, target = file_system(spark, path)
+    fs.deleteOnExit(target)
+
+
 def recommended_conf(input_bytes: int, cores: int, target_bytes: int = 128 << 20,
                      most_shuffle: int | None = None) -> dict:
     """Partition sizing for an input of ``input_bytes`` on ``cores`` task slots.

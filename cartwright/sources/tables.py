@@ -45,5 +45,15 @@ class TableSource:
     __getitem__ = table
 
 
+def publish(tables: dict[str, DataFrame], namespace: str) -> dict[str, str]:
+    """Put tables into the session's catalog; their full names (``global_temp.<namespace>_<name>``).
+
+    The names live as long as the application and hold plans, not rows.
+    """
+    for name, df in tables.items():
+        df.createOrReplaceGlobalTempView(f"{namespace}_{name}")
+    return {name: f"global_temp.{namespace}_{name}" for name in tables}
+
+
 def read_tables(spark: SparkSession, sf_dir: str) -> TableSource:
     return TableSource(spark, sf_dir)

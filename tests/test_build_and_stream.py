@@ -17,7 +17,7 @@ def test_build_writes_tables_and_checks_pass(spark):
         direct = sorted(E.queries()[name](spark, SF001).collect())
         assert built == direct
     checks = out["checks"].collect()
-    assert len(checks) == 52 and all(r.passed for r in checks)
+    assert len(checks) == 53 and all(r.passed for r in checks)
 
 
 def test_streaming_moments_equal_batch(spark, tmp_path):
