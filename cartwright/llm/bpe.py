@@ -21,6 +21,7 @@ that the operator adds: they are replaced.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from collections import Counter
 from collections.abc import Iterator
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwright.llm.common import without
+from cartwright.llm.common import own_cache, without, worker_cache
 from cartwright.llm.pieces import ChunkTable
 
 #: texts that are worked on together have up to so many bytes and rows (or are one
@@ -219,7 +220,7 @@ class Codec:
         return out
 
 
-@lru_cache(maxsize=2)
+@worker_cache
 def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
@@ -257,6 +258,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
     add = {ids: T.ArrayType(T.IntegerType())} | ({decoded: T.BinaryType()} if decoded else {})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_cache(codec)
         own = codec(path, pattern)
         for block in blocks(batches, text, REPLAY_BYTES, REPLAY_ROWS):
             found = own.encode([x or "" for x in block.column(text).to_pylist()])
@@ -271,6 +273,35 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
     return rest.mapInArrow(run, schema)
 
 
+def token_rows(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """The rows without their text, with n_tokens, ids and decoded_sha256.
+
+    ids: in decimal, with commas; the digest is of the decoded bytes. Both are made
+    in the worker from small blocks, slice by slice, so neither the texts nor the
+    decoded bytes of more than a slice are held, and none of them leaves the worker.
+    """
+    add = {"n_tokens": T.LongType(), "ids": T.StringType(), "decoded_sha256": T.StringType()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_cache(codec)
+        own = codec(path, pattern)
+        for block in blocks(batches, text):
+            found = own.encode([x or "" for x in block.column(text).to_pylist()])
+            rest = block.drop_columns([text])
+            for at in range(0, block.num_rows, DECODE_ROWS):
+                rows = found.slice(at, DECODE_ROWS).to_pylist()
+                yield with_columns(
+                    rest.slice(at, DECODE_ROWS), n_tokens=pa.array(map(len, rows), pa.int64()),
+                    ids=pa.array([",".join(map(str, ids)) for ids in rows], pa.string()),
+                    decoded_sha256=pa.array([hashlib.sha256(b).hexdigest()
+                                             for b in own.decode(rows)], pa.string()))
+
+    rest, _ = widened(df, **add)
+    schema = T.StructType([*rest.drop(text).schema.fields,
+                           *(T.StructField(c, kind) for c, kind in add.items())])
+    return rest.mapInArrow(run, schema)
+
+
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """Add the bytes that the ids stand for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

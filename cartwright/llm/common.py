@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
+from collections.abc import Callable
+from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartwright.session import checkpoint_root
+from cartwright.session import checkpoint_root, delete_at_end
+
+#: bits of a bitmap of row numbers or hashes (1 MB); with more entries it only drops less
+BITMAP_BITS = 1 << 23
+_CACHES: list = []
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,12 +46,6 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def delete_at_end(spark: SparkSession, path: str) -> None:
-    """Files at this path go when the driver ends."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-
-
 def without(df: DataFrame, *names: str) -> DataFrame:
     """The table without columns of these names (in any case), which an operator adds anew."""
     taken = {n.lower() for n in names}
@@ -73,3 +77,88 @@ def replaced(text: Column, spans: Column) -> Column:
         F.substring(text, upto(i) + 1, s["start"] - upto(i)), s["label"]))
     rest = F.substring(text, F.element_at(spans, -1)["end"] + 1, F.length(text))
     return F.when(F.size(spans) > 0, F.concat(F.array_join(parts, ""), rest)).otherwise(text)
+
+
+def worker_cache(make: Callable) -> Callable:
+    """Keep what ``make`` gives in the Python worker from block to block.
+
+    Spark uses a worker for one stage after the other; ``own_cache`` lets go of what
+    the stages before have left.
+    """
+    kept = lru_cache(maxsize=2)(make)
+    _CACHES.append(kept)
+    return kept
+
+
+def own_cache(mine: Callable | None) -> None:
+    """Empty the caches of all other operators in this worker, and give the memory back."""
+    others = [c for c in _CACHES if c is not mine and c.cache_info().currsize]
+    for c in others:
+        c.cache_clear()
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
+def bitmap_of(hashes: DataFrame, column: str) -> np.ndarray:
+    """A bit for each number modulo ``BITMAP_BITS``; at most 1 MB comes to the driver."""
+    bit = F.pmod(F.col(column), F.lit(BITMAP_BITS)) + 1
+    parts = (hashes.groupBy(F.bitmap_bucket_number(bit).alias("part"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect())
+    bitmap = np.zeros(BITMAP_BITS // 8, np.uint8)
+    for row in parts:
+        at = (row["part"] - 1) * len(row["bits"])
+        bitmap[at:at + len(row["bits"])] = np.frombuffer(bytes(row["bits"]), np.uint8)
+    return bitmap
+
+
+def look_up(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Whether numbers are marked in a bitmap."""
+    bit = numbers & (BITMAP_BITS - 1)
+    return (bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+
+
+def starts_of(sizes: DataFrame, part: str, n: str) -> Column:
+    """For each number of ``part`` the sum of ``n`` over the parts before, as an array column.
+
+    One small number for each task or file, read as a scalar subquery; numbers
+    without a row count 0.
+    """
+    held = sizes.groupBy(F.col(part).cast("int").alias("part")).agg(F.sum(n).alias("n"))
+    every = held.agg(F.max("part").alias("last")).select(
+        F.explode(F.sequence(F.lit(0), "last")).alias("part"), F.lit(0).cast("long").alias("n"))
+    ends = held.union(every).groupBy("part").agg(F.sum("n").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ends.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    listed = starts.agg(F.sort_array(F.collect_list(F.struct("part", "start"))).alias("s"))
+    return listed.select("s.start").scalar()
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """The packed rows (__doc, text), written once, with their place in the input as ``row``.
+
+    Task and place are noted where the rows are written, so every later plan sees
+    the same numbers; they are dense, which suits bitmaps.
+    """
+    rows = staged(packed(df).withColumn("at", F.monotonically_increasing_id()), "rows")
+    place, task = F.col("at").bitwiseAND(F.lit((1 << 33) - 1)), F.shiftright("at", 33).cast("int")
+    starts = starts_of(rows.select(task.alias("task"), F.lit(1).alias("one")), "task", "one")
+    return rows.withColumn("__starts", starts).select(
+        "__doc", "text", (F.get("__starts", task) + place).alias("row"))
+
+
+def left_out(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The numbered rows without those that ``gone`` (row) names.
+
+    A bitmap of the numbers lets all other rows pass without a shuffle.
+    """
+    gone = staged(gone.select("row").distinct(), "gone")
+    bits = bitmap_of(gone, "row")
+
+    @F.pandas_udf("boolean")
+    def marked(row: pd.Series) -> pd.Series:
+        return pd.Series(look_up(bits, row.to_numpy()))
+
+    maybe = marked(F.col("row"))
+    return rows.filter(~maybe).union(
+        rows.filter(maybe).join(gone, "row", "left_anti").select(*rows.columns))

@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.llm.bpe import blocks
-from cartwright.llm.common import staged
+from cartwright.llm.common import (bitmap_of, left_out, look_up, numbered, own_cache, staged,
+                                   unpacked, worker_cache)
 from cartwright.llm.licenses import words_of as plain_words
 from cartwright.llm.shingles import Shingler
 
 MIN_MATCH = 4
 COVERAGE = 0.5
-#: bits of the seed bitmap (1 MB); with more seeds it only drops less
-BITMAP_BITS = 1 << 23
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -49,7 +47,7 @@ def words_of(text: str) -> list[bytes]:
     return plain_words(text.lower())
 
 
-@lru_cache(maxsize=1)
+@worker_cache
 def shingler() -> Shingler:
     return Shingler()
 
@@ -90,28 +88,15 @@ def item_seeds(items: DataFrame) -> DataFrame:
         run, "item long, n_words long, place long, seed long")
 
 
-def bitmap_of(seeds: DataFrame) -> np.ndarray:
-    """A bit for each seed modulo ``BITMAP_BITS``; at most 1 MB comes to the driver."""
-    bit = F.pmod(F.col("seed"), F.lit(BITMAP_BITS)) + 1
-    parts = (seeds.groupBy(F.bitmap_bucket_number(bit).alias("part"))
-             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect())
-    bitmap = np.zeros(BITMAP_BITS // 8, np.uint8)
-    for row in parts:
-        at = (row["part"] - 1) * len(row["bits"])
-        bitmap[at:at + len(row["bits"])] = np.frombuffer(bytes(row["bits"]), np.uint8)
-    return bitmap
-
-
 def suspects(df: DataFrame, bitmap: np.ndarray) -> DataFrame:
     """(row, doc_id, text, seeds) of the documents with seeds in the bitmap."""
     shared = df.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
+        own_cache(shingler)
         for block in blocks(batches, "text"):
             owner, _, seed = seeds_of([x or "" for x in block.column("text").to_pylist()])
-            bit = seed & (BITMAP_BITS - 1)
-            hit = (bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+            hit = look_up(shared.value, seed)
             owner, seed = owner[hit], seed[hit]
             rows, first = np.unique(owner, return_index=True)
             at = pa.array(rows)
@@ -239,7 +224,7 @@ def contaminated(df: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     items = staged(benchmark.select("item_id", "text").withColumn(
         "item", F.monotonically_increasing_id()), "items")
     seeds = staged(item_seeds(items), "seeds")
-    found = staged(suspects(df, bitmap_of(seeds)), "suspects")
+    found = staged(suspects(df, bitmap_of(seeds, "seed")), "suspects")
     hits = found.select("row", F.explode(F.array_distinct("seeds")).alias("seed"))
     shared = (hits.join(seeds, "seed").groupBy("row", "item")
               .agg(F.countDistinct("place").alias("places"), F.first("n_words").alias("n")))
@@ -254,3 +239,10 @@ def contaminated(df: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
 def contaminated_documents(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     return contaminated(df, benchmark).select("doc_id", "item_id", "coverage", "n_tiles",
                                               "longest_tile")
+
+
+def without_contaminated(df: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows whose own text covers no benchmark item; rows are told apart by number, not doc_id."""
+    rows = numbered(df)
+    found = contaminated(rows.select(F.col("row").alias("doc_id"), "text"), benchmark)
+    return unpacked(left_out(rows, found.select(F.col("doc_id").alias("row"))), df.columns)

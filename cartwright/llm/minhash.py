@@ -38,15 +38,14 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.llm.bpe import blocks
-from cartwright.llm.common import staged
+from cartwright.llm.common import (bitmap_of, left_out, look_up, numbered, own_cache, staged,
+                                   unpacked, worker_cache)
 from cartwright.llm.components import components
-from cartwright.llm.decontaminate import BITMAP_BITS, bitmap_of
 from cartwright.llm.shingles import Shingler
 
 COORDINATES = 64
@@ -58,7 +57,7 @@ LEADING = 8
 SLICE = 1 << 15
 
 
-@lru_cache(maxsize=1)
+@worker_cache
 def shingler() -> Shingler:
     return Shingler()
 
@@ -91,6 +90,7 @@ def signatures(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def signed(df: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, set_key, signature) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_cache(shingler)
         for block in blocks(batches, "text"):
             texts = [x or "" for x in block.column("text").to_pylist()]
             hashes, sizes = shingler().sets(texts)
@@ -113,17 +113,12 @@ def set_key(hashes: np.ndarray) -> bytes | None:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None
 
 
-def look_up(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Whether ids are marked in a bitmap."""
-    bit = ids & (BITMAP_BITS - 1)
-    return (bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
-
-
 def shingle_sets(df: DataFrame, bits: np.ndarray) -> DataFrame:
     """(doc_id, set_key, shingles) of the rows whose doc_id is marked in a bitmap."""
     shared = df.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_cache(shingler)
         for block in blocks(batches, "text"):
             ids = block.column("doc_id").fill_null(0).to_numpy()
             marked = look_up(shared.value, ids)
@@ -175,7 +170,7 @@ def _marks(ids: DataFrame) -> np.ndarray:
 
     It keeps most texts out of the shuffle of the exact join that follows.
     """
-    return bitmap_of(ids.select(F.col("doc_id").alias("seed")))
+    return bitmap_of(ids, "doc_id")
 
 
 def _sets_of(nodes: DataFrame, df: DataFrame) -> DataFrame:
@@ -280,28 +275,14 @@ def near_duplicates(df: DataFrame) -> DataFrame:
 
 
 def one_of_each(df: DataFrame) -> DataFrame:
-    """The rows of one document of each group of near duplicates.
+    """One row of each group of near duplicates; every row is judged by its text.
 
-    The smallest doc_id of a group stays; of repeated rows one. Rows without a
-    doc_id pass. The rows to leave out are joined, not those to keep, as they are
-    fewer.
+    Rows are told apart by a number of their own, not by doc_id: rows that share a
+    doc_id, or have none, are copies only if their texts are alike, and then one of
+    them stays. Of a group the first row in the order of the input stays. The rows
+    to leave out are joined, not those to keep, as they are fewer.
     """
-    found = staged(near_duplicates(df), "groups")
-    gone = staged(found.filter("not kept and doc_id is not null").select("doc_id").distinct(),
-                  "gone")
-    again = staged(found.filter("doc_id is not null").groupBy("doc_id")
-                   .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"), "again")
-    bits = _marks(gone.union(again))
-
-    @F.pandas_udf("boolean")
-    def marked(doc_id: pd.Series) -> pd.Series:
-        known = doc_id.notna()
-        return known & look_up(bits, doc_id.where(known, 0).astype("int64").to_numpy())
-
-    maybe = marked(F.col("doc_id"))
-    rest = df.filter(maybe).join(gone, "doc_id", "left_anti").select(*df.columns)
-    if not again.isEmpty():
-        rest = (rest.join(again, "doc_id", "left_anti").select(*df.columns)
-                .union(rest.join(again, "doc_id", "left_semi").select(*df.columns)
-                       .dropDuplicates(["doc_id"])))
-    return df.filter(~maybe).union(rest)
+    rows = numbered(df)
+    found = near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"))
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("row"))
+    return unpacked(left_out(rows, gone), df.columns)

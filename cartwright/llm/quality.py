@@ -145,8 +145,8 @@ def decide(voted: DataFrame, model: VoteModel, threshold: float = 0.5) -> DataFr
 def judge(df: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """Add the measures, the votes, base_failed, quality and kept to every row.
 
-    The measures (not the texts) are staged, so that the texts are measured
-    once although the model needs a pass of its own over all rows.
+    The rows are staged with their measures (and all their columns), so that the
+    texts are measured once although the model needs a pass of its own over all rows.
     """
     voted = votes(staged(measure(without(df, *ADDED), text), "quality"))
     return decide(voted, learn(voted.select(*RULES), start_model()), threshold)

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwright.llm.bpe import REPLAY_BYTES, REPLAY_ROWS, blocks, widened, with_columns
+from cartwright.llm.common import own_cache, worker_cache
 from cartwright.llm.pieces import ChunkTable
 
 #: pairs whose verdict a worker keeps
@@ -192,7 +193,7 @@ class TextCounter:
         return out
 
 
-@lru_cache(maxsize=2)
+@worker_cache
 def text_counter(path: str, pattern: str) -> TextCounter:
     return TextCounter(path, pattern)
 
@@ -208,6 +209,7 @@ def token_counts(df: DataFrame, path: str, pattern: str, text: str = "text",
         add["prefix_tokens"] = T.ArrayType(T.IntegerType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_cache(text_counter)
         own = text_counter(path, pattern)
         for block in blocks(batches, text, *(() if prefixes else (REPLAY_BYTES, REPLAY_ROWS))):
             texts = [x or "" for x in block.column(text).to_pylist()]

@@ -31,18 +31,18 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from public_tokenizers import PATTERN
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.llm.bpe import blocks
-from cartwright.llm.common import delete_at_end, shared_folder
+from cartwright.llm.common import (delete_at_end, own_cache, shared_folder, starts_of,
+                                   worker_cache)
 from cartwright.llm.pieces import CLOSERS, compiled
 from cartwright.llm.token_counts import byte_letters
 
@@ -173,7 +173,7 @@ class ChunkEncoder:
                                         table.take(pa.array(order)).flatten())
 
 
-@lru_cache(maxsize=1)
+@worker_cache
 def encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(path)
 
@@ -185,6 +185,7 @@ def encoded(df: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
     first: the ids that this task has written before.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_cache(encoder)
         own, first = encoder(tokenizer), 0
         file = TaskContext.get().partitionId()
         for block in blocks(batches, "text", BLOCK_BYTES, BLOCK_ROWS):
@@ -215,16 +216,8 @@ def write(df: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> None:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, file, start, n_tokens, ids) of all documents; start: ids of all before it."""
     rows = spark.read.orc(path)
-    # one row a file, also for files without documents, as a list by number
-    held = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))
-    every = held.agg(F.max("file").alias("last")).select(
-        F.explode(F.sequence(F.lit(0), "last")).alias("file"), F.lit(0).cast("long").alias("n"))
-    ends = held.union(every).groupBy("file").agg(F.sum("n").alias("n"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    bases = ends.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    listed = bases.agg(F.sort_array(F.collect_list(F.struct("file", "base"))).alias("b"))
-    # as a scalar subquery: joined, the ids would be shuffled by file
-    return rows.withColumn("__bases", listed.select("b.base").scalar()).select(
+    # joined, the ids would be shuffled by file
+    return rows.withColumn("__bases", starts_of(rows, "file", "n_tokens")).select(
         "doc_id", "file", (F.get("__bases", F.col("file")) + F.col("first")).alias("start"),
         "n_tokens", "ids")
 

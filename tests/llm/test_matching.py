@@ -363,3 +363,24 @@ def test_long_secrets_are_found_whole(spark):
         own = long[d % 5].strip()
         label = "<CREDENTIAL>" if d % 5 == 0 else "key <SECRET>"
         assert clean[d] == text.replace(own, label)
+
+
+def test_rows_are_judged_by_their_text_whatever_their_id(spark):
+    """Repeated and missing ids: no clean text is lost, no copy or contaminated one stays."""
+    import corpus_pipeline
+    rnd = random.Random(31)
+    a, b, c, d, item = (prose(rnd, 60) for _ in range(5))
+    rows = [(2, a), (2, b), (3, a), (3, c), (None, d), (None, d), (2, b + " " + item)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r.doc_id, r.text) for r in minhash.one_of_each(docs).collect()]
+    assert sorted(t for _, t in kept) == sorted([a, b, c, d, b + " " + item])
+    assert {i for i, t in kept if t == d} == {None} and (2, b) in kept and (3, c) in kept
+
+    benchmark = spark.createDataFrame([(0, item)], "item_id long, text string")
+    more = docs.unionByName(spark.createDataFrame(
+        [(None, item + " " + a, "en", "s", 1)], docs.schema))
+    clean = [(r.doc_id, r.text) for r in decontaminate.without_contaminated(more, benchmark).collect()]
+    assert collections.Counter(clean) == collections.Counter(rows[:-1])
+    for stage in (corpus_pipeline.drop_near_duplicates, corpus_pipeline.keep_good):
+        assert stage(spark, docs, "").columns == docs.columns
