@@ -11,15 +11,15 @@ columns of documents.
 4. personal data: every span is replaced by the name of its kind.
 5. tokens: ids of the whole texts, with the digest of what they decode to.
 
-Documents without a doc_id cannot be named by stages 2 and 3 and pass them;
-rows that repeat a doc_id with the same text count as copies, and one stays.
+Every row is judged by its own text, whatever its doc_id: rows that share a doc_id
+or have none are copies only if their texts are alike, and are contaminated only
+if their own text is.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cartwright.llm import bpe, decontaminate, minhash, pii, quality
 from cartwright.llm.common import packed, read_table, staged, unpacked
@@ -34,8 +34,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.contaminated(docs, read_table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return decontaminate.without_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,13 +43,9 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, source, lang, n_tokens, ids, decoded_sha256); ids in decimal, with commas."""
-    coded = bpe.encode(docs.select("doc_id", "source", "lang", "text"),
-                       public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
-                       public_tokenizers.PATTERN, decoded="decoded")
-    return coded.select(
-        "doc_id", "source", "lang", F.size("ids").cast("long").alias("n_tokens"),
-        F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.token_rows(docs.select("doc_id", "source", "lang", "text"),
+                          public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                          public_tokenizers.PATTERN)
 
 
 STAGES = [
