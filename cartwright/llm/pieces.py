@@ -18,6 +18,9 @@ from collections.abc import Callable
 from functools import lru_cache
 from itertools import filterfalse
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: chunks that a Python worker keeps from block to block (about 200 bytes each);
@@ -90,3 +93,41 @@ class ChunkTable:
             last = {key: known[key] for key, n in seen.items() if n > 1}
             self.known = last if len(last) <= KEPT_CHUNKS else {}
         return out
+
+
+def places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All positions of runs (start, size), run after run."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
+
+
+def cut_block(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(the different chunks of a block, the number of each chunk of all texts, chunks of each text).
+
+    A chunk is what lies between two single spaces, with the space before it.
+    The first chunk of a text has none; its key starts with a line break, which
+    no chunk after a space does. A text in which a space stands beside white
+    space or at an end is one chunk, as such a space need not part pieces.
+    """
+    marked = pa.array(["\n" + t for t in texts], pa.large_string())
+    cut = pc.split_pattern(marked, " ")
+    coded = cut.flatten().dictionary_encode()
+    keys, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    n_chunks = np.diff(cut.offsets.to_numpy())
+    # there a chunk is empty or has white space at an end (beyond the mark of the first one,
+    # which is alone before a space)
+    odd = np.fromiter((not k or len(k.strip()) != len(k) if k[:1] != "\n" else k == "\n"
+                       or len(k.rstrip()) != len(k) for k in keys), bool, len(keys))
+    row = np.repeat(np.arange(len(texts)), n_chunks)
+    # a line break opens the first chunk alone
+    broken = np.fromiter((k[:1] == "\n" for k in keys), bool, len(keys))[at]
+    broken[(np.cumsum(n_chunks) - n_chunks)] = False
+    whole = np.zeros(len(texts), bool)
+    whole[row[odd[at] | broken]] = True
+    whole[n_chunks == 1] = False
+    n = np.where(whole, 1, n_chunks)
+    starts = np.cumsum(n) - n
+    order = np.empty(int(n.sum()), np.int64)
+    order[places(starts[~whole], n_chunks[~whole])] = at[~whole[row]]
+    order[starts[whole]] = len(keys) + np.arange(int(whole.sum()))
+    return keys + [m for m, w in zip(marked.to_pylist(), whole.tolist()) if w], order, n

@@ -34,7 +34,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from public_tokenizers import PATTERN
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +42,7 @@ from pyspark.sql import functions as F
 from cartwright.llm.bpe import blocks
 from cartwright.llm.common import (delete_at_end, own_cache, shared_folder, starts_of,
                                    worker_cache)
-from cartwright.llm.pieces import CLOSERS, compiled
+from cartwright.llm.pieces import CLOSERS, compiled, cut_block
 from cartwright.llm.token_counts import byte_letters
 
 #: rows of one entry of the row index, and bytes of a stripe
@@ -57,21 +56,12 @@ CALL_CHUNKS = 4_000
 KEPT_PIECES = 300_000
 
 
-def places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """All positions of runs (start, size), run after run."""
-    before = np.cumsum(sizes) - sizes
-    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
-
-
 class ChunkEncoder:
     """Encodes blocks of texts; every different chunk of a block is encoded once.
 
-    A chunk is what lies between two single spaces, with the space before it.
-    The first chunk of a text has none; its key starts with a line break, which
-    no chunk after a space does. A text in which a space stands beside white
-    space or at an end is one chunk. Chunks of plain letters and marks are cut
-    into pieces here and the library's merge model gets the pieces; any other
-    chunk goes through the library as a whole.
+    Chunks (``pieces.cut_block``) of plain letters and marks are cut into pieces
+    here and the library's merge model gets the pieces; any other chunk goes
+    through the library as a whole.
     """
 
     def __init__(self, path: str):
@@ -139,36 +129,15 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str], end_id: int) -> pa.ListArray:
         """The ids of each text, followed by ``end_id``."""
-        marked = pa.array(["\n" + t for t in texts], pa.large_string())
-        cut = pc.split_pattern(marked, " ")
-        coded = cut.flatten().dictionary_encode()
-        keys, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        n_chunks = np.diff(cut.offsets.to_numpy())
-        # in some texts a space need not part pieces: there a chunk is empty or has white space
-        # at an end (beyond the mark of the first one, which is alone before a space)
-        odd = np.fromiter((len(k.strip()) != len(k) if k[:1] != "\n" else k == "\n"
-                           or len(k.rstrip()) != len(k) for k in keys), bool, len(keys))
-        odd[[i for i, k in enumerate(keys) if not k]] = True
-        row = np.repeat(np.arange(len(texts)), n_chunks)
-        whole = np.zeros(len(texts), bool)
-        whole[row[odd[at]]] = True
-        whole[n_chunks == 1] = False
-
-        n_keys = len(keys)
-        keys += [m for m, w in zip(marked.to_pylist(), whole.tolist()) if w]
+        keys, order, n = cut_block(texts)
         packed = self._packed(keys) + [array("i", [end_id]).tobytes()]
-        n = np.where(whole, 1, n_chunks) + 1
-        starts = np.cumsum(n) - n
-        order = np.empty(int(n.sum()), np.int64)
-        order[places(starts[~whole], n_chunks[~whole])] = at[~whole[row]]
-        order[starts[whole]] = n_keys + np.arange(int(whole.sum()))
-        order[starts + n - 1] = len(keys)
+        order = np.insert(order, np.cumsum(n), len(keys))
         sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
         table = pa.ListArray.from_arrays(
             pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)),
             pa.array(np.frombuffer(b"".join(packed), np.int32)))
-        ends = np.concatenate(([0], np.cumsum(np.add.reduceat(sizes[order], starts)))) if (
-            len(texts)) else np.zeros(1)
+        upto = np.concatenate(([0], np.cumsum(sizes[order])))
+        ends = upto[np.concatenate(([0], np.cumsum(n + 1)))]
         return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)),
                                         table.take(pa.array(order)).flatten())
 

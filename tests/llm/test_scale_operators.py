@@ -59,6 +59,13 @@ def test_token_files_with_odd_texts(spark, odd, none):
     assert token_files.write_documents(none, TOKENIZER).count() == 0
 
 
+def test_blocks_of_odd_texts_equal_the_library():
+    from .test_tokens import odd_texts
+    texts = odd_texts(11, 3000)
+    got = token_files.ChunkEncoder(TOKENIZER).encode(texts, 0).to_pylist()
+    assert got == library_ids(texts)
+
+
 def test_token_files_spread_a_doc_id_that_a_third_shares(spark, tmp_path):
     rnd = random.Random(5)
     rows = [(7 if i % 3 == 0 else i, prose(rnd, 30), "clash", i) for i in range(3000)]
