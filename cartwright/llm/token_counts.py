@@ -21,10 +21,12 @@ the operator adds: they are replaced.
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
@@ -33,10 +35,13 @@ from pyspark.sql import types as T
 
 from cartwright.llm.bpe import REPLAY_BYTES, REPLAY_ROWS, blocks, widened, with_columns
 from cartwright.llm.common import own_cache, worker_cache
-from cartwright.llm.pieces import ChunkTable
+from cartwright.llm.pieces import CLOSERS, ChunkTable, cut_block, places
 
 #: pairs whose verdict a worker keeps
 KEPT_PAIRS = 1_000_000
+#: chunks whose table a worker keeps from block to block, and their most characters
+KEPT_TABLES = 300_000
+LONGEST_KEPT = 64
 
 
 @lru_cache(maxsize=1)
@@ -131,6 +136,7 @@ class TextCounter:
         self.counter = PrefixCounter(path)
         self.cut = regex.compile(pattern)
         self.table = ChunkTable(pattern, self._fill)
+        self.known: dict[str, bytes] = {}
 
     def _fill(self, chunks: list[list[str]]) -> list[int]:
         known = {piece: -1 for pieces in chunks for piece in pieces}
@@ -138,6 +144,46 @@ class TextCounter:
             known[piece] = self.counter.total(piece)
         return [sum(map(known.__getitem__, pieces)) for pieces in chunks]
 
+    def _chunk(self, key: str) -> bytes:
+        """Tokens of the first 1, 2, ... characters of a chunk, as 32-bit integers."""
+        text = key[1:] if key[:1] == "\n" else " " + key
+        found = self.known.get(key)
+        if found is not None:
+            return found
+        word, mark = (key, "") if key.isalpha() else (key[:-1], key[-1:])
+        if word.isalpha() and (not mark or mark in CLOSERS):
+            # one piece and a mark; a character ends where its bytes do not go on
+            data = b" " + word.encode()
+            counts = self.counter.table(data)[1:]
+            if len(data) > len(word) + 1:
+                counts = [c for c, after in zip(counts, data[1:] + b" ") if after & 0xC0 != 0x80]
+            if mark:  # a token of its own
+                counts.append(counts[-1] + 1)
+        else:
+            counts = self.prefixes(text)[1:]
+        out = array("i", counts).tobytes()
+        if len(key) <= LONGEST_KEPT:
+            self.known[key] = out
+        return out
+
+    def tables(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens of the first 1, 2, ... characters of all texts, characters of each text)."""
+        keys, order, n = cut_block(texts)
+        packed = [*map(self._chunk, keys)]
+        if len(self.known) > KEPT_TABLES:
+            self.known.clear()
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        flat = np.frombuffer(b"".join(packed), np.int32)
+        ends = np.cumsum(sizes)
+        last = np.where(sizes > 0, flat[np.maximum(ends, 1) - 1] if len(flat) else 0, 0)
+        # tokens before each chunk: of all chunks before, less those of the texts before
+        upto = np.cumsum(last[order]) - last[order]
+        begin = np.cumsum(n) - n
+        before = upto - np.repeat(upto[begin], n) if len(order) else upto
+        spread = sizes[order]
+        out = flat[places((ends - sizes)[order], spread)] + np.repeat(before, spread)
+        return out, np.add.reduceat(spread, begin) if len(order) else np.zeros(0, np.int64)
+
     def _segments(self, text: str) -> list[str]:
         return self.counter.special_cut.split(text) if self.counter.special_cut else [text]
 
@@ -224,6 +270,37 @@ def token_counts(df: DataFrame, path: str, pattern: str, text: str = "text",
     return rest.mapInArrow(run, schema)
 
 
+def budgets(df: DataFrame, path: str, pattern: str, limit: int, text: str = "text") -> DataFrame:
+    """Add n_bytes, n_tokens and n_chars_within: the characters that fit ``limit`` tokens.
+
+    All from the prefix table of each whole text, which is built in the task, block
+    by block, and not passed on.
+    """
+    add = {"n_bytes": T.LongType(), "n_tokens": T.LongType(), "n_chars_within": T.LongType()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_cache(text_counter)
+        own = text_counter(path, pattern)
+        for block in blocks(batches, text):
+            texts = [x or "" for x in block.column(text).to_pylist()]
+            table, sizes = own.tables(texts)
+            ends = np.cumsum(sizes)
+            # counts may fall again where characters merge: the last place that fits is sought
+            fits = np.where(table <= limit, np.arange(1, len(table) + 1), 0)
+            some = sizes > 0
+            begin = (ends - sizes)[some]
+            total, within = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+            if some.any():
+                total[some] = table[ends[some] - 1]
+                within[some] = np.maximum(np.maximum.reduceat(fits, begin) - begin, 0)
+            yield with_columns(
+                block, n_bytes=pa.array([len(t.encode()) for t in texts], pa.int64()),
+                n_tokens=pa.array(total), n_chars_within=pa.array(within))
+
+    rest, schema = widened(df, **add)
+    return rest.mapInArrow(run, schema)
+
+
 def tokens_in(prefix_tokens: Column, n_chars: Column | int) -> Column:
     """Tokens of the first ``n_chars`` characters (of the whole text beyond its end)."""
     n = F.lit(n_chars) if isinstance(n_chars, int) else n_chars
@@ -238,7 +315,7 @@ def longest_within(prefix_tokens: Column, budget: Column | int) -> Column:
 
 
 def count_documents(df: DataFrame, path: str, pattern: str, limit: int = 512) -> DataFrame:
-    """Bytes, tokens and whether a document has more tokens than ``limit``."""
-    counted = token_counts(df.select("doc_id", "text"), path, pattern)
+    """Bytes, tokens, whether a document has more tokens than ``limit``, and how much of it fits."""
+    counted = budgets(df.select("doc_id", "text"), path, pattern, limit)
     return counted.select("doc_id", "n_bytes", "n_tokens",
-                          (F.col("n_tokens") > limit).alias("over_limit"))
+                          (F.col("n_tokens") > limit).alias("over_limit"), "n_chars_within")

@@ -118,6 +118,47 @@ def test_count_documents(spark, odd, none):
     assert token_counts.count_documents(none, JSON, PATTERN).count() == 0
 
 
+def test_block_tables_equal_the_prefixes_of_each_text():
+    counter = token_counts.TextCounter(JSON, PATTERN)
+    texts = odd_texts(7, 400) + ["", " ", "naïve. Ärger, (ß)! x", "a  b", "x <|endoftext|> y z"]
+    table, sizes = counter.tables(texts)
+    assert sizes.tolist() == [len(t) for t in texts]
+    at = 0
+    for text, n in zip(texts, sizes.tolist()):
+        assert [0, *table[at:at + n].tolist()] == counter.prefixes(text), text
+        at += n
+
+
+def test_prefix_tables_of_long_texts():
+    """Prefixes of texts above 10,000 characters, against the library."""
+    rnd = random.Random(9)
+    long = [" ".join(rnd.choice(odd_texts(rnd.randrange(50), 30)).strip() for _ in range(1500))
+            for _ in range(2)]
+    long.append(" ".join(f"word{i}, it's {i * 7}" for i in range(1500)))
+    assert min(map(len, long)) > 10_000
+    counter = token_counts.TextCounter(JSON, PATTERN)
+    table, sizes = counter.tables(long)
+    at = 0
+    for text, n in zip(long, sizes.tolist()):
+        spots = sorted({*rnd.sample(range(1, len(text)), 40), len(text)})
+        assert [int(table[at + i - 1]) for i in spots] == counts_of([text[:i] for i in spots])
+        at += n
+
+
+def test_count_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    rows = token_counts.count_documents(docs, JSON, PATTERN).collect()
+    assert [r.n_tokens for r in rows] == counts_of([texts[r.doc_id] for r in rows])
+    for r in rows:
+        assert r.over_limit == (r.n_tokens > 512)
+        assert (r.n_chars_within == len(texts[r.doc_id])) == (not r.over_limit)
+    cut = [texts[r.doc_id][:r.n_chars_within] for r in rows if r.over_limit]
+    assert cut and max(counts_of(cut)) <= 512
+    more = [texts[r.doc_id][:r.n_chars_within + 1] for r in rows if r.over_limit]
+    assert min(counts_of(more)) > 512
+
+
 def test_budget_questions(spark):
     text = "Truncation answers, without encoding again: 12345 x"
     table = token_counts.token_counts(documents(spark, [text]), JSON, PATTERN, prefixes=True)
