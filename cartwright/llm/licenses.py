@@ -72,7 +72,10 @@ GAP = 6
 
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128
                else 32 for c in range(256))
-_TAG = re.compile(r"spdx-license-identifier:[ \t]*([^\r\n]*)", re.IGNORECASE)
+#: the words of an identifier tag, how it is written, and the words of a text with their places
+TAG = "spdx license identifier"
+_TAG_MARK = "spdx-license-identifier:"
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _TAG_PART = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.+-]*")
 
 
@@ -133,7 +136,7 @@ def evaluate(parts: list[str]) -> float:
 @lru_cache(maxsize=1)
 def automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
-    for phrase in {**NOTICES, **BASE}:
+    for phrase in {**NOTICES, **BASE, TAG: ""}:
         found.add_word(f" {phrase} ", (phrase, phrase.count(" ") + 1))
     found.make_automaton()
     return found
@@ -149,9 +152,10 @@ def scan(text: str) -> tuple:
     if hits:
         spaces = [i for i, c in enumerate(f" {joined}") if c == " "]
         places = sorted((bisect_right(spaces, at) - 1, size, phrase) for at, phrase, size in hits)
+    tags = [first for first, _, phrase in places if phrase == TAG]
+    places = [p for p in places if p[2] != TAG]
     base = [p for p in places if p[2] in BASE]
-    expressions = _sentences(words, places) + [
-        _TAG_PART.findall(value) for value in (_TAG.findall(text) if ":" in text else [])]
+    expressions = _sentences(words, places) + [_TAG_PART.findall(v) for v in _tagged(text, tags)]
     expressions = [e for e in expressions if e]
     labels = {BASE[p] for _, _, p in base} | {
         part for e in expressions for part in e
@@ -160,6 +164,19 @@ def scan(text: str) -> tuple:
     return len(words), base, places, expressions, labels, score
 
 
+def _tagged(text: str, tags: list[int]) -> list[str]:
+    """What stands behind the tags, up to the end of their lines; tags: their first words."""
+    if not tags:
+        return []
+    wanted, out = set(tags), []
+    for i, word in enumerate(_WORD.finditer(text)):
+        start = word.start()
+        if i in wanted and text[start:start + len(_TAG_MARK)].lower() == _TAG_MARK:
+            rest = text[start + len(_TAG_MARK):]
+            out.append(re.split(r"[\r\n]", rest, maxsplit=1)[0])
+    return out
+
+
 def _sentences(words: list[bytes], places: list[tuple[int, int, str]]) -> list[list[str]]:
     """Expressions that the phrases make; of overlapping phrases the longest, earliest."""
     kept: list[tuple[int, int, str]] = []
