@@ -17,7 +17,10 @@
    share of toxic examples among those without any term.
 
 The vocabulary and the index are bounded by the terms of ``SAMPLE_ROWS`` examples and
-are what each task receives; all other tables stay distributed.
+are what each task receives; all other tables stay distributed. Texts are turned
+into vocabulary terms by blocks: every different word of a block is looked up
+once, and terms are counted for all its documents together. Documents with the same
+terms are answered once a worker.
 
 Defined cases: null and empty texts have no terms and get the share named in 4;
 null labels are no examples; of equally near examples the one with the smaller
@@ -29,10 +32,12 @@ examples.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +45,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.llm.bpe import blocks
-from cartwright.llm.common import staged
+from cartwright.llm.common import own_cache, staged
 
 #: labelled rows that the examples are drawn from; the bound of the fitted part
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 4_000
+#: answers that a worker keeps for documents with the same terms and counts
+KEPT_ANSWERS = 20_000
 #: the likelihood ratio at which a term has half the weight that its idf allows
 HALF_RATIO = 30.0
 #: examples in a block of the index
@@ -58,6 +65,9 @@ FOLDS, HELD_OUT = 4, 2
 #: letters of the beginnings of words that are terms
 PREFIXES = (4, 5, 6, 7, 8)
 
+#: bytes of texts that are worked on together
+BLOCK_BYTES = 4 << 20
+
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -129,23 +139,75 @@ def vocabulary(sample: DataFrame) -> tuple[list[str], np.ndarray]:
     return found.column("term").to_pylist(), found.column("telling").to_numpy()
 
 
+class Vocabulary:
+    """Numbers of words and of beginnings of words, looked up for blocks of texts."""
+
+    def __init__(self, terms: list[str]):
+        self.words: dict[str, int] = {}
+        self.starts: dict[str, int] = {}  # to a row of marks
+        marks: list[list[int]] = []       # numbers of the term for any, two, four times
+        for i, term in enumerate(terms):
+            start, dash, least = term.rpartition("-")
+            if not dash:
+                self.words[term] = i
+                continue
+            at = self.starts.setdefault(start, len(marks))
+            if at == len(marks):
+                marks.append([-1, -1, -1])
+            marks[at][("", "2", "4").index(least)] = i
+        self.marks = np.array(marks, np.int64).reshape(-1, 3)
+        self.size = max(len(terms), 1)
+
+    def vectors(self, texts: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
+        """(terms, counts) of each text, by ascending number."""
+        found = [_WORD.findall(t.lower()) for t in texts]
+        coded = pa.array(chain.from_iterable(found), pa.string()).dictionary_encode()
+        words, n_words = coded.dictionary.to_pylist(), len(coded.dictionary)
+        owner = np.repeat(np.arange(len(texts)), [*map(len, found)])
+        del found
+        pair, n = np.unique(owner * max(n_words, 1) + coded.indices.to_numpy(), return_counts=True)
+        owner, word = pair // max(n_words, 1), pair % max(n_words, 1)
+        number = np.fromiter((self.words.get(w, -1) for w in words), np.int64, n_words)[word]
+        parts = [(owner, number, n)]
+        if len(self.marks):
+            at = np.full((n_words, len(PREFIXES)), -1, np.int64)
+            get = self.starts.get
+            for i, w in enumerate(words):
+                for k, size in enumerate(PREFIXES):
+                    if len(w) <= size:
+                        break
+                    at[i, k] = get(w[:size], -1)
+            own = at[word]
+            some = own >= 0
+            key = (owner[:, None] * len(self.marks) + own)[some]
+            start, back = np.unique(key, return_inverse=True)
+            times = np.bincount(back, np.broadcast_to(n[:, None], own.shape)[some],
+                                len(start)).astype(np.int64)
+            owner, marks = start // len(self.marks), self.marks[start % len(self.marks)]
+            ones = np.ones(len(start), np.int64)
+            parts += [(owner, marks[:, 0], times),
+                      (owner, np.where(times >= 2, marks[:, 1], -1), ones),
+                      (owner, np.where(times >= 4, marks[:, 2], -1), ones)]
+        owner, number, n = (np.concatenate(x) for x in zip(*parts))
+        known = number >= 0
+        owner, number, n = owner[known], number[known], n[known]
+        order = np.argsort(owner * self.size + number, kind="stable")
+        ends = pa.array(np.searchsorted(owner[order], np.arange(len(texts) + 1)).astype(np.int32))
+        return tuple(pa.ListArray.from_arrays(ends, pa.array(x[order].astype(np.int32)))
+                     for x in (number, n))
+
+
 def term_vectors(df: DataFrame, terms: list[str]) -> DataFrame:
     """(doc_id, terms, counts): the vocabulary terms of every whole text."""
-    shared = df.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
+    shared = df.sparkSession.sparkContext.broadcast(Vocabulary(terms))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = shared.value
-        for block in blocks(batches, "text"):
-            ids, counts = [], []
-            for text in block.column("text").to_pylist():
-                found = {number[t]: n for t, n in terms_of(
-                    _WORD.findall((text or "").lower())).items() if t in number}
-                order = sorted(found)
-                ids.append(order)
-                counts.append([found[i] for i in order])
-            yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), pa.array(ids, pa.list_(pa.int32())),
-                 pa.array(counts, pa.list_(pa.int32()))], names=["doc_id", "terms", "counts"])
+        own_cache(None)
+        own = shared.value
+        for block in blocks(batches, "text", BLOCK_BYTES):
+            numbers, counts = own.vectors([x or "" for x in block.column("text").to_pylist()])
+            yield pa.RecordBatch.from_arrays([block.column("doc_id"), numbers, counts],
+                                             names=["doc_id", "terms", "counts"])
 
     return df.select("doc_id", "text").mapInArrow(
         run, "doc_id long, terms array<int>, counts array<int>")
@@ -288,9 +350,18 @@ def scored(vectors: DataFrame, index: BlockMaxIndex) -> DataFrame:
     shared = vectors.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own, kept = shared.value, {}
+
+        def answer(terms: np.ndarray, counts: np.ndarray) -> list[tuple[float, int, int]]:
+            key = hashlib.blake2b(terms.tobytes() + counts.tobytes(), digest_size=16).digest()
+            if key not in kept:
+                if len(kept) >= KEPT_ANSWERS:
+                    kept.clear()
+                kept[key] = own.nearest(terms, counts)
+            return kept[key]
+
         for batch in batches:
-            near = [own.nearest(t.values.to_numpy(), c.values.to_numpy())
+            near = [answer(t.values.to_numpy(), c.values.to_numpy())
                     for t, c in zip(batch.column("terms"), batch.column("counts"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([own.vote(x) for x in near], pa.float64()),
