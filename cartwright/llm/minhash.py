@@ -230,11 +230,14 @@ def _other_links(merged: DataFrame, found: DataFrame, df: DataFrame) -> DataFram
         100 * (F.col("n") - F.coalesce("alone", F.lit(0))) >= PERCENT * F.col("n")).drop("alone")
     each = staged(sets.join(able, "node").select(
         "node", "n", "component", F.explode("shingles").alias("shingle")), "shingles")
-    shared = (each.groupBy("shingle").agg(F.count(F.lit(1)).alias("copies"))
-              .filter("copies > 1"))
+    # a shingle of one component alone links nobody to another one, however many share it
+    shared = (each.groupBy("shingle").agg(F.count(F.lit(1)).alias("copies"),
+                                          F.min("component").alias("a"),
+                                          F.max("component").alias("b"))
+              .filter("a < b").select("shingle", "copies"))
     ordered = (each.join(shared, "shingle").groupBy("node", "n", "component")
                .agg(F.sort_array(F.collect_list(F.struct("copies", "shingle"))).alias("s")))
-    # the shingles that nobody shares come first in a document's order
+    # the shingles that no other component shares come first in a document's order
     placed = ordered.select("node", "n", "component", F.size("s").alias("m"),
                             F.posexplode("s").alias("i", "c")).select(
         "node", "n", "component", F.col("c.shingle").alias("shingle"),
