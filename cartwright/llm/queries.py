@@ -79,6 +79,6 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_bpe_round_trip, op2_pii_votes, op3_toxicity_neighbours, op4_prefix_token_counts,
-        op5_quality_votes, op6_unit_dedup, op6_passage_dedup, op7_minhash_near_duplicates,
+        op5_quality_votes, op6_passage_dedup, op6_unit_dedup, op7_minhash_near_duplicates,
         op8_benchmark_tiling, op9_license_scan, op10_jump_hash_shards,
         op11_orc_token_files, op12_walsh_vector_codes, op13_source_divergence)}
