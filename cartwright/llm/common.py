@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import gc
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -13,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartwright.session import checkpoint_root, delete_at_end
+from cartwright.session import checkpoint_root, delete_at_end, file_system
 
 #: bits of a bitmap of row numbers or hashes (1 MB); with more entries it only drops less
 BITMAP_BITS = 1 << 23
@@ -33,14 +34,37 @@ def shared_folder(spark: SparkSession) -> str:
     return checkpoint_root(spark).rstrip("/")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+#: files that each open ``scratch`` will remove
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is removed at the end, but for what is staged with ``keep``.
+
+    For steps whose result is itself staged, small, before the end; otherwise files
+    stay until the driver ends.
+    """
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            fs, target = file_system(spark, path)
+            fs.delete(target, True)
+
+
+def staged(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder once and read it back.
 
     Unlike ``checkpoint()`` this computes the rows once and stores them
-    compressed. The files outlive lost executors and go when the driver ends.
+    compressed. The files outlive lost executors and go when the driver ends, or with
+    the ``scratch`` around them.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{label}-{uuid.uuid4().hex}"
+    if _SCRATCH and not keep:
+        _SCRATCH[-1].append(path)
     df.write.parquet(path)
     delete_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
@@ -152,7 +176,6 @@ def left_out(rows: DataFrame, gone: DataFrame) -> DataFrame:
 
     A bitmap of the numbers lets all other rows pass without a shuffle.
     """
-    gone = staged(gone.select("row").distinct(), "gone")
     bits = bitmap_of(gone, "row")
 
     @F.pandas_udf("boolean")

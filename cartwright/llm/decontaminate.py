@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.llm.bpe import blocks
-from cartwright.llm.common import (bitmap_of, left_out, look_up, numbered, own_cache, staged,
-                                   unpacked, worker_cache)
+from cartwright.llm.common import (bitmap_of, left_out, look_up, numbered, own_cache, scratch,
+                                   staged, unpacked, worker_cache)
 from cartwright.llm.licenses import words_of as plain_words
 from cartwright.llm.shingles import Shingler
 
@@ -244,5 +244,8 @@ def contaminated_documents(df: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_contaminated(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows whose own text covers no benchmark item; rows are told apart by number, not doc_id."""
     rows = numbered(df)
-    found = contaminated(rows.select(F.col("row").alias("doc_id"), "text"), benchmark)
-    return unpacked(left_out(rows, found.select(F.col("doc_id").alias("row"))), df.columns)
+    with scratch(df.sparkSession):
+        found = contaminated(rows.select(F.col("row").alias("doc_id"), "text"), benchmark)
+        gone = staged(found.select(F.col("doc_id").alias("row")).distinct(), "contaminated",
+                      keep=True)
+    return unpacked(left_out(rows, gone), df.columns)

@@ -43,8 +43,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.llm.bpe import blocks
-from cartwright.llm.common import (bitmap_of, left_out, look_up, numbered, own_cache, staged,
-                                   unpacked, worker_cache)
+from cartwright.llm.common import (bitmap_of, left_out, look_up, numbered, own_cache, scratch,
+                                   staged, unpacked, worker_cache)
 from cartwright.llm.components import components
 from cartwright.llm.shingles import Shingler
 
@@ -286,6 +286,8 @@ def one_of_each(df: DataFrame) -> DataFrame:
     to leave out are joined, not those to keep, as they are fewer.
     """
     rows = numbered(df)
-    found = near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"))
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("row"))
+    with scratch(df.sparkSession):
+        found = near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"))
+        gone = staged(found.filter(~F.col("kept"))
+                      .select(F.col("doc_id").alias("row")), "copies", keep=True)
     return unpacked(left_out(rows, gone), df.columns)
