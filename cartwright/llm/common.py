@@ -54,7 +54,8 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             fs.delete(target, True)
 
 
-def staged(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+def staged(df: DataFrame, label: str, keep: bool = False,
+           compression: str | None = None) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder once and read it back.
 
     Unlike ``checkpoint()`` this computes the rows once and stores them
@@ -65,7 +66,7 @@ def staged(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     path = f"{shared_folder(spark)}/llm-{label}-{uuid.uuid4().hex}"
     if _SCRATCH and not keep:
         _SCRATCH[-1].append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     delete_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -63,7 +63,7 @@ SMOOTHING = 1.0
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 #: letters of the beginnings of words that are terms
-PREFIXES = (4, 5, 6, 7, 8)
+PREFIXES = (4, 6)
 
 #: bytes of texts that are worked on together
 BLOCK_BYTES = 4 << 20
@@ -213,6 +213,30 @@ def term_vectors(df: DataFrame, terms: list[str]) -> DataFrame:
         run, "doc_id long, terms array<int>, counts array<int>")
 
 
+def gaps(vectors: DataFrame) -> DataFrame:
+    """The term numbers of each row as distances to the number before: small where stored."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms = batch.column("terms")
+            values, at = terms.values.to_numpy(), terms.offsets.to_numpy()
+            steps = np.diff(values, prepend=0).astype(np.int32)
+            starts = at[:-1][np.diff(at) > 0]
+            steps[starts] = values[starts]
+            yield batch.set_column(batch.schema.get_field_index("terms"), "terms",
+                                   pa.ListArray.from_arrays(terms.offsets, pa.array(steps)))
+
+    return vectors.mapInArrow(run, vectors.schema)
+
+
+def numbers(terms: pa.ListArray) -> pa.ListArray:
+    """The term numbers of rows that are stored as distances."""
+    at = terms.offsets.to_numpy() - terms.offsets[0].as_py()
+    total = np.cumsum(terms.flatten().to_numpy(), dtype=np.int64)
+    before = np.append(0, total)[at[:-1]]
+    return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)),
+                                    pa.array((total - np.repeat(before, np.diff(at))).astype(np.int32)))
+
+
 def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """The numbers from each first up to before each last."""
     n = last - first
@@ -317,7 +341,7 @@ def fit(df: DataFrame, labels: DataFrame) -> tuple[DataFrame, BlockMaxIndex]:
     """The term vectors of all documents and the index of the examples."""
     sample = staged(examples_of(df, labels), "examples")
     terms, telling = vocabulary(sample)
-    vectors = staged(term_vectors(df, terms), "vectors")
+    vectors = staged(gaps(term_vectors(df, terms)), "vectors", compression="zstd")
     size = len(terms)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,7 +349,7 @@ def fit(df: DataFrame, labels: DataFrame) -> tuple[DataFrame, BlockMaxIndex]:
         rows = 0
         for batch in batches:
             rows += batch.num_rows
-            seen += np.bincount(batch.column("terms").flatten(), minlength=size)
+            seen += np.bincount(numbers(batch.column("terms")).values, minlength=size)
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(some, -1)), pa.array(np.append(seen[some], rows))],
@@ -362,7 +386,7 @@ def scored(vectors: DataFrame, index: BlockMaxIndex) -> DataFrame:
 
         for batch in batches:
             near = [answer(t.values.to_numpy(), c.values.to_numpy())
-                    for t, c in zip(batch.column("terms"), batch.column("counts"))]
+                    for t, c in zip(numbers(batch.column("terms")), batch.column("counts"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([own.vote(x) for x in near], pa.float64()),
                  pa.array([[{"doc_id": d, "cosine": c, "toxic": y} for c, d, y in x] for x in near],
