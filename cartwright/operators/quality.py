@@ -128,25 +128,34 @@ def _whole_number(df: DataFrame, column: str) -> bool:
 
 def _word(key: Column) -> Column:
     """The number of the 64 keys that a key belongs to."""
-    return F.shiftright(key.cast("long"), 6)
+    return F.shiftright(key, 6)
+
+
+def _keys(sides: list[tuple[int, DataFrame, str]]) -> DataFrame:
+    """(check, key): the non-NULL keys of all checks, each table read once."""
+    by_table: dict[int, tuple[DataFrame, list]] = {}
+    for i, df, column in sides:
+        by_table.setdefault(id(df), (df, []))[1].append(F.struct(
+            F.lit(i).alias("check"), F.col(column).cast("long").alias("key")))
+    out = None
+    for df, columns in by_table.values():
+        part = df.select(F.explode(F.array(*columns)).alias("e")).select("e.*").where(
+            F.col("key").isNotNull())
+        out = part if out is None else out.unionAll(part)
+    return out
 
 
 def orphan_words(links: list[tuple[int, DataFrame, str, DataFrame, str]]) -> DataFrame:
     """(check, word): where children have a key that their parent lacks; exact."""
-    sides = []
-    for i, child, column, parent, parent_column in links:
-        for df, name, is_parent in ((child, column, False), (parent, parent_column, True)):
-            key = F.col(name).cast("long")
-            bit = F.call_function("shiftleft", F.lit(1).cast("long"),
-                                  key.bitwiseAND(F.lit(63)).cast("int"))
-            none = F.lit(0).cast("long")
-            sides.append(df.where(key.isNotNull()).select(
-                F.lit(i).alias("check"), _word(key).alias("word"),
-                (none if is_parent else bit).alias("child"),
-                (bit if is_parent else none).alias("parent")))
-    keys = sides[0]
-    for side in sides[1:]:
-        keys = keys.unionAll(side)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"),
+                          F.col("key").bitwiseAND(F.lit(63)).cast("int"))
+    none = F.lit(0).cast("long")
+    children = _keys([(i, child, column) for i, child, column, _, _ in links])
+    parents = _keys([(i, parent, column) for i, _, _, parent, column in links])
+    keys = children.select("check", _word(F.col("key")).alias("word"), bit.alias("child"),
+                           none.alias("parent")).unionAll(
+        parents.select("check", _word(F.col("key")).alias("word"), none.alias("child"),
+                       bit.alias("parent")))
     words = keys.groupBy("check", "word").agg(F.bit_or("child").alias("child"),
                                               F.bit_or("parent").alias("parent"))
     return words.where(F.col("child").bitwiseAND(F.bitwise_not("parent")) != 0).select(
@@ -173,23 +182,18 @@ def screened_orphans(links: list[tuple[int, DataFrame, str, DataFrame, str]]) ->
              .agg(F.collect_list(F.struct("check", "word")).alias("s"))
              .select(F.when(F.size("s") <= MOST_WORDS, F.col("s")).alias("s")))
 
-    def suspects(i: int, df: DataFrame, name: str) -> DataFrame:
+    def suspects(keys: DataFrame) -> DataFrame:
         # one short list for all checks, read as a scalar subquery: mostly it is empty
-        rows = df.where(F.col(name).isNotNull()).select(
-            F.struct(F.lit(i).alias("check"), _word(F.col(name)).alias("word")).alias("at"),
-            F.col(name).cast("long").alias("_k")).withColumn("_suspects", found.scalar())
-        listed = F.coalesce(F.array_contains("_suspects", F.col("at")), F.lit(True))
-        return rows.where(listed).select("at.check", "_k")
-
-    parts = []
-    for i, child, column, parent, parent_column in links:
-        per_key = (suspects(i, child, column).groupBy("check", "_k")
-                   .agg(F.count(F.lit(1)).alias("_n")))
-        parts.append(per_key.join(suspects(i, parent, parent_column), ["check", "_k"], "left_anti"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionAll(part)
-    return out.groupBy("check").agg(F.sum("_n").alias("failures"))
+        rows = keys.withColumn("_suspects", found.scalar())
+        at = F.struct("check", _word(F.col("key")).alias("word"))
+        return rows.where(F.coalesce(F.array_contains("_suspects", at), F.lit(True))).select(
+            "check", "key")
+
+    children = suspects(_keys([(i, child, column) for i, child, column, _, _ in links]))
+    parents = suspects(_keys([(i, parent, column) for i, _, _, parent, column in links]))
+    per_key = children.groupBy("check", "key").agg(F.count(F.lit(1)).alias("_n"))
+    return (per_key.join(parents, ["check", "key"], "left_anti")
+            .groupBy("check").agg(F.sum("_n").alias("failures")))
 
 
 def fingerprint(columns: list[str], df: DataFrame) -> Column:
