@@ -42,6 +42,7 @@ KEPT_PAIRS = 1_000_000
 #: chunks whose table a worker keeps from block to block, and their most characters
 KEPT_TABLES = 300_000
 LONGEST_KEPT = 64
+_TWO_SPACES = regex.compile(r"\s\s").search
 
 
 @lru_cache(maxsize=1)
@@ -152,20 +153,30 @@ class TextCounter:
             return found
         word, mark = (key, "") if key.isalpha() else (key[:-1], key[-1:])
         if word.isalpha() and (not mark or mark in CLOSERS):
-            # one piece and a mark; a character ends where its bytes do not go on
-            data = b" " + word.encode()
-            counts = self.counter.table(data)[1:]
-            if len(data) > len(word) + 1:
-                counts = [c for c, after in zip(counts, data[1:] + b" ") if after & 0xC0 != 0x80]
+            counts = self._piece(" " + word)
             if mark:  # a token of its own
                 counts.append(counts[-1] + 1)
-        else:
+        elif "'" in text or _TWO_SPACES(text) or (
+                self.counter.special_cut and self.counter.special_cut.search(text)):
             counts = self.prefixes(text)[1:]
+        else:  # pieces follow each other, also in every prefix
+            counts, before = [], 0
+            for piece in self.cut.findall(text):
+                counts += [before + c for c in self._piece(piece)]
+                before = counts[-1]
         out = array("i", counts).tobytes()
         if len(key) <= LONGEST_KEPT:
             self.known[key] = out
         return out
 
+    def _piece(self, piece: str) -> list[int]:
+        """Tokens of the first 1, 2, ... characters of a piece: where its bytes do not go on."""
+        data = piece.encode()
+        counts = self.counter.table(data)[1:]
+        if len(data) > len(piece):
+            counts = [c for c, after in zip(counts, data[1:] + b" ") if after & 0xC0 != 0x80]
+        return counts
+
     def tables(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(tokens of the first 1, 2, ... characters of all texts, characters of each text)."""
         keys, order, n = cut_block(texts)
