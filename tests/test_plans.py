@@ -65,8 +65,16 @@ def test_date_window_filters_before_basket_aggregate(spark):
     assert "LeftSemi" in p and "1998-01-01" in p
 
 
-@pytest.mark.parametrize("name", ["variant_balance", "sample_size_and_duration", "experiment_decision",
-                                  "interval_chart", "headline_figures", "experiment_report_display"])
+@pytest.mark.parametrize("name", ["variant_balance", "interval_chart"])
+def test_one_aggregate_serves_the_whole_query(spark, name):
+    p = plan(spark, name)
+    assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
+    assert "Subquery" not in p
+    assert optimized(spark, name).count("Relation [l_orderkey") == 1
+
+
+@pytest.mark.parametrize("name", ["sample_size_and_duration", "experiment_decision",
+                                  "headline_figures", "experiment_report_display"])
 def test_one_row_aggregates_are_scalar_subqueries(spark, name):
     p = plan(spark, name)
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
