@@ -179,7 +179,8 @@ class TextCounter:
 
     def tables(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(tokens of the first 1, 2, ... characters of all texts, characters of each text)."""
-        keys, order, n = cut_block(texts)
+        chunks, order, n = cut_block(texts)
+        keys = chunks.to_pylist()
         packed = [*map(self._chunk, keys)]
         if len(self.known) > KEPT_TABLES:
             self.known.clear()

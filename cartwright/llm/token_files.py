@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from public_tokenizers import PATTERN
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from cartwright.llm.bpe import blocks
 from cartwright.llm.common import (delete_at_end, own_cache, shared_folder, starts_of,
                                    worker_cache)
-from cartwright.llm.pieces import CLOSERS, compiled, cut_block
+from cartwright.llm.pieces import CLOSERS, compiled, cut_block, places, string_bytes
 from cartwright.llm.token_counts import byte_letters
 
 #: rows of one entry of the row index, and bytes of a stripe
@@ -52,8 +53,11 @@ STRIPE_BYTES = 32 << 20
 BLOCK_BYTES, BLOCK_ROWS = 12 << 20, 16_000
 #: chunks that the library encodes in one call
 CALL_CHUNKS = 4_000
-#: pieces whose ids a worker keeps from block to block (about 200 bytes each)
-KEPT_PIECES = 300_000
+#: pieces whose ids a worker keeps from block to block (about 50 bytes each); a larger
+#: table falls back to those of the last block
+KEPT_PIECES = 1_000_000
+#: lead bytes from here on make letters beyond Latin
+BEYOND_LATIN = 0xC9
 
 
 class ChunkEncoder:
@@ -84,62 +88,100 @@ class ChunkEncoder:
         # what is not cut here: letters beyond Latin, and special strings
         self.other = re.compile("|".join(["[^\x00-\u024f]", *(
             re.escape(t["content"]) for t in spec["added_tokens"])])).search
-        self.known: dict[str, bytes] = {}  # ids of pieces
-        self.words: dict[str, bytes] = {}  # ids of plain words after a space
-
-    def _ids(self, piece: str) -> bytes:
-        found = self.known.get(piece)
-        if found is None:
-            plain = piece.encode().decode("latin-1").translate(self.letters)
-            found = self.known[piece] = array("i", [t.id for t in self.merge(plain)]).tobytes()
-        return found
-
-    def _packed(self, keys: list[str]) -> list[bytes]:
-        """The ids of each chunk."""
-        words, known, merge, ids = self.words.get, self.words, self.merge, self._ids
-        out: list[bytes] = []
+        self.known = pa.array([], pa.large_string())  # pieces, and their ids
+        self.known_ids = pa.array([], pa.large_list(pa.int32()))
+
+    def _merged(self, pieces: list[str]) -> pa.LargeListArray:
+        """The ids of each piece, by the merge model."""
+        ids, ends, merge = array("i"), array("q", [0]), self.merge
+        for piece in pieces:
+            if piece.isascii() and piece[1:].isalpha() and piece[0] == " ":
+                plain = "\u0120" + piece[1:]
+            else:
+                plain = piece.encode().decode("latin-1").translate(self.letters)
+            ids.extend([t.id for t in merge(plain)])
+            ends.append(len(ids))
+        return pa.LargeListArray.from_arrays(pa.array(np.frombuffer(ends, np.int64)),
+                                             pa.array(np.frombuffer(ids, np.int32)))
+
+    def _ids(self, pieces: pa.LargeStringArray) -> pa.LargeListArray:
+        """The ids of different pieces; those of new ones are kept."""
+        at = pc.index_in(pieces, value_set=self.known)
+        new = pieces.filter(pc.is_null(at))
+        if len(new):
+            at = pc.coalesce(at, pa.scalar(-1, pa.int32())).to_numpy().copy()
+            at[at < 0] = len(self.known) + np.arange(len(new))
+            self.known_ids = pa.concat_arrays([self.known_ids, self._merged(new.to_pylist())])
+            self.known = pa.concat_arrays([self.known, new])
+        ids = self.known_ids.take(pa.array(at))
+        if len(self.known) > KEPT_PIECES:
+            self.known, self.known_ids = pieces, ids
+        return ids
+
+    def _packed(self, keys: pa.LargeStringArray) -> pa.LargeListArray:
+        """The ids of each chunk.
+
+        Chunks that are a word, or one and a mark, are cut all at once; others by the
+        pattern. The different pieces are looked up together.
+        """
+        data, at = string_bytes(keys)
+        words = pc.ascii_rtrim(keys, characters="".join(CLOSERS))
+        cut = np.diff(at) - pc.binary_length(words).to_numpy()
+        wide = np.maximum.reduceat(np.append(data, np.uint8(0)), at[:-1]) >= BEYOND_LATIN
+        plain = pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False) & (cut <= 1) & ~wide
+        marked = plain & (cut == 1)
+        n = np.where(plain, 1 + cut, 0)
+        others: list[str] = []
         rest = []  # what the library has to cut
-        for i, key in enumerate(keys):
-            word, mark = (key, "") if key.isalpha() else (key[:-1], key[-1:])
-            if word.isalpha() and (not mark or mark in CLOSERS) and (
-                    word.isascii() or not self.other(word)):
-                found = words(word)
-                if found is None:
-                    plain = word if word.isascii() else (
-                        word.encode().decode("latin-1").translate(self.letters))
-                    found = known[word] = array(
-                        "i", [t.id for t in merge("\u0120" + plain)]).tobytes()
-                out.append(found + ids(mark) if mark else found)
-            elif self.other(key):
-                out.append(b"")
-                rest.append(i)
+        for i, key in zip(np.flatnonzero(~plain).tolist(),
+                          keys.filter(pa.array(~plain)).to_pylist()):
+            text = key[1:] if key[:1] == "\n" else " " + key
+            if self.other(key):
+                rest.append((i, text))
             else:
-                out.append(b"".join(map(ids, self.cut(
-                    key[1:] if key[:1] == "\n" else " " + key))))
-        for at in range(0, len(rest), CALL_CHUNKS):
-            part = rest[at:at + CALL_CHUNKS]
-            texts = [keys[i][1:] if keys[i][:1] == "\n" else " " + keys[i] for i in part]
-            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            for i, e in zip(part, found):
-                out[i] = array("i", e.ids).tobytes()
-        for kept in (self.words, self.known):
-            if len(kept) > KEPT_PIECES:
-                kept.clear()
-        return out
+                found = self.cut(text)
+                n[i] = len(found)
+                others += found
+        coded = pa.concat_arrays([
+            pc.binary_join_element_wise(*(pa.scalar(x, pa.large_string()) for x in ("", " ")),
+                                        words.filter(pa.array(plain)),
+                                        pa.scalar("", pa.large_string())),
+            pa.array([chr(b) for b in data[at[1:][marked] - 1].tolist()], pa.large_string()),
+            pa.array(others, pa.large_string())]).dictionary_encode()
+        pieces = coded.indices.to_numpy()
+        tables = [self._ids(coded.dictionary)]
+        cut_here = ~plain & (n > 0)
+        n[[i for i, _ in rest]] = 1
+        first = np.cumsum(n) - n
+        order = np.empty(int(n.sum()), np.int64)
+        n_plain, n_marked = int(plain.sum()), int(marked.sum())
+        order[first[plain]] = pieces[:n_plain]
+        order[first[marked] + 1] = pieces[n_plain:n_plain + n_marked]
+        order[places(first[cut_here], n[cut_here])] = pieces[n_plain + n_marked:]
+        for start in range(0, len(rest), CALL_CHUNKS):
+            part = rest[start:start + CALL_CHUNKS]
+            found = self.tokenizer.encode_batch_fast([t for _, t in part], add_special_tokens=False)
+            order[first[[i for i, _ in part]]] = sum(map(len, tables)) + np.arange(len(part))
+            tables.append(pa.array([e.ids for e in found], pa.large_list(pa.int32())))
+        return joined(pa.concat_arrays(tables), order, n)
 
     def encode(self, texts: list[str], end_id: int) -> pa.ListArray:
         """The ids of each text, followed by ``end_id``."""
+        if not texts:
+            return pa.array([], pa.list_(pa.int32()))
         keys, order, n = cut_block(texts)
-        packed = self._packed(keys) + [array("i", [end_id]).tobytes()]
-        order = np.insert(order, np.cumsum(n), len(keys))
-        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
-        table = pa.ListArray.from_arrays(
-            pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)),
-            pa.array(np.frombuffer(b"".join(packed), np.int32)))
-        upto = np.concatenate(([0], np.cumsum(sizes[order])))
-        ends = upto[np.concatenate(([0], np.cumsum(n + 1)))]
-        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)),
-                                        table.take(pa.array(order)).flatten())
+        table = pa.concat_arrays([self._packed(keys),
+                                  pa.array([[end_id]], pa.large_list(pa.int32()))])
+        ids = joined(table, np.insert(order, np.cumsum(n), len(keys)), n + 1)
+        return pa.ListArray.from_arrays(ids.offsets.cast(pa.int32()), ids.values)
+
+
+def joined(table: pa.LargeListArray, order: np.ndarray, n: np.ndarray) -> pa.LargeListArray:
+    """The lists of a table in this order, as many as ``n`` says joined to one each time."""
+    lists = table.take(pa.array(order))
+    ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    return pa.LargeListArray.from_arrays(
+        pa.array(ends[np.concatenate(([0], np.cumsum(n)))]), lists.flatten())
 
 
 @worker_cache

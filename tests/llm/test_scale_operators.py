@@ -66,6 +66,31 @@ def test_blocks_of_odd_texts_equal_the_library():
     assert got == library_ids(texts)
 
 
+def test_pieces_are_merged_once_and_known_in_later_blocks(monkeypatch):
+    """Words alone, with a mark or before a line break share an entry; ids stay the library's."""
+    rnd = random.Random(8)
+    signs = ["a", "b", "É", "\u0240", "ȿ", "中", "ª", "µ", "٣", "1", ".", " ", ",", ")", "'s", "\n",
+             "\t", "  ", "<|endoftext|>", "\u0301", "ß", "\x1c", "\x85", "#", "word", "Wort"]
+    texts = ["".join(rnd.choice(signs) for _ in range(rnd.randint(0, 12))) for _ in range(3000)]
+    own = token_files.ChunkEncoder(TOKENIZER)
+    want = [[*e.ids, 0] for e in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    merge, calls = own.merge, []
+    own.merge = lambda piece: calls.append(piece) or merge(piece)
+    assert own.encode(["a word, a word\nword. (word) word"], 0).to_pylist() == [
+        [*own.tokenizer.encode("a word, a word\nword. (word) word",
+                               add_special_tokens=False).ids, 0]]
+    assert len(calls) == len(set(calls)) and calls.count("\u0120word") == 1
+    assert own.encode(texts, 0).to_pylist() == want
+    assert len(calls) == len(set(calls))
+    before = len(calls)
+    assert own.encode(texts[::-1], 0).to_pylist() == want[::-1] and len(calls) == before
+    monkeypatch.setattr(token_files, "KEPT_PIECES", 10)
+    for at in range(0, 3000, 100):
+        assert own.encode(texts[at:at + 100], 0).to_pylist() == want[at:at + 100]
+    assert len(own.known) == len(own.known_ids) < 1000
+    assert own.encode([], 0).to_pylist() == []
+
+
 def test_token_files_spread_a_doc_id_that_a_third_shares(spark, tmp_path):
     rnd = random.Random(5)
     rows = [(7 if i % 3 == 0 else i, prose(rnd, 30), "clash", i) for i in range(3000)]
