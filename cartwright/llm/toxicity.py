@@ -8,11 +8,10 @@
    (``HALF_RATIO`` gives a half), which multiplies its idf.
 2. One pass turns every document into its term counts; document frequencies for
    the TF-IDF weights are counted over all documents.
-3. The examples are ordered by their strongest term and dealt into blocks. The
-   block-max inverted index holds, for each term and block that has it, the postings
-   and the largest weight. A query bounds its cosine with each block from the maxima,
-   opens blocks from the best bound down (some at a time) and stops where no block can
-   reach its k-th best example: the neighbours are exact.
+3. Queries are compared with all examples, some at a time: the part of the cosine that
+   is of frequent terms is a product of two dense matrices, the rest comes from an
+   inverted index. Both are in single precision, whose loss is bounded: the examples
+   that may be among the k nearest are compared again, exactly. The neighbours are exact.
 4. Neighbours vote with their cosine as weight; the vote is smoothed towards the
    share of toxic examples among those without any term.
 
@@ -53,10 +52,12 @@ SAMPLE_ROWS = 4_000
 KEPT_ANSWERS = 20_000
 #: the likelihood ratio at which a term has half the weight that its idf allows
 HALF_RATIO = 30.0
-#: examples in a block of the index
-BLOCK = 64
-#: blocks that a query opens in its first steps; then all that can still reach it
-STEPS = (8, 32)
+#: a term is frequent from this part of the examples on (1 in 16), and so many may be
+FREQUENT, MOST_FREQUENT = 16, 2_000
+#: queries whose cosines are computed together, and rows that a worker holds as queries
+QUERIES, SLICE_ROWS = 128, 512
+#: the smallest weight in single precision, so that no product of two becomes 0
+LEAST = 1e-18
 NEIGHBOURS = 15
 #: weight of the vote of no neighbour at all
 SMOOTHING = 1.0
@@ -243,8 +244,13 @@ def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
 
-class BlockMaxIndex:
-    """Exact nearest examples by cosine, with maxima for each term and block."""
+class CosineIndex:
+    """Exact nearest examples by cosine.
+
+    Frequent terms are columns of a dense matrix, so their part of all cosines of some
+    queries is one matrix product; the postings of the others are added up. These sums
+    are rounded; what they leave in reach of the k-th best example is computed exactly.
+    """
 
     def __init__(self, n_terms: int, idf: list[float] | np.ndarray,
                  examples: list[tuple[int, int, list[int] | np.ndarray, list[int] | np.ndarray]]):
@@ -255,73 +261,109 @@ class BlockMaxIndex:
         self.no_terms = (sum(empty) + share) / (len(empty) + 1)
         rows = [(d, y, np.asarray(t, np.int32), np.asarray(c, np.int32))
                 for d, y, t, c in examples if len(t)]
-        rows.sort(key=lambda x: (int(x[2][np.argmax(self.raw(x[2], x[3]))]), x[2].tobytes(), x[0]))
+        rows.sort(key=lambda x: (x[0], x[1], x[2].tobytes(), x[3].tobytes()))
         self.ids = np.array([x[0] for x in rows], np.int64)
         self.labels = [x[1] for x in rows]
         self.norms = np.array([math.sqrt(float(r @ r)) for r in (
             self.raw(t, c) for _, _, t, c in rows)])
-        self.n_blocks = -(-len(rows) // BLOCK)
-        terms = np.concatenate([x[2] for x in rows]) if rows else np.zeros(0, np.int32)
-        counts = np.concatenate([x[3] for x in rows]) if rows else np.zeros(0, np.int32)
-        row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x[2]) for x in rows])
-        order = np.argsort(terms, kind="stable").astype(np.int32)
-        terms, self.row, self.count = terms[order], row[order], counts[order]
-        self.frequency = 1 + np.log(np.maximum(np.arange(counts.max(initial=0) + 1), 1))
-        # entries: the postings of a term in a block
-        block = self.row // BLOCK
-        new = np.append(True, (terms[1:] != terms[:-1]) | (block[1:] != block[:-1]))[:len(terms)]
-        starts = np.flatnonzero(new)
-        self.post_at = np.append(starts, len(terms)).astype(np.int32)
-        self.block = block[starts].astype(np.int32)
-        weights = self.frequency[self.count] * self.idf[terms] / self.norms[self.row]
-        maxima = np.maximum.reduceat(weights, starts) if len(starts) else np.zeros(0)
-        # rounded up, so that a bound never falls below a cosine
-        self.maxima = np.nextafter(maxima.astype(np.float32), np.float32(2))
-        self.entry_at = np.searchsorted(terms[starts], np.arange(n_terms + 1)).astype(np.int32)
+        # the terms of each example ...
+        self.at = np.cumsum([0, *(len(x[2]) for x in rows)])
+        self.terms = np.concatenate([x[2] for x in rows]) if rows else np.zeros(0, np.int32)
+        self.count = np.concatenate([x[3] for x in rows]) if rows else np.zeros(0, np.int32)
+        self.frequency = 1 + np.log(np.maximum(np.arange(self.count.max(initial=0) + 1), 1))
+        # ... and the examples of each term that is not frequent
+        n = np.bincount(self.terms, minlength=n_terms)
+        often = np.argsort(-n, kind="stable")[:MOST_FREQUENT]
+        often = np.sort(often[n[often] * FREQUENT >= max(len(rows), 1)])
+        self.column = np.full(n_terms, -1, np.int32)
+        self.column[often] = np.arange(len(often))
+        order = np.argsort(self.terms, kind="stable")
+        order = order[self.column[self.terms[order]] < 0]
+        owner = np.repeat(np.arange(len(rows), dtype=np.int32), np.diff(self.at))
+        self.row = owner[order]
+        self.weight = self._weights(owner, self.terms, self.count)[order]
+        n[often] = 0
+        self.post_at = np.concatenate(([0], np.cumsum(n)))
+        self.n_frequent = len(often)
+        # what single precision may lose: of a sum, by its length
+        self.loss = 2 * (self.n_frequent + 16) * 2.0 ** -24
+        self._dense: np.ndarray | None = None
 
     def raw(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return (1 + np.log(counts)) * self.idf[terms]
 
+    def _weights(self, row: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The parts of the unit vectors of examples, in single precision, none 0."""
+        exact = self.frequency[counts] * self.idf[terms] / self.norms[row]
+        return np.maximum(exact, LEAST).astype(np.float32)
+
+    def dense(self) -> np.ndarray:
+        """The weight of each frequent term in each example; made where it is used."""
+        if self._dense is None:
+            dense = np.zeros((self.n_frequent, len(self.ids)), np.float32)
+            for row, (a, b) in enumerate(zip(self.at.tolist(), self.at[1:].tolist())):
+                terms = self.terms[a:b]
+                some = self.column[terms] >= 0
+                dense[self.column[terms][some], row] = self._weights(
+                    np.full(int(some.sum()), row), terms[some], self.count[a:b][some])
+            self._dense = dense
+        return self._dense
+
     def nearest(self, terms: list[int] | np.ndarray, counts: list[int] | np.ndarray,
                 k: int = NEIGHBOURS) -> list[tuple[float, int, int]]:
         """(cosine, doc_id, label) of the k nearest examples that share a term."""
-        if not len(terms) or not self.n_blocks:
-            return []
-        terms = np.asarray(terms)
-        query = self.raw(terms, np.asarray(counts))
-        query = query / math.sqrt(float(query @ query))
-        first, last = self.entry_at[terms], self.entry_at[terms + 1]
-        entry = _ranges(first, last)
-        block, weight = self.block[entry], np.repeat(query, last - first)
-        bounds = np.bincount(block, weight * self.maxima[entry], self.n_blocks) * (1 + 1e-6)
-        factor = np.repeat(query * self.idf[terms], last - first)
-        order = np.argsort(-bounds, kind="stable")
-        best, cosines, least, done = np.zeros(0, np.int64), np.zeros(0), 0.0, 0
-        for step in (*STEPS, self.n_blocks):
-            some = order[done:done + step]
-            some = some[(bounds[some] > 0) & (bounds[some] + 1e-9 >= least)]
-            if not len(some):
-                break
-            done += step
-            opened = np.zeros(self.n_blocks, bool)
-            opened[some] = True
-            mine = opened[block]
-            at = entry[mine]
-            start, stop = self.post_at[at], self.post_at[at + 1]
-            post = _ranges(start, stop)
-            cosine = np.bincount(self.row[post], np.repeat(factor[mine], stop - start)
-                                 * self.frequency[self.count[post]], len(self.ids))
-            met = np.flatnonzero(cosine)
-            found = np.round(cosine[met] / self.norms[met], 12)
-            if len(met) > k:  # those below the k-th best of this step are out
-                near = found >= np.partition(found, -k)[-k]
-                met, found = met[near], found[near]
-            best, cosines = np.append(best, met), np.append(cosines, found)
-            top = np.lexsort((self.ids[best], -cosines))[:k]
-            best, cosines = best[top], cosines[top]
-            least = cosines[-1] if len(best) == k else 0.0
+        return self.all_nearest([(terms, counts)], k)[0]
+
+    def all_nearest(self, vectors: list[tuple], k: int = NEIGHBOURS
+                    ) -> list[list[tuple[float, int, int]]]:
+        """``nearest`` of each (terms, counts)."""
+        out: list[list[tuple[float, int, int]]] = []
+        factor = np.zeros(len(self.idf))
+        for at in range(0, len(vectors), QUERIES):
+            part = [(np.asarray(t), np.asarray(c)) for t, c in vectors[at:at + QUERIES]]
+            near = self._rounded(part) if len(self.ids) else None
+            out += [self._exact(t, c, near[i], factor, k) if len(t) and near is not None else []
+                    for i, (t, c) in enumerate(part)]
+        return out
+
+    def _unit(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        query = self.raw(terms, counts)
+        return query / math.sqrt(float(query @ query))
+
+    def _rounded(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The cosines of each query with each example, above 0 where they share a term."""
+        queries = np.zeros((len(vectors), self.n_frequent), np.float32)
+        rest = np.zeros((len(vectors), len(self.ids)), np.float32)
+        for i, (terms, counts) in enumerate(vectors):
+            if not len(terms):
+                continue
+            query = np.maximum(self._unit(terms, counts), LEAST)
+            column = self.column[terms]
+            often = column >= 0
+            queries[i, column[often]] = query[often]
+            first, last = self.post_at[terms], self.post_at[terms + 1]  # none of frequent ones
+            post = _ranges(first, last)
+            rest[i] = np.bincount(self.row[post], np.repeat(query, last - first)
+                                  * self.weight[post], len(self.ids))
+        return queries @ self.dense() + rest
+
+    def _exact(self, terms: np.ndarray, counts: np.ndarray, near: np.ndarray,
+               factor: np.ndarray, k: int) -> list[tuple[float, int, int]]:
+        """The k nearest; ``near``: the rounded cosines, ``factor``: room, all 0."""
+        least = 0.0
+        if len(near) > k:
+            least = float(np.partition(near, -k)[-k]) * (1 - 2 * self.loss) - 1e-11
+        met = np.flatnonzero((near > 0) & (near >= least))
+        factor[terms] = self._unit(terms, counts) * self.idf[terms]
+        first, last = self.at[met], self.at[met + 1]
+        post = _ranges(first, last)
+        cosine = np.bincount(np.repeat(np.arange(len(met)), last - first),
+                             factor[self.terms[post]] * self.frequency[self.count[post]], len(met))
+        factor[terms] = 0.0
+        found = np.round(cosine / self.norms[met], 12)
+        top = np.lexsort((self.ids[met], -found))[:k]
         return [(c, d, self.labels[at]) for c, d, at in zip(
-            cosines.tolist(), self.ids[best].tolist(), best.tolist())]
+            found[top].tolist(), self.ids[met[top]].tolist(), met[top].tolist())]
 
     def vote(self, neighbours: list[tuple[float, int, int]]) -> float:
         total = sum(c for c, _, _ in neighbours)
@@ -329,6 +371,10 @@ class BlockMaxIndex:
                    / (total + SMOOTHING))
 
 
+#: the earlier name
+BlockMaxIndex = CosineIndex
+
+
 def examples_of(df: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text, toxic) of the labelled rows that may be learned from."""
     allowed = (labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()
@@ -337,7 +383,7 @@ def examples_of(df: DataFrame, labels: DataFrame) -> DataFrame:
     return df.select("doc_id", "text").join(drawn, "doc_id")
 
 
-def fit(df: DataFrame, labels: DataFrame) -> tuple[DataFrame, BlockMaxIndex]:
+def fit(df: DataFrame, labels: DataFrame) -> tuple[DataFrame, CosineIndex]:
     """The term vectors of all documents and the index of the examples."""
     sample = staged(examples_of(df, labels), "examples")
     terms, telling = vocabulary(sample)
@@ -366,33 +412,43 @@ def fit(df: DataFrame, labels: DataFrame) -> tuple[DataFrame, BlockMaxIndex]:
     rows = [(d, int(y), t.values.to_numpy(), c.values.to_numpy()) for d, y, t, c in zip(
         drawn.column("doc_id").to_pylist(), drawn.column("toxic").to_pylist(),
         drawn.column("terms"), drawn.column("counts"))]
-    return vectors, BlockMaxIndex(size, idf * telling, rows)
+    return vectors, CosineIndex(size, idf * telling, rows)
 
 
-def scored(vectors: DataFrame, index: BlockMaxIndex) -> DataFrame:
+def _evidence(near: list[list[tuple[float, int, int]]]) -> pa.ListArray:
+    cosines, ids, labels = zip(*chain.from_iterable(near)) if any(near) else ((), (), ())
+    return pa.ListArray.from_arrays(
+        pa.array(np.cumsum([0, *map(len, near)]).astype(np.int32)), pa.StructArray.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array(cosines, pa.float64()),
+             pa.array(labels, pa.int32())], ["doc_id", "cosine", "toxic"]))
+
+
+def scored(vectors: DataFrame, index: CosineIndex) -> DataFrame:
     """(doc_id, score, evidence): the vote and the examples that cast it."""
     shared = vectors.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_cache(None)
         own, kept = shared.value, {}
-
-        def answer(terms: np.ndarray, counts: np.ndarray) -> list[tuple[float, int, int]]:
-            key = hashlib.blake2b(terms.tobytes() + counts.tobytes(), digest_size=16).digest()
-            if key not in kept:
-                if len(kept) >= KEPT_ANSWERS:
-                    kept.clear()
-                kept[key] = own.nearest(terms, counts)
-            return kept[key]
-
-        for batch in batches:
-            near = [answer(t.values.to_numpy(), c.values.to_numpy())
-                    for t, c in zip(numbers(batch.column("terms")), batch.column("counts"))]
+        parts = (batch.slice(start, SLICE_ROWS) for batch in batches
+                 for start in range(0, batch.num_rows, SLICE_ROWS))
+        for part in parts:
+            terms = numbers(part.column("terms"))
+            at, counts = terms.offsets.to_numpy().tolist(), part.column("counts").flatten().to_numpy()
+            terms = terms.values.to_numpy()
+            cut = [(terms[a:b], counts[a:b]) for a, b in zip(at, at[1:])]
+            keys = [hashlib.blake2b(t.tobytes() + c.tobytes(), digest_size=16).digest()
+                    for t, c in cut]
+            # equal documents are answered once
+            new = {key: x for key, x in zip(keys, cut) if key not in kept}
+            answers = dict(zip(new, own.all_nearest([*new.values()])))
+            near = [answers[key] if key in answers else kept[key] for key in keys]
+            if len(kept) + len(answers) > KEPT_ANSWERS:
+                kept = {}
+            kept.update(answers)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([own.vote(x) for x in near], pa.float64()),
-                 pa.array([[{"doc_id": d, "cosine": c, "toxic": y} for c, d, y in x] for x in near],
-                          pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()),
-                                              ("toxic", pa.int32())])))],
-                names=["doc_id", "score", "evidence"])
+                [part.column("doc_id"), pa.array([own.vote(x) for x in near], pa.float64()),
+                 _evidence(near)], names=["doc_id", "score", "evidence"])
 
     return vectors.mapInArrow(run, "doc_id long, score double, "
                                    "evidence array<struct<doc_id: long, cosine: double, toxic: int>>")

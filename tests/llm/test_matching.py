@@ -7,6 +7,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -265,6 +266,32 @@ def test_nearest_is_exact():
     assert index.vote([]) == index.no_terms < 0.05
 
 
+def test_nearest_of_many_with_frequent_and_rare_terms():
+    """All answers at once; only postings of rare terms are gone through one by one."""
+    rnd = random.Random(5)
+
+    def bag():
+        terms = {t for t in range(40) if rnd.random() < 0.6} | {rnd.randrange(40, 900)
+                                                                for _ in range(rnd.randint(0, 6))}
+        return sorted(terms), [rnd.randint(1, 9) for _ in terms]
+
+    rows = [(d, rnd.randint(0, 1), *bag()) for d in range(300)]
+    rows += [(d + 1000, y, t, c) for d, y, t, c in rows[:40]] + [(5000, 1, [950], [1])]
+    idf = [rnd.choice([1e-3, 0.02, 1.0, 7.5]) for _ in range(1000)]
+    index = toxicity.CosineIndex(1000, idf, rows)
+    assert 30 <= index.n_frequent <= 60
+    assert len(index.row) < 0.4 * sum(len(t) for _, _, t, _ in rows)
+    queries = [bag() for _ in range(toxicity.QUERIES + 20)] + [([], []), ([950], [3]), ([999], [1])]
+    answers = index.all_nearest([(np.array(t, int), np.array(c, int)) for t, c in queries])
+    for (terms, counts), got in zip(queries, answers):
+        want = brute_nearest(rows, idf, terms, counts, toxicity.NEIGHBOURS) if terms else []
+        assert [c for c, _, _ in got] == pytest.approx([w[0] for w in want], abs=2e-9)
+        assert got == index.nearest(terms, counts)
+        assert got == sorted(got, key=lambda x: (-x[0], x[1]))
+    assert [x[1:] for x in answers[-2]] == [(5000, 1)] and answers[-1] == answers[-3] == []
+    assert toxicity.CosineIndex(3, [1.0] * 3, []).all_nearest([([1], [1])]) == [[]]
+
+
 def test_toxicity_scores(spark, odd, none):
     rnd = random.Random(7)
     texts, labels = [], []
