@@ -165,7 +165,8 @@ def numbered(df: DataFrame) -> DataFrame:
     Task and place are noted where the rows are written, so every later plan sees
     the same numbers; they are dense, which suits bitmaps.
     """
-    rows = staged(packed(df).withColumn("at", F.monotonically_increasing_id()), "rows")
+    rows = staged(packed(df).withColumn("at", F.monotonically_increasing_id()), "rows",
+                  compression="zstd")  # all texts again: the largest of the files
     place, task = F.col("at").bitwiseAND(F.lit((1 << 33) - 1)), F.shiftright("at", 33).cast("int")
     starts = starts_of(rows.select(task.alias("task"), F.lit(1).alias("one")), "task", "one")
     return rows.withColumn("__starts", starts).select(
