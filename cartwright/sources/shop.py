@@ -30,7 +30,8 @@ Plan notes. Orders are not grouped: a repeated order key stays repeated, so the
 uniqueness checks can fail, and filters on status and date reach the scan. The
 category mart reads nothing of the order, so it takes ``item_lines`` and never
 shuffles lineitem by order key; that equals reading the full items as long as
-``unique(order_id)`` passes. The nation lookup is tiny and is broadcast by the
+``unique(order_id)`` passes. Customers are spread before each becomes ten users
+(``CUSTOMERS_PER_TASK``). The nation lookup is tiny and is broadcast by the
 planner's own size rule.
 """
 
@@ -50,6 +51,10 @@ RETAIL_FACTOR = 50
 SHIP_DAYS, DELIVER_DAYS, RETURN_DAYS = 1, 4, 14
 ITEM_DELIVER_DAYS = 3
 
+#: customers whose users one task makes. A customer is few bytes and becomes ten users, so
+#: splits by bytes alone leave millions of users to one task and what groups them there
+CUSTOMERS_PER_TASK = 100_000
+
 
 @dataclass
 class RetailSources:
@@ -88,8 +93,19 @@ def _item_status() -> Column:
             .otherwise("Processing"))
 
 
+def _spread(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """The rows dealt by key over tasks of about ``most`` rows; a table without more stays as it is.
+
+    The number is that of the file footers, not an estimate. It is set, so adaptive
+    execution does not merge the tasks again for their few bytes.
+    """
+    tasks = -(-rows.count() // most)
+    return rows.repartition(tasks, key) if tasks > 1 else rows
+
+
 def users_from_tpch(tables: TableSource) -> DataFrame:
-    c = tables["customer"].select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    c = _spread(tables["customer"].select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"),
+                "c_custkey", CUSTOMERS_PER_TASK)
     n = tables["nation"].select("n_nationkey", "n_name")
     fanned = c.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(USERS_PER_CUSTOMER - 1))))
     uid = F.col("c_custkey") * USERS_PER_CUSTOMER + F.col("k")

@@ -213,3 +213,28 @@ def test_quality_checks_on_dirty_data_match_sql(spark, seed):
             sql = (f"SELECT count(*) FROM {m} ch LEFT JOIN {ch.parent} p "
                    f"ON ch.{c} = p.{ch.parent_column} WHERE ch.{c} IS NOT NULL AND p.{ch.parent_column} IS NULL")
         assert got[(ch.test, c, m)] == con.execute(sql).fetchone()[0], (seed, ch)
+
+
+def test_users_of_many_customers_are_made_by_several_tasks(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from cartwright.sources import shop
+    from cartwright.sources.tables import TableSource
+    customers = [(i, f"c{i}", i % 3, "AUTO") for i in range(400)] + [(7, "twice", None, None),
+                                                                   (None, None, 1, "AUTO")]
+    schema = "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string"
+    spark.createDataFrame(customers, schema).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(0, "A"), (1, "B")], "n_nationkey int, n_name string").write.parquet(
+        f"{tmp_path}/nation.parquet")
+    monkeypatch.setattr(shop, "CUSTOMERS_PER_TASK", 50, raising=False)
+    users = shop.users_from_tpch(TableSource(spark, str(tmp_path)))
+    by_task = [r["count"] for r in users.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(by_task) == 4020 and len(by_task) > 4 and max(by_task) <= 10 * 2 * 50
+    nations = {0: "A", 1: "B"}
+    got = sorted(map(str, users.select("id", "first_name", "country", "traffic_source").collect()))
+    monkeypatch.setattr(shop, "CUSTOMERS_PER_TASK", 402, raising=False)
+    plain = shop.users_from_tpch(TableSource(spark, str(tmp_path)))
+    assert "Exchange hashpartitioning" not in plain._jdf.queryExecution().toString()
+    assert got == sorted(map(str, plain.select("id", "first_name", "country", "traffic_source").collect()))
+    assert {r.id: r.country for r in users.collect() if r.id and r.first_name != "twice"} == {
+        i * 10 + k: nations.get(i % 3) for i in range(400) for k in range(10) if i or k}
