@@ -49,13 +49,14 @@ from cartwright.llm.token_counts import byte_letters
 #: rows of one entry of the row index, and bytes of a stripe
 STRIDE = 1_000
 STRIPE_BYTES = 32 << 20
-#: texts that are encoded together (or one long text)
-BLOCK_BYTES, BLOCK_ROWS = 12 << 20, 16_000
+#: texts that are encoded together (or one long text); what a block needs besides is
+#: about ten times its bytes
+BLOCK_BYTES, BLOCK_ROWS = 4 << 20, 16_000
 #: chunks that the library encodes in one call
 CALL_CHUNKS = 4_000
-#: pieces whose ids a worker keeps from block to block (about 50 bytes each); a larger
-#: table falls back to those of the last block
-KEPT_PIECES = 1_000_000
+#: pieces whose ids a worker keeps from block to block (about 50 bytes each, and as much
+#: again while they are looked up); a larger table falls back to those of the last block
+KEPT_PIECES = 300_000
 #: lead bytes from here on make letters beyond Latin
 BEYOND_LATIN = 0xC9
 
@@ -207,6 +208,9 @@ def encoded(df: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
                  pa.array(first + upto[:-1]), pa.array(np.diff(upto)), ids],
                 names=["doc_id", "file", "first", "n_tokens", "ids"])
             first += int(upto[-1])
+            del ids, upto
+            # else freed arrays stay with the worker, beside the memory of its executor
+            pa.default_memory_pool().release_unused()
 
     kind = df.schema["doc_id"].dataType.simpleString()
     # the place in the input splits a doc_id that many rows share

@@ -9,10 +9,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cartwright.llm import divergence, token_files, vector_codes
+from cartwright.llm import bpe, divergence, token_files, vector_codes
 from cartwright.llm.common import read_table
 from tests.conftest import SF01
 
@@ -91,6 +92,25 @@ def test_pieces_are_merged_once_and_known_in_later_blocks(monkeypatch):
     assert own.encode([], 0).to_pylist() == []
 
 
+def test_blocks_of_many_new_words_take_little_memory():
+    rnd = random.Random(5)
+    texts = [" ".join("".join(rnd.choices("abcdefghijklmnop", k=rnd.randint(3, 9)))
+                      for _ in range(350)) for _ in range(6_000)]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    own = token_files.ChunkEncoder(TOKENIZER)
+    usual = pa.default_memory_pool()
+    pool = pa.proxy_memory_pool(usual)  # counts from here on
+    pa.set_memory_pool(pool)
+    try:
+        found = []
+        for block in bpe.blocks([batch], "text", token_files.BLOCK_BYTES, token_files.BLOCK_ROWS):
+            found += own.encode(block.column("text").to_pylist(), 0)[:3].to_pylist()
+    finally:
+        pa.set_memory_pool(usual)
+    assert found[:3] == library_ids(texts[:3])
+    assert pool.max_memory() < 150 << 20, pool.max_memory()
+
+
 def test_token_files_spread_a_doc_id_that_a_third_shares(spark, tmp_path):
     rnd = random.Random(5)
     rows = [(7 if i % 3 == 0 else i, prose(rnd, 30), "clash", i) for i in range(3000)]
